@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.classify import risk_rules, tier_rules
-from tidemark.operators import movers, profile, series
+from tidemark.operators import context, movers, profile, series
 from tidemark.plans.series_sources import supplier_month_series
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -120,19 +120,13 @@ def q_entity_change_stats(spark, sf_dir):
 def q_top5_context(spark, sf_dir):
     mv = movers_a(spark, sf_dir)
     vol = profile.volatility_profile(perf_a(spark, sf_dir), "entity", risk=A_RISK, sort=False)
-    up = movers.gainers(mv, "daily_change_pct", "entity", 5, ["entity", "daily_change_pct"])
-    down = movers.losers(mv, "daily_change_pct", "entity", 5, ["entity", "daily_change_pct"])
-    hot = movers.top_k(vol, "volatility", 5, True, ["entity"], "rank",
-                       ["entity", "volatility", "risk"])
-    return (
-        up.select(F.lit("gain").alias("list"), "rank", "entity",
-                  F.col("daily_change_pct").alias("metric"), F.lit(None).cast("string").alias("risk"))
-        .unionByName(down.select(F.lit("loss").alias("list"), "rank", "entity",
-                                 F.col("daily_change_pct").alias("metric"),
-                                 F.lit(None).cast("string").alias("risk")))
-        .unionByName(hot.select(F.lit("volatile").alias("list"), "rank", "entity",
-                                F.col("volatility").alias("metric"), "risk"))
-    )
+    return context.top_lists(mv, vol, "entity")
+
+
+def q_context_json(spark, sf_dir):
+    mv = movers_a(spark, sf_dir)
+    vol = profile.volatility_profile(perf_a(spark, sf_dir), "entity", risk=A_RISK, sort=False)
+    return context.currency_context(mv, vol, "entity")
 
 
 # ---------------------------------------------------------------- SQL side
@@ -192,6 +186,19 @@ def _with(body: str, tail: str) -> str:
     return f"WITH {body}\n{tail}"
 
 
+TOP5_SQL = """SELECT * FROM (
+  SELECT 'gain' AS list, CAST(ROW_NUMBER() OVER (ORDER BY daily_change_pct DESC NULLS FIRST, entity) AS INTEGER) AS rank,
+         entity, daily_change_pct AS metric, CAST(NULL AS VARCHAR) AS risk
+  FROM movers_a ORDER BY daily_change_pct DESC NULLS FIRST, entity LIMIT 5)
+UNION ALL SELECT * FROM (
+  SELECT 'loss', CAST(ROW_NUMBER() OVER (ORDER BY daily_change_pct ASC NULLS FIRST, entity) AS INTEGER),
+         entity, daily_change_pct, CAST(NULL AS VARCHAR)
+  FROM movers_a ORDER BY daily_change_pct ASC NULLS FIRST, entity LIMIT 5)
+UNION ALL SELECT * FROM (
+  SELECT 'volatile', CAST(ROW_NUMBER() OVER (ORDER BY volatility DESC NULLS FIRST, entity) AS INTEGER),
+         entity, volatility, risk
+  FROM vol_a ORDER BY volatility DESC NULLS FIRST, entity LIMIT 5)"""
+
 ORACLE_SQL: dict[str, str] = {
     "pct_change_daily": _with(SERIES_A_SQL + f""",
 p1 AS (SELECT entity, ts, value, LAG(value, 1) OVER (PARTITION BY entity ORDER BY ts) AS prev_value
@@ -235,20 +242,23 @@ st AS (SELECT entity, AVG(CAST(daily_change_pct AS DOUBLE)) AS avg_change,
        printf('Analise a moeda %s baseado nos dados dos últimos 30 dias:\n\n- Variação média diária: %.2f%%\n- Volatilidade: %.2f%%\n- Maior alta: %.2f%%\n- Maior queda: %.2f%%\n',
               CAST(entity AS VARCHAR), avg_change, volatility, max_gain, max_loss) AS summary
 FROM st"""),
-    "top5_context": _with(PERF_A_SQL + VOL_A_SQL, """SELECT * FROM (
-  SELECT 'gain' AS list, CAST(ROW_NUMBER() OVER (ORDER BY daily_change_pct DESC NULLS FIRST, entity) AS INTEGER) AS rank,
-         entity, daily_change_pct AS metric, CAST(NULL AS VARCHAR) AS risk
-  FROM movers_a ORDER BY daily_change_pct DESC NULLS FIRST, entity LIMIT 5)
-UNION ALL SELECT * FROM (
-  SELECT 'loss', CAST(ROW_NUMBER() OVER (ORDER BY daily_change_pct ASC NULLS FIRST, entity) AS INTEGER),
-         entity, daily_change_pct, CAST(NULL AS VARCHAR)
-  FROM movers_a ORDER BY daily_change_pct ASC NULLS FIRST, entity LIMIT 5)
-UNION ALL SELECT * FROM (
-  SELECT 'volatile', CAST(ROW_NUMBER() OVER (ORDER BY volatility DESC NULLS FIRST, entity) AS INTEGER),
-         entity, volatility, risk
-  FROM vol_a ORDER BY volatility DESC NULLS FIRST, entity LIMIT 5)"""),
+    "top5_context": _with(PERF_A_SQL + VOL_A_SQL, TOP5_SQL),
 }
 
+def _json_list(label: str, fields: str) -> str:
+    return f"(SELECT to_json(list({{{fields}}} ORDER BY rank)) FROM lists WHERE list = '{label}')"
+
+
+ORACLE_SQL["context_json"] = _with(
+    PERF_A_SQL + VOL_A_SQL + ",\nlists AS (" + TOP5_SQL + ")",
+    "SELECT g AS gain_json, l AS loss_json, v AS volatile_json,\n"
+    "       printf('TOP 5 MAIORES ALTAS:\n%s\n\nTOP 5 MAIORES QUEDAS:\n%s\n\n"
+    "TOP 5 MAIS VOLÁTEIS (30 dias):\n%s\n', g, l, v) AS context\n"
+    "FROM (SELECT " + _json_list("gain", "'entity': entity, 'daily_change_pct': metric") + " AS g, "
+    + _json_list("loss", "'entity': entity, 'daily_change_pct': metric") + " AS l, "
+    + _json_list("volatile", "'entity': entity, 'volatility': metric, 'risk': risk") + " AS v)",
+)
+
 QUERIES: dict[str, QueryFn] = {
     "pct_change_daily": q_pct_change_daily,
     "pct_change_multi_lag": q_pct_change_multi_lag,
@@ -264,4 +274,15 @@ QUERIES: dict[str, QueryFn] = {
     "treemap_rollup": q_treemap_rollup,
     "entity_change_stats": q_entity_change_stats,
     "top5_context": q_top5_context,
+    "context_json": q_context_json,
 }
+
+
+def _merge() -> None:
+    from tidemark.plans import catalog_io
+
+    QUERIES.update(catalog_io.QUERIES)
+    ORACLE_SQL.update(catalog_io._oracle())
+
+
+_merge()

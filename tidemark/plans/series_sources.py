@@ -30,3 +30,52 @@ def event_type_day_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("entity"),
         F.to_date("ts").alias("ds"),
     ).agg(F.sum(F.col("value").cast(MONEY)).cast(MONEY).alias("value"))
+
+
+# Header fields of a quotes API snapshot document.
+SNAPSHOT_HEADER = {
+    "result": "success",
+    "documentation": "https://www.exchangerate-api.com/docs",
+    "terms_of_use": "https://www.exchangerate-api.com/terms",
+}
+
+
+def snapshot_payloads(
+    series: DataFrame,
+    entity: str = "entity",
+    time: str = "ts",
+    value: str = "value",
+    base_code: str = "SUP",
+    rates_per_doc: int = 500,
+) -> DataFrame:
+    """Turn a keyed series into snapshot documents shaped like the API's.
+
+    One snapshot per time value; its rates are split over documents of about
+    ``rates_per_doc`` codes (hash buckets of the entity), so no document, and
+    no aggregation group, grows with the number of entities.  The silver
+    transform does not care how a snapshot's rates are split.
+    """
+    from tidemark.functions.timeparse import format_rfc2822
+
+    n_entities = series.select(entity).distinct().count()
+    buckets = max(1, -(-n_entities // rates_per_doc))
+    ts = F.col(time).cast("timestamp")
+    nxt = F.add_months(F.col(time), 1).cast("timestamp")
+    docs = series.groupBy(
+        F.col(time).alias("_t"),
+        F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).alias("_doc"),
+    ).agg(
+        F.map_from_entries(
+            F.collect_list(F.struct(F.col(entity).cast("string"), F.col(value).cast("double")))
+        ).alias("conversion_rates")
+    ).withColumnRenamed("_t", time)
+    return docs.select(
+        *[F.lit(v).alias(k) for k, v in SNAPSHOT_HEADER.items()],
+        F.unix_seconds(ts).alias("time_last_update_unix"),
+        format_rfc2822(ts).alias("time_last_update_utc"),
+        F.unix_seconds(nxt).alias("time_next_update_unix"),
+        format_rfc2822(nxt).alias("time_next_update_utc"),
+        F.lit(base_code).alias("base_code"),
+        "conversion_rates",
+        F.to_date(ts).alias("ingest_date"),
+    )
