@@ -279,10 +279,11 @@ QUERIES: dict[str, QueryFn] = {
 
 
 def _merge() -> None:
-    from tidemark.plans import catalog_io
+    from tidemark.plans import catalog_io, catalog_model
 
-    QUERIES.update(catalog_io.QUERIES)
-    ORACLE_SQL.update(catalog_io._oracle())
+    for part in (catalog_io, catalog_model):
+        QUERIES.update(part.QUERIES)
+        ORACLE_SQL.update(part._oracle())
 
 
 _merge()
