@@ -10,7 +10,7 @@ and its numbers are not claimed):
   yhat   = intercept + slope * t + effect;  band = yhat -/+ z(confidence) * sigma
 An entity with fewer than two distinct days has a NULL trend and NULL
 forecasts.  Work: two aggregates and one join of the rows with the
-one-row-per-entity coefficients (broadcast when their count is small).
+one-row-per-entity coefficients (AQE broadcasts them when measured small).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators._util import broadcast_if_small, join_null_safe
+from tidemark.operators._util import join_null_safe
 
 WEEKDAYS = range(1, 8)
 
@@ -51,7 +51,8 @@ def fit(train: DataFrame) -> DataFrame:
         F.regr_slope("y", "x").alias("slope"),
         F.regr_intercept("y", "x").alias("_b0"),
     )
-    res = join_null_safe(pts, broadcast_if_small(coef.select("entity", "slope", "_b0")), ["entity"])
+    # one row per entity; AQE broadcasts it when its measured size is small
+    res = join_null_safe(pts, coef.select("entity", "slope", "_b0"), ["entity"])
     res = res.select(
         "entity",
         iso_weekday("ds").alias("dow"),

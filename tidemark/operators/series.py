@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numeric import pct_change
-from tidemark.operators._util import broadcast_if_small, join_null_safe
+from tidemark.operators._util import join_null_safe
 
 DEFAULT_FIRST_LAG = ("daily", 1)
 DEFAULT_LAGS: Mapping[str, int] = {"weekly": 7, "monthly": 30}
@@ -123,10 +123,24 @@ def series_position(
     order_extra: Sequence[str] = (),
     position_col: str = "_pos",
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    nulls_of: str | None = None,
 ) -> DataFrame:
     """1-based row position inside each entity (ordered by time, nulls first),
-    computed with bounded work per task even for a single huge entity."""
+    computed with bounded work per task even for a single huge entity.
+
+    With ``nulls_of`` also adds ``_nulls``: how many rows at positions <= this
+    one have a NULL ``nulls_of`` value.
+
+    Plan: per-entity stats (partial aggregate) -> bucket of each row ->
+    per-(entity, bucket) counts (partial aggregate) -> bucket offsets (window
+    over the small count table) -> row_number inside (entity, bucket).  The
+    two joins with the small tables are left to AQE, which broadcasts them
+    when their measured size is small and splits skewed partitions otherwise;
+    no action runs here.
+    """
     keyed = df.withColumn("_ord", _order_number(df, time))
+    isnull = (F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long"))
+    keyed = keyed.withColumn("_isnull", isnull)
     stats = keyed.groupBy(entity).agg(
         F.min("_ord").alias("_lo"),
         F.max("_ord").alias("_hi"),
@@ -135,9 +149,7 @@ def series_position(
     stats = stats.withColumn(
         "_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket))))
     ).withColumn("_width", (F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.col("_nb"))
-    # one row per entity: broadcast when the entity count is small (checked),
-    # otherwise a shuffle join whose skewed partitions AQE splits.
-    rows = join_null_safe(keyed, broadcast_if_small(stats), [entity], "inner")
+    rows = join_null_safe(keyed, stats, [entity], "inner")
     rows = rows.withColumn(
         "_bucket",
         F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
@@ -147,48 +159,56 @@ def series_position(
             ).cast("long")
         ),
     ).drop("_lo", "_hi", "_n", "_nb", "_width")
-    counts = rows.groupBy(entity, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = rows.groupBy(entity, "_bucket").agg(
+        F.count(F.lit(1)).alias("_cnt"), F.sum("_isnull").alias("_ncnt")
+    )
     before = Window.partitionBy(entity).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = counts.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-    ).drop("_cnt")
-    rows = join_null_safe(rows, broadcast_if_small(offsets), [entity, "_bucket"], "inner")
+    offsets = counts.select(
+        entity,
+        "_bucket",
+        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
+        F.coalesce(F.sum("_ncnt").over(before), F.lit(0)).alias("_noff"),
+    )
+    rows = join_null_safe(rows, offsets, [entity, "_bucket"], "inner")
     inner = Window.partitionBy(entity, "_bucket").orderBy(
         F.col(time).asc_nulls_first(), *order_extra
     )
-    return rows.withColumn(
-        position_col, F.col("_off") + F.row_number().over(inner)
-    ).drop("_off", "_bucket", "_ord")
+    out = rows.withColumn(position_col, F.col("_off") + F.row_number().over(inner))
+    if nulls_of:
+        running = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumn("_nulls", F.col("_noff") + F.sum("_isnull").over(running))
+    return out.drop("_off", "_noff", "_bucket", "_ord", "_isnull")
 
 
 def lagged_values(
-    df: DataFrame, entity: str, position_col: str, value: str, ks: Sequence[int]
+    df: DataFrame,
+    entity: str,
+    position_col: str,
+    fields: Mapping[str, str],
+    ks: Sequence[int],
 ) -> DataFrame:
-    """Join ``value`` of the rows k positions earlier as ``value_lag_<k>``.
+    """For each k and each ``fields`` item (output prefix -> column), join the
+    column's value of the row k positions earlier as ``<prefix>_<k>``.
 
-    All lags are fetched with ONE shuffle: each row emits narrow copies
-    (entity, position + k, k, value) that are pivoted by target position.
+    All lags are fetched with ONE shuffle on (entity, position): each row
+    emits narrow copies (entity, position + k, k, values) that are pivoted by
+    target position and left-joined back; a hot entity spreads over all
+    partitions because the position is part of the key.
     """
     ks = sorted(set(ks))
     copies = df.select(
         entity,
         F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"),
         position_col,
-        value,
-    ).select(
-        entity,
-        (F.col(position_col) + F.col("_k")).alias(position_col),
-        "_k",
-        F.col(value).alias("_v"),
-    )
+        *[F.col(c).alias(f"_v_{p}") for p, c in fields.items()],
+    ).withColumn(position_col, F.col(position_col) + F.col("_k"))
     pivot = copies.groupBy(entity, position_col).agg(
         *[
-            F.first(F.when(F.col("_k") == k, F.col("_v")), ignorenulls=True).alias(
-                lag_value_col(k)
-            )
+            F.first(F.when(F.col("_k") == k, F.col(f"_v_{p}")), ignorenulls=True).alias(f"{p}_{k}")
             for k in ks
+            for p in fields
         ]
     )
     return join_null_safe(df, pivot, [entity, position_col], "left")
@@ -196,25 +216,23 @@ def lagged_values(
 
 def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket):
     label, k1 = first_lag
-    pos = series_position(df, entity, time, order_extra, "_pos", rows_per_bucket)
-    first = lagged_values(pos, entity, "_pos", value, [k1]).withColumnRenamed(
-        lag_value_col(k1), "prev_value"
-    )
-    kept = first.withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits)).where(
-        F.col("prev_value").isNotNull()
+    pos = series_position(df, entity, time, order_extra, "_pos", rows_per_bucket, nulls_of=value)
+    first = lagged_values(pos, entity, "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
+    kept = (
+        first.withColumnRenamed(f"_prev_{k1}", "prev_value")
+        .withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
+        .where(F.col("prev_value").isNotNull())
     )
-    # Positions inside the filtered frame.  Without NULL values only the first
-    # k1 rows of each entity go, so the position shifts by k1.  A NULL value
-    # drops the row after it in mid-series, and then the frame is re-ranked.
-    # (The NULL probe pushes ``IsNull`` into the scan; Parquet statistics skip
-    # row groups without NULLs.)
-    if df.where(F.col(value).isNull()).isEmpty():
-        kept = kept.withColumn("_pos", F.col("_pos") - F.lit(k1))
+    # Position inside the filtered frame: row i is kept iff the value at
+    # i - k1 is not NULL, so its new position is (i - k1) minus the NULL
+    # values at positions <= i - k1.  No second ranking pass is needed.
+    kept = kept.withColumn(
+        "_pos", F.col("_pos") - F.lit(k1) - F.col(f"_prevnulls_{k1}")
+    ).drop(f"_prevnulls_{k1}", "_nulls")
+    if lags:
+        out = lagged_values(kept, entity, "_pos", {"value_lag": value}, list(lags.values()))
     else:
-        kept = series_position(
-            kept.drop("_pos"), entity, time, order_extra, "_pos", rows_per_bucket
-        )
-    out = lagged_values(kept, entity, "_pos", value, list(lags.values()))
+        out = kept
     for name, k in lags.items():
         out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
     return out.drop("_pos")

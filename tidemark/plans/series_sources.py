@@ -19,7 +19,7 @@ def supplier_month_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.groupBy(
         F.col("l_suppkey").alias("entity"),
-        F.to_date(F.date_trunc("month", "l_shipdate")).alias("ts"),
+        F.trunc(F.to_date("l_shipdate"), "month").alias("ts"),
     ).agg(F.sum(F.col("l_extendedprice").cast(MONEY)).cast(MONEY).alias("value"))
 
 
