@@ -97,3 +97,23 @@ def test_indexed_strategy_equals_window(spark, gold):
     b = performance(silver, "code_exchange_rate", "time_last_update_utc", "exchange_rate",
                     order_extra=["hash_diff"], strategy="indexed", rows_per_bucket=5).select(*cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_struct_inferred_read_gives_same_silver(spark):
+    """Schema inference reads the rates object as a struct (BRL as bigint,
+    others double); the unnest + unpivot path yields the same rows."""
+    from tidemark.plans.silver import to_silver
+
+    raw = spark.read.option("multiLine", True).json(f"{RAW_FX}/*.json")
+    assert dict(raw.dtypes)["conversion_rates"].startswith("struct")
+    s = to_silver(raw).dropDuplicates(["hash_diff"])
+    assert s.count() == 6520
+
+
+def test_dated_snapshot_path():
+    import datetime as dt
+
+    from tidemark.sources.snapshots import dated_snapshot_path
+
+    assert dated_snapshot_path("/raw/", dt.date(2025, 10, 3)) == "/raw/exchange_rates_2025-10-03.json"
+    assert os.path.exists(dated_snapshot_path(RAW_FX, "2025-10-03"))

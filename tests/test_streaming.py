@@ -29,3 +29,11 @@ def test_stateful_dedupe(spark, tmp_dir):
     silver = f"{tmp_dir}/silver"
     stream_silver_dedupe(spark, RAW_FX, silver, f"{tmp_dir}/ckpt")
     assert spark.read.parquet(silver).count() == 6520
+
+
+def test_watermark_dedupe_with_wide_delay(spark, tmp_dir):
+    from tidemark.streaming.ingest import stream_silver_dedupe
+
+    silver = f"{tmp_dir}/silver"
+    stream_silver_dedupe(spark, RAW_FX, silver, f"{tmp_dir}/ckpt", watermark="3650 days")
+    assert spark.read.parquet(silver).count() == 6520

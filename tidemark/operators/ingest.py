@@ -26,6 +26,12 @@ def dedupe_batch(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return batch.dropDuplicates(list(keys))
 
 
+def has_rows(df: DataFrame) -> bool:
+    """Emptiness test as a ``limit 1`` job.  Appending needs none: an empty
+    batch simply writes no data files."""
+    return not df.isEmpty()
+
+
 def read_sink(spark: SparkSession, path: str) -> DataFrame | None:
     """The existing sink, or None when it does not exist yet / has no files.
 

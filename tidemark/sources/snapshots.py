@@ -52,8 +52,21 @@ def land_snapshots(payloads: DataFrame, path: str, date_col: str = "ingest_date"
     day's folder, other days stay.
     """
     (
-        payloads.write.mode("overwrite")
+        # rebalance: about one file per day, a hot day split by AQE
+        payloads.hint("rebalance", date_col)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)
         .json(path)
     )
+
+
+def dated_snapshot_path(root: str, run_date=None, prefix: str = "exchange_rates") -> str:
+    """Path of one day's snapshot file, ``<root>/<prefix>_<YYYY-MM-DD>.json``.
+
+    ``run_date`` is a job parameter (a ``date`` or ISO text); default today.
+    """
+    import datetime as _dt
+
+    day = run_date or _dt.date.today()
+    return f"{root.rstrip('/')}/{prefix}_{day}.json"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators import ingest
 from tidemark.plans.silver import PARTITION_COL, to_silver
@@ -28,7 +29,13 @@ def stream_silver(
     rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL)
+        # the batch is used twice (its dates prune the sink, then it is
+        # written): keep it instead of re-reading and re-parsing the files
+        batch.persist()
+        try:
+            ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL)
+        finally:
+            batch.unpersist()
 
     w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
@@ -56,8 +63,12 @@ def stream_silver_dedupe(
     """
     rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
     if watermark:
-        rows = rows.withWatermark("time_last_update_utc", watermark).dropDuplicatesWithinWatermark(
-            ["hash_diff"]
+        # event time must be TIMESTAMP (UTC session), not TIMESTAMP_NTZ
+        rows = (
+            rows.withColumn("_event_time", F.col("time_last_update_utc").cast("timestamp"))
+            .withWatermark("_event_time", watermark)
+            .dropDuplicatesWithinWatermark(["hash_diff"])
+            .drop("_event_time")
         )
     else:
         rows = rows.dropDuplicates(["hash_diff"])
