@@ -34,6 +34,16 @@ def join_null_safe(
     return left.join(r, cond, how).drop(*r_alias.values())
 
 
+def entity_key(col: str) -> F.Column:
+    """Never-NULL grouping/join key for a possibly NULL column:
+    struct(is_null, value).  Struct equality matches NULL with NULL, so a
+    plain equi-join on it keeps NULL entities together, and (unlike
+    ``eqNullSafe``, which Spark rewrites to coalesce/isnull keys) its hash
+    partitioning is the same one the group-bys and windows on it use, so
+    no extra exchange is planned between them."""
+    return F.struct(F.col(col).isNull().alias("is_null"), F.col(col).alias("value"))
+
+
 def sort_key(col: str, descending: bool, nulls_first: bool = True):
     c = F.col(col)
     if descending:

@@ -20,7 +20,7 @@ from statistics import NormalDist
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators._util import join_null_safe
+from tidemark.operators._util import entity_key
 
 WEEKDAYS = range(1, 8)
 
@@ -40,11 +40,18 @@ def training_frame(df: DataFrame, entity: str, time: str, value: str) -> DataFra
 
 def fit(train: DataFrame) -> DataFrame:
     """Model table: entity, first_ds, last_ds, n, slope, intercept (at
-    first_ds), sigma, effect_1 .. effect_7."""
-    pts = train.where(F.col("y").isNotNull() & F.col("ds").isNotNull()).withColumn(
-        "x", F.unix_date("ds").cast("double")
+    first_ds), sigma, effect_1 .. effect_7.
+
+    Every aggregate and join is keyed by the same never-NULL entity key, so
+    the per-entity tables share one partitioning and join without re-shuffle.
+    """
+    pts = train.where(F.col("y").isNotNull() & F.col("ds").isNotNull()).select(
+        entity_key("entity").alias("_ek"),
+        "ds",
+        "y",
+        F.unix_date("ds").cast("double").alias("x"),
     )
-    coef = pts.groupBy("entity").agg(
+    coef = pts.groupBy("_ek").agg(
         F.min("ds").alias("first_ds"),
         F.max("ds").alias("last_ds"),
         F.count(F.lit(1)).alias("n"),
@@ -52,24 +59,23 @@ def fit(train: DataFrame) -> DataFrame:
         F.regr_intercept("y", "x").alias("_b0"),
     )
     # one row per entity; AQE broadcasts it when its measured size is small
-    res = join_null_safe(pts, coef.select("entity", "slope", "_b0"), ["entity"])
-    res = res.select(
-        "entity",
+    res = pts.join(coef.select("_ek", "slope", "_b0"), "_ek").select(
+        "_ek",
         iso_weekday("ds").alias("dow"),
         (F.col("y") - (F.col("_b0") + F.col("slope") * F.col("x"))).alias("r"),
     )
-    by_day = res.groupBy("entity", "dow").agg(
+    by_day = res.groupBy("_ek", "dow").agg(
         F.avg("r").alias("effect"),
         F.count(F.lit(1)).alias("n_d"),
         F.coalesce(F.var_samp("r") * (F.count(F.lit(1)) - F.lit(1)), F.lit(0.0)).alias("ss"),
     )
-    per_entity = by_day.groupBy("entity").agg(
+    per_entity = by_day.groupBy("_ek").agg(
         F.sqrt(F.try_divide(F.sum("ss"), F.sum("n_d") - F.lit(1))).alias("sigma"),
         *[F.max(F.when(F.col("dow") == d, F.col("effect"))).alias(f"effect_{d}") for d in WEEKDAYS],
     )
-    model = join_null_safe(coef, per_entity, ["entity"], "left")
+    model = coef.join(per_entity, "_ek", "left")
     return model.select(
-        "entity", "first_ds", "last_ds", "n", "slope",
+        F.col("_ek.value").alias("entity"), "first_ds", "last_ds", "n", "slope",
         (F.col("_b0") + F.col("slope") * F.unix_date("first_ds")).alias("intercept"),
         "sigma",
         *[f"effect_{d}" for d in WEEKDAYS],

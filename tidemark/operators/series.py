@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numeric import pct_change
-from tidemark.operators._util import join_null_safe
+from tidemark.operators._util import entity_key
 
 DEFAULT_FIRST_LAG = ("daily", 1)
 DEFAULT_LAGS: Mapping[str, int] = {"weekly": 7, "monthly": 30}
@@ -130,18 +130,27 @@ def series_position(
 
     With ``nulls_of`` also adds ``_nulls``: how many rows at positions <= this
     one have a NULL ``nulls_of`` value.
+    """
+    keyed = df.withColumn("_ek", entity_key(entity))
+    out = _positions(keyed, "_ek", time, order_extra, position_col, rows_per_bucket, nulls_of)
+    return out.drop("_ek")
+
 
-    Plan: per-entity stats (partial aggregate) -> bucket of each row ->
+def _positions(keyed, key, time, order_extra, position_col, rows_per_bucket, nulls_of):
+    """Plan: per-entity stats (partial aggregate) -> bucket of each row ->
     per-(entity, bucket) counts (partial aggregate) -> bucket offsets (window
-    over the small count table) -> row_number inside (entity, bucket).  The
-    two joins with the small tables are left to AQE, which broadcasts them
-    when their measured size is small and splits skewed partitions otherwise;
-    no action runs here.
+    over the small count table) -> row_number inside (entity, bucket).
+
+    All group-bys, joins and windows use the same never-NULL key, so the
+    count table, the join and the inner window share one hash partitioning
+    on (key, bucket).  The joins with the small tables are left to AQE, which
+    broadcasts them when their measured size is small and splits skewed
+    partitions otherwise; no action runs here.
     """
-    keyed = df.withColumn("_ord", _order_number(df, time))
-    isnull = (F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long"))
+    keyed = keyed.withColumn("_ord", _order_number(keyed, time))
+    isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
     keyed = keyed.withColumn("_isnull", isnull)
-    stats = keyed.groupBy(entity).agg(
+    stats = keyed.groupBy(key).agg(
         F.min("_ord").alias("_lo"),
         F.max("_ord").alias("_hi"),
         F.count(F.lit(1)).alias("_n"),
@@ -149,7 +158,7 @@ def series_position(
     stats = stats.withColumn(
         "_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket))))
     ).withColumn("_width", (F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.col("_nb"))
-    rows = join_null_safe(keyed, stats, [entity], "inner")
+    rows = keyed.join(stats, key, "inner")
     rows = rows.withColumn(
         "_bucket",
         F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
@@ -159,20 +168,20 @@ def series_position(
             ).cast("long")
         ),
     ).drop("_lo", "_hi", "_n", "_nb", "_width")
-    counts = rows.groupBy(entity, "_bucket").agg(
+    counts = rows.groupBy(key, "_bucket").agg(
         F.count(F.lit(1)).alias("_cnt"), F.sum("_isnull").alias("_ncnt")
     )
-    before = Window.partitionBy(entity).orderBy("_bucket").rowsBetween(
+    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = counts.select(
-        entity,
+        key,
         "_bucket",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.coalesce(F.sum("_ncnt").over(before), F.lit(0)).alias("_noff"),
     )
-    rows = join_null_safe(rows, offsets, [entity, "_bucket"], "inner")
-    inner = Window.partitionBy(entity, "_bucket").orderBy(
+    rows = rows.join(offsets, [key, "_bucket"], "inner")
+    inner = Window.partitionBy(key, "_bucket").orderBy(
         F.col(time).asc_nulls_first(), *order_extra
     )
     out = rows.withColumn(position_col, F.col("_off") + F.row_number().over(inner))
@@ -190,34 +199,38 @@ def lagged_values(
     ks: Sequence[int],
 ) -> DataFrame:
     """For each k and each ``fields`` item (output prefix -> column), join the
-    column's value of the row k positions earlier as ``<prefix>_<k>``.
+    column's value of the row k positions earlier as ``<prefix>_<k>``."""
+    keyed = df.withColumn("_ek", entity_key(entity))
+    return _gather(keyed, "_ek", position_col, fields, ks).drop("_ek")
 
-    All lags are fetched with ONE shuffle on (entity, position): each row
-    emits narrow copies (entity, position + k, k, values) that are pivoted by
+
+def _gather(keyed, key, position_col, fields, ks):
+    """All lags are fetched with ONE shuffle on (key, position): each row
+    emits narrow copies (key, position + k, k, values) that are pivoted by
     target position and left-joined back; a hot entity spreads over all
-    partitions because the position is part of the key.
-    """
+    partitions because the position is part of the shuffle key."""
     ks = sorted(set(ks))
-    copies = df.select(
-        entity,
+    copies = keyed.select(
+        key,
         F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"),
         position_col,
         *[F.col(c).alias(f"_v_{p}") for p, c in fields.items()],
     ).withColumn(position_col, F.col(position_col) + F.col("_k"))
-    pivot = copies.groupBy(entity, position_col).agg(
+    pivot = copies.groupBy(key, position_col).agg(
         *[
             F.first(F.when(F.col("_k") == k, F.col(f"_v_{p}")), ignorenulls=True).alias(f"{p}_{k}")
             for k in ks
             for p in fields
         ]
     )
-    return join_null_safe(df, pivot, [entity, position_col], "left")
+    return keyed.join(pivot, [key, position_col], "left")
 
 
 def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket):
     label, k1 = first_lag
-    pos = series_position(df, entity, time, order_extra, "_pos", rows_per_bucket, nulls_of=value)
-    first = lagged_values(pos, entity, "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
+    keyed = df.withColumn("_ek", entity_key(entity))
+    pos = _positions(keyed, "_ek", time, order_extra, "_pos", rows_per_bucket, nulls_of=value)
+    first = _gather(pos, "_ek", "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
     kept = (
         first.withColumnRenamed(f"_prev_{k1}", "prev_value")
         .withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
@@ -229,10 +242,7 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
     kept = kept.withColumn(
         "_pos", F.col("_pos") - F.lit(k1) - F.col(f"_prevnulls_{k1}")
     ).drop(f"_prevnulls_{k1}", "_nulls")
-    if lags:
-        out = lagged_values(kept, entity, "_pos", {"value_lag": value}, list(lags.values()))
-    else:
-        out = kept
+    out = _gather(kept, "_ek", "_pos", {"value_lag": value}, list(lags.values())) if lags else kept
     for name, k in lags.items():
         out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
-    return out.drop("_pos")
+    return out.drop("_pos", "_ek")
