@@ -134,15 +134,24 @@ def q_overwrite_roundtrip(spark, sf_dir):
 
 
 def _landed(spark, sf_dir, redeliver: bool = False) -> str:
-    """Land series-A snapshots as raw JSON by ingest date; run the landing
-    twice (the re-run replaces the same days).  ``redeliver`` also lands every
-    snapshot again under the following day, as a repeated delivery."""
+    """Land series-A snapshots as raw JSON by ingest date, then run the
+    landing again from the landed files (the re-run replaces the same days).
+    ``redeliver`` also lands every snapshot again under the following day, as
+    a repeated delivery."""
+    from pyspark.sql import types as T
+
+    from tidemark.sources.snapshots import RAW_SCHEMA
+
+    landed_schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("ingest_date", T.DateType())])
     path = scratch_path(spark, "raw")
-    docs = snapshot_payloads(supplier_month_series(spark, sf_dir))
-    land_snapshots(docs, path)
-    land_snapshots(docs, path)
+    land_snapshots(snapshot_payloads(supplier_month_series(spark, sf_dir)), path)
+    again = spark.read.schema(landed_schema).json(path)
+    rerun = scratch_path(spark, "raw")
+    land_snapshots(again, rerun)          # a second landing of the same days
+    land_snapshots(spark.read.schema(again.schema).json(rerun), path)
     if redeliver:
-        land_snapshots(docs.withColumn("ingest_date", F.date_add("ingest_date", 1)), path)
+        late = spark.read.schema(again.schema).json(rerun)
+        land_snapshots(late.withColumn("ingest_date", F.date_add("ingest_date", 1)), path)
     return path
 
 
