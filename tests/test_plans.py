@@ -59,9 +59,9 @@ def test_anti_join_reads_only_batch_days(spark, tmp_dir):
         F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"),
     )
     old.write.partitionBy("d").parquet(sink)
-    batch = old.where("d = date'2025-01-03'").limit(5).unionByName(
-        spark.createDataFrame([("new", "2025-01-03")], "h string, d string").withColumn("d", F.to_date("d"))
-    )
+    seen = old.where("d = date'2025-01-03'").first()["h"]
+    batch = spark.createDataFrame([(seen, "2025-01-03"), ("new", "2025-01-03")], "h string, d string") \
+        .withColumn("d", F.to_date("d"))
     out = ingest.new_records(batch, spark.read.parquet(sink), ["h"], "d")
     assert [r["h"] for r in out.collect()] == ["new"]
     import re
