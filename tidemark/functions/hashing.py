@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timeparse import utc_ntz
+
 # Fixed-width text form for timestamps inside the hash: plain ``cast`` drops
 # zero microseconds, which would make the text (and the hash) depend on value.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -15,8 +17,11 @@ TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 def hash_text(col: Column, dtype: T.DataType | None = None) -> Column:
     """Text form of one column for hashing: typed value -> string, null -> ''."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(dtype, T.TimestampNTZType):
         text = F.date_format(col, TIMESTAMP_TEXT)
+    elif isinstance(dtype, T.TimestampType):
+        # an instant: hash its UTC wall-clock text, whatever the session zone
+        text = F.date_format(utc_ntz(col), TIMESTAMP_TEXT)
     elif isinstance(dtype, T.DateType):
         text = F.date_format(col, "yyyy-MM-dd")
     else:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.timeparse import utc_ntz
+
 
 def columns_except(df: DataFrame, excluded: Sequence[str]) -> list[str]:
     """All columns but ``excluded`` (resolved at plan time from the schema)."""
@@ -74,7 +76,7 @@ def with_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
 
 def with_load_time(df: DataFrame, name: str = "load_date_src") -> DataFrame:
     """Load timestamp: one value per query (naive UTC)."""
-    return df.withColumn(name, F.current_timestamp().cast("timestamp_ntz"))
+    return df.withColumn(name, utc_ntz(F.current_timestamp()))
 
 
 def project(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numeric import pct_change
+from tidemark.functions.timeparse import epoch_micros_ntz
 from tidemark.operators._util import entity_key
 
 DEFAULT_FIRST_LAG = ("daily", 1)
@@ -109,8 +110,10 @@ def _order_number(df: DataFrame, time: str) -> F.Column:
     """Numeric image of the time column, monotone in its order."""
     dtype = df.schema[time].dataType
     c = F.col(time)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        return epoch_micros_ntz(c).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(c).cast("double")
     return c.cast("double")

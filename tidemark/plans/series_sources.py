@@ -55,12 +55,13 @@ def snapshot_payloads(
     no aggregation group, grows with the number of entities.  The silver
     transform does not care how a snapshot's rates are split.
     """
-    from tidemark.functions.timeparse import format_rfc2822
+    from tidemark.functions.timeparse import epoch_seconds_ntz, format_rfc2822
 
     n_entities = series.select(entity).distinct().count()
     buckets = max(1, -(-n_entities // rates_per_doc))
-    ts = F.col(time).cast("timestamp")
-    nxt = F.add_months(F.col(time), 1).cast("timestamp")
+    # naive UTC; no session-time-zone cast anywhere
+    ts = F.col(time).cast("timestamp_ntz")
+    nxt = F.add_months(F.col(time), 1).cast("timestamp_ntz")
     docs = series.groupBy(
         F.col(time).alias("_t"),
         F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).alias("_doc"),
@@ -71,9 +72,9 @@ def snapshot_payloads(
     ).withColumnRenamed("_t", time)
     return docs.select(
         *[F.lit(v).alias(k) for k, v in SNAPSHOT_HEADER.items()],
-        F.unix_seconds(ts).alias("time_last_update_unix"),
+        epoch_seconds_ntz(ts).alias("time_last_update_unix"),
         format_rfc2822(ts).alias("time_last_update_utc"),
-        F.unix_seconds(nxt).alias("time_next_update_unix"),
+        epoch_seconds_ntz(nxt).alias("time_next_update_unix"),
         format_rfc2822(nxt).alias("time_next_update_utc"),
         F.lit(base_code).alias("base_code"),
         "conversion_rates",

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.hashing import content_hash
 from tidemark.functions.numeric import to_money
-from tidemark.functions.timeparse import parse_rfc2822
+from tidemark.functions.timeparse import parse_rfc2822, utc_ntz
 from tidemark.operators import ingest, reshape
 from tidemark.sources.snapshots import INDEX_COLS, read_snapshots
 
@@ -43,7 +43,7 @@ def to_silver(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
             "time_next_update_utc": parse_rfc2822("time_next_update_utc"),
             VALUE: to_money(VALUE),
             "load_date_src": load_time if load_time is not None
-            else F.current_timestamp().cast("timestamp_ntz"),
+            else utc_ntz(F.current_timestamp()),
         })
     )
     hashed = typed.withColumn("hash_diff", content_hash(HASH_COLS, typed))

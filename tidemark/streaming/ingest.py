@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.timeparse import epoch_micros_ntz
 from tidemark.operators import ingest
 from tidemark.plans.silver import PARTITION_COL, to_silver
 from tidemark.sources.snapshots import stream_snapshots
@@ -63,9 +64,12 @@ def stream_silver_dedupe(
     """
     rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
     if watermark:
-        # event time must be TIMESTAMP (UTC session), not TIMESTAMP_NTZ
+        # event time must be TIMESTAMP, not TIMESTAMP_NTZ: the instant of the
+        # naive UTC value, without a session-time-zone cast
         rows = (
-            rows.withColumn("_event_time", F.col("time_last_update_utc").cast("timestamp"))
+            rows.withColumn(
+                "_event_time", F.timestamp_micros(epoch_micros_ntz("time_last_update_utc"))
+            )
             .withWatermark("_event_time", watermark)
             .dropDuplicatesWithinWatermark(["hash_diff"])
             .drop("_event_time")
