@@ -94,7 +94,17 @@ def append_new(
     both append).
     """
     todo = dedupe_batch(batch, keys) if dedupe else batch
-    todo = new_records(todo, read_sink(spark, path), keys, partition_col)
-    if partition_col is not None:
-        todo = todo.hint("rebalance", partition_col)
-    write_append(todo, path, partition_by=[partition_col] if partition_col else ())
+    existing = read_sink(spark, path)
+    cached = existing is not None and partition_col is not None
+    if cached:
+        # used twice (its days prune the sink, then it is written): keep it
+        # rather than parse the raw input again; spills to disk if large
+        todo = todo.persist()
+    try:
+        out = new_records(todo, existing, keys, partition_col)
+        if partition_col is not None:
+            out = out.hint("rebalance", partition_col)
+        write_append(out, path, partition_by=[partition_col] if partition_col else ())
+    finally:
+        if cached:
+            todo.unpersist()

@@ -50,7 +50,7 @@ def to_silver(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
     return hashed.select(*SILVER_COLS, F.to_date(TIME).alias(PARTITION_COL))
 
 
-def run_silver(spark: SparkSession, raw_path: str, silver_path: str, multiline: bool = True) -> None:
+def run_silver(spark: SparkSession, raw_path: str | list[str], silver_path: str, multiline: bool = True) -> None:
     """One batch job over a file, a folder or a glob of snapshots (backfill
     included): read -> silver -> in-batch dedupe -> anti join -> append."""
     silver = to_silver(read_snapshots(spark, raw_path, multiline))

@@ -22,7 +22,7 @@ RAW_SCHEMA = T.StructType([
 INDEX_COLS = [f.name for f in RAW_SCHEMA.fields if f.name != "conversion_rates"]
 
 
-def read_snapshots(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
     """Scan snapshot documents with the fixed schema (no inference pass).
 
     ``multiline=True`` for pretty-printed API files (one document per file);

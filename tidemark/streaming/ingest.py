@@ -30,13 +30,8 @@ def stream_silver(
     rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the batch is used twice (its dates prune the sink, then it is
-        # written): keep it instead of re-reading and re-parsing the files
-        batch.persist()
-        try:
-            ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL)
-        finally:
-            batch.unpersist()
+        # append_new keeps the deduplicated batch cached while it is used twice
+        ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL)
 
     w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
