@@ -1,0 +1,70 @@
+"""Forecast operator: edge cases and the interval constant."""
+
+import datetime as dt
+
+import pytest
+
+from tidemark.operators import forecast
+
+
+def test_z_value():
+    assert forecast.z_value(0.8) == pytest.approx(1.2815515655446004, abs=1e-12)
+    assert forecast.z_value(0.95) == pytest.approx(1.959963984540054, abs=1e-12)
+
+
+def test_one_point_entity_has_null_trend(spark):
+    d0 = dt.date(2025, 1, 6)
+    rows = [("solo", d0, 5.0)] + [("line", d0 + dt.timedelta(days=i), 2.0 * i + 1.0) for i in range(21)]
+    train = spark.createDataFrame(rows, "entity string, ds date, y double")
+    model = {r["entity"]: r for r in forecast.fit(train).collect()}
+    assert model["solo"]["slope"] is None and model["solo"]["n"] == 1
+    line = model["line"]
+    assert line["slope"] == pytest.approx(2.0) and line["intercept"] == pytest.approx(1.0)
+    assert line["sigma"] == pytest.approx(0.0, abs=1e-9)
+    fc = forecast.predict(forecast.fit(train), periods=3).where("entity = 'line'").orderBy("h").collect()
+    assert [r["ds"] for r in fc] == [d0 + dt.timedelta(days=21 + i) for i in range(3)]
+    assert [r["yhat"] for r in fc] == pytest.approx([43.0, 45.0, 47.0])
+    solo = forecast.predict(forecast.fit(train), periods=2).where("entity = 'solo'").collect()
+    assert len(solo) == 2 and all(r["yhat"] is None for r in solo)
+
+
+def test_matches_brute_force(spark):
+    """Fit + predict equal a direct numpy evaluation of the model spec."""
+    import numpy as np
+
+    rnd = np.random.default_rng(7)
+    d0 = dt.date(2025, 1, 6)
+    days = sorted(rnd.choice(60, size=40, replace=False).tolist())
+    ys = [10.0 + 0.3 * d + (5.0 if (d0 + dt.timedelta(days=d)).weekday() == 5 else 0.0) + rnd.normal()
+          for d in days]
+    rows = [("w", d0 + dt.timedelta(days=d), y) for d, y in zip(days, ys)]
+    train = spark.createDataFrame(rows, "entity string, ds date, y double")
+    model = forecast.fit(train).first()
+
+    t = np.array(days, dtype=float)
+    y = np.array(ys)
+    slope, intercept = np.polyfit(t - t[0], y, 1)
+    resid = y - (intercept + slope * (t - t[0]))
+    iso = np.array([(d0 + dt.timedelta(days=d)).isoweekday() for d in days])
+    effect = {k: resid[iso == k].mean() for k in set(iso.tolist())}
+    final = resid - np.array([effect[k] for k in iso])
+    assert model["slope"] == pytest.approx(slope, rel=1e-9)
+    assert model["intercept"] == pytest.approx(intercept, rel=1e-9)
+    assert model["sigma"] == pytest.approx(final.std(ddof=1), rel=1e-9)
+    for k, v in effect.items():
+        assert model[f"effect_{k}"] == pytest.approx(v, abs=1e-9)
+
+    fc = forecast.predict(forecast.fit(train), periods=7, confidence=0.9).orderBy("h").collect()
+    z = forecast.z_value(0.9)
+    for r in fc:
+        tt = (r["ds"] - (d0 + dt.timedelta(days=days[0]))).days
+        yhat = intercept + slope * tt + effect.get(r["ds"].isoweekday(), 0.0)
+        assert r["yhat"] == pytest.approx(yhat, rel=1e-9)
+        assert r["yhat_upper"] - r["yhat"] == pytest.approx(z * final.std(ddof=1), rel=1e-9)
+
+
+def test_null_entity_is_its_own_series(spark):
+    d0 = dt.date(2025, 1, 6)
+    rows = [(None, d0 + dt.timedelta(days=i), float(i)) for i in range(10)]
+    model = forecast.fit(spark.createDataFrame(rows, "entity string, ds date, y double")).collect()
+    assert len(model) == 1 and model[0]["entity"] is None and model[0]["slope"] == pytest.approx(1.0)

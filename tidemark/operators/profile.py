@@ -145,9 +145,10 @@ STATS_SENTENCE = (
 
 
 def stats_sentences(stats: DataFrame, entity: str, template: str = STATS_SENTENCE) -> DataFrame:
-    """One formatted text per entity from ``change_stats`` output."""
-    return stats.select(
-        entity,
+    """``change_stats`` output plus one formatted ``summary`` text per entity
+    (a projection on the same aggregate, no second pass)."""
+    return stats.withColumn(
+        "summary",
         F.format_string(
             template,
             F.col(entity).cast("string"),
@@ -155,5 +156,5 @@ def stats_sentences(stats: DataFrame, entity: str, template: str = STATS_SENTENC
             "volatility",
             "max_gain",
             "max_loss",
-        ).alias("summary"),
+        ),
     )

@@ -105,9 +105,8 @@ def q_treemap_rollup(spark, sf_dir):
 
 
 def q_entity_change_stats(spark, sf_dir):
-    stats = profile.change_stats(perf_a(spark, sf_dir), "entity")
-    sentences = profile.stats_sentences(stats, "entity")
-    return stats.join(sentences, "entity").select(
+    stats = profile.stats_sentences(profile.change_stats(perf_a(spark, sf_dir), "entity"), "entity")
+    return stats.select(
         "entity",
         F.round("avg_change", 6).alias("avg_change"),
         F.round("volatility", 6).alias("volatility"),
