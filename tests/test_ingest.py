@@ -114,3 +114,22 @@ def test_raw_landing_replaces_only_rerun_day(spark, tmp_dir):
     land_snapshots(spark.createDataFrame([("c", "2025-01-02")], "result string, ingest_date string"), path)
     got = sorted((r[0], str(r[1])) for r in spark.read.json(path).collect())
     assert got == [("a", "2025-01-01"), ("c", "2025-01-02")]
+
+
+def test_has_rows_and_load_time(spark):
+    from tidemark.operators.reshape import with_load_time
+
+    df = spark.range(3)
+    assert ingest.has_rows(df) and not ingest.has_rows(df.where("id < 0"))
+    stamped = with_load_time(df)
+    assert dict(stamped.dtypes)["load_date_src"] == "timestamp_ntz"
+    assert stamped.select("load_date_src").distinct().count() == 1
+
+
+def test_materialize_cuts_lineage(spark):
+    from tidemark.session import materialize
+
+    df = spark.range(10).withColumn("x", F.col("id") * 2)
+    m = materialize(df)
+    assert m.count() == 10
+    assert "Project" not in m._jdf.queryExecution().optimizedPlan().toString()

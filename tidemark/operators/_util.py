@@ -2,37 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast without further thought.  The side is counted
-# first (an aggregate action); above the bound the join stays a shuffle join
-# and AQE may still pick a broadcast or split skewed partitions at runtime.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast-hint ``df`` only when its counted size is within ``max_rows``."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def join_null_safe(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
-) -> DataFrame:
-    """Equi-join on ``keys`` where NULL matches NULL; keeps one copy of the keys."""
-    r_alias = {k: f"__r_{k}" for k in keys}
-    r = right
-    for k, a in r_alias.items():
-        r = r.withColumnRenamed(k, a)
-    cond = None
-    for k, a in r_alias.items():
-        c = left[k].eqNullSafe(r[a])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*r_alias.values())
-
 
 def entity_key(col: str) -> F.Column:
     """Never-NULL grouping/join key for a possibly NULL column:

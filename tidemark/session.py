@@ -84,16 +84,10 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for os-level checks in tests."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 __all__ = [
     "BASE_CONF",
     "get_session",
     "checkpoint_dir",
     "scratch_path",
     "materialize",
-    "local_path",
 ]
