@@ -101,3 +101,25 @@ def test_window_plan_single_exchange(spark):
     df = frame(spark, [("A", day(i), D(i + 1)) for i in range(10)])
     plan = performance(df, "entity", "ts", "value")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_indexed_fast_path_without_nulls(spark, seed):
+    from tidemark.operators.series import _performance_indexed
+
+    df = frame(spark, _random_rows(seed, with_nulls=False))
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
+                             {"weekly": 7, "monthly": 30}, (), 2, 16, value_has_nulls=False)
+    assert rows_of(a) == rows_of(b)
+
+
+def test_auto_uses_stats(spark):
+    from tidemark.operators.series import series_stats
+
+    df = frame(spark, _random_rows(4))
+    longest, nulls = series_stats(df, "entity", "value")
+    assert longest == 300 and nulls > 0
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = performance(df, "entity", "ts", "value", strategy="auto", hot_series_rows=100, rows_per_bucket=16)
+    assert rows_of(a) == rows_of(b)

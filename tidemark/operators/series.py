@@ -65,22 +65,33 @@ def performance(
     ``order_extra`` breaks ties of ``time`` inside an entity (the original
     leaves such ties unordered).
     """
+    value_has_nulls = True
     if strategy == "auto":
-        strategy = choose_strategy(df, entity, hot_series_rows)
+        longest, nulls = series_stats(df, entity, value)
+        strategy = "indexed" if longest > hot_series_rows else "window"
+        value_has_nulls = nulls > 0
     if strategy == "window":
         return _performance_window(df, entity, time, value, first_lag, lags, order_extra, digits)
     if strategy == "indexed":
         return _performance_indexed(
-            df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket
+            df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket,
+            value_has_nulls,
         )
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def choose_strategy(df: DataFrame, entity: str, hot_series_rows: int = HOT_SERIES_ROWS) -> str:
-    """'indexed' when some entity has more than ``hot_series_rows`` rows.
+def series_stats(df: DataFrame, entity: str, value: str) -> tuple[int, int]:
+    """(longest series length, number of NULL values): one partial+final
+    aggregate over two columns; a single small row reaches the driver."""
+    per_entity = df.groupBy(entity).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(value).isNull()).alias("nulls")
+    )
+    row = per_entity.agg(F.max("n").alias("m"), F.sum("nulls").alias("z")).first()
+    return int(row["m"] or 0), int(row["z"] or 0)
 
-    One partial+final aggregate over the entity column only (column-pruned).
-    """
+
+def choose_strategy(df: DataFrame, entity: str, hot_series_rows: int = HOT_SERIES_ROWS) -> str:
+    """'indexed' when some entity has more than ``hot_series_rows`` rows."""
     longest = df.groupBy(entity).count().agg(F.max("count").alias("m")).first()["m"]
     return "indexed" if (longest or 0) > hot_series_rows else "window"
 
@@ -229,23 +240,47 @@ def _gather(keyed, key, position_col, fields, ks):
     return keyed.join(pivot, [key, position_col], "left")
 
 
-def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket):
+def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits,
+                         rows_per_bucket, value_has_nulls=True):
     label, k1 = first_lag
     keyed = df.withColumn("_ek", entity_key(entity))
+    if not value_has_nulls:
+        out = _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, rows_per_bucket)
+    else:
+        out = _indexed_general(keyed, time, value, k1, lags, order_extra, rows_per_bucket)
+    out = out.withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
+    for name, k in lags.items():
+        out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
+    cols = [c for c in df.columns] + ["prev_value", f"{label}_change_pct"]
+    cols += [lag_value_col(k) for k in lags.values()] + [f"{n}_change_pct" for n in lags]
+    return out.select(*dict.fromkeys(cols))
+
+
+def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, rows_per_bucket):
+    """No NULL values: exactly the first k1 rows of each entity are dropped,
+    so the row k positions back in the filtered frame is the row k positions
+    back in the full series, if that one was kept (position > k1).  All lags
+    come from ONE gather: two full-width shuffles in total."""
+    pos = _positions(keyed, "_ek", time, order_extra, "_pos", rows_per_bucket, None)
+    ks = sorted({k1, *lags.values()})
+    g = _gather(pos, "_ek", "_pos", {"_lag": value}, ks)
+    out = g.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
+    for k in lags.values():
+        kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
+        out = out.withColumn(lag_value_col(k), F.when(kept_before, F.col(f"_lag_{k}")))
+    return out
+
+
+def _indexed_general(keyed, time, value, k1, lags, order_extra, rows_per_bucket):
     pos = _positions(keyed, "_ek", time, order_extra, "_pos", rows_per_bucket, nulls_of=value)
     first = _gather(pos, "_ek", "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
-    kept = (
-        first.withColumnRenamed(f"_prev_{k1}", "prev_value")
-        .withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
-        .where(F.col("prev_value").isNotNull())
+    kept = first.withColumnRenamed(f"_prev_{k1}", "prev_value").where(
+        F.col("prev_value").isNotNull()
     )
     # Position inside the filtered frame: row i is kept iff the value at
     # i - k1 is not NULL, so its new position is (i - k1) minus the NULL
     # values at positions <= i - k1.  No second ranking pass is needed.
-    kept = kept.withColumn(
-        "_pos", F.col("_pos") - F.lit(k1) - F.col(f"_prevnulls_{k1}")
-    ).drop(f"_prevnulls_{k1}", "_nulls")
-    out = _gather(kept, "_ek", "_pos", {"value_lag": value}, list(lags.values())) if lags else kept
-    for name, k in lags.items():
-        out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
-    return out.drop("_pos", "_ek")
+    kept = kept.withColumn("_pos", F.col("_pos") - F.lit(k1) - F.col(f"_prevnulls_{k1}"))
+    if not lags:
+        return kept
+    return _gather(kept, "_ek", "_pos", {"value_lag": value}, list(lags.values()))
