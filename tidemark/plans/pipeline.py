@@ -14,3 +14,16 @@ def run_pipeline(spark: SparkSession, raw_path: str, silver_path: str, gold_path
     silver and rewrites gold with the same content."""
     run_silver(spark, raw_path, silver_path, multiline)
     return run_gold(spark, silver_path, gold_path, strategy, **gold_kw)
+
+
+def run_pipeline_streaming(spark: SparkSession, raw_path: str, silver_path: str, gold_path: str,
+                           checkpoint: str, multiline: bool = True, strategy: str = "auto",
+                           max_files_per_trigger: int | None = None,
+                           **gold_kw) -> dict[str, DataFrame]:
+    """The hourly run with the file stream as the silver step: only files not
+    yet seen by the checkpoint are read (``availableNow``), then gold is
+    recomputed in batch (row lags have no streaming form)."""
+    from tidemark.streaming.ingest import stream_silver
+
+    stream_silver(spark, raw_path, silver_path, checkpoint, multiline, max_files_per_trigger)
+    return run_gold(spark, silver_path, gold_path, strategy, **gold_kw)
