@@ -133,11 +133,12 @@ def q_overwrite_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-def _landed(spark, sf_dir, redeliver: bool = False) -> str:
-    """Land series-A snapshots as raw JSON by ingest date, then run the
-    landing again from the landed files (the re-run replaces the same days).
-    ``redeliver`` also lands every snapshot again under the following day, as
-    a repeated delivery."""
+def _landed(spark, sf_dir, rerun: bool = True, redeliver: bool = False) -> str:
+    """Land series-A snapshots as raw JSON by ingest date.
+
+    ``rerun``: run the landing again from the landed files (the re-run
+    replaces the same days).  ``redeliver``: land every snapshot again under
+    the following day, as a repeated delivery."""
     from pyspark.sql import types as T
 
     from tidemark.sources.snapshots import RAW_SCHEMA
@@ -145,12 +146,14 @@ def _landed(spark, sf_dir, redeliver: bool = False) -> str:
     landed_schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("ingest_date", T.DateType())])
     path = scratch_path(spark, "raw")
     land_snapshots(snapshot_payloads(supplier_month_series(spark, sf_dir)), path)
-    again = spark.read.schema(landed_schema).json(path)
-    rerun = scratch_path(spark, "raw")
-    land_snapshots(again, rerun)          # a second landing of the same days
-    land_snapshots(spark.read.schema(again.schema).json(rerun), path)
+    if not (rerun or redeliver):
+        return path
+    copy = scratch_path(spark, "raw")
+    land_snapshots(spark.read.schema(landed_schema).json(path), copy)
+    if rerun:
+        land_snapshots(spark.read.schema(landed_schema).json(copy), path)
     if redeliver:
-        late = spark.read.schema(again.schema).json(rerun)
+        late = spark.read.schema(landed_schema).json(copy)
         land_snapshots(late.withColumn("ingest_date", F.date_add("ingest_date", 1)), path)
     return path
 
@@ -170,7 +173,7 @@ SILVER_OUT = ["code_exchange_rate", "time_last_update_utc", "exchange_rate", "ha
 def q_stream_ingest(spark, sf_dir):
     from tidemark.streaming.ingest import stream_silver
 
-    raw = _landed(spark, sf_dir, redeliver=True)
+    raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
     silver = scratch_path(spark, "silver")
     stream_silver(spark, raw, silver, scratch_path(spark, "ckpt"), multiline=False,
                   max_files_per_trigger=60)
@@ -180,7 +183,7 @@ def q_stream_ingest(spark, sf_dir):
 def q_stream_dedupe(spark, sf_dir):
     from tidemark.streaming.ingest import stream_silver_dedupe
 
-    raw = _landed(spark, sf_dir, redeliver=True)
+    raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
     silver = scratch_path(spark, "silver")
     stream_silver_dedupe(spark, raw, silver, scratch_path(spark, "ckpt"), multiline=False)
     return spark.read.parquet(silver).select(*SILVER_OUT)
@@ -197,7 +200,7 @@ def _gold_run(spark, sf_dir) -> str:
 
     key = (id(spark), sf_dir)
     if key not in _GOLD_RUNS:
-        raw = _landed(spark, sf_dir, redeliver=True)
+        raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
         silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
         run_pipeline(spark, raw, silver, gold, multiline=False, tiers=A_TIERS, risk=A_RISK)
         _GOLD_RUNS[key] = gold
