@@ -32,14 +32,14 @@ def test_any_order_any_batching_same_silver(spark, seed, n_batches):
     got = spark.read.parquet(sink)
     assert got.count() == 6520
     keys = [c for c in SILVER_COLS if c != "load_date_src"]
-    ref = spark.read.parquet(_reference_silver(spark))
-    assert got.select(*keys).exceptAll(ref.select(*keys)).count() == 0
+    full = spark.read.parquet(_full_backfill_silver(spark))
+    assert got.select(*keys).exceptAll(full.select(*keys)).count() == 0
 
 
 _REF = {}
 
 
-def _reference_silver(spark):
+def _full_backfill_silver(spark):
     if "path" not in _REF:
         import tempfile
 
