@@ -8,7 +8,6 @@ per output.  Table and column names follow the original gold layer.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions.classify import RISK_RULES, TIER_RULES
 from tidemark.operators import movers, profile, series
