@@ -96,12 +96,17 @@ def q_risk_filter(spark, sf_dir):
 
 def q_kpi_summary(spark, sf_dir):
     hm = profile.heatmap(movers_a(spark, sf_dir), "entity", "value", tier=A_TIERS, sort=False)
-    return profile.kpi_summary(hm, "daily_change_pct")
+    # a floating mean's last bits depend on summation order: fix 6 digits
+    return profile.kpi_summary(hm, "daily_change_pct").withColumn(
+        "avg_change", F.round("avg_change", 6)
+    )
 
 
 def q_treemap_rollup(spark, sf_dir):
     hm = profile.heatmap(movers_a(spark, sf_dir), "entity", "value", tier=A_TIERS, sort=False)
-    return profile.rollup_tree(hm, "entity", "value", "daily_change_pct", root_label="ALL")
+    tree = profile.rollup_tree(hm, "entity", "value", "daily_change_pct", root_label="ALL")
+    # floating sums: the exact size has 4 decimals; the colour is a ratio
+    return tree.withColumns({"size": F.round("size", 4), "color": F.round("color", 6)})
 
 
 def q_entity_change_stats(spark, sf_dir):
@@ -219,7 +224,7 @@ FROM movers_a"""),
     "volatility_profile": _with(PERF_A_SQL + VOL_A_SQL, "SELECT * FROM vol_a"),
     "risk_filter": _with(PERF_A_SQL + VOL_A_SQL,
                          "SELECT * FROM vol_a WHERE risk IN ('🔴 Alto', '🟡 Médio')"),
-    "kpi_summary": _with(PERF_A_SQL, """SELECT COUNT(*) AS entities, AVG(daily_change_pct) AS avg_change,
+    "kpi_summary": _with(PERF_A_SQL, """SELECT COUNT(*) AS entities, ROUND(AVG(daily_change_pct), 6) AS avg_change,
        MAX(daily_change_pct) AS max_gain, MIN(daily_change_pct) AS max_loss,
        printf('%.2f%%', AVG(daily_change_pct)) AS avg_change_text,
        printf('%.2f%%', MAX(daily_change_pct)) AS max_gain_text,
@@ -228,9 +233,9 @@ FROM movers_a"""),
     "treemap_rollup": _with(PERF_A_SQL, """SELECT CASE WHEN GROUPING(entity) = 1 THEN 'ALL' ELSE CAST(entity AS VARCHAR) END AS node,
        CASE WHEN GROUPING(entity) = 1 THEN NULL ELSE 'ALL' END AS parent,
        CASE WHEN GROUPING(entity) = 1 THEN 0 ELSE 1 END AS depth,
-       SUM(CAST(value AS DOUBLE)) AS size,
-       SUM(CAST(value AS DOUBLE) * daily_change_pct)
-         / NULLIF(SUM(CASE WHEN daily_change_pct IS NOT NULL THEN CAST(value AS DOUBLE) END), 0) AS color
+       ROUND(SUM(CAST(value AS DOUBLE)), 4) AS size,
+       ROUND(SUM(CAST(value AS DOUBLE) * daily_change_pct)
+         / NULLIF(SUM(CASE WHEN daily_change_pct IS NOT NULL THEN CAST(value AS DOUBLE) END), 0), 6) AS color
 FROM movers_a GROUP BY ROLLUP (entity)"""),
     "entity_change_stats": _with(PERF_A_SQL + """,
 st AS (SELECT entity, AVG(CAST(daily_change_pct AS DOUBLE)) AS avg_change,
