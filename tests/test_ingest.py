@@ -133,3 +133,18 @@ def test_materialize_cuts_lineage(spark):
     m = materialize(df)
     assert m.count() == 10
     assert "Project" not in m._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rfc2822_variants(spark):
+    import datetime as dt
+
+    from tidemark.functions.timeparse import format_rfc2822, parse_rfc2822
+
+    texts = ["Fri, 03 Oct 2025 00:00:01 +0000", "3 Oct 2025 00:00:01 +0000",
+             "Fri, 03 Oct 2025 02:00:01 +0200", "not a date", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(parse_rfc2822("t")).collect()]
+    want = dt.datetime(2025, 10, 3, 0, 0, 1)
+    assert got == [want, want, want, None, None]
+    back = df.select(format_rfc2822(parse_rfc2822("t"))).first()[0]
+    assert back == "Fri, 03 Oct 2025 00:00:01 +0000"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # The RFC-2822 layout "Fri, 03 Oct 2025 00:00:01 +0000".
 # Spark 3+ cannot parse the day-name letter 'E', so the leading "Fri, " is cut
 # off before parsing; the offset ('Z') is honoured.
-RFC2822_BODY = "dd MMM yyyy HH:mm:ss Z"
+RFC2822_BODY = "d MMM yyyy HH:mm:ss Z"
 RFC2822_OUT = "EEE, dd MMM yyyy HH:mm:ss"
 UTC_OFFSET_TEXT = " +0000"
 
