@@ -213,7 +213,7 @@ def _gold_table(spark, sf_dir, name):
     return read_gold(spark, _gold_run(spark, sf_dir), [name], register=False)[name]
 
 
-def q_pipeline_e2e(spark, sf_dir):
+def q_gold_heatmap(spark, sf_dir):
     return _gold_table(spark, sf_dir, "currency_heatmap")
 
 
@@ -298,7 +298,7 @@ SELECT event_id, event_date, hash_diff FROM hashed""",
 FROM lineitem GROUP BY 1, 2""",
         "stream_ingest": SILVER_A_SQL,
         "stream_dedupe": SILVER_A_SQL,
-        "pipeline_e2e": f"""WITH {PERF_A_SQL}
+        "gold_heatmap": f"""WITH {PERF_A_SQL}
 SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, value AS exchange_rate,
        daily_change_pct, weekly_change_pct, monthly_change_pct,
        {A_TIER_CASE} AS performance_tier
@@ -335,7 +335,7 @@ QUERIES = {
     "raw_landing": q_raw_landing,
     "stream_ingest": q_stream_ingest,
     "stream_dedupe": q_stream_dedupe,
-    "pipeline_e2e": q_pipeline_e2e,
+    "gold_heatmap": q_gold_heatmap,
     "gold_top_gainers": q_gold_top_gainers,
     "gold_top_losers": q_gold_top_losers,
     "gold_volatility": q_gold_volatility,
