@@ -136,25 +136,20 @@ def q_overwrite_roundtrip(spark, sf_dir):
 def _landed(spark, sf_dir, rerun: bool = True, redeliver: bool = False) -> str:
     """Land series-A snapshots as raw JSON by ingest date.
 
-    ``rerun``: run the landing again from the landed files (the re-run
-    replaces the same days).  ``redeliver``: land every snapshot again under
-    the following day, as a repeated delivery."""
-    from pyspark.sql import types as T
-
-    from tidemark.sources.snapshots import RAW_SCHEMA
-
-    landed_schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("ingest_date", T.DateType())])
+    ``rerun``: run the landing again (the re-run replaces the same days and
+    leaves the others).  ``redeliver``: every snapshot is delivered a second
+    time under the following day, landed with the first delivery in one
+    write (the two branches share the series' shuffle)."""
     path = scratch_path(spark, "raw")
-    land_snapshots(snapshot_payloads(supplier_month_series(spark, sf_dir)), path)
-    if not (rerun or redeliver):
-        return path
-    copy = scratch_path(spark, "raw")
-    land_snapshots(spark.read.schema(landed_schema).json(path), copy)
-    if rerun:
-        land_snapshots(spark.read.schema(landed_schema).json(copy), path)
+    payloads = snapshot_payloads(supplier_month_series(spark, sf_dir))
+    first = payloads
     if redeliver:
-        late = spark.read.schema(landed_schema).json(copy)
-        land_snapshots(late.withColumn("ingest_date", F.date_add("ingest_date", 1)), path)
+        first = payloads.unionByName(
+            payloads.withColumn("ingest_date", F.date_add("ingest_date", 1))
+        )
+    land_snapshots(first, path)
+    if rerun:
+        land_snapshots(payloads, path)
     return path
 
 
