@@ -133,3 +133,24 @@ def test_entity_filter_reaches_scan_below_windows(spark, tmp_dir, landed):
     assert "PushedFilters: [IsNotNull(code_exchange_rate), EqualTo(code_exchange_rate,1)]" in p
     months = supplier_month_series(spark, SF_SMALL).where(F.col("entity") == 1).count()
     assert hist.count() == months - 1 > 0
+
+
+def test_gold_performance_files_sorted_by_time_and_movers_filter_pushed(spark, tmp_dir, landed):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.operators import movers
+    from tidemark.plans.pipeline import run_pipeline
+
+    raw, _, _ = landed
+    out = run_pipeline(spark, raw, f"{tmp_dir}/silver", f"{tmp_dir}/gold", multiline=False)
+    parts = glob.glob(f"{tmp_dir}/gold/performance.parquet/*.parquet")
+    assert parts
+    for part in parts:
+        ts = pq.read_table(part, columns=["time_last_update_utc"]).column(0).to_pylist()
+        assert ts == sorted(ts, key=lambda t: (t is not None, t))
+    latest = movers.latest_snapshot(out["performance"], "time_last_update_utc")
+    latest.collect()
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(time_last_update_utc,ScalarSubquery" in plan
