@@ -154,3 +154,21 @@ def test_gold_performance_files_sorted_by_time_and_movers_filter_pushed(spark, t
     latest.collect()
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(time_last_update_utc,ScalarSubquery" in plan
+
+
+def test_silver_day_files_clustered_by_entity_and_time(spark, tmp_dir, landed):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.plans.silver import run_silver
+
+    raw, _, expected = landed
+    run_silver(spark, raw, f"{tmp_dir}/silver", multiline=False)
+    parts = glob.glob(f"{tmp_dir}/silver/snapshot_date=*/*.parquet")
+    assert parts
+    for part in parts:
+        t = pq.read_table(part, columns=["code_exchange_rate", "time_last_update_utc"])
+        rows = list(zip(*[c.to_pylist() for c in t.columns]))
+        assert rows == sorted(rows)
+    assert spark.read.parquet(f"{tmp_dir}/silver").count() == expected

@@ -84,14 +84,17 @@ def append_new(
     keys: Sequence[str] = ("hash_diff",),
     partition_col: str | None = None,
     dedupe: bool = True,
+    cluster_by: Sequence[str] = (),
 ) -> None:
     """dropDuplicates -> anti join against the sink -> append.
 
     Replaying a batch is harmless: its keys are already in the sink.  Rows are
     clustered by the partition column before writing so each task writes few
     files; the ``rebalance`` hint lets AQE split a hot date over several
-    tasks instead of one.  Single writer assumed (two concurrent writers could
-    both append).
+    tasks instead of one.  ``cluster_by`` sorts each written file by these
+    columns after the partition column (the writer sorts by the partition
+    column anyway), so equality filters on them skip row groups on read.
+    Single writer assumed (two concurrent writers could both append).
     """
     todo = dedupe_batch(batch, keys) if dedupe else batch
     existing = read_sink(spark, path)
@@ -104,6 +107,9 @@ def append_new(
         out = new_records(todo, existing, keys, partition_col)
         if partition_col is not None:
             out = out.hint("rebalance", partition_col)
+        order = ([partition_col] if partition_col else []) + list(cluster_by)
+        if cluster_by:
+            out = out.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
         write_append(out, path, partition_by=[partition_col] if partition_col else ())
     finally:
         if cached:

@@ -19,6 +19,8 @@ ENTITY, TIME, VALUE = "code_exchange_rate", "time_last_update_utc", "exchange_ra
 HASH_COLS = INDEX_COLS + [ENTITY, VALUE, "type_src", "system_src"]
 SILVER_COLS = INDEX_COLS + [ENTITY, VALUE, "type_src", "system_src", "load_date_src", "hash_diff"]
 PARTITION_COL = "snapshot_date"
+# inside each day file: one entity's rows together, in time order
+CLUSTER_BY = (ENTITY, TIME)
 
 
 def to_silver(raw: DataFrame, load_time: Column | None = None) -> DataFrame:
@@ -54,4 +56,5 @@ def run_silver(spark: SparkSession, raw_path: str | list[str], silver_path: str,
     """One batch job over a file, a folder or a glob of snapshots (backfill
     included): read -> silver -> in-batch dedupe -> anti join -> append."""
     silver = to_silver(read_snapshots(spark, raw_path, multiline))
-    ingest.append_new(spark, silver, silver_path, ["hash_diff"], PARTITION_COL)
+    ingest.append_new(spark, silver, silver_path, ["hash_diff"], PARTITION_COL,
+                      cluster_by=CLUSTER_BY)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timeparse import epoch_micros_ntz
 from tidemark.operators import ingest
-from tidemark.plans.silver import PARTITION_COL, to_silver
+from tidemark.plans.silver import CLUSTER_BY, PARTITION_COL, to_silver
 from tidemark.sources.snapshots import stream_snapshots
 
 
@@ -31,7 +31,8 @@ def stream_silver(
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # append_new keeps the deduplicated batch cached while it is used twice
-        ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL)
+        ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL,
+                          cluster_by=CLUSTER_BY)
 
     w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
