@@ -148,3 +148,49 @@ def test_rfc2822_variants(spark):
     assert got == [want, want, want, None, None]
     back = df.select(format_rfc2822(parse_rfc2822("t"))).first()[0]
     assert back == "Fri, 03 Oct 2025 00:00:01 +0000"
+
+
+def test_sink_read_lists_only_the_batch_days(spark, tmp_dir):
+    import datetime as dt
+
+    sink = f"{tmp_dir}/sink"
+    old = spark.range(0, 500).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("h"),
+        F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("d"),
+    )
+    old.write.partitionBy("d").parquet(sink)
+    days = [dt.date(2025, 1, 3), dt.date(2030, 1, 1)]  # the second is not in the sink
+    got = ingest.read_sink_partitions(spark, sink, "d", days)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan and "d=2025-01-03" in plan
+    assert got.count() == 10 and {r["d"] for r in got.select("d").distinct().collect()} == {days[0]}
+    assert ingest.read_sink_partitions(spark, sink, "d", [dt.date(2030, 1, 1)]) is None
+    assert ingest.read_sink_partitions(spark, f"{tmp_dir}/none", "d", days) is None
+    assert ingest.read_sink_partitions(spark, sink, "d", []) is None
+
+
+def test_sink_read_null_day_and_fallback(spark, tmp_dir):
+    sink = f"{tmp_dir}/sink"
+    rows = [("a", "x y"), ("b", None), ("c", "z")]
+    spark.createDataFrame(rows, "h string, d string").write.partitionBy("d").parquet(sink)
+    # NULL -> the default partition folder, opened by name
+    nul = ingest.read_sink_partitions(spark, sink, "d", [None])
+    assert [r["h"] for r in nul.collect()] == ["b"]
+    # a value with a space is not a plain folder name: root read + filter
+    mixed = ingest.read_sink_partitions(spark, sink, "d", ["x y", None])
+    assert sorted(r["h"] for r in mixed.collect()) == ["a", "b"]
+
+
+def test_append_new_against_many_days(spark, tmp_dir):
+    sink = f"{tmp_dir}/sink"
+    first = spark.range(0, 300).select(
+        F.col("id").cast("string").alias("h"),
+        F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("d"),
+    )
+    ingest.append_new(spark, first, sink, ["h"], "d")
+    again = first.where("id < 40").unionByName(
+        spark.range(1000, 1005).select(F.col("id").cast("string").alias("h"),
+                                       F.lit("2025-01-02").cast("date").alias("d"))
+    )
+    ingest.append_new(spark, again, sink, ["h"], "d")
+    assert spark.read.parquet(sink).count() == 305

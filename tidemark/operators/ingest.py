@@ -2,13 +2,18 @@
 
 At scale the sink is the big side.  It is partitioned by a date column, and
 only the partitions a batch can touch are read: the batch's distinct dates
-(a small list) become an explicit ``IN`` partition filter, because dynamic
-partition pruning does not apply to anti joins.  The key (a SHA-256 digest)
-is uniformly spread, so the anti join shuffles without skew.
+(a small list) name the partition folders to open, so neither the listing
+nor the scan grows with the sink's history (a path-based table opened at its
+root lists every file before any partition filter applies).  Dynamic
+partition pruning does not apply to anti joins, hence the explicit list.
+The key (a SHA-256 digest) is uniformly spread, so the anti join shuffles
+without skew.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -19,6 +24,11 @@ from tidemark.sources.tables import write_append
 
 # Above this many distinct dates in one batch the sink is read unpruned.
 MAX_PRUNE_VALUES = 10_000
+# Up to this many dates the partition folders are opened by name (one glob).
+MAX_FOLDER_VALUES = 1_000
+# Folder name Spark writes for a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+_PLAIN = re.compile(r"^[A-Za-z0-9_.+-]+$")
 
 
 def dedupe_batch(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -32,6 +42,13 @@ def has_rows(df: DataFrame) -> bool:
     return not df.isEmpty()
 
 
+def _missing(e: AnalysisException) -> bool:
+    cond = (e.getCondition() or "") if hasattr(e, "getCondition") else ""
+    text = str(e)
+    return cond in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") or "PATH_NOT_FOUND" in text \
+        or "Unable to infer schema" in text or "UNABLE_TO_INFER_SCHEMA" in text
+
+
 def read_sink(spark: SparkSession, path: str) -> DataFrame | None:
     """The existing sink, or None when it does not exist yet / has no files.
 
@@ -39,20 +56,64 @@ def read_sink(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        cond = (e.getCondition() or "") if hasattr(e, "getCondition") else ""
-        text = str(e)
-        if cond in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA") or "PATH_NOT_FOUND" in text \
-                or "Unable to infer schema" in text or "UNABLE_TO_INFER_SCHEMA" in text:
+        if _missing(e):
             return None
         raise
 
 
-def prune_to_batch(existing: DataFrame, batch: DataFrame, partition_col: str,
-                   max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
-    """Restrict the sink to the partitions present in the batch."""
-    values = [r[0] for r in batch.select(partition_col).distinct().limit(max_values + 1).collect()]
-    if len(values) > max_values:
-        return existing
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """One file-system call (no listing)."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))  # noqa: SLF001
+
+
+def batch_partition_values(batch: DataFrame, partition_col: str,
+                           max_values: int = MAX_PRUNE_VALUES) -> list | None:
+    """The batch's distinct partition values (at most ``max_values``; None
+    when there are more).  One small job; only the values reach the driver."""
+    rows = batch.select(partition_col).distinct().limit(max_values + 1).collect()
+    return None if len(rows) > max_values else [r[0] for r in rows]
+
+
+def _folder_value(v) -> str | None:
+    """Partition folder text of a value, or None when it is not plain."""
+    if v is None:
+        return NULL_PARTITION
+    if isinstance(v, _dt.datetime):
+        return None
+    if isinstance(v, _dt.date):
+        return v.isoformat()
+    text = str(v)
+    return text if _PLAIN.match(text) else None
+
+
+def read_sink_partitions(spark: SparkSession, path: str, partition_col: str,
+                         values: list | None) -> DataFrame | None:
+    """The sink's rows in the given partitions, or None when none of them
+    exists.  The folders are opened by name (``<col>={v1,v2,...}`` below
+    ``basePath``), so only they are listed.  Values that do not map to a
+    plain folder name, or too many values, fall back to the root read with
+    a partition filter."""
+    names = None if values is None else [_folder_value(v) for v in values]
+    if names is None or len(names) > MAX_FOLDER_VALUES or any(n is None for n in names):
+        existing = read_sink(spark, path)
+        if existing is None or values is None:
+            return existing
+        return _where_in(existing, partition_col, values)
+    if not names:
+        return None
+    root = path.rstrip("/")
+    pattern = f"{root}/{partition_col}={{{','.join(sorted(set(names)))}}}"
+    try:
+        return spark.read.option("basePath", root).parquet(pattern)
+    except AnalysisException as e:
+        if _missing(e):
+            return None
+        raise
+
+
+def _where_in(existing: DataFrame, partition_col: str, values: list) -> DataFrame:
     present = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(present) if present else F.lit(False)
     if len(present) < len(values):
@@ -60,6 +121,13 @@ def prune_to_batch(existing: DataFrame, batch: DataFrame, partition_col: str,
     return existing.where(cond)
 
 
+def prune_to_batch(existing: DataFrame, batch: DataFrame, partition_col: str,
+                   max_values: int = MAX_PRUNE_VALUES) -> DataFrame:
+    """Restrict an already opened sink to the partitions present in the batch."""
+    values = batch_partition_values(batch, partition_col, max_values)
+    return existing if values is None else _where_in(existing, partition_col, values)
+
+
 def new_records(
     batch: DataFrame,
     existing: DataFrame | None,
@@ -96,15 +164,23 @@ def append_new(
     column anyway), so equality filters on them skip row groups on read.
     Single writer assumed (two concurrent writers could both append).
     """
+    keys = list(keys)
     todo = dedupe_batch(batch, keys) if dedupe else batch
-    existing = read_sink(spark, path)
-    cached = existing is not None and partition_col is not None
+    cached = partition_col is not None and path_exists(spark, path)
     if cached:
-        # used twice (its days prune the sink, then it is written): keep it
-        # rather than parse the raw input again; spills to disk if large
+        # used twice (its days name the sink folders to read, then it is
+        # written): keep it rather than parse the raw input again; spills to
+        # disk if large
         todo = todo.persist()
     try:
-        out = new_records(todo, existing, keys, partition_col)
+        if partition_col is None:
+            out = new_records(todo, read_sink(spark, path), keys)
+        elif not cached:
+            out = todo  # no sink yet: everything is new
+        else:
+            values = batch_partition_values(todo, partition_col)
+            old = read_sink_partitions(spark, path, partition_col, values)
+            out = todo if old is None else todo.join(old.select(*keys), keys, "left_anti")
         if partition_col is not None:
             out = out.hint("rebalance", partition_col)
         order = ([partition_col] if partition_col else []) + list(cluster_by)
