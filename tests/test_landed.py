@@ -172,3 +172,19 @@ def test_silver_day_files_clustered_by_entity_and_time(spark, tmp_dir, landed):
         rows = list(zip(*[c.to_pylist() for c in t.columns]))
         assert rows == sorted(rows)
     assert spark.read.parquet(f"{tmp_dir}/silver").count() == expected
+
+
+def test_stream_archives_processed_files(spark, tmp_dir):
+    from tidemark.plans.catalog_io import _landed
+    from tidemark.plans.series_sources import supplier_month_series
+    from tidemark.streaming.ingest import stream_silver
+
+    raw = _landed(spark, SF_SMALL, rerun=False, redeliver=False)
+    n_files = sum(1 for _, _, fs in os.walk(raw) for f in fs if f.endswith(".json"))
+    archive = f"{tmp_dir}/archive"
+    stream_silver(spark, raw, f"{tmp_dir}/silver", f"{tmp_dir}/ckpt", multiline=False,
+                  max_files_per_trigger=25, archive_dir=archive)
+    assert spark.read.parquet(f"{tmp_dir}/silver").count() == supplier_month_series(spark, SF_SMALL).count()
+    left = sum(1 for _, _, fs in os.walk(raw) for f in fs if f.endswith(".json"))
+    moved = sum(1 for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json"))
+    assert moved > 0 and left + moved == n_files

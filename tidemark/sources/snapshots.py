@@ -37,11 +37,20 @@ def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool =
 
 
 def stream_snapshots(spark: SparkSession, path: str, multiline: bool = True,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same scan as a Structured Streaming file source."""
+                     max_files_per_trigger: int | None = None,
+                     archive_dir: str | None = None) -> DataFrame:
+    """The same scan as a Structured Streaming file source.
+
+    A file source lists its whole input folder on every trigger.  With
+    ``archive_dir`` (outside ``path``), files of committed batches are moved
+    there (``cleanSource=archive``), so the folder the stream lists holds only
+    recent, unprocessed files and the listing does not grow with history.
+    """
     r = spark.readStream.schema(RAW_SCHEMA).option("multiLine", multiline)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if archive_dir:
+        r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return r.json(path)
 
 

@@ -19,15 +19,18 @@ def stream_silver(
     multiline: bool = True,
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
+    archive_dir: str | None = None,
 ):
     """File stream -> silver -> foreachBatch(dedupe, anti join, append).
 
     Replay safety: the checkpoint records processed files; a micro-batch that
     is replayed after a failure re-runs the same anti join and appends
     nothing twice.  No watermark, so nothing late is lost.
+    ``archive_dir``: move processed raw files there (see ``stream_snapshots``).
     Returns the finished (available-now) or running query.
     """
-    rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
+    rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger,
+                                      archive_dir))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         # append_new keeps the deduplicated batch cached while it is used twice
