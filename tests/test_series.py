@@ -122,3 +122,25 @@ def test_auto_uses_stats(spark):
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = performance(df, "entity", "ts", "value", strategy="auto", hot_series_rows=100, rows_per_bucket=16)
     assert rows_of(a) == rows_of(b)
+
+
+def test_series_position_and_lagged_values_match_windows(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.series import lagged_values, series_position
+
+    df = frame(spark, _random_rows(7))
+    w = Window.partitionBy("entity").orderBy(F.col("ts").asc_nulls_first())
+    want = df.select(
+        "entity", "ts",
+        F.row_number().over(w).alias("_pos"),
+        F.lag("value", 1).over(w).alias("v_1"),
+        F.lag("value", 3).over(w).alias("v_3"),
+    )
+    pos = series_position(df, "entity", "ts", rows_per_bucket=16)
+    got = lagged_values(pos, "entity", "_pos", {"v": "value"}, [1, 3]).select(
+        "entity", "ts", "_pos", "v_1", "v_3"
+    )
+    key = repr
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
