@@ -13,9 +13,11 @@ Two physical strategies, same result:
                   series fits comfortably in one task.
   * ``indexed`` - for hot entities (one key may hold a large share of all
                   rows).  Each row gets its 1-based position inside its entity
-                  without ever placing a whole entity in one task: rows are cut
-                  into per-entity time buckets of bounded size, positions are
-                  bucket offset + row_number inside the bucket, and lagged
+                  without ever placing a whole entity in one task: Spark's
+                  range partitioner cuts the sort order (entity, time, ...)
+                  into ranges of equal row COUNT (whatever the time
+                  distribution), positions are the range's offset inside the
+                  entity + the row's index inside its sorted range, and lagged
                   values are fetched by an equi-join on (entity, position - k),
                   whose keys spread a hot entity over all partitions.
   * ``auto``    - measures the longest series with one aggregate and picks.
@@ -27,19 +29,24 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions.numeric import pct_change
-from tidemark.functions.timeparse import epoch_micros_ntz
 from tidemark.operators._util import entity_key
+from tidemark.session import materialize
 
 DEFAULT_FIRST_LAG = ("daily", 1)
 DEFAULT_LAGS: Mapping[str, int] = {"weekly": 7, "monthly": 30}
 
 # A series longer than this is treated as hot by ``strategy="auto"``.
 HOT_SERIES_ROWS = 5_000_000
-# Target rows per (entity, time bucket) in the indexed strategy.
+# Target rows per sorted range in the indexed strategy (used when the row
+# count is known: ``auto``, or an explicit ``rows_per_bucket``).
 ROWS_PER_BUCKET = 1_000_000
+# Upper bound on the number of ranges.
+MAX_RANGES = 200_000
+# Row index inside a partition = monotonically_increasing_id & this mask
+# (the partition index sits in the upper 31 bits).
+_INDEX_MASK = (1 << 33) - 1
 
 
 def lag_value_col(k: int) -> str:
@@ -57,37 +64,67 @@ def performance(
     digits: int = 2,
     strategy: str = "window",
     hot_series_rows: int = HOT_SERIES_ROWS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Add ``prev_value``, ``<first>_change_pct``, ``value_lag_<k>`` and
     ``<label>_change_pct`` columns; drop each entity's first row.
 
     ``order_extra`` breaks ties of ``time`` inside an entity (the original
-    leaves such ties unordered).
+    leaves such ties unordered).  ``rows_per_bucket``: target rows per sorted
+    range of the ``indexed`` strategy (default: the session's shuffle
+    partition count decides, raised to keep ranges near ``ROWS_PER_BUCKET``
+    rows when ``auto`` has counted them).
     """
     value_has_nulls = True
+    ranges = None
     if strategy == "auto":
-        longest, nulls = series_stats(df, entity, value)
+        longest, nulls, total = _stats(df, entity, value)
         strategy = "indexed" if longest > hot_series_rows else "window"
         value_has_nulls = nulls > 0
+        ranges = range_count(df.sparkSession, total, rows_per_bucket or ROWS_PER_BUCKET)
     if strategy == "window":
         return _performance_window(df, entity, time, value, first_lag, lags, order_extra, digits)
     if strategy == "indexed":
+        if ranges is None:
+            ranges = _ranges_for(df, rows_per_bucket)
         return _performance_indexed(
-            df, entity, time, value, first_lag, lags, order_extra, digits, rows_per_bucket,
+            df, entity, time, value, first_lag, lags, order_extra, digits, ranges,
             value_has_nulls,
         )
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def series_stats(df: DataFrame, entity: str, value: str) -> tuple[int, int]:
-    """(longest series length, number of NULL values): one partial+final
-    aggregate over two columns; a single small row reaches the driver."""
+def _stats(df: DataFrame, entity: str, value: str) -> tuple[int, int, int]:
     per_entity = df.groupBy(entity).agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col(value).isNull()).alias("nulls")
     )
-    row = per_entity.agg(F.max("n").alias("m"), F.sum("nulls").alias("z")).first()
-    return int(row["m"] or 0), int(row["z"] or 0)
+    row = per_entity.agg(
+        F.max("n").alias("m"), F.sum("nulls").alias("z"), F.sum("n").alias("t")
+    ).first()
+    return int(row["m"] or 0), int(row["z"] or 0), int(row["t"] or 0)
+
+
+def series_stats(df: DataFrame, entity: str, value: str) -> tuple[int, int]:
+    """(longest series length, number of NULL values): one partial+final
+    aggregate over two columns; a single small row reaches the driver."""
+    longest, nulls, _ = _stats(df, entity, value)
+    return longest, nulls
+
+
+def range_count(spark, total_rows: int, rows_per_range: int) -> int:
+    """Number of sorted ranges: the session's shuffle partition count, or
+    more when ranges would exceed ``rows_per_range`` rows."""
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    need = -(-max(total_rows, 1) // max(rows_per_range, 1))
+    return max(1, min(MAX_RANGES, max(base, need)))
+
+
+def _ranges_for(df: DataFrame, rows_per_bucket: int | None) -> int:
+    """Without a target size: the shuffle partition count.  With one: count
+    the rows (one small job) and size the ranges from it."""
+    if rows_per_bucket is None:
+        return range_count(df.sparkSession, 0, 1)
+    return range_count(df.sparkSession, df.count(), rows_per_bucket)
 
 
 def choose_strategy(df: DataFrame, entity: str, hot_series_rows: int = HOT_SERIES_ROWS) -> str:
@@ -117,26 +154,13 @@ def _performance_window(df, entity, time, value, first_lag, lags, order_extra, d
 # --------------------------------------------------------------------------
 # indexed strategy
 # --------------------------------------------------------------------------
-def _order_number(df: DataFrame, time: str) -> F.Column:
-    """Numeric image of the time column, monotone in its order."""
-    dtype = df.schema[time].dataType
-    c = F.col(time)
-    if isinstance(dtype, T.TimestampNTZType):
-        return epoch_micros_ntz(c).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
-
-
 def series_position(
     df: DataFrame,
     entity: str,
     time: str,
     order_extra: Sequence[str] = (),
     position_col: str = "_pos",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
     nulls_of: str | None = None,
 ) -> DataFrame:
     """1-based row position inside each entity (ordered by time, nulls first),
@@ -146,63 +170,67 @@ def series_position(
     one have a NULL ``nulls_of`` value.
     """
     keyed = df.withColumn("_ek", entity_key(entity))
-    out = _positions(keyed, "_ek", time, order_extra, position_col, rows_per_bucket, nulls_of)
+    ranges = _ranges_for(df, rows_per_bucket)
+    out = _positions(keyed, "_ek", time, order_extra, position_col, ranges, nulls_of)
     return out.drop("_ek")
 
 
-def _positions(keyed, key, time, order_extra, position_col, rows_per_bucket, nulls_of):
-    """Plan: per-entity stats (partial aggregate) -> bucket of each row ->
-    per-(entity, bucket) counts (partial aggregate) -> bucket offsets (window
-    over the small count table) -> row_number inside (entity, bucket).
-
-    All group-bys, joins and windows use the same never-NULL key, so the
-    count table, the join and the inner window share one hash partitioning
-    on (key, bucket).  The joins with the small tables are left to AQE, which
-    broadcasts them when their measured size is small and splits skewed
-    partitions otherwise; no action runs here.
+def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
+    """Plan: range exchange on the full sort order -> local sort -> row index
+    inside the sorted range -> per-(entity, range) counts (small table) ->
+    range offsets inside each entity (window over the small table) -> join.
+
+    The range partitioner samples the sort keys, so ranges hold about equal
+    row counts: a hot entity is cut into many ranges whatever its time
+    distribution.  A hash of the whole row ends the sort order, so the order
+    inside a range is total.  The sampled bounds depend on the order in which
+    rows arrive, so the ranged rows are checkpointed once (shared checkpoint
+    folder, survives executor loss) and both the count table and the join
+    read that one result.  The count table has at most one row per entity
+    plus one per range; its join with the rows is keyed by (entity, range),
+    so even a hot entity's rows spread over all partitions (AQE broadcasts
+    the table when it measures small).
     """
-    keyed = keyed.withColumn("_ord", _order_number(keyed, time))
-    isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
-    keyed = keyed.withColumn("_isnull", isnull)
-    stats = keyed.groupBy(key).agg(
-        F.min("_ord").alias("_lo"),
-        F.max("_ord").alias("_hi"),
-        F.count(F.lit(1)).alias("_n"),
-    )
-    stats = stats.withColumn(
-        "_nb", F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(float(rows_per_bucket))))
-    ).withColumn("_width", (F.col("_hi") - F.col("_lo") + F.lit(1.0)) / F.col("_nb"))
-    rows = keyed.join(stats, key, "inner")
-    rows = rows.withColumn(
-        "_bucket",
-        F.when(F.col("_ord").isNull(), F.lit(-1)).otherwise(
-            F.least(
-                F.col("_nb") - F.lit(1),
-                F.floor((F.col("_ord") - F.col("_lo")) / F.col("_width")),
-            ).cast("long")
-        ),
-    ).drop("_lo", "_hi", "_n", "_nb", "_width")
-    counts = rows.groupBy(key, "_bucket").agg(
-        F.count(F.lit(1)).alias("_cnt"), F.sum("_isnull").alias("_ncnt")
+    cols = [F.col(c) for c in keyed.columns]
+    order = [
+        F.col(key).asc(),
+        F.col(time).asc_nulls_first(),
+        *[F.col(c).asc_nulls_first() for c in order_extra],
+        F.col("_tb").asc(),
+    ]
+    rows = (
+        keyed.withColumn("_tb", F.xxhash64(*cols))
+        .repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_rg", F.spark_partition_id())
+        .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
     )
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(
-        Window.unboundedPreceding, -1
+    isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
+    rows = materialize(rows.withColumn("_isnull", isnull))
+    counts = rows.groupBy(key, "_rg").agg(
+        F.min("_ix").alias("_first"),
+        F.count(F.lit(1)).alias("_cnt"),
+        F.sum("_isnull").alias("_ncnt"),
     )
+    before = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         key,
-        "_bucket",
+        "_rg",
+        "_first",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.coalesce(F.sum("_ncnt").over(before), F.lit(0)).alias("_noff"),
     )
-    rows = rows.join(offsets, [key, "_bucket"], "inner")
-    inner = Window.partitionBy(key, "_bucket").orderBy(
-        F.col(time).asc_nulls_first(), *order_extra
+    out = rows.join(offsets, [key, "_rg"], "inner").withColumn(
+        position_col, F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)
     )
-    out = rows.withColumn(position_col, F.col("_off") + F.row_number().over(inner))
     if nulls_of:
-        running = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # running count inside (entity, range); the join's partitioning on
+        # (entity, range) already satisfies this window: a local sort only
+        running = Window.partitionBy(key, "_rg").orderBy("_ix").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
         out = out.withColumn("_nulls", F.col("_noff") + F.sum("_isnull").over(running))
-    return out.drop("_off", "_noff", "_bucket", "_ord", "_isnull")
+    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_off", "_noff")
 
 
 def lagged_values(
@@ -241,13 +269,13 @@ def _gather(keyed, key, position_col, fields, ks):
 
 
 def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits,
-                         rows_per_bucket, value_has_nulls=True):
+                         ranges, value_has_nulls=True):
     label, k1 = first_lag
     keyed = df.withColumn("_ek", entity_key(entity))
     if not value_has_nulls:
-        out = _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, rows_per_bucket)
+        out = _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges)
     else:
-        out = _indexed_general(keyed, time, value, k1, lags, order_extra, rows_per_bucket)
+        out = _indexed_general(keyed, time, value, k1, lags, order_extra, ranges)
     out = out.withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
     for name, k in lags.items():
         out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
@@ -256,12 +284,12 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
     return out.select(*dict.fromkeys(cols))
 
 
-def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, rows_per_bucket):
+def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges):
     """No NULL values: exactly the first k1 rows of each entity are dropped,
     so the row k positions back in the filtered frame is the row k positions
     back in the full series, if that one was kept (position > k1).  All lags
     come from ONE gather: two full-width shuffles in total."""
-    pos = _positions(keyed, "_ek", time, order_extra, "_pos", rows_per_bucket, None)
+    pos = _positions(keyed, "_ek", time, order_extra, "_pos", ranges, None)
     ks = sorted({k1, *lags.values()})
     g = _gather(pos, "_ek", "_pos", {"_lag": value}, ks)
     out = g.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
@@ -271,8 +299,8 @@ def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, rows_per_bucket
     return out
 
 
-def _indexed_general(keyed, time, value, k1, lags, order_extra, rows_per_bucket):
-    pos = _positions(keyed, "_ek", time, order_extra, "_pos", rows_per_bucket, nulls_of=value)
+def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
+    pos = _positions(keyed, "_ek", time, order_extra, "_pos", ranges, nulls_of=value)
     first = _gather(pos, "_ek", "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
     kept = first.withColumnRenamed(f"_prev_{k1}", "prev_value").where(
         F.col("prev_value").isNotNull()
