@@ -188,3 +188,62 @@ def test_stream_archives_processed_files(spark, tmp_dir):
     left = sum(1 for _, _, fs in os.walk(raw) for f in fs if f.endswith(".json"))
     moved = sum(1 for _, _, fs in os.walk(archive) for f in fs if f.endswith(".json"))
     assert moved > 0 and left + moved == n_files
+
+
+def _pretty_files(spark, landed, target, limit=12):
+    """A few landed documents re-written one per file, pretty-printed like the
+    API's own files, named by the dated-path rule."""
+    import datetime as dt
+    import json
+
+    from tidemark.sources.snapshots import dated_snapshot_path
+
+    _, files, _ = landed
+    os.makedirs(target, exist_ok=True)
+    docs = []
+    for path in files:
+        with open(path) as fh:
+            docs += [json.loads(line) for line in fh if line.strip()]
+    docs = sorted(docs, key=lambda d: (d["time_last_update_unix"], sorted(d["conversion_rates"])))
+    out = []
+    for i, doc in enumerate(docs[:limit]):
+        doc.pop("ingest_date", None)
+        name = dated_snapshot_path(target, dt.date(2030, 1, 1) + dt.timedelta(days=i))
+        with open(name, "w") as fh:
+            json.dump(doc, fh, indent=2)
+        out.append(name)
+    return out
+
+
+def test_dated_path_and_multiline_read(spark, tmp_dir, landed):
+    import datetime as dt
+
+    from tidemark.plans.silver import to_silver
+    from tidemark.sources.snapshots import dated_snapshot_path, read_snapshots
+
+    assert dated_snapshot_path("/raw/", dt.date(2025, 10, 3)) == "/raw/exchange_rates_2025-10-03.json"
+    files = _pretty_files(spark, landed, f"{tmp_dir}/pretty")
+    assert os.path.exists(dated_snapshot_path(f"{tmp_dir}/pretty", "2030-01-01"))
+    pretty = read_snapshots(spark, f"{tmp_dir}/pretty/*.json", multiline=True)
+    assert pretty.count() == len(files)
+    assert pretty.where("conversion_rates IS NULL").count() == 0
+    # without multiLine a pretty-printed document is not one record
+    lines = read_snapshots(spark, f"{tmp_dir}/pretty/*.json", multiline=False)
+    assert lines.where("conversion_rates IS NOT NULL").count() == 0
+    assert to_silver(pretty).count() == sum(
+        len(r["conversion_rates"]) for r in pretty.select("conversion_rates").collect()
+    )
+
+
+def test_struct_inferred_read_gives_same_silver(spark, tmp_dir, landed):
+    """Schema inference reads the rates object as a struct; the unnest +
+    unpivot path yields the same silver rows as the map read."""
+    from tidemark.plans.silver import to_silver
+    from tidemark.sources.snapshots import read_snapshots
+
+    _pretty_files(spark, landed, f"{tmp_dir}/pretty")
+    inferred = spark.read.option("multiLine", True).json(f"{tmp_dir}/pretty/*.json")
+    assert dict(inferred.dtypes)["conversion_rates"].startswith("struct")
+    a = _silver_keys(to_silver(inferred))
+    b = _silver_keys(to_silver(read_snapshots(spark, f"{tmp_dir}/pretty/*.json")))
+    assert a.count() > 0 and _same(a, b)
