@@ -54,11 +54,17 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a fresh folder is made and registered.
+    On a cluster the setting names shared storage and is used as is; a
+    cluster session without it is an error (a machine-local folder would not
+    be shared by the executors).  Only a local-mode session without the
+    setting (tests) gets a fresh folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage"
+            )
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     jsc = spark.sparkContext._jsc  # noqa: SLF001 - the public setter lives there
