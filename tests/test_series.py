@@ -180,3 +180,30 @@ def test_indexed_on_shuffled_input_equals_window(spark):
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = performance(df, "entity", "ts", "value", strategy="indexed")
     assert rows_of(a) == rows_of(b)
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 7, 40, 120])
+def test_no_null_range_lags_any_range_count(spark, ranges):
+    """Window lags inside (entity, range) plus gathered edge rows equal the
+    window strategy, from one range up to ranges shorter than the largest lag."""
+    from tidemark.operators.series import _performance_indexed
+
+    df = frame(spark, _random_rows(8, n_entities=6, with_nulls=False))
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
+                             {"weekly": 7, "monthly": 30}, (), 2, ranges, value_has_nulls=False)
+    assert rows_of(a) == rows_of(b)
+
+
+def test_auto_no_nulls_on_shuffled_input(spark):
+    from pyspark.sql import functions as F
+
+    src = spark.range(0, 40_000).select(
+        (F.col("id") % 97).cast("string").alias("entity"),
+        F.date_add(F.lit("2020-01-01").cast("date"), ((F.col("id") * 7919) % 900).cast("int")).alias("ts"),
+        (F.col("id") % 1000 + 1).cast("decimal(20,4)").alias("amount"),
+    )
+    df = src.groupBy("entity", "ts").agg(F.sum("amount").cast("decimal(20,4)").alias("value"))
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = performance(df, "entity", "ts", "value", strategy="auto", hot_series_rows=0)
+    assert rows_of(a) == rows_of(b)

@@ -205,6 +205,38 @@ def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
         .withColumn("_rg", F.spark_partition_id())
         .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
     )
+    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, nulls_of)
+    out = rows.join(offsets, [key, "_rg"], "inner").withColumn(
+        position_col, F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)
+    )
+    if nulls_of:
+        # running count inside (entity, range); the join's partitioning on
+        # (entity, range) already satisfies this window: a local sort only
+        running = Window.partitionBy(key, "_rg").orderBy("_ix").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        out = out.withColumn("_nulls", F.col("_noff") + F.sum("_isnull").over(running))
+    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_off", "_noff", "_cnt")
+
+
+def _ranged(keyed, key, time, order_extra, ranges, nulls_of):
+    """(ranged rows with ``_rg`` range and ``_ix`` index inside it, checkpointed;
+    per-(entity, range) table with ``_first`` index, ``_cnt`` rows, ``_off``
+    rows of the entity in earlier ranges and ``_noff`` NULL values there)."""
+    cols = [F.col(c) for c in keyed.columns]
+    order = [
+        F.col(key).asc(),
+        F.col(time).asc_nulls_first(),
+        *[F.col(c).asc_nulls_first() for c in order_extra],
+        F.col("_tb").asc(),
+    ]
+    rows = (
+        keyed.withColumn("_tb", F.xxhash64(*cols))
+        .repartitionByRange(ranges, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_rg", F.spark_partition_id())
+        .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
+    )
     isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
     rows = materialize(rows.withColumn("_isnull", isnull))
     counts = rows.groupBy(key, "_rg").agg(
@@ -217,20 +249,11 @@ def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
         key,
         "_rg",
         "_first",
+        "_cnt",
         F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
         F.coalesce(F.sum("_ncnt").over(before), F.lit(0)).alias("_noff"),
     )
-    out = rows.join(offsets, [key, "_rg"], "inner").withColumn(
-        position_col, F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)
-    )
-    if nulls_of:
-        # running count inside (entity, range); the join's partitioning on
-        # (entity, range) already satisfies this window: a local sort only
-        running = Window.partitionBy(key, "_rg").orderBy("_ix").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        out = out.withColumn("_nulls", F.col("_noff") + F.sum("_isnull").over(running))
-    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_off", "_noff")
+    return rows, offsets
 
 
 def lagged_values(
@@ -287,16 +310,58 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
 def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges):
     """No NULL values: exactly the first k1 rows of each entity are dropped,
     so the row k positions back in the filtered frame is the row k positions
-    back in the full series, if that one was kept (position > k1).  All lags
-    come from ONE gather: two full-width shuffles in total."""
-    pos = _positions(keyed, "_ek", time, order_extra, "_pos", ranges, None)
+    back in the full series, if that one was kept (position > k1).
+
+    Lags come from a window over (entity, range), which the join with the
+    offset table already partitions: exact for every row whose source lies
+    in its own range.  Only the first K (= largest lag) rows of an entity
+    that continues from an earlier range look further back; their sources
+    are among the last K rows of earlier ranges.  These edge rows (at most
+    2K per range) get their lags from a gather and are joined back, so no
+    full-width shuffle beyond the range exchange and the offsets join runs.
+    """
+    key = "_ek"
     ks = sorted({k1, *lags.values()})
-    g = _gather(pos, "_ek", "_pos", {"_lag": value}, ks)
-    out = g.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
+    kmax = ks[-1]
+    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, None)
+    pos = (F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)).alias("_pos")
+
+    sizes = offsets.groupBy("_rg").agg(F.sum("_cnt").alias("_rsize"))  # one row per range
+    edge = (
+        rows.join(_bounded_broadcast(sizes, ranges), "_rg")
+        .where((F.col("_ix") < F.lit(kmax)) | (F.col("_ix") >= F.col("_rsize") - F.lit(kmax)))
+        .join(offsets, [key, "_rg"])
+        .select(key, "_ix", "_off", pos, F.col(value))
+    )
+    head = (
+        _gather(edge, key, "_pos", {"_lag": value}, ks)
+        .where((F.col("_ix") < F.lit(kmax)) & (F.col("_off") > F.lit(0)))
+        .select(key, "_pos", F.lit(True).alias("_head"), *[F.col(f"_lag_{k}").alias(f"_hl_{k}") for k in ks])
+    )
+
+    main = rows.join(offsets, [key, "_rg"]).withColumn("_pos", pos)
+    w = Window.partitionBy(key, "_rg").orderBy("_ix")
+    main = main.withColumns({f"_wl_{k}": F.lag(value, k).over(w) for k in ks})
+    main = main.join(_bounded_broadcast(head, 2 * kmax * ranges), [key, "_pos"], "left")
+    main = main.withColumns({
+        f"_lag_{k}": F.when(F.col("_head"), F.col(f"_hl_{k}")).otherwise(F.col(f"_wl_{k}"))
+        for k in ks
+    })
+    out = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     for k in lags.values():
         kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
         out = out.withColumn(lag_value_col(k), F.when(kept_before, F.col(f"_lag_{k}")))
-    return out
+    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_cnt", "_off", "_noff", "_head",
+                    *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
+
+
+# A small table is broadcast by hint only when its row count is bounded (by
+# construction) below this; otherwise AQE decides from its measured size.
+BROADCAST_MAX_ROWS = 250_000
+
+
+def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
 
 
 def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
