@@ -207,3 +207,15 @@ def test_auto_no_nulls_on_shuffled_input(spark):
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = performance(df, "entity", "ts", "value", strategy="auto", hot_series_rows=0)
     assert rows_of(a) == rows_of(b)
+
+
+@pytest.mark.parametrize("ranges", [1, 5, 33, 150])
+@pytest.mark.parametrize("seed", [21, 22])
+def test_null_path_any_range_count(spark, ranges, seed):
+    from tidemark.operators.series import _performance_indexed
+
+    df = frame(spark, _random_rows(seed, n_entities=5))
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
+                             {"weekly": 7, "monthly": 30}, (), 2, ranges, value_has_nulls=True)
+    assert rows_of(a) == rows_of(b)

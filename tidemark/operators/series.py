@@ -310,49 +310,120 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
 def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges):
     """No NULL values: exactly the first k1 rows of each entity are dropped,
     so the row k positions back in the filtered frame is the row k positions
-    back in the full series, if that one was kept (position > k1).
-
-    Lags come from a window over (entity, range), which the join with the
-    offset table already partitions: exact for every row whose source lies
-    in its own range.  Only the first K (= largest lag) rows of an entity
-    that continues from an earlier range look further back; their sources
-    are among the last K rows of earlier ranges.  These edge rows (at most
-    2K per range) get their lags from a gather and are joined back, so no
-    full-width shuffle beyond the range exchange and the offsets join runs.
-    """
+    back in the full series, if that one was kept (position > k1)."""
     key = "_ek"
     ks = sorted({k1, *lags.values()})
-    kmax = ks[-1]
-    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, None)
-    pos = (F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)).alias("_pos")
-
-    sizes = offsets.groupBy("_rg").agg(F.sum("_cnt").alias("_rsize"))  # one row per range
-    edge = (
-        rows.join(_bounded_broadcast(sizes, ranges), "_rg")
-        .where((F.col("_ix") < F.lit(kmax)) | (F.col("_ix") >= F.col("_rsize") - F.lit(kmax)))
-        .join(offsets, [key, "_rg"])
-        .select(key, "_ix", "_off", pos, F.col(value))
-    )
-    head = (
-        _gather(edge, key, "_pos", {"_lag": value}, ks)
-        .where((F.col("_ix") < F.lit(kmax)) & (F.col("_off") > F.lit(0)))
-        .select(key, "_pos", F.lit(True).alias("_head"), *[F.col(f"_lag_{k}").alias(f"_hl_{k}") for k in ks])
+    main, edges = _ranged_main(keyed, key, time, order_extra, ranges, None)
+    main = _group_lags(main, key, value, ks, ranges, edges(max(ks)))
+    out = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
+    for k in lags.values():
+        kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
+        out = out.withColumn(lag_value_col(k), F.when(kept_before, F.col(f"_lag_{k}")))
+    return out
+
+
+def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
+    """NULL values allowed: lag k1 over the full series, drop rows without a
+    previous value, then the other lags over the kept rows.  Both steps are
+    window lags inside (entity, range) plus edge rows.  The kept rows' index
+    and count inside their group come from the same window partitioning; the
+    group flags of the first step (earlier / later rows of the entity exist)
+    are supersets of the kept rows' flags, which only adds edge rows."""
+    key = "_ek"
+    main, edges = _ranged_main(keyed, key, time, order_extra, ranges, None)
+    main = _group_lags(main, key, value, [k1], ranges, edges(k1))
+    kept = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
+    if not lags:
+        return kept
+    grp = Window.partitionBy(key, "_rg")
+    kept = kept.withColumns({
+        "_li": F.row_number().over(grp.orderBy("_ix")),
+        "_gc": F.count(F.lit(1)).over(grp),
+    })
+    out = _group_lags(kept, key, value, list(lags.values()), ranges)
+    for k in lags.values():
+        out = out.withColumn(lag_value_col(k), F.col(f"_lag_{k}"))
+    return out
+
+
+def _group_table(counts: DataFrame, key: str) -> DataFrame:
+    """Per (entity, range): ``_gc`` rows, ``_off`` rows of the entity in earlier
+    ranges, ``_cont`` (earlier rows exist), ``_next`` (later rows exist).
+    A window over the small table, one row per (entity, range)."""
+    by_key = Window.partitionBy(key).orderBy("_rg")
+    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    off = F.coalesce(F.sum("_gc").over(before), F.lit(0))
+    return counts.select(
+        key, "_rg", "_gc", off.alias("_off"), (off > F.lit(0)).alias("_cont"),
+        F.lead("_rg").over(by_key).isNotNull().alias("_next"),
     )
 
-    main = rows.join(offsets, [key, "_rg"]).withColumn("_pos", pos)
+
+def _ranged_main(keyed, key, time, order_extra, ranges, nulls_of):
+    """Ranged rows joined with their group table: ``_li`` index inside the
+    (entity, range) group, ``_pos`` position inside the entity.  Also returns
+    ``edges(k)``: the first and last k rows of every range with the same
+    columns, taken from the checkpointed rows through a per-range size table
+    (one row per range), so the edge rows need no pass over the joined rows."""
+    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, nulls_of)
+    groups = _group_table(offsets.select(key, "_rg", F.col("_cnt").alias("_gc")), key)
+    table = groups.join(offsets.select(key, "_rg", "_first"), [key, "_rg"])
+
+    def finish(df):
+        df = df.withColumn("_li", F.col("_ix") - F.col("_first") + F.lit(1))
+        return df.withColumn("_pos", F.col("_off") + F.col("_li")).drop("_first", "_tb", "_isnull")
+
+    sizes = offsets.groupBy("_rg").agg(F.sum("_cnt").alias("_rsize"))
+
+    def edges(k: int) -> DataFrame:
+        cand = rows.join(_bounded_broadcast(sizes, ranges), "_rg").where(
+            (F.col("_ix") < F.lit(k)) | (F.col("_ix") >= F.col("_rsize") - F.lit(k))
+        ).drop("_rsize")
+        return finish(cand.join(table, [key, "_rg"]))
+
+    return finish(rows.join(table, [key, "_rg"])), edges
+
+
+def _group_lags(df: DataFrame, key: str, value: str, ks, ranges: int,
+                edge_rows: DataFrame | None = None) -> DataFrame:
+    """``_lag_<k>`` = value k rows back inside the entity, for rows that carry
+    ``_rg``, ``_ix`` (order), ``_li``/``_gc`` (index and size of their
+    (entity, range) group), ``_cont`` and ``_next``.
+
+    A window over (entity, range) is exact whenever the source lies in the
+    row's own group; the frame is already partitioned that way (by the join
+    with the group table), so it costs a local sort.  Only the first K
+    (= largest k) rows of a group with earlier rows look further back, and
+    their sources are among the last K rows of the groups before.  Edge rows
+    = those heads and tails: at most 2K per range, since only a range's first
+    group can continue from, and its last group into, another range.  Among
+    an entity's edge rows in (range, index) order, the k-th previous edge row
+    of a head row is its k-th previous row, so a window over the edge rows
+    (partitioned by entity, bounded by 2K per range) gives the head lags;
+    they are joined back on (entity, range, index), broadcast only under a
+    row-count bound.  ``edge_rows``: a cheaper frame that holds at least the
+    edge rows with the same columns (default: ``df`` itself).
+    """
+    ks = sorted(set(ks))
+    kmax = ks[-1]
     w = Window.partitionBy(key, "_rg").orderBy("_ix")
-    main = main.withColumns({f"_wl_{k}": F.lag(value, k).over(w) for k in ks})
-    main = main.join(_bounded_broadcast(head, 2 * kmax * ranges), [key, "_pos"], "left")
-    main = main.withColumns({
+    is_head = F.col("_cont") & (F.col("_li") <= F.lit(kmax))
+    is_tail = F.col("_next") & (F.col("_li") > F.col("_gc") - F.lit(kmax))
+    we = Window.partitionBy(key).orderBy("_rg", "_ix")
+    head = (
+        (df if edge_rows is None else edge_rows).where(is_head | is_tail)
+        .select(key, "_rg", "_ix", value, is_head.alias("_is_head"))
+        .withColumns({f"_hl_{k}": F.lag(value, k).over(we) for k in ks})
+        .where(F.col("_is_head"))
+        .select(key, "_rg", "_ix", F.lit(True).alias("_head"), *[f"_hl_{k}" for k in ks])
+    )
+    df = df.withColumns({f"_wl_{k}": F.lag(value, k).over(w) for k in ks})
+    df = df.join(_bounded_broadcast(head, kmax * ranges), [key, "_rg", "_ix"], "left")
+    df = df.withColumns({
         f"_lag_{k}": F.when(F.col("_head"), F.col(f"_hl_{k}")).otherwise(F.col(f"_wl_{k}"))
         for k in ks
     })
-    out = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
-    for k in lags.values():
-        kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
-        out = out.withColumn(lag_value_col(k), F.when(kept_before, F.col(f"_lag_{k}")))
-    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_cnt", "_off", "_noff", "_head",
-                    *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
+    return df.drop("_head", *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
 
 
 # A small table is broadcast by hint only when its row count is bounded (by
@@ -362,18 +433,3 @@ BROADCAST_MAX_ROWS = 250_000
 
 def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
-
-
-def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
-    pos = _positions(keyed, "_ek", time, order_extra, "_pos", ranges, nulls_of=value)
-    first = _gather(pos, "_ek", "_pos", {"_prev": value, "_prevnulls": "_nulls"}, [k1])
-    kept = first.withColumnRenamed(f"_prev_{k1}", "prev_value").where(
-        F.col("prev_value").isNotNull()
-    )
-    # Position inside the filtered frame: row i is kept iff the value at
-    # i - k1 is not NULL, so its new position is (i - k1) minus the NULL
-    # values at positions <= i - k1.  No second ranking pass is needed.
-    kept = kept.withColumn("_pos", F.col("_pos") - F.lit(k1) - F.col(f"_prevnulls_{k1}"))
-    if not lags:
-        return kept
-    return _gather(kept, "_ek", "_pos", {"value_lag": value}, list(lags.values()))
