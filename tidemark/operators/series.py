@@ -191,20 +191,6 @@ def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
     so even a hot entity's rows spread over all partitions (AQE broadcasts
     the table when it measures small).
     """
-    cols = [F.col(c) for c in keyed.columns]
-    order = [
-        F.col(key).asc(),
-        F.col(time).asc_nulls_first(),
-        *[F.col(c).asc_nulls_first() for c in order_extra],
-        F.col("_tb").asc(),
-    ]
-    rows = (
-        keyed.withColumn("_tb", F.xxhash64(*cols))
-        .repartitionByRange(ranges, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_rg", F.spark_partition_id())
-        .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
-    )
     rows, offsets = _ranged(keyed, key, time, order_extra, ranges, nulls_of)
     out = rows.join(offsets, [key, "_rg"], "inner").withColumn(
         position_col, F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)
