@@ -194,3 +194,20 @@ def test_append_new_against_many_days(spark, tmp_dir):
     )
     ingest.append_new(spark, again, sink, ["h"], "d")
     assert spark.read.parquet(sink).count() == 305
+
+
+def test_sink_read_honours_streaming_file_sink_log(spark, tmp_dir):
+    import datetime as dt
+
+    sink = f"{tmp_dir}/sink"
+    src = f"{tmp_dir}/src"
+    spark.createDataFrame([("a", "2025-01-01"), ("b", "2025-01-02")], "h string, d string") \
+        .withColumn("d", F.to_date("d")).write.parquet(src)
+    q = (spark.readStream.schema("h string, d date").parquet(src).writeStream.format("parquet")
+         .option("path", sink).option("checkpointLocation", f"{tmp_dir}/ck")
+         .partitionBy("d").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = ingest.read_sink_partitions(spark, sink, "d", [dt.date(2025, 1, 2)])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MetadataLogFileIndex" in plan
+    assert [r["h"] for r in got.collect()] == ["b"]

@@ -93,10 +93,13 @@ def read_sink_partitions(spark: SparkSession, path: str, partition_col: str,
     """The sink's rows in the given partitions, or None when none of them
     exists.  The folders are opened by name (``<col>={v1,v2,...}`` below
     ``basePath``), so only they are listed.  Values that do not map to a
-    plain folder name, or too many values, fall back to the root read with
-    a partition filter."""
+    plain folder name, too many values, or a sink written by a streaming
+    file sink (its ``_spark_metadata`` log, which lists the committed files,
+    is honoured only by the root read) fall back to the root read with a
+    partition filter."""
     names = None if values is None else [_folder_value(v) for v in values]
-    if names is None or len(names) > MAX_FOLDER_VALUES or any(n is None for n in names):
+    if (names is None or len(names) > MAX_FOLDER_VALUES or any(n is None for n in names)
+            or path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")):
         existing = read_sink(spark, path)
         if existing is None or values is None:
             return existing
