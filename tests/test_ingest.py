@@ -211,3 +211,13 @@ def test_sink_read_honours_streaming_file_sink_log(spark, tmp_dir):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "MetadataLogFileIndex" in plan
     assert [r["h"] for r in got.collect()] == ["b"]
+
+
+def test_sink_read_root_with_glob_characters(spark, tmp_dir):
+    import datetime as dt
+
+    sink = f"{tmp_dir}/odd[1]{{x}}"
+    spark.createDataFrame([("a", "2025-01-01"), ("b", "2025-01-02")], "h string, d string") \
+        .withColumn("d", F.to_date("d")).write.partitionBy("d").parquet(sink)
+    got = ingest.read_sink_partitions(spark, sink, "d", [dt.date(2025, 1, 2)])
+    assert [r["h"] for r in got.collect()] == ["b"]

@@ -107,7 +107,7 @@ def read_sink_partitions(spark: SparkSession, path: str, partition_col: str,
     if not names:
         return None
     root = path.rstrip("/")
-    pattern = f"{root}/{partition_col}={{{','.join(sorted(set(names)))}}}"
+    pattern = f"{_glob_escape(root)}/{partition_col}={{{','.join(sorted(set(names)))}}}"
     try:
         return spark.read.option("basePath", root).parquet(pattern)
     except AnalysisException as e:
@@ -116,6 +116,11 @@ def read_sink_partitions(spark: SparkSession, path: str, partition_col: str,
         raise
 
 
+def _glob_escape(path: str) -> str:
+    """Escape Hadoop glob metacharacters so the root is matched literally."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def _where_in(existing: DataFrame, partition_col: str, values: list) -> DataFrame:
     present = [v for v in values if v is not None]
     cond = F.col(partition_col).isin(present) if present else F.lit(False)
