@@ -1,0 +1,59 @@
+"""Properties of the ranked lists and per-entity profiles on a frame derived
+from the driver tables (series A performance frame, sf0.001)."""
+
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def perf(spark):
+    from tidemark.plans.catalog import perf_a
+
+    df = perf_a(spark, SF_SMALL).cache()
+    rows = [r.asDict() for r in df.collect()]
+    return df, rows
+
+
+def _brute_top(rows, by, k, descending):
+    # NULLs first in both directions, ties by entity ascending
+    def key(r):
+        v = r[by]
+        if v is None:
+            return (0, 0.0, r["entity"])
+        return (1, -v if descending else v, r["entity"])
+
+    return sorted(rows, key=key)[:k]
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(k=st.integers(1, 60), descending=st.booleans(),
+       by=st.sampled_from(["daily_change_pct", "weekly_change_pct", "monthly_change_pct"]))
+def test_top_k_matches_brute_force_and_ranks_have_no_gaps(perf, k, descending, by):
+    from tidemark.operators.movers import top_k
+
+    df, rows = perf
+    got = top_k(df, by, k, descending, ["entity", "ts"], "rank", ["entity", "ts", by]).collect()
+    ranks = sorted(r["rank"] for r in got)
+    assert ranks == list(range(1, min(k, len(rows)) + 1))
+    want = _brute_top(rows, by, len(rows), descending)
+    # equal (metric, entity) keys may differ in ts: compare the metric/entity sequence
+    got_seq = [(r[by], r["entity"]) for r in sorted(got, key=lambda r: r["rank"])]
+    assert got_seq == [(r[by], r["entity"]) for r in want[: len(got)]]
+
+
+def test_volatility_one_row_per_entity(perf):
+    from tidemark.operators.profile import volatility_profile
+
+    df, rows = perf
+    vol = volatility_profile(df, "entity").collect()
+    counts = Counter(r["entity"] for r in rows)
+    assert len(vol) == len(counts)
+    assert {r["entity"]: r["rows_tracked"] for r in vol} == dict(counts)
+    for r in vol:
+        if counts[r["entity"]] == 1:
+            assert r["volatility"] is None and r["risk"] == "🟢 Baixo"
