@@ -321,6 +321,9 @@ def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
     kept = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     if not lags:
         return kept
+    # the second step reads the kept rows twice (edge rows, join back):
+    # written once instead of running the first step twice
+    kept = materialize(kept)
     grp = Window.partitionBy(key, "_rg")
     kept = kept.withColumns({
         "_li": F.row_number().over(grp.orderBy("_ix")),
