@@ -219,3 +219,32 @@ def test_null_path_any_range_count(spark, ranges, seed):
     b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
                              {"weekly": 7, "monthly": 30}, (), 2, ranges, value_has_nulls=True)
     assert rows_of(a) == rows_of(b)
+
+
+def test_identical_rows_of_a_hot_entity_spread_over_ranges(spark):
+    """A third of all rows equal in every column (one entity, one time, one
+    value): ranges still hold about equal counts, positions stay exact."""
+    from decimal import Decimal as D
+
+    from pyspark.sql import functions as F
+
+    from tidemark.operators._util import entity_key
+    from tidemark.operators.series import _ranged
+
+    rows = [("hot", day(0), D(5))] * 600
+    rows += [(f"e{e}", day(d), D(d + 1)) for e in range(20) for d in range(60)]
+    df = frame(spark, rows)
+    keyed = df.withColumn("_ek", entity_key("entity"))
+    ranged, _ = _ranged(keyed, "_ek", "ts", (), 12, None)
+    sizes = [r["count"] for r in ranged.groupBy("_rg").count().collect()]
+    assert max(sizes) <= 2 * (len(rows) / 12)
+    hot = ranged.where(F.col("entity") == "hot").select("_rg").distinct().count()
+    assert hot >= 3
+    a = performance(df.where(F.col("entity") != "hot"), "entity", "ts", "value", strategy="window")
+    b = performance(df, "entity", "ts", "value", strategy="indexed").where(F.col("entity") != "hot")
+    assert rows_of(a) == rows_of(b)
+    # the hot entity: every row but the first is kept, all lags equal the value
+    h = performance(df, "entity", "ts", "value", strategy="indexed").where(F.col("entity") == "hot")
+    assert h.count() == 599
+    assert h.where("prev_value = 5 AND daily_change_pct = 0").count() == 599
+    assert h.where("value_lag_30 IS NULL").count() == 30

@@ -182,8 +182,9 @@ def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
 
     The range partitioner samples the sort keys, so ranges hold about equal
     row counts: a hot entity is cut into many ranges whatever its time
-    distribution.  A hash of the whole row ends the sort order, so the order
-    inside a range is total.  The sampled bounds depend on the order in which
+    distribution.  A hash of the whole row and a row id end the sort order,
+    so the order inside a range is total and even rows equal in every column
+    can be split between ranges.  The sampled bounds depend on the order in which
     rows arrive, so the ranged rows are checkpointed once (shared checkpoint
     folder, survives executor loss) and both the count table and the join
     read that one result.  The count table has at most one row per entity
@@ -215,16 +216,19 @@ def _ranged(keyed, key, time, order_extra, ranges, nulls_of):
         F.col(time).asc_nulls_first(),
         *[F.col(c).asc_nulls_first() for c in order_extra],
         F.col("_tb").asc(),
+        F.col("_uid").asc(),
     ]
     rows = (
-        keyed.withColumn("_tb", F.xxhash64(*cols))
+        # _tb orders ties of (entity, time, extras) by content; _uid splits
+        # rows that are equal in every column, so even those spread over ranges
+        keyed.withColumns({"_tb": F.xxhash64(*cols), "_uid": F.monotonically_increasing_id()})
         .repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
         .withColumn("_rg", F.spark_partition_id())
         .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
     )
     isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
-    rows = materialize(rows.withColumn("_isnull", isnull))
+    rows = materialize(rows.withColumn("_isnull", isnull).drop("_uid"))
     counts = rows.groupBy(key, "_rg").agg(
         F.min("_ix").alias("_first"),
         F.count(F.lit(1)).alias("_cnt"),
