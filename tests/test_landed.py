@@ -247,3 +247,16 @@ def test_struct_inferred_read_gives_same_silver(spark, tmp_dir, landed):
     a = _silver_keys(to_silver(inferred))
     b = _silver_keys(to_silver(read_snapshots(spark, f"{tmp_dir}/pretty/*.json")))
     assert a.count() > 0 and _same(a, b)
+
+
+def test_stateful_dedupe_files_per_day(spark, tmp_dir, landed):
+    import glob
+
+    from tidemark.streaming.ingest import stream_silver_dedupe
+
+    raw, _, expected = landed
+    stream_silver_dedupe(spark, raw, f"{tmp_dir}/silver", f"{tmp_dir}/ckpt", multiline=False,
+                         files_per_day=2)
+    assert spark.read.parquet(f"{tmp_dir}/silver").count() == expected
+    days = glob.glob(f"{tmp_dir}/silver/snapshot_date=*")
+    assert days and all(len(glob.glob(f"{d}/*.parquet")) <= 2 for d in days)

@@ -53,6 +53,7 @@ def stream_silver_dedupe(
     multiline: bool = True,
     watermark: str | None = None,
     max_files_per_trigger: int | None = None,
+    files_per_day: int | None = None,
 ):
     """Stateful variant: the stream itself drops repeated hashes.
 
@@ -60,6 +61,12 @@ def stream_silver_dedupe(
     With it (``dropDuplicatesWithinWatermark``) state is bounded, but rows
     arriving later than the delay are dropped - use only when the delay
     exceeds any possible disorder.
+
+    The file sink writes one file per task and day (AQE is off in streaming
+    plans).  ``files_per_day`` clusters each micro-batch by (day, salt of the
+    row hash) first: at most that many files per day and micro-batch, and a
+    hot day still spreads over that many writers.  Off by default, since it
+    caps the writers of a one-day micro-batch.
     """
     rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
     if watermark:
@@ -75,6 +82,9 @@ def stream_silver_dedupe(
         )
     else:
         rows = rows.dropDuplicates(["hash_diff"])
+    if files_per_day:
+        salt = F.pmod(F.xxhash64("hash_diff"), F.lit(files_per_day))
+        rows = rows.repartition(F.col(PARTITION_COL), salt)
     q = (
         rows.writeStream.format("parquet")
         .option("path", silver_path)
