@@ -12,15 +12,19 @@ Two physical strategies, same result:
                   Each entity is processed by one task; fine while the longest
                   series fits comfortably in one task.
   * ``indexed`` - for hot entities (one key may hold a large share of all
-                  rows).  Each row gets its 1-based position inside its entity
-                  without ever placing a whole entity in one task: Spark's
-                  range partitioner cuts the sort order (entity, time, ...)
-                  into ranges of equal row COUNT (whatever the time
-                  distribution), positions are the range's offset inside the
-                  entity + the row's index inside its sorted range, and lagged
-                  values are fetched by an equi-join on (entity, position - k),
-                  whose keys spread a hot entity over all partitions.
+                  rows); no task ever holds a whole entity.  Spark's range
+                  partitioner cuts the sort order (entity, time, ...) into
+                  ranges of equal row COUNT (whatever the time distribution);
+                  the ranged rows are checkpointed once.  Lags come from a
+                  window over (entity, range), exact wherever the source row
+                  is in the same range; only the first K rows of an entity
+                  that continues from an earlier range (K = largest lag) take
+                  theirs from a window over the small set of range edge rows.
   * ``auto``    - measures the longest series with one aggregate and picks.
+
+``series_position`` / ``lagged_values`` expose the same building blocks:
+row positions inside each entity, and values k positions back by an
+equi-join on (entity, position), whose keys spread a hot entity.
 """
 
 from __future__ import annotations
