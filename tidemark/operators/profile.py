@@ -12,6 +12,18 @@ from tidemark.functions.numeric import format_pct
 from tidemark.operators._util import sort_key
 
 
+# Scale of the exact decimal mean: changes carry 2 digits, so the cast is
+# exact for them; sums stay far below the 28 integer digits left.
+MEAN_SCALE = 10
+
+
+def exact_mean(x: F.Column) -> F.Column:
+    """Mean in decimal arithmetic (decimal(38, 14) result): independent of the
+    summation order, so it does not change with the partitioning, and a mean
+    that lies exactly on a rounding tie rounds the same way every time."""
+    return F.avg(x.cast(f"decimal(38,{MEAN_SCALE})"))
+
+
 def heatmap(
     movers: DataFrame,
     entity: str,
@@ -60,7 +72,7 @@ def volatility_profile(
     rules, default = risk
     out = perf.groupBy(entity).agg(
         F.round(F.stddev_samp(x), digits).alias(n["volatility"]),
-        F.round(F.avg(x), digits).alias(n["avg_change"]),
+        F.round(exact_mean(x), digits).cast("double").alias(n["avg_change"]),
         F.round(F.max(x), digits).alias(n["max_gain"]),
         F.round(F.min(x), digits).alias(n["max_loss"]),
         F.count(F.lit(1)).alias(n["rows_tracked"]),
@@ -123,10 +135,11 @@ def rollup_tree(
 
 
 def change_stats(perf: DataFrame, entity: str, change: str = "daily_change_pct") -> DataFrame:
-    """Unrounded mean, sample std, max, min of the change per entity."""
+    """Unrounded mean (exact decimal, as double), sample std, max, min of the
+    change per entity."""
     x = F.col(change).cast("double")
     return perf.groupBy(entity).agg(
-        F.avg(x).alias("avg_change"),
+        exact_mean(x).cast("double").alias("avg_change"),
         F.stddev_samp(x).alias("volatility"),
         F.max(x).alias("max_gain"),
         F.min(x).alias("max_loss"),
@@ -146,13 +159,16 @@ STATS_SENTENCE = (
 
 def stats_sentences(stats: DataFrame, entity: str, template: str = STATS_SENTENCE) -> DataFrame:
     """``change_stats`` output plus one formatted ``summary`` text per entity
-    (a projection on the same aggregate, no second pass)."""
+    (a projection on the same aggregate, no second pass).  The mean is shown
+    rounded half-up on its decimal value, so a mean on a tie (x.xx5) prints
+    the same whatever the floating-point path."""
+    mean_2 = F.round(F.col("avg_change").cast(f"decimal(38,{MEAN_SCALE})"), 2).cast("double")
     return stats.withColumn(
         "summary",
         F.format_string(
             template,
             F.col(entity).cast("string"),
-            "avg_change",
+            mean_2,
             "volatility",
             "max_gain",
             "max_loss",

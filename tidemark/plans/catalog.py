@@ -156,6 +156,13 @@ def _pct(cur: str, prev: str) -> str:
             f"/ NULLIF(CAST({prev} AS DOUBLE), 0) * 100, 2)")
 
 
+def _exact_mean(col: str) -> str:
+    """Mean of a 2-digit column as an exact DECIMAL(38,10) (the quotient is
+    computed in double, then cast back, which recovers the exact decimal)."""
+    return (f"CAST(SUM(CAST({col} AS DECIMAL(38,10))) / NULLIF(COUNT({col}), 0) "
+            f"AS DECIMAL(38,10))")
+
+
 PERF_A_SQL = SERIES_A_SQL + f""",
 p1 AS (
   SELECT entity, ts, value, LAG(value, 1) OVER (PARTITION BY entity ORDER BY ts) AS prev_value
@@ -183,7 +190,7 @@ VOL_A_SQL = f""",
 vol0 AS (
   SELECT entity,
          ROUND(STDDEV_SAMP(CAST(daily_change_pct AS DOUBLE)), 2) AS volatility,
-         ROUND(AVG(CAST(daily_change_pct AS DOUBLE)), 2) AS avg_change,
+         CAST(ROUND({_exact_mean('daily_change_pct')}, 2) AS DOUBLE) AS avg_change,
          ROUND(MAX(CAST(daily_change_pct AS DOUBLE)), 2) AS max_gain,
          ROUND(MIN(CAST(daily_change_pct AS DOUBLE)), 2) AS max_loss,
          COUNT(*) AS rows_tracked
@@ -247,14 +254,14 @@ FROM movers_a"""),
        ROUND(SUM(CAST(value AS DOUBLE) * daily_change_pct)
          / NULLIF(SUM(CASE WHEN daily_change_pct IS NOT NULL THEN CAST(value AS DOUBLE) END), 0), 6) AS color
 FROM movers_a GROUP BY ROLLUP (entity)"""),
-    "entity_change_stats": _with(PERF_A_SQL + """,
-st AS (SELECT entity, AVG(CAST(daily_change_pct AS DOUBLE)) AS avg_change,
+    "entity_change_stats": _with(PERF_A_SQL + f""",
+st AS (SELECT entity, CAST({_exact_mean('daily_change_pct')} AS DOUBLE) AS avg_change,
               STDDEV_SAMP(CAST(daily_change_pct AS DOUBLE)) AS volatility,
               MAX(CAST(daily_change_pct AS DOUBLE)) AS max_gain,
               MIN(CAST(daily_change_pct AS DOUBLE)) AS max_loss
        FROM perf_a GROUP BY entity)""", """SELECT entity, ROUND(avg_change, 6) AS avg_change, ROUND(volatility, 6) AS volatility, max_gain, max_loss,
        printf('Analise a moeda %s baseado nos dados dos últimos 30 dias:\n\n- Variação média diária: %.2f%%\n- Volatilidade: %.2f%%\n- Maior alta: %.2f%%\n- Maior queda: %.2f%%\n',
-              CAST(entity AS VARCHAR), avg_change, volatility, max_gain, max_loss) AS summary
+              CAST(entity AS VARCHAR), ROUND(CAST(avg_change AS DECIMAL(38,10)), 2), volatility, max_gain, max_loss) AS summary
 FROM st"""),
     "top5_context": _with(PERF_A_SQL + VOL_A_SQL, TOP5_SQL),
 }
