@@ -89,17 +89,21 @@ def filter_in(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
 
 
 def kpi_summary(df: DataFrame, change: str = "daily_change_pct") -> DataFrame:
-    """One row, one pass: row count, mean/max/min change and '%.2f%%' texts."""
+    """One row, one pass: row count, mean/max/min change and '%.2f%%' texts.
+    The mean is exact (decimal) and its text shows it rounded half-up."""
     x = F.col(change)
     row = df.agg(
         F.count(F.lit(1)).alias("entities"),
-        F.avg(x).alias("avg_change"),
+        exact_mean(x).alias("_mean"),
         F.max(x).alias("max_gain"),
         F.min(x).alias("max_loss"),
     )
     return row.select(
-        "*",
-        format_pct("avg_change").alias("avg_change_text"),
+        "entities",
+        F.col("_mean").cast("double").alias("avg_change"),
+        "max_gain",
+        "max_loss",
+        format_pct(F.round("_mean", 2).cast("double")).alias("avg_change_text"),
         format_pct("max_gain").alias("max_gain_text"),
         format_pct("max_loss").alias("max_loss_text"),
     )

@@ -241,9 +241,10 @@ FROM movers_a"""),
     "volatility_profile": _with(PERF_A_SQL + VOL_A_SQL, "SELECT * FROM vol_a"),
     "risk_filter": _with(PERF_A_SQL + VOL_A_SQL,
                          "SELECT * FROM vol_a WHERE risk IN ('🔴 Alto', '🟡 Médio')"),
-    "kpi_summary": _with(PERF_A_SQL, """SELECT COUNT(*) AS entities, ROUND(AVG(daily_change_pct), 6) AS avg_change,
+    "kpi_summary": _with(PERF_A_SQL, f"""SELECT COUNT(*) AS entities,
+       ROUND(CAST({_exact_mean('daily_change_pct')} AS DOUBLE), 6) AS avg_change,
        MAX(daily_change_pct) AS max_gain, MIN(daily_change_pct) AS max_loss,
-       printf('%.2f%%', AVG(daily_change_pct)) AS avg_change_text,
+       printf('%.2f%%', ROUND({_exact_mean('daily_change_pct')}, 2)) AS avg_change_text,
        printf('%.2f%%', MAX(daily_change_pct)) AS max_gain_text,
        printf('%.2f%%', MIN(daily_change_pct)) AS max_loss_text
 FROM movers_a"""),
