@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.classify import RISK_RULES, TIER_RULES, classify
 from tidemark.functions.numeric import format_pct
@@ -120,12 +121,16 @@ def rollup_tree(
     weighted mean of the colour (rows with NULL colour carry no weight).
 
     ``rollup`` plans as Expand + partial/final aggregate (one shuffle).
+    A decimal size is summed as a decimal (exact, independent of the
+    summation order) and returned as double.
     """
     s = F.col(size).cast("double")
     c = F.col(color).cast("double")
+    exact = isinstance(df.schema[size].dataType, T.DecimalType)
+    total = F.sum(F.col(size)).cast("double") if exact else F.sum(s)
     agg = df.rollup(entity).agg(
         F.grouping_id().alias("level_id"),
-        F.sum(s).alias("size"),
+        total.alias("size"),
         F.try_divide(F.sum(s * c), F.sum(F.when(c.isNotNull(), s))).alias("color"),
     )
     is_root = F.col("level_id") == F.lit(1)

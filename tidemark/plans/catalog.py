@@ -251,7 +251,7 @@ FROM movers_a"""),
     "treemap_rollup": _with(PERF_A_SQL, """SELECT CASE WHEN GROUPING(entity) = 1 THEN 'ALL' ELSE CAST(entity AS VARCHAR) END AS node,
        CASE WHEN GROUPING(entity) = 1 THEN NULL ELSE 'ALL' END AS parent,
        CASE WHEN GROUPING(entity) = 1 THEN 0 ELSE 1 END AS depth,
-       ROUND(SUM(CAST(value AS DOUBLE)), 4) AS size,
+       ROUND(CAST(SUM(value) AS DOUBLE), 4) AS size,
        ROUND(SUM(CAST(value AS DOUBLE) * daily_change_pct)
          / NULLIF(SUM(CASE WHEN daily_change_pct IS NOT NULL THEN CAST(value AS DOUBLE) END), 0), 6) AS color
 FROM movers_a GROUP BY ROLLUP (entity)"""),
