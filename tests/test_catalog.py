@@ -5,9 +5,10 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as E
+from tidemark.plans.catalog import ORACLE_SQL, QUERIES
 from tools.oracle_check import TABLES, rows_of
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -27,7 +28,9 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE_SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
