@@ -212,16 +212,13 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.when(F.col("_wraps"), 2).otherwise(1).alias("_guest"),
     )
     placed = known.withColumn("_guest", F.lit(0)).unionByName(visiting)
-    at = placed.withColumn(
-        "_nth", F.expr("row_number() over (partition by _range, _guest = 2, _id order by _guest, _text)")
+    over = "over (partition by _range order by _guest = 2, _id, _text)"
+    # the rows of an id stand together, the first of them stands for it
+    follow = (
+        placed.withColumn("_first", F.expr(f"not coalesce(lag(_id) {over} = _id, false)"))
+        .withColumn("_next", F.expr(f"lead(if(_first, named_struct('text', _text, 'tree', _tree), null)) ignore nulls {over}"))
+        .where("_guest = 0")
     )
-    follow = at.withColumn(
-        "_next",
-        F.expr(
-            "lead(if(_nth = 1, named_struct('text', _text, 'tree', _tree), null)) ignore nulls "
-            "over (partition by _range order by _guest = 2, _id, _nth)"
-        ),
-    ).where("_guest = 0")
     rows = follow.unionByName(
         base.where(F.col("_id").isNull()).withColumn("_tree", fingerprint(F.col("_text"))), allowMissingColumns=True
     )
