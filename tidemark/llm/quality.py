@@ -135,16 +135,15 @@ def pool(texts: list[str | None], vectors: np.ndarray, slots: _Slots) -> np.ndar
     """One row of FEATURES numbers for each text."""
     words, begins = _words(texts, slots)
     n = np.diff(begins)
-    sums = np.zeros((len(texts), 3 * DIM))
-    owner = np.repeat(np.arange(len(texts)), n)
-    for at in range(0, len(words), BLOCK):
-        v = vectors[words[at : at + BLOCK + 1]]
-        doc = owner[at : at + BLOCK + 1]
-        step = np.zeros_like(v)
-        step[:-1] = np.abs(v[1:] - v[:-1]) * (doc[1:] == doc[:-1])[:, None]
-        v, doc, step = v[:BLOCK], doc[:BLOCK], step[:BLOCK]
-        first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
-        sums[doc[first]] += np.add.reduceat(np.hstack([v, v * v, step]), first, axis=0, dtype=np.float64)
+    sums, ones = np.zeros((len(texts), 3 * DIM)), np.ones(BLOCK, np.float32)
+    for i, (first, end) in enumerate(zip(begins[:-1].tolist(), begins[1:].tolist(), strict=True)):
+        for at in range(first, end, BLOCK):
+            v = vectors[words[at : min(end, at + BLOCK + 1)]]
+            step = np.abs(v[1:] - v[:-1])
+            sums[i, 2 * DIM :] += ones[: len(step)] @ step
+            v = v[:BLOCK]
+            sums[i, :DIM] += ones[: len(v)] @ v
+            sums[i, DIM : 2 * DIM] += ones[: len(v)] @ (v * v)
     mean = sums / np.maximum(n, 1)[:, None]
     spread = np.sqrt(np.maximum(mean[:, DIM : 2 * DIM] - mean[:, :DIM] ** 2, 0))
     return np.hstack(
