@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, langid, merkle, quality, secrets
+from tidemark.llm import bpe, decontam, langid, merkle, quality, secrets
 
-MODULES = (quality, langid, secrets, bpe, merkle)
+MODULES = (quality, langid, decontam, secrets, bpe, merkle)
 
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in getattr(m, "ORACLE_SQL", {}).items()}
