@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontam, jaccard, langid, merkle, quality, secrets
+from tidemark.llm import bpe, decontam, jaccard, langid, lattice, merkle, quality, secrets
 
-MODULES = (quality, langid, decontam, jaccard, secrets, bpe, merkle)
+MODULES = (quality, langid, decontam, jaccard, secrets, bpe, merkle, lattice)
 
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in getattr(m, "ORACLE_SQL", {}).items()}
