@@ -53,8 +53,9 @@ MAX_EDIT = 0.3
 WALKS, TABLES, PLACES, STEPS = 3, 4, 3, 1.5
 #: Items that are sent out at a time.
 ITEM_BLOCK = 20_000
-#: Words searched at a time, and words a task remembers.
-STRETCH, WORD_MEMORY = 1 << 19, 1_000_000
+#: Words searched at a time (their arrays stay in a core's cache), and words a
+#: task remembers.
+STRETCH, WORD_MEMORY = 1 << 16, 1_000_000
 #: What the keys that agree on a place have to weigh before it is verified.  A
 #: copy shares most of its keys; unrelated text shares keys of common words
 #: (those in more than COMMON of the items) by chance, but hardly ever several
@@ -130,17 +131,19 @@ def keys_of(words: np.ndarray, classes: list[int], marks: np.ndarray | None = No
                     wanted.setdefault(j, []).append((c, t, k))
         for j in range(last + 1):
             if j % 64 == 0:
-                bits = np.where(words == 0, np.uint64(0), _mix(words, 1000 + 64 * walk + j // 64))
+                bits = _mix(words, 1000 + 64 * walk + j // 64).view(np.int64)
+                bits[words == 0] = 0
             if j in wanted:
-                here = written[at] if of is None else written[at][of]
+                here = written[at]
                 for c, t, k in wanted[j]:
                     with np.errstate(over="ignore"):
-                        sums[c, t] += here * np.uint64(2 * (7919 * k + 104729 * t) + 1)
+                        part = here * np.uint64(2 * (7919 * k + 104729 * t) + 1)
+                        sums[c, t] += part if of is None else part[of]
                     if marks is not None:
                         told[c, t] += marks[at if of is None else at[of]]
                     if k == len(sampled[c][walk][t]) - 1:
                         yield c, walk, t, sums.pop((c, t)), told.pop((c, t), None)
-            at = at + ((bits[at] >> np.uint64(j % 64)) & np.uint64(1)).astype(np.int64)
+            at = at + (bits[at] >> (j % 64) & 1)
             if j in MERGE_AT and len(at):
                 new = np.r_[True, at[1:] != at[:-1]]
                 group = np.cumsum(new) - 1
