@@ -220,16 +220,19 @@ def round_trip(
     pattern: str,
     key: str = "doc_id",
     text: str = "text",
+    with_ids: bool = False,
 ) -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256): each whole text is encoded
     and its ids are decoded again in the same task, and only the digests of
-    both forms leave it (the ids would be several times the text)."""
+    both forms leave it (the ids would be several times the text), unless
+    ``with_ids`` asks for the column ``ids`` too."""
     schema = T.StructType(
         [
             docs.select(key).schema[0],
             T.StructField("n_tokens", T.LongType(), False),
             T.StructField("ids_sha256", T.StringType(), False),
             T.StructField("decoded_sha256", T.StringType(), False),
+            *[T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)][: int(with_ids)],
         ]
     )
 
@@ -239,15 +242,17 @@ def round_trip(
         decimal = {i: str(i) for i in bpe.bytes}.__getitem__
 
         def step(columns):
-            if columns is None:
-                return
-            n, ids_sha, decoded_sha = [], [], []
-            for s in columns[1]:
-                ids = ids_of(s)
-                n.append(len(ids))
-                ids_sha.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield [columns[0], n, ids_sha, decoded_sha]
+            for at in range(0, len(columns[0]) if columns else 0, ROWS):
+                keys, texts = (c[at : at + ROWS] for c in columns)
+                n, ids_sha, decoded_sha, kept = [], [], [], []
+                for s in texts:
+                    ids = ids_of(s)
+                    n.append(len(ids))
+                    ids_sha.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
+                    decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                    if with_ids:
+                        kept.append(ids)
+                yield [keys, n, ids_sha, decoded_sha, *[kept][: int(with_ids)]]
 
         return step
 

@@ -32,6 +32,24 @@ def fold(key: Column, of: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(of)
 
 
+#: Places of the fixed-size filter over keys.
+PLACES = 1 << 18
+
+
+def split_by_keys(docs: DataFrame, keys: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(elsewhere, there): the rows of ``docs`` whose key surely isn't among
+    ``keys``, and the rows that may have one of them.
+
+    The filter is a table of at most PLACES hash values of keys, so it can be
+    broadcast whatever the number of keys; only the second part has to be
+    shuffled by key, and it gets the larger the more keys there are.
+    """
+    place = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in on]), F.lit(PLACES))
+    places = F.broadcast(written(keys.select(place.alias("_place")).distinct(), "places"))
+    rows = docs.withColumn("_place", place)
+    return rows.join(places, "_place", "left_anti").drop("_place"), rows.join(places, "_place", "left_semi").drop("_place")
+
+
 def map_columns(
     df: DataFrame,
     schema: StructType,

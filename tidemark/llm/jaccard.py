@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_columns, read, written
+from tidemark.llm.common import map_columns, read, split_by_keys, written
 from tidemark.llm.components import components
 
 #: Words of a shingle, and the similarity of a link in hundredths.
@@ -345,6 +345,26 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     )
 
 
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component, all columns as they are: the
+    one with the smallest key (of rows that share it, the smallest digest of
+    the text; of equal rows, any one).  Only rows that may have to go are
+    shuffled."""
+    row = ["_key", "_sum"]
+    rows = docs.withColumns({"_key": F.col(key), "_sum": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    told = join(rows.select(F.struct(*row).alias("_row"), F.col(text).alias("_text")), "_row", "_text", words, percent)
+    verdict = written(
+        told.groupBy("_row").agg((F.first("_row") != F.first("component_id")).alias("_goes"), F.count("*").alias("_n")),
+        "verdict",
+    )
+    doubtful = verdict.where("_goes or _n > 1").select("_row.*", "_goes")
+    clear, some = split_by_keys(rows, doubtful, row)
+    match = F.col("_key").eqNullSafe(F.col("k")) & (F.col("_sum") == F.col("s"))
+    out = doubtful.select(F.col("_key").alias("k"), F.col("_sum").alias("s"), "_goes")
+    some = some.join(out, match, "left").where("not coalesce(_goes, false)")
+    return clear.select(*docs.columns).unionByName(some.dropDuplicates(row).select(*docs.columns))
+
+
 def q_op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of every whole text of ``documents``."""
     return join(read(spark, sf_dir, "documents"))

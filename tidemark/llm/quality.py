@@ -32,6 +32,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -269,6 +270,19 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return map_columns(docs.select(key, text), schema, make)
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are predicted to be of quality, all columns
+    as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def probability(texts: pd.Series) -> pd.Series:
+        x = pool(texts.tolist(), shared.value.vectors, _Slots())
+        return pd.Series(shared.value.network.probability(x), index=texts.index)
+
+    return docs.where(probability(F.col(text)) >= threshold)
+
+
 def held_out(key: Column) -> Column:
     return fold(key, 4) == 2
 

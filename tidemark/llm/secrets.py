@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import read
+from tidemark.llm.common import read, split_by_keys, written
 
 #: Fixed patterns of the base kinds, in report order.
 ASSIGN_NAME = (
@@ -231,6 +231,45 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int =
     )
 
 
+#: What stands for a secret in redacted text.
+MASK = "[secret]"
+
+
+def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, mask: str = MASK) -> DataFrame:
+    """``docs`` with every reported span of ``text`` replaced by ``mask``
+    (overlapping spans by one); all other columns as they are.  Only texts
+    that may hold a secret are shuffled."""
+    of_row = [
+        F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("_id"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_sum"),
+    ]
+    found = written(
+        spans(docs, key, text, window)
+        .groupBy("_id", "_sum")
+        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")),
+        "spans",
+    )
+    rows = docs.withColumns({"_id": of_row[0], "_sum": of_row[1]})
+    clean, some = split_by_keys(rows, found, ["_id", "_sum"])
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    t = F.col(text)
+
+    def cut(done, span):
+        new = span["start"] >= done["at"]
+        kept = F.substring(t, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
+        return F.struct(
+            F.greatest(done["at"], span["end"]).alias("at"),
+            F.when(new, F.concat(done["out"], kept, F.lit(mask))).otherwise(done["out"]).alias("out"),
+        )
+
+    masked = F.aggregate(
+        "_spans", start, cut, lambda done: F.concat(done["out"], F.substring(t, (done["at"] + 1).cast("int"), F.char_length(t)))
+    )
+    some = some.join(found, ["_id", "_sum"], "left")
+    some = some.withColumn(text, F.when(F.col("_spans").isNull(), t).otherwise(masked))
+    return clean.select(*docs.columns).unionByName(some.select(*docs.columns))
+
+
 def q_op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every whole text of ``documents``."""
     return scan(read(spark, sf_dir, "documents"))
