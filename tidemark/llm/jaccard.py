@@ -11,7 +11,10 @@ from the estimated document frequencies it reckons, for each l, the postings
 its prefix would meet, P(l), and takes the l with the least cost
 ``n - o + l + COST * P(l) / l`` - longer prefixes bring more postings, but a
 candidate has to be met l times before it is verified.  A pair has to share
-the smaller l of the two.
+the smaller l of the two, and more: what it shares beyond the shorter-reaching
+prefix lies in that set's other o - l 4-grams, so the shared prefix entries
+plus the greater o - l of the two have to reach the overlap that their sizes
+ask for.  For sets of equal size that is about half of the prefix.
 
 *Frequencies* come from a sketch of 2**20 counters over all documents (counts
 of 4-grams by hash; 4 MB whatever the input).  Any order is correct; the
@@ -19,8 +22,8 @@ sketch only has to put the very frequent last.
 
 *Copies.*  Equal sets are one node (a 64-bit digest of the set), so copies
 meet nothing but partial aggregates.  Near copies are thinned before pairs are
-made: each node is first verified against one partner, the least and the
-greatest node of the 4-gram groups it shares most of; components of those
+made: each node is first verified against two partners, the least and the
+greatest node of the 4-gram groups that make up half of its prefix; components of those
 links close whole groups of near copies with a number of pairs that is linear
 in the group.  Then the complete join runs between *different* components
 only, for two nodes of one component need no further link.  4-grams all of
@@ -44,7 +47,7 @@ import zlib
 
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,7 +178,7 @@ def prefix(sorted_set: np.ndarray, frequency: np.ndarray, partners: np.ndarray,
     n = len(sorted_set)
     need = -(-percent * n // 100)
     bucket = _bucket(sorted_set)
-    order = np.argsort(frequency[bucket], kind="stable")
+    order = np.argsort(frequency[bucket], kind="stable")  # of 16 bits: by radix
     most = min(MOST, need)
     lengths = n - need + np.arange(1, most + 1)
     met = np.cumsum(partners[bucket[order[: lengths[-1]]]])
@@ -191,7 +194,8 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) ->
     usual = float(np.median(sketch))
     # what a bucket holds beyond the usual crowd of 4-grams that are rare
     partners = np.maximum(sketch.astype(np.float64) - usual - 3 * np.sqrt(usual) - 1, 0).astype(np.float32)
-    ranks = np.minimum(sketch, (1 << 31) - 1).astype(np.int32)
+    # counts by rank: 16 bits hold the order of the counts that occur
+    ranks = np.minimum(np.unique(sketch, return_inverse=True)[1].reshape(-1), (1 << 16) - 1).astype(np.uint16)
     shared = docs.sparkSession.sparkContext.broadcast((ranks, partners))
 
     def make():
@@ -279,9 +283,17 @@ def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, words: int, perc
     )
 
 
-def _fits(a: str, b: str, percent: int):
-    """Whether two sizes allow a link at all."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _size(m: str) -> Column:
+    return F.floor(F.col(m) / 8)
+
+
+def _need(m: str, percent: int) -> Column:
+    """Overlap that a set's partners need at least: ceil(percent * n / 100)."""
+    return F.floor((percent * _size(m) + 99) / 100)
+
+
+def _multi(m: str) -> Column:
+    return F.col(m) % 8
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -300,7 +312,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     stars = [
         met.where(F.col("node") != F.col(end))
         .groupBy("node", F.col(end).alias("other"))
-        .agg(F.count("*").alias("c"))
+        .agg(F.count("*").alias("c"), F.first("m").alias("m"))
+        .where(2 * F.col("c") >= _size("m") - _need("m", percent) + _multi("m"))
         .groupBy("node")
         .agg(F.max(F.struct("c", "other")).alias("best"))
         .select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b"))
@@ -320,14 +333,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     rest = written(rest.join(several, "token", "left_semi"), "open")
     a = rest.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "m", "component")])
     b = rest.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "m", "component")])
-    size = lambda m: F.floor(F.col(m) / 8)
+    asked = F.ceil(percent * (_size("m_a") + _size("m_b")) / (100 + percent))
+    beyond = F.greatest(_need("m_a", percent) - _multi("m_a"), _need("m_b", percent) - _multi("m_b"))
     pairs = (
         a.join(b, "token")
         .where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")))
-        .where(100 * F.least(size("m_a"), size("m_b")) >= percent * F.greatest(size("m_a"), size("m_b")))
+        .where(100 * F.least(_size("m_a"), _size("m_b")) >= percent * F.greatest(_size("m_a"), _size("m_b")))
         .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
         .agg(F.count("*").alias("c"), F.first("m_a").alias("m_a"), F.first("m_b").alias("m_b"))
-        .where(F.col("c") >= F.least(F.col("m_a") % 8, F.col("m_b") % 8))
+        .where((F.col("c") >= F.least(_multi("m_a"), _multi("m_b"))) & (F.col("c") + beyond >= asked))
     )
     links = near.unionByName(_linked(pairs, docs, keys, words, percent))
     told = components(links)
@@ -351,8 +365,13 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     the text; of equal rows, any one).  Only rows that may have to go are
     shuffled."""
     row = ["_key", "_sum"]
-    rows = docs.withColumns({"_key": F.col(key), "_sum": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
-    told = join(rows.select(F.struct(*row).alias("_row"), F.col(text).alias("_text")), "_row", "_text", words, percent)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_all"),
+        F.col(key).alias("_key"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_sum"),
+        F.col(text).alias("_text"),
+    )
+    told = join(rows.select(F.struct(*row).alias("_row"), "_text"), "_row", "_text", words, percent)
     verdict = written(
         told.groupBy("_row").agg((F.first("_row") != F.first("component_id")).alias("_goes"), F.count("*").alias("_n")),
         "verdict",
@@ -362,7 +381,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     match = F.col("_key").eqNullSafe(F.col("k")) & (F.col("_sum") == F.col("s"))
     out = doubtful.select(F.col("_key").alias("k"), F.col("_sum").alias("s"), "_goes")
     some = some.join(out, match, "left").where("not coalesce(_goes, false)")
-    return clear.select(*docs.columns).unionByName(some.dropDuplicates(row).select(*docs.columns))
+    return clear.select("_all.*").unionByName(some.dropDuplicates(row).select("_all.*"))
 
 
 def q_op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -239,20 +239,20 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     """``docs`` with every reported span of ``text`` replaced by ``mask``
     (overlapping spans by one); all other columns as they are.  Only texts
     that may hold a secret are shuffled."""
-    of_row = [
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_all"),
         F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("_id"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_sum"),
-    ]
+    )
     found = written(
         spans(docs, key, text, window)
         .groupBy("_id", "_sum")
         .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")),
         "spans",
     )
-    rows = docs.withColumns({"_id": of_row[0], "_sum": of_row[1]})
     clean, some = split_by_keys(rows, found, ["_id", "_sum"])
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    t = F.col(text)
+    t = F.col("_all")[text]
 
     def cut(done, span):
         new = span["start"] >= done["at"]
@@ -266,8 +266,9 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
         "_spans", start, cut, lambda done: F.concat(done["out"], F.substring(t, (done["at"] + 1).cast("int"), F.char_length(t)))
     )
     some = some.join(found, ["_id", "_sum"], "left")
-    some = some.withColumn(text, F.when(F.col("_spans").isNull(), t).otherwise(masked))
-    return clean.select(*docs.columns).unionByName(some.select(*docs.columns))
+    told = F.when(F.col("_spans").isNull(), t).otherwise(masked).alias(text)
+    some = some.select(*[told if c == text else F.col("_all")[c].alias(c) for c in docs.columns])
+    return clean.select("_all.*").unionByName(some)
 
 
 def q_op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
