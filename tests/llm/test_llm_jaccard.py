@@ -1,0 +1,121 @@
+import random
+
+import numpy as np
+from odd import ROWS, check_odd
+
+from tidemark.llm import jaccard as J
+from tidemark.llm.components import components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def grams(text, n=4):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+
+
+def brute(rows, n=4, percent=85):
+    """(doc_id, n_shingles, component) by comparing all pairs."""
+    sets = [grams(r[1], n) for r in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= percent * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, r in enumerate(rows):
+        if r[0] is not None:
+            least[find(i)] = min(least.get(find(i), r[0]), r[0])
+    return sorted(((r[0], len(sets[i]), least.get(find(i))) for i, r in enumerate(rows)), key=repr)
+
+
+def corpus(seed, groups, singles=30):
+    """Copies, near copies around the threshold, chains and shared passages."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the", "of", "and"] * 10
+    text = lambda n: rng.choices(vocabulary, k=n)
+    passage = text(25)
+    out = [text(rng.randint(1, 60)) for _ in range(singles)]
+    for _ in range(groups):
+        w = text(rng.randint(5, 90))
+        for _ in range(rng.randint(2, 9)):
+            out.append(list(w))
+            if rng.random() < 0.7 and w:  # the chain goes on from the changed text
+                w = list(w)
+                for _ in range(rng.randint(1, 2)):
+                    w[rng.randrange(len(w))] = rng.choice(vocabulary)
+    out = [w if rng.random() < 0.7 else w + passage for w in out]
+    rng.shuffle(out)
+    return [(i, " ".join(w), None, None, None) for i, w in enumerate(out)]
+
+
+def test_components_match_brute_force(spark):
+    rows = corpus(1, 40)
+    rows += [(i + 1000, *r[1:]) for i, r in enumerate(rows[:25])]
+    got = J.join(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def test_large_group_of_near_copies(spark):
+    rng = random.Random(4)
+    base = [f"x{i}" for i in range(80)]
+    rows = []
+    for i in range(150):
+        w = list(base)
+        w[rng.randrange(80)] = f"y{rng.randrange(1000)}"
+        rows.append((i, " ".join(w), None, None, None))
+    # and texts that share a passage of it without linking
+    rows += [(200 + i, " ".join(base[:30] + [f"z{i}_{k}" for k in range(20)]), None, None, None) for i in range(40)]
+    got = J.join(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def test_prefixes_of_linked_sets_share_enough():
+    """For random sets, orders and multi-matches the bounds lose no link."""
+    rng = np.random.RandomState(2)
+    frequency = rng.randint(0, 9, J.COUNTERS).astype(np.uint16)
+    expected = rng.rand(J.COUNTERS).astype(np.float32) * rng.choice([0, 1, 50], J.COUNTERS)
+    linked = 0
+    for _ in range(400):
+        n = rng.randint(1, 120)
+        a = np.unique(rng.randint(0, 1 << 62, n).astype(np.uint64) * np.uint64(3))
+        drop = rng.randint(0, max(1, len(a) // 8) + 1)
+        b = np.unique(np.r_[a[drop:], rng.randint(0, 1 << 62, rng.randint(0, max(1, len(a) // 8) + 1)).astype(np.uint64)])
+        both = len(np.intersect1d(a, b))
+        if not both or 100 * both < 85 * (len(a) + len(b) - both):
+            continue
+        linked += 1
+        (pa, la), (pb, lb) = J.prefix(a, frequency, expected), J.prefix(b, frequency, expected)
+        c = len(np.intersect1d(pa, pb))
+        need = [-(-85 * len(x) // 100) for x in (a, b)]
+        asked = -(-85 * (len(a) + len(b)) // 185)
+        assert c >= min(la, lb) and c + max(need[0] - la, need[1] - lb) >= asked
+    assert linked > 100
+
+
+def test_odd_rows(spark):
+    assert check_odd(J.join, spark) == brute(ROWS)
+
+
+def test_one_of_each(spark):
+    rows = [*ROWS, (11, ROWS[0][1].upper(), "en", "z", 1), (11, "Other text of the same id here.", "en", "z", 2)]
+    got = check_odd(lambda df: J.one_of_each(df).select("doc_id", "text"), spark, rows)
+    # of 1, 2, 2 and the first 11 only 1 stays; rows without words all differ
+    # by key or text, and the two null texts count as one text each
+    want = [(1, rows[0][1]), (3, None), (4, ""), (None, rows[5][1]), (None, None), (7, rows[7][1]), (8, rows[8][1]), (9, rows[9][1]),
+            (11, "Other text of the same id here.")]
+    assert got == sorted(want, key=repr)
+
+
+def test_components_of_chains_and_stars(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
+    random.Random(3).shuffle(edges)
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}, 200: 200, 201: 200}

@@ -38,6 +38,7 @@ ENDS = {
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
 
 
@@ -59,7 +60,6 @@ class Page:
 
     def _read(self, s: str) -> None:
         at, n = 0, len(s)
-        lower = None
         closes: dict[str, bool] = {}  # quotes that may still come
         while at < n:
             lt = s.find("<", at)
@@ -108,13 +108,10 @@ class Page:
                 continue
             self._start(tag, s[body:gt])
             if tag in RAW and not s.startswith("/", gt - 1):
-                lower = lower or s.lower()
-                if len(lower) != n:  # a letter whose lower case is longer
-                    lower = s
-                to = lower.find(f"</{tag}", at)
-                at = n if to < 0 else to
-                if to < 0:
+                shut = _RAW_END[tag].search(s, at)
+                if not shut:
                     return
+                at = shut.start()
 
     def _add(self, text: str) -> None:
         if text:
@@ -136,8 +133,8 @@ class Page:
             self._links = 1
         if tag in VOID and tag != "hr":
             return
-        if tag not in BLOCK and tag not in UNSEEN:
-            return  # inline
+        if tag not in BLOCK and tag not in UNSEEN or tag in RAW:
+            return  # inline, or skipped where it stands
         self._flush()
         if tag == "hr":
             return
@@ -167,7 +164,7 @@ class Page:
     def _end(self, tag: str) -> None:
         if tag == "a":
             self._links = 0
-        if tag not in BLOCK and tag not in UNSEEN:
+        if tag not in BLOCK and tag not in UNSEEN or tag in RAW:
             return
         self._flush()
         for k in range(len(self._open) - 1, 0, -1):

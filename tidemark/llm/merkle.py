@@ -215,7 +215,7 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     over = "over (partition by _range order by _guest = 2, _id, _text)"
     # the rows of an id stand together, the first of them stands for it
     follow = (
-        placed.withColumn("_first", F.expr(f"not coalesce(lag(_id) {over} = _id, false)"))
+        placed.withColumn("_first", F.expr(f"not coalesce(lag(_id) {over} = _id and lag(_guest) {over} = _guest, false)"))
         .withColumn("_next", F.expr(f"lead(if(_first, named_struct('text', _text, 'tree', _tree), null)) ignore nulls {over}"))
         .where("_guest = 0")
     )

@@ -144,8 +144,9 @@ def _reported(found: DataFrame, window: int) -> DataFrame:
     doc = ["_id", "_sum"]
     rows = found.where(_valid(F.col("kind"), F.col("word"))).drop("word")
     is_base = F.col("kind").isin(*BASE)
-    by_start = W.partitionBy(*doc).orderBy("start")
-    until, after = by_start.rangeBetween(W.unboundedPreceding, 0), by_start.rangeBetween(0, W.unboundedFollowing)
+    # running frames from either side: a frame that only grows costs a step a row
+    until = W.partitionBy(*doc).orderBy("start").rangeBetween(W.unboundedPreceding, 0)
+    after = W.partitionBy(*doc).orderBy(F.desc("start")).rangeBetween(W.unboundedPreceding, 0)
     placed = (
         rows.withColumn("scope", F.sum(F.when(F.col("kind") == "break", 1).otherwise(0)).over(until))
         .withColumn("base_end", F.max(F.when(is_base, F.col("end"))).over(until))
