@@ -9,12 +9,17 @@ share at least l 4-grams among the first n - o + l of each, for every l.  With
 l = 1 that is the classic prefix filter.  Here each document picks its own l:
 from the estimated document frequencies it reckons, for each l, the postings
 its prefix would meet, P(l), and takes the l with the least cost
-``n - o + l + COST * P(l) / l`` - longer prefixes bring more postings, but a
-candidate has to be met l times before it is verified.  A pair has to share
-the smaller l of the two, and more: what it shares beyond the shorter-reaching
-prefix lies in that set's other o - l 4-grams, so the shared prefix entries
-plus the greater o - l of the two have to reach the overlap that their sizes
-ask for.  For sets of equal size that is about half of the prefix.
+``n - o + l + COST * P(l) / l``.  A longer prefix asks for more: what two sets
+share beyond the shorter-reaching prefix lies in that set's other o - l
+4-grams, so they have to share, among their prefix entries, at least
+T = (overlap that their sizes ask for) - (greater o - l of the two) of them;
+each step of l raises T by one.
+
+*Candidates.*  Entries that no other set has are no use, so each entry knows
+its place i among the h shared entries of its set.  Two sets whose first
+common entry stands at i and j can share no more than min(h - i, h' - j)
+entries; a pair becomes a candidate only at entries where that is T or more.
+Every linked pair is one at its first common entry.
 
 *Frequencies* come from a sketch of 2**20 counters over all documents (counts
 of 4-grams by hash; 4 MB whatever the input).  Any order is correct; the
@@ -22,13 +27,15 @@ sketch only has to put the very frequent last.
 
 *Copies.*  Equal sets are one node (a 64-bit digest of the set), so copies
 meet nothing but partial aggregates.  Near copies are thinned before pairs are
-made: each node is first verified against two partners, the least and the
-greatest node of the 4-gram groups that make up half of its prefix; components of those
-links close whole groups of near copies with a number of pairs that is linear
-in the group.  Then the complete join runs between *different* components
-only, for two nodes of one component need no further link.  4-grams all of
-whose nodes are in one component drop out before it.  No link is lost:
-every pair not joined is connected already.
+made: each node is verified against one partner, a central node: in every
+4-gram's group that is the node whose entries stand in the largest groups, as
+the original of edited copies does, and a node takes the one it shares most
+with, if that is half of its prefix.  Components of those links close whole
+groups of near copies with a number of pairs that is linear in the group.
+Then the complete join runs between *different* components only, for two nodes
+of one component need no further link.  4-grams all of whose nodes are in one
+component drop out before it.  No link is lost: every pair not joined is
+connected already.
 
 *Verification* is exact, by the sets of the nodes that occur in a pair.
 
@@ -48,6 +55,7 @@ import zlib
 import numpy as np
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,8 +66,10 @@ from tidemark.llm.components import components
 WORDS, PERCENT = 4, 85
 #: Counters of the sketch (a power of two) and in how many blocks they travel.
 COUNTERS, BLOCKS, FAN_IN = 1 << 20, 64, 64
-#: The longest multi-match, and what a posting costs against a prefix entry.
+#: The largest l, and what a posting costs against a prefix entry.
 MOST, COST = 4, 2.0
+#: An entry's m: size of the set << 36 | place in the prefix << 4 | l.
+SIZE_BIT, PLACE_BIT = 36, 4
 #: Bits of the fixed-size filter over the keys of nodes in pairs.
 FILTER = 1 << 20
 #: Words and nodes that a task remembers.
@@ -189,7 +199,7 @@ def prefix(sorted_set: np.ndarray, frequency: np.ndarray, partners: np.ndarray,
 
 def _prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
     """(token, node, m): the prefix entries of every node; m packs the size of
-    the set and its multi-match."""
+    the set, the entry's place and l."""
     schema = T.StructType([T.StructField(c, T.LongType(), False) for c in ("token", "node", "m")])
     usual = float(np.median(sketch))
     # what a bucket holds beyond the usual crowd of 4-grams that are rare
@@ -216,13 +226,13 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) ->
                 p, multi = prefix(s, frequency, expected, percent)
                 tokens.append(p)
                 nodes.append(node)
-                ms.append(len(s) * 8 + multi)
+                ms.append((len(s) << SIZE_BIT) + (np.arange(len(p)) << PLACE_BIT) + multi)
                 lengths.append(len(p))
             if tokens:
                 yield [
                     np.concatenate(tokens).view(np.int64),
                     np.repeat(np.array(nodes, np.int64), lengths),
-                    np.repeat(np.array(ms, np.int64), lengths),
+                    np.concatenate(ms),
                 ]
 
         return step
@@ -283,17 +293,18 @@ def _linked(pairs: DataFrame, docs: DataFrame, keys: DataFrame, words: int, perc
     )
 
 
-def _size(m: str) -> Column:
-    return F.floor(F.col(m) / 8)
-
-
-def _need(m: str, percent: int) -> Column:
+def _need(n: str, percent: int) -> Column:
     """Overlap that a set's partners need at least: ceil(percent * n / 100)."""
-    return F.floor((percent * _size(m) + 99) / 100)
+    return F.floor((percent * F.col(n) + 99) / 100)
 
 
-def _multi(m: str) -> Column:
-    return F.col(m) % 8
+def _placed(entries: DataFrame) -> DataFrame:
+    """Entries with h, how many their node has, and i, their place among
+    those; a node has no more than its prefix."""
+    of_node = W.partitionBy("node")
+    return entries.withColumns(
+        {"h": F.count("*").over(of_node), "i": F.row_number().over(of_node.orderBy("pos")) - 1}
+    )
 
 
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -305,43 +316,52 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     keys = members.where("node is not null").groupBy("node").agg(F.min("key").alias("key"))
 
     entries = written(_prefixes(docs, sketch, words, percent), "prefixes")
-    ends = entries.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    met = written(entries.join(ends, "token").select("token", "node", "m", "lo", "hi").distinct(), "met")
-
-    # one partner from the low ends and one from the high ends of its groups
-    stars = [
-        met.where(F.col("node") != F.col(end))
-        .groupBy("node", F.col(end).alias("other"))
-        .agg(F.count("*").alias("c"), F.first("m").alias("m"))
-        .where(2 * F.col("c") >= _size("m") - _need("m", percent) + _multi("m"))
+    shared = entries.groupBy("token").agg(F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("df"))
+    met = entries.join(shared.where("x < y").select("token", "df"), "token").distinct()
+    met = met.select(
+        "token", "node", "df",
+        F.shiftright("m", SIZE_BIT).alias("n"),
+        F.shiftright("m", PLACE_BIT).bitwiseAND((1 << (SIZE_BIT - PLACE_BIT)) - 1).alias("pos"),
+        F.col("m").bitwiseAND((1 << PLACE_BIT) - 1).alias("l"),
+    )
+    met = written(met.withColumn("weight", F.sum("df").over(W.partitionBy("node"))), "met")
+
+    # one central partner for each node
+    centre = met.groupBy("token").agg(F.max(F.struct("weight", "node")).alias("c")).select("token", F.col("c.node").alias("other"))
+    stars = (
+        met.join(centre, "token")
+        .where("node <> other")
+        .groupBy("node", "other")
+        .agg(F.count("*").alias("c"), F.first("n").alias("n"), F.first("l").alias("l"))
+        .where(2 * F.col("c") >= F.col("n") - _need("n", percent) + F.col("l"))
         .groupBy("node")
         .agg(F.max(F.struct("c", "other")).alias("best"))
         .select(F.least("node", "best.other").alias("a"), F.greatest("node", "best.other").alias("b"))
-        for end in ("lo", "hi")
-    ]
-    near = written(_linked(stars[0].union(stars[1]).distinct(), docs, keys, words, percent), "links")
+        .distinct()
+    )
+    near = written(_linked(stars, docs, keys, words, percent), "links")
     told = components(near)
 
     # the complete join between what is not connected yet
-    rest = met.select("token", "node", "m").join(
-        told.select("node", "component"), "node", "left"
-    ).select("token", "node", "m", F.coalesce("component", "node").alias("component"))
+    rest = met.drop("df", "weight").join(told, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rest = written(rest, "open")
     several = (
         rest.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("token")
     )
-    rest = written(rest.join(several, "token", "left_semi"), "open")
-    a = rest.select("token", *[F.col(c).alias(f"{c}_a") for c in ("node", "m", "component")])
-    b = rest.select("token", *[F.col(c).alias(f"{c}_b") for c in ("node", "m", "component")])
-    asked = F.ceil(percent * (_size("m_a") + _size("m_b")) / (100 + percent))
-    beyond = F.greatest(_need("m_a", percent) - _multi("m_a"), _need("m_b", percent) - _multi("m_b"))
+    rest = written(_placed(rest.join(several, "token", "left_semi")), "open")
+    names = ("node", "n", "l", "h", "i", "component")
+    a = rest.select("token", *[F.col(c).alias(f"{c}_a") for c in names])
+    b = rest.select("token", *[F.col(c).alias(f"{c}_b") for c in names])
+    asked = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    beyond = F.greatest(_need("n_a", percent) - F.col("l_a"), _need("n_b", percent) - F.col("l_b"))
+    ahead = F.least(F.col("h_a") - F.col("i_a"), F.col("h_b") - F.col("i_b"))
     pairs = (
         a.join(b, "token")
         .where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")))
-        .where(100 * F.least(_size("m_a"), _size("m_b")) >= percent * F.greatest(_size("m_a"), _size("m_b")))
-        .groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-        .agg(F.count("*").alias("c"), F.first("m_a").alias("m_a"), F.first("m_b").alias("m_b"))
-        .where((F.col("c") >= F.least(_multi("m_a"), _multi("m_b"))) & (F.col("c") + beyond >= asked))
+        .where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        .where(ahead + beyond >= asked)
+        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+        .distinct()
     )
     links = near.unionByName(_linked(pairs, docs, keys, words, percent))
     told = components(links)
