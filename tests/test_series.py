@@ -86,66 +86,60 @@ def test_indexed_equals_window_with_nulls_and_hot_entity(spark, seed):
     assert rows_of(a) == rows_of(b)
 
 
-def test_auto_picks_indexed_for_hot_entity(spark):
-    from tidemark.operators.series import choose_strategy
+@pytest.mark.parametrize("strategy", ["window", "indexed", "auto"])
+def test_tied_times_are_ordered_by_content(spark, strategy):
+    """Three rows for each time and no extra order: every strategy gives the
+    one result that ordering by the other columns gives."""
+    from decimal import Decimal as D
 
-    df = frame(spark, _random_rows(4, with_nulls=False))
-    assert choose_strategy(df, "entity", hot_series_rows=100) == "indexed"
-    assert choose_strategy(df, "entity", hot_series_rows=10_000) == "window"
+    rows = [("A", day(i // 3), D(100 + (i * 37) % 91)) for i in range(30)]
+    want, prev = [], None
+    for _, ts, v in sorted(rows):
+        if prev is not None:
+            want.append((ts, v, prev))
+        prev = v
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        got = performance(frame(spark, rows), "entity", "ts", "value", strategy=strategy, hot_series_rows=0,
+                          rows_per_bucket=4)
+        assert sorted((r["ts"], r["value"], r["prev_value"]) for r in got.collect()) == sorted(want)
+
+
+@pytest.mark.parametrize("with_nulls", [False, True])
+def test_many_small_ranges_and_long_lags(spark, with_nulls):
+    """Groups shorter than the largest lag: heads reach over several ranges."""
+    df = frame(spark, _random_rows(9, with_nulls=with_nulls))
+    a = performance(df, "entity", "ts", "value", strategy="window")
+    b = performance(df, "entity", "ts", "value", strategy="indexed", rows_per_bucket=5)
+    assert rows_of(a) == rows_of(b)
 
 
 def test_window_plan_single_exchange(spark):
     from decimal import Decimal as D
 
     df = frame(spark, [("A", day(i), D(i + 1)) for i in range(10)])
-    plan = performance(df, "entity", "ts", "value")._jdf.queryExecution().executedPlan().toString()
+    plan = performance(df, "entity", "ts", "value", strategy="window")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 1
 
 
 @pytest.mark.parametrize("seed", [5, 6])
-def test_indexed_fast_path_without_nulls(spark, seed):
-    from tidemark.operators.series import _performance_indexed
-
+def test_indexed_without_nulls(spark, seed):
     df = frame(spark, _random_rows(seed, with_nulls=False))
     a = performance(df, "entity", "ts", "value", strategy="window")
-    b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
-                             {"weekly": 7, "monthly": 30}, (), 2, 16, value_has_nulls=False)
+    b = performance(df, "entity", "ts", "value", strategy="indexed", rows_per_bucket=16)
     assert rows_of(a) == rows_of(b)
 
 
 def test_auto_uses_stats(spark):
-    from tidemark.operators.series import series_stats
+    from tidemark.operators.series import _stats
 
     df = frame(spark, _random_rows(4))
-    longest, nulls = series_stats(df, "entity", "value")
-    assert longest == 300 and nulls > 0
+    assert _stats(df, "entity") == (300, df.count())
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = performance(df, "entity", "ts", "value", strategy="auto", hot_series_rows=100, rows_per_bucket=16)
     assert rows_of(a) == rows_of(b)
 
 
-def test_series_position_and_lagged_values_match_windows(spark):
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-
-    from tidemark.operators.series import lagged_values, series_position
-
-    df = frame(spark, _random_rows(7))
-    w = Window.partitionBy("entity").orderBy(F.col("ts").asc_nulls_first())
-    want = df.select(
-        "entity", "ts",
-        F.row_number().over(w).alias("_pos"),
-        F.lag("value", 1).over(w).alias("v_1"),
-        F.lag("value", 3).over(w).alias("v_3"),
-    )
-    pos = series_position(df, "entity", "ts", rows_per_bucket=16)
-    got = lagged_values(pos, "entity", "_pos", {"v": "value"}, [1, 3]).select(
-        "entity", "ts", "_pos", "v_1", "v_3"
-    )
-    key = repr
-    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
-
-
 def test_indexed_hot_entity_crowded_in_time_with_ties(spark):
     """A hot entity whose rows crowd into a few seconds of a long span, with
     exact ties in time broken by an extra column: ranges are cut by row
@@ -184,14 +178,14 @@ def test_indexed_on_shuffled_input_equals_window(spark):
 
 @pytest.mark.parametrize("ranges", [1, 3, 7, 40, 120])
 def test_no_null_range_lags_any_range_count(spark, ranges):
-    """Window lags inside (entity, range) plus gathered edge rows equal the
+    """Window lags inside (entity, range) plus copies of the rows before equal the
     window strategy, from one range up to ranges shorter than the largest lag."""
     from tidemark.operators.series import _performance_indexed
 
     df = frame(spark, _random_rows(8, n_entities=6, with_nulls=False))
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
-                             {"weekly": 7, "monthly": 30}, (), 2, ranges, value_has_nulls=False)
+                             {"weekly": 7, "monthly": 30}, (), 2, ranges)
     assert rows_of(a) == rows_of(b)
 
 
@@ -217,7 +211,7 @@ def test_null_path_any_range_count(spark, ranges, seed):
     df = frame(spark, _random_rows(seed, n_entities=5))
     a = performance(df, "entity", "ts", "value", strategy="window")
     b = _performance_indexed(df, "entity", "ts", "value", ("daily", 1),
-                             {"weekly": 7, "monthly": 30}, (), 2, ranges, value_has_nulls=True)
+                             {"weekly": 7, "monthly": 30}, (), 2, ranges)
     assert rows_of(a) == rows_of(b)
 
 
@@ -229,13 +223,13 @@ def test_identical_rows_of_a_hot_entity_spread_over_ranges(spark):
     from pyspark.sql import functions as F
 
     from tidemark.operators._util import entity_key
-    from tidemark.operators.series import _ranged
+    from tidemark.operators.series import _order, _ranged
 
     rows = [("hot", day(0), D(5))] * 600
     rows += [(f"e{e}", day(d), D(d + 1)) for e in range(20) for d in range(60)]
     df = frame(spark, rows)
     keyed = df.withColumn("_ek", entity_key("entity"))
-    ranged, _ = _ranged(keyed, "_ek", "ts", (), 12, None)
+    ranged, _ = _ranged(keyed, "_ek", _order(df, "entity", "ts", ()), 12, "value")
     sizes = [r["count"] for r in ranged.groupBy("_rg").count().collect()]
     assert max(sizes) <= 2 * (len(rows) / 12)
     hot = ranged.where(F.col("entity") == "hot").select("_rg").distinct().count()

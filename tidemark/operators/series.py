@@ -19,19 +19,20 @@ Two physical strategies, same result:
                   window over (entity, range), exact wherever the source row
                   is in the same range; only the first K rows of an entity
                   that continues from an earlier range (K = largest lag) take
-                  theirs from a window over the small set of range edge rows.
+                  theirs from a window that also holds copies of the K rows
+                  before them.
   * ``auto``    - measures the longest series with one aggregate and picks.
 
-``series_position`` / ``lagged_values`` expose the same building blocks:
-row positions inside each entity, and values k positions back by an
-equi-join on (entity, position), whose keys spread a hot entity.
+Both order rows of one entity by time, ``order_extra`` and then all other
+columns, so they give the same result on tied times too: rows that even this
+order leaves open are equal in every column.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import pct_change
@@ -66,7 +67,7 @@ def performance(
     lags: Mapping[str, int] = DEFAULT_LAGS,
     order_extra: Sequence[str] = (),
     digits: int = 2,
-    strategy: str = "window",
+    strategy: str = "auto",
     hot_series_rows: int = HOT_SERIES_ROWS,
     rows_per_bucket: int | None = None,
 ) -> DataFrame:
@@ -74,45 +75,32 @@ def performance(
     ``<label>_change_pct`` columns; drop each entity's first row.
 
     ``order_extra`` breaks ties of ``time`` inside an entity (the original
-    leaves such ties unordered).  ``rows_per_bucket``: target rows per sorted
+    leaves such ties unordered), then the other columns in their order do,
+    NULLs first.  ``rows_per_bucket``: target rows per sorted
     range of the ``indexed`` strategy (default: the session's shuffle
     partition count decides, raised to keep ranges near ``ROWS_PER_BUCKET``
     rows when ``auto`` has counted them).
     """
-    value_has_nulls = True
     ranges = None
     if strategy == "auto":
-        longest, nulls, total = _stats(df, entity, value)
+        longest, total = _stats(df, entity)
         strategy = "indexed" if longest > hot_series_rows else "window"
-        value_has_nulls = nulls > 0
         ranges = range_count(df.sparkSession, total, rows_per_bucket or ROWS_PER_BUCKET)
     if strategy == "window":
         return _performance_window(df, entity, time, value, first_lag, lags, order_extra, digits)
     if strategy == "indexed":
         if ranges is None:
             ranges = _ranges_for(df, rows_per_bucket)
-        return _performance_indexed(
-            df, entity, time, value, first_lag, lags, order_extra, digits, ranges,
-            value_has_nulls,
-        )
+        return _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits, ranges)
     raise ValueError(f"unknown strategy {strategy!r}")
 
 
-def _stats(df: DataFrame, entity: str, value: str) -> tuple[int, int, int]:
-    per_entity = df.groupBy(entity).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col(value).isNull()).alias("nulls")
-    )
-    row = per_entity.agg(
-        F.max("n").alias("m"), F.sum("nulls").alias("z"), F.sum("n").alias("t")
-    ).first()
-    return int(row["m"] or 0), int(row["z"] or 0), int(row["t"] or 0)
-
-
-def series_stats(df: DataFrame, entity: str, value: str) -> tuple[int, int]:
-    """(longest series length, number of NULL values): one partial+final
-    aggregate over two columns; a single small row reaches the driver."""
-    longest, nulls, _ = _stats(df, entity, value)
-    return longest, nulls
+def _stats(df: DataFrame, entity: str) -> tuple[int, int]:
+    """(longest series, rows): a partial and a final aggregate over one
+    column; a single small row reaches the driver."""
+    per_entity = df.groupBy(entity).agg(F.count(F.lit(1)).alias("n"))
+    row = per_entity.agg(F.max("n").alias("m"), F.sum("n").alias("t")).first()
+    return int(row["m"] or 0), int(row["t"] or 0)
 
 
 def range_count(spark, total_rows: int, rows_per_range: int) -> int:
@@ -131,17 +119,21 @@ def _ranges_for(df: DataFrame, rows_per_bucket: int | None) -> int:
     return range_count(df.sparkSession, df.count(), rows_per_bucket)
 
 
-def choose_strategy(df: DataFrame, entity: str, hot_series_rows: int = HOT_SERIES_ROWS) -> str:
-    """'indexed' when some entity has more than ``hot_series_rows`` rows."""
-    longest = df.groupBy(entity).count().agg(F.max("count").alias("m")).first()["m"]
-    return "indexed" if (longest or 0) > hot_series_rows else "window"
-
-
 # --------------------------------------------------------------------------
 # window strategy
 # --------------------------------------------------------------------------
+def _order(df: DataFrame, entity: str, time: str, order_extra: Sequence[str]) -> list[Column]:
+    """Time, extras, then every other column: a total order up to rows that
+    are equal in all columns.  Sorting compares the later ones on ties only."""
+    first = [time, *order_extra]
+    rest = [c for c in df.columns if c not in first and c != entity and not c.startswith("_")]
+    # maps have no order of their own: their JSON text stands in
+    value = lambda c: F.to_json(c) if "map<" in df.schema[c].dataType.simpleString() else F.col(c)
+    return [value(c).asc_nulls_first() for c in [*first, *rest]]
+
+
 def _performance_window(df, entity, time, value, first_lag, lags, order_extra, digits):
-    w = Window.partitionBy(entity).orderBy(F.col(time).asc_nulls_first(), *order_extra)
+    w = Window.partitionBy(entity).orderBy(*_order(df, entity, time, order_extra))
     label, k1 = first_lag
     out = (
         df.withColumn("prev_value", F.lag(value, k1).over(w))
@@ -158,141 +150,50 @@ def _performance_window(df, entity, time, value, first_lag, lags, order_extra, d
 # --------------------------------------------------------------------------
 # indexed strategy
 # --------------------------------------------------------------------------
-def series_position(
-    df: DataFrame,
-    entity: str,
-    time: str,
-    order_extra: Sequence[str] = (),
-    position_col: str = "_pos",
-    rows_per_bucket: int | None = None,
-    nulls_of: str | None = None,
-) -> DataFrame:
-    """1-based row position inside each entity (ordered by time, nulls first),
-    computed with bounded work per task even for a single huge entity.
-
-    With ``nulls_of`` also adds ``_nulls``: how many rows at positions <= this
-    one have a NULL ``nulls_of`` value.
-    """
-    keyed = df.withColumn("_ek", entity_key(entity))
-    ranges = _ranges_for(df, rows_per_bucket)
-    out = _positions(keyed, "_ek", time, order_extra, position_col, ranges, nulls_of)
-    return out.drop("_ek")
-
-
-def _positions(keyed, key, time, order_extra, position_col, ranges, nulls_of):
-    """Plan: range exchange on the full sort order -> local sort -> row index
-    inside the sorted range -> per-(entity, range) counts (small table) ->
-    range offsets inside each entity (window over the small table) -> join.
-
-    The range partitioner samples the sort keys, so ranges hold about equal
-    row counts: a hot entity is cut into many ranges whatever its time
-    distribution.  A hash of the whole row and a row id end the sort order,
-    so the order inside a range is total and even rows equal in every column
-    can be split between ranges.  The sampled bounds depend on the order in which
-    rows arrive, so the ranged rows are checkpointed once (shared checkpoint
-    folder, survives executor loss) and both the count table and the join
-    read that one result.  The count table has at most one row per entity
-    plus one per range; its join with the rows is keyed by (entity, range),
-    so even a hot entity's rows spread over all partitions (AQE broadcasts
-    the table when it measures small).
-    """
-    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, nulls_of)
-    out = rows.join(offsets, [key, "_rg"], "inner").withColumn(
-        position_col, F.col("_off") + F.col("_ix") - F.col("_first") + F.lit(1)
-    )
-    if nulls_of:
-        # running count inside (entity, range); the join's partitioning on
-        # (entity, range) already satisfies this window: a local sort only
-        running = Window.partitionBy(key, "_rg").orderBy("_ix").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        out = out.withColumn("_nulls", F.col("_noff") + F.sum("_isnull").over(running))
-    return out.drop("_tb", "_rg", "_ix", "_isnull", "_first", "_off", "_noff", "_cnt")
-
-
-def _ranged(keyed, key, time, order_extra, ranges, nulls_of):
+def _ranged(keyed, key, by, ranges, value):
     """(ranged rows with ``_rg`` range and ``_ix`` index inside it, checkpointed;
-    per-(entity, range) table with ``_first`` index, ``_cnt`` rows, ``_off``
-    rows of the entity in earlier ranges and ``_noff`` NULL values there)."""
-    cols = [F.col(c) for c in keyed.columns]
-    order = [
-        F.col(key).asc(),
-        F.col(time).asc_nulls_first(),
-        *[F.col(c).asc_nulls_first() for c in order_extra],
-        F.col("_tb").asc(),
-        F.col("_uid").asc(),
-    ]
+    per-(entity, range) table with ``_first`` index, ``_cnt`` rows and
+    ``_ncnt`` NULL values).
+
+    Range exchange on the full sort order -> local sort -> row index inside
+    the sorted range.  The range partitioner samples the sort keys, so ranges
+    hold about equal row counts: a hot entity is cut into many ranges whatever
+    its time distribution.  ``by`` and a row id end the sort order, so the order inside a range is total and even rows equal in every
+    column can be split between ranges.  The sampled bounds depend on the
+    order in which rows arrive, so the ranged rows are checkpointed once
+    (shared checkpoint folder, survives executor loss)."""
+    order = [F.col(key).asc(), *by, F.col("_uid").asc()]
     rows = (
-        # _tb orders ties of (entity, time, extras) by content; _uid splits
-        # rows that are equal in every column, so even those spread over ranges
-        keyed.withColumns({"_tb": F.xxhash64(*cols), "_uid": F.monotonically_increasing_id()})
+        # _uid splits rows that are equal in every column, so even those
+        # spread over ranges
+        keyed.withColumn("_uid", F.monotonically_increasing_id())
         .repartitionByRange(ranges, *order)
         .sortWithinPartitions(*order)
         .withColumn("_rg", F.spark_partition_id())
         .withColumn("_ix", F.monotonically_increasing_id().bitwiseAND(F.lit(_INDEX_MASK)))
     )
-    isnull = F.col(nulls_of).isNull().cast("long") if nulls_of else F.lit(0).cast("long")
+    isnull = F.col(value).isNull().cast("long")
     rows = materialize(rows.withColumn("_isnull", isnull).drop("_uid"))
     counts = rows.groupBy(key, "_rg").agg(
         F.min("_ix").alias("_first"),
         F.count(F.lit(1)).alias("_cnt"),
         F.sum("_isnull").alias("_ncnt"),
     )
-    before = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        key,
-        "_rg",
-        "_first",
-        "_cnt",
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"),
-        F.coalesce(F.sum("_ncnt").over(before), F.lit(0)).alias("_noff"),
-    )
-    return rows, offsets
-
+    return rows, counts
 
-def lagged_values(
-    df: DataFrame,
-    entity: str,
-    position_col: str,
-    fields: Mapping[str, str],
-    ks: Sequence[int],
-) -> DataFrame:
-    """For each k and each ``fields`` item (output prefix -> column), join the
-    column's value of the row k positions earlier as ``<prefix>_<k>``."""
-    keyed = df.withColumn("_ek", entity_key(entity))
-    return _gather(keyed, "_ek", position_col, fields, ks).drop("_ek")
 
-
-def _gather(keyed, key, position_col, fields, ks):
-    """All lags are fetched with ONE shuffle on (key, position): each row
-    emits narrow copies (key, position + k, k, values) that are pivoted by
-    target position and left-joined back; a hot entity spreads over all
-    partitions because the position is part of the shuffle key."""
-    ks = sorted(set(ks))
-    copies = keyed.select(
-        key,
-        F.explode(F.array(*[F.lit(k) for k in ks])).alias("_k"),
-        position_col,
-        *[F.col(c).alias(f"_v_{p}") for p, c in fields.items()],
-    ).withColumn(position_col, F.col(position_col) + F.col("_k"))
-    pivot = copies.groupBy(key, position_col).agg(
-        *[
-            F.first(F.when(F.col("_k") == k, F.col(f"_v_{p}")), ignorenulls=True).alias(f"{p}_{k}")
-            for k in ks
-            for p in fields
-        ]
-    )
-    return keyed.join(pivot, [key, position_col], "left")
-
-
-def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits,
-                         ranges, value_has_nulls=True):
+def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra, digits, ranges):
     label, k1 = first_lag
-    keyed = df.withColumn("_ek", entity_key(entity))
-    if not value_has_nulls:
-        out = _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges)
+    key = "_ek"
+    keyed = df.withColumn(key, entity_key(entity))
+    rows, counts = _ranged(keyed, key, _order(df, entity, time, order_extra), ranges, value)
+    # one small job over the checkpointed rows tells which route is open
+    nulls = counts.agg(F.sum("_ncnt")).first()[0] or 0
+    main = _with_groups(rows, key, counts)
+    if nulls == 0:
+        out = _indexed_no_nulls(main, key, value, k1, lags)
     else:
-        out = _indexed_general(keyed, time, value, k1, lags, order_extra, ranges)
+        out = _indexed_general(main, key, value, k1, lags)
     out = out.withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
     for name, k in lags.items():
         out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
@@ -301,14 +202,11 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
     return out.select(*dict.fromkeys(cols))
 
 
-def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges):
+def _indexed_no_nulls(main, key, value, k1, lags):
     """No NULL values: exactly the first k1 rows of each entity are dropped,
     so the row k positions back in the filtered frame is the row k positions
     back in the full series, if that one was kept (position > k1)."""
-    key = "_ek"
-    ks = sorted({k1, *lags.values()})
-    main, edges = _ranged_main(keyed, key, time, order_extra, ranges, None)
-    main = _group_lags(main, key, value, ks, ranges, edges(max(ks)))
+    main = _group_lags(main, key, value, sorted({k1, *lags.values()}))
     out = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     for k in lags.values():
         kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
@@ -316,117 +214,86 @@ def _indexed_no_nulls(keyed, time, value, k1, lags, order_extra, ranges):
     return out
 
 
-def _indexed_general(keyed, time, value, k1, lags, order_extra, ranges):
+def _indexed_general(main, key, value, k1, lags):
     """NULL values allowed: lag k1 over the full series, drop rows without a
-    previous value, then the other lags over the kept rows.  Both steps are
-    window lags inside (entity, range) plus edge rows.  The kept rows' index
-    and count inside their group come from the same window partitioning; the
-    group flags of the first step (earlier / later rows of the entity exist)
-    are supersets of the kept rows' flags, which only adds edge rows."""
-    key = "_ek"
-    main, edges = _ranged_main(keyed, key, time, order_extra, ranges, None)
-    main = _group_lags(main, key, value, [k1], ranges, edges(k1))
+    previous value, then the other lags over the kept rows, which are numbered
+    anew inside their groups."""
+    main = _group_lags(main, key, value, [k1])
     kept = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     if not lags:
         return kept
-    # the second step reads the kept rows twice (edge rows, join back):
-    # written once instead of running the first step twice
-    kept = materialize(kept)
-    grp = Window.partitionBy(key, "_rg")
-    kept = kept.withColumns({
-        "_li": F.row_number().over(grp.orderBy("_ix")),
-        "_gc": F.count(F.lit(1)).over(grp),
-    })
-    out = _group_lags(kept, key, value, list(lags.values()), ranges)
+    # the second step reads the kept rows several times: written once instead
+    # of running the first step again
+    grp = Window.partitionBy(key, "_rg").orderBy("_ix")
+    kept = materialize(
+        kept.withColumn("_ix", F.row_number().over(grp).cast("long") - 1).drop("_gc", "_off", "_pos", "_li")
+    )
+    counts = kept.groupBy(key, "_rg").agg(F.min("_ix").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    out = _group_lags(_with_groups(kept, key, counts), key, value, list(lags.values()))
     for k in lags.values():
         out = out.withColumn(lag_value_col(k), F.col(f"_lag_{k}"))
     return out
 
 
-def _group_table(counts: DataFrame, key: str) -> DataFrame:
-    """Per (entity, range): ``_gc`` rows, ``_off`` rows of the entity in earlier
-    ranges, ``_cont`` (earlier rows exist), ``_next`` (later rows exist).
-    A window over the small table, one row per (entity, range)."""
-    by_key = Window.partitionBy(key).orderBy("_rg")
-    before = by_key.rowsBetween(Window.unboundedPreceding, -1)
-    off = F.coalesce(F.sum("_gc").over(before), F.lit(0))
-    return counts.select(
-        key, "_rg", "_gc", off.alias("_off"), (off > F.lit(0)).alias("_cont"),
-        F.lead("_rg").over(by_key).isNotNull().alias("_next"),
+def _with_groups(rows: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Rows with ``_gc`` (rows of their (entity, range) group), ``_off`` (rows of
+    the entity in earlier ranges), ``_li`` (index inside the group, from 1) and
+    ``_pos`` (position inside the entity, from 1).  The table that is joined
+    has at most one row per entity plus one per range; the join is keyed by
+    (entity, range), so even a hot entity's rows spread over all partitions."""
+    before = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.select(
+        key, "_rg", "_first", F.col("_cnt").alias("_gc"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")
     )
+    out = rows.join(groups, [key, "_rg"]).withColumn("_li", F.col("_ix") - F.col("_first") + F.lit(1))
+    return out.withColumn("_pos", F.col("_off") + F.col("_li")).drop("_first")
 
 
-def _ranged_main(keyed, key, time, order_extra, ranges, nulls_of):
-    """Ranged rows joined with their group table: ``_li`` index inside the
-    (entity, range) group, ``_pos`` position inside the entity.  Also returns
-    ``edges(k)``: the first and last k rows of every range with the same
-    columns, taken from the checkpointed rows through a per-range size table
-    (one row per range), so the edge rows need no pass over the joined rows."""
-    rows, offsets = _ranged(keyed, key, time, order_extra, ranges, nulls_of)
-    groups = _group_table(offsets.select(key, "_rg", F.col("_cnt").alias("_gc")), key)
-    table = groups.join(offsets.select(key, "_rg", "_first"), [key, "_rg"])
-
-    def finish(df):
-        df = df.withColumn("_li", F.col("_ix") - F.col("_first") + F.lit(1))
-        return df.withColumn("_pos", F.col("_off") + F.col("_li")).drop("_first", "_tb", "_isnull")
-
-    sizes = offsets.groupBy("_rg").agg(F.sum("_cnt").alias("_rsize"))
-
-    def edges(k: int) -> DataFrame:
-        cand = rows.join(_bounded_broadcast(sizes, ranges), "_rg").where(
-            (F.col("_ix") < F.lit(k)) | (F.col("_ix") >= F.col("_rsize") - F.lit(k))
-        ).drop("_rsize")
-        return finish(cand.join(table, [key, "_rg"]))
-
-    return finish(rows.join(table, [key, "_rg"])), edges
-
-
-def _group_lags(df: DataFrame, key: str, value: str, ks, ranges: int,
-                edge_rows: DataFrame | None = None) -> DataFrame:
+def _group_lags(df: DataFrame, key: str, value: str, ks) -> DataFrame:
     """``_lag_<k>`` = value k rows back inside the entity, for rows that carry
-    ``_rg``, ``_ix`` (order), ``_li``/``_gc`` (index and size of their
-    (entity, range) group), ``_cont`` and ``_next``.
+    ``_rg``, ``_ix``, ``_li``, ``_gc``, ``_off`` and ``_pos``.
 
     A window over (entity, range) is exact whenever the source lies in the
     row's own group; the frame is already partitioned that way (by the join
     with the group table), so it costs a local sort.  Only the first K
     (= largest k) rows of a group with earlier rows look further back, and
-    their sources are among the last K rows of the groups before.  Edge rows
-    = those heads and tails: at most 2K per range, since only a range's first
-    group can continue from, and its last group into, another range.  Among
-    an entity's edge rows in (range, index) order, the k-th previous edge row
-    of a head row is its k-th previous row, so a window over the edge rows
-    (partitioned by entity, bounded by 2K per range) gives the head lags;
-    they are joined back on (entity, range, index), broadcast only under a
-    row-count bound.  ``edge_rows``: a cheaper frame that holds at least the
-    edge rows with the same columns (default: ``df`` itself).
+    their sources are among the last K rows before the group.  Those heads and
+    copies of those rows meet in a second, small window per group: a row at
+    position p is copied to every later group that begins within K rows after
+    p, found by an equi-join on (entity, block of K positions).  A group gets
+    at most K copies, so no task ever sees an entity's edge rows together.
+    The head lags are joined back; Spark broadcasts them only where their
+    measured size is small.
     """
     ks = sorted(set(ks))
     kmax = ks[-1]
-    w = Window.partitionBy(key, "_rg").orderBy("_ix")
-    is_head = F.col("_cont") & (F.col("_li") <= F.lit(kmax))
-    is_tail = F.col("_next") & (F.col("_li") > F.col("_gc") - F.lit(kmax))
-    we = Window.partitionBy(key).orderBy("_rg", "_ix")
-    head = (
-        (df if edge_rows is None else edge_rows).where(is_head | is_tail)
-        .select(key, "_rg", "_ix", value, is_head.alias("_is_head"))
-        .withColumns({f"_hl_{k}": F.lag(value, k).over(we) for k in ks})
-        .where(F.col("_is_head"))
-        .select(key, "_rg", "_ix", F.lit(True).alias("_head"), *[f"_hl_{k}" for k in ks])
+    block = lambda c: F.floor((F.col(c) - F.lit(1)) / F.lit(kmax))
+    begins = df.where((F.col("_li") == 1) & (F.col("_off") > 0)).select(
+        F.col(key).alias("_tk"), F.col("_rg").alias("_trg"), F.col("_off").alias("_toff")
     )
-    df = df.withColumns({f"_wl_{k}": F.lag(value, k).over(w) for k in ks})
-    df = df.join(_bounded_broadcast(head, kmax * ranges), [key, "_rg", "_ix"], "left")
-    df = df.withColumns({
-        f"_lag_{k}": F.when(F.col("_head"), F.col(f"_hl_{k}")).otherwise(F.col(f"_wl_{k}"))
-        for k in ks
-    })
-    return df.drop("_head", *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
-
-
-# A small table is broadcast by hint only when its row count is bounded (by
-# construction) below this; otherwise AQE decides from its measured size.
-BROADCAST_MAX_ROWS = 250_000
-
-
-def _bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    return F.broadcast(df) if max_rows <= BROADCAST_MAX_ROWS else df
+    # the K positions before a group touch two blocks at most
+    begins = begins.withColumn(
+        "_tb", F.explode(F.array_distinct(F.array(
+            F.floor((F.col("_toff") - 1) / kmax), F.floor(F.greatest(F.col("_toff") - kmax, F.lit(0)) / kmax)
+        )))
+    )
+    tails = df.where(F.col("_gc") - F.col("_li") < kmax).select(key, value, "_pos", block("_pos").alias("_b"))
+    near = (F.col("_pos") <= F.col("_toff")) & (F.col("_pos") > F.col("_toff") - kmax)
+    copies = tails.join(begins, (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_tb")) & near).select(
+        F.col("_tk").alias(key), F.col("_trg").alias("_rg"), "_pos", value
+    )
+    heads = df.where((F.col("_off") > 0) & (F.col("_li") <= kmax)).select(
+        key, "_rg", "_pos", value, F.lit(True).alias("_own")
+    )
+    w = Window.partitionBy(key, "_rg").orderBy("_pos")
+    heads = (
+        heads.unionByName(copies.withColumn("_own", F.lit(False)))
+        .withColumns({f"_hl_{k}": F.lag(value, k).over(w) for k in ks})
+        .where("_own")
+        .select(key, "_rg", "_pos", F.lit(True).alias("_head"), *[f"_hl_{k}" for k in ks])
+    )
+    inside = Window.partitionBy(key, "_rg").orderBy("_ix")
+    out = df.withColumns({f"_wl_{k}": F.lag(value, k).over(inside) for k in ks})
+    out = out.join(heads, [key, "_rg", "_pos"], "left")
+    lags = {f"_lag_{k}": F.when(F.col("_head"), F.col(f"_hl_{k}")).otherwise(F.col(f"_wl_{k}")) for k in ks}
+    return out.withColumns(lags).drop("_head", *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
