@@ -29,18 +29,22 @@ def hash_text(col: Column, dtype: T.DataType | None = None) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def content_hash(
-    columns: Sequence[str],
-    df: DataFrame | None = None,
-    sep: str = "",
-) -> Column:
-    """SHA-256 hex digest of the listed columns, cast to text, nulls as ''.
-
-    ``sep=''`` concatenates without a separator, as the original pipeline does;
-    then ("ab","c") and ("a","bc") collide.  Pass e.g. ``sep='\\u001f'`` for an
-    unambiguous key.  ``df`` supplies column types so timestamps get a fixed
-    text form; without it every column is plainly cast to string.
+def content_hash(columns: Sequence[str], df: DataFrame, sep: str | None = None) -> Column:
+    """SHA-256 hex digest of the listed columns of ``df``, cast to text.
+
+    By default every text is written with its length before it and a NULL as
+    ``n``, so different tuples never give the same text: ('ab', 'c') and
+    ('a', 'bc') differ, and so do NULL and ''.  With ``sep`` the texts are
+    joined by it instead, NULL as '' (``sep=''`` is the plain concatenation of
+    the original pipeline, under which different rows may collide).
+    ``df`` supplies the column types: timestamps get a fixed text form.
     """
-    types = {f.name: f.dataType for f in df.schema.fields} if df is not None else {}
-    parts = [hash_text(F.col(c), types.get(c)) for c in columns]
-    return F.sha2(F.concat_ws(sep, *parts), 256)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if sep is not None:
+        return F.sha2(F.concat_ws(sep, *[hash_text(F.col(c), types[c]) for c in columns]), 256)
+    parts = []
+    for c in columns:
+        text = hash_text(F.col(c), types[c])
+        told = F.concat(F.char_length(text).cast("string"), F.lit(":"), text)
+        parts.append(F.when(F.col(c).isNull(), F.lit("n")).otherwise(told))
+    return F.sha2(F.concat(*parts), 256)

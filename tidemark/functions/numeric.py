@@ -31,5 +31,5 @@ def pct_change(current: Column | str, previous: Column | str, digits: int = 2) -
 
 
 def format_pct(col: Column | str, digits: int = 2) -> Column:
-    """'1.23%' style text."""
-    return F.format_string(f"%.{digits}f%%", _c(col))
+    """'1.23%' style text; NULL where the figure is NULL."""
+    return F.when(_c(col).isNotNull(), F.format_string(f"%.{digits}f%%", _c(col)))

@@ -7,12 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.movers import top_k
 
-# Fixed value: the context text around the three lists.
-CONTEXT_TEMPLATE = (
-    "TOP 5 MAIORES ALTAS:\n%s\n\n"
-    "TOP 5 MAIORES QUEDAS:\n%s\n\n"
-    "TOP 5 MAIS VOLÁTEIS (30 dias):\n%s\n"
-)
+# The context text around the three lists.
+CONTEXT_TEMPLATE = "Largest gains: %s\nLargest losses: %s\nMost volatile: %s\n"
 
 
 def _records(label: str, fields: dict[str, str]) -> F.Column:

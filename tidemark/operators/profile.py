@@ -13,16 +13,28 @@ from tidemark.functions.numeric import format_pct
 from tidemark.operators._util import sort_key
 
 
-# Scale of the exact decimal mean: changes carry 2 digits, so the cast is
-# exact for them; sums stay far below the 28 integer digits left.
+# Digits of the decimal mean; changes carry 2 digits, so sums stay far below
+# the 28 integer digits left.
 MEAN_SCALE = 10
+# What a text shows for a figure that is NULL (one row has no deviation).
+NO_FIGURE = "n/a"
 
 
-def exact_mean(x: F.Column) -> F.Column:
-    """Mean in decimal arithmetic (decimal(38, 14) result): independent of the
-    summation order, so it does not change with the partitioning, and a mean
-    that lies exactly on a rounding tie rounds the same way every time."""
-    return F.avg(x.cast(f"decimal(38,{MEAN_SCALE})"))
+def known(x: F.Column) -> F.Column:
+    """The one rule for NaN: it counts as missing in every figure."""
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+
+
+def mean_of(x: F.Column, digits: int | None = None) -> F.Column:
+    """Mean of a double column, as double.
+
+    ``digits``: the number of decimal digits that all values are known to
+    carry.  Then the mean is taken in decimal arithmetic, which no order of
+    summation changes, and a mean on a rounding tie rounds the same way every
+    time.  Without it nothing is assumed and the mean is a double one."""
+    if digits is None or digits > MEAN_SCALE:
+        return F.avg(known(x))
+    return F.avg(known(x).cast(f"decimal(38,{MEAN_SCALE})"))
 
 
 def heatmap(
@@ -53,12 +65,15 @@ def volatility_profile(
     digits: int = 2,
     names: dict[str, str] | None = None,
     sort: bool = True,
+    change_digits: int | None = 2,
 ) -> DataFrame:
     """Sample std, mean, max, min of the change (each rounded) and the row count
     per entity over the whole history, plus a risk class of the rounded std.
 
     Partial + final hash aggregate: a hot entity is combined map-side first.
-    A one-row entity has NULL std and gets the lowest class.
+    A one-row entity has NULL std and gets the lowest class.  NaN changes count
+    as missing.  ``change_digits``: decimal digits that the changes carry
+    (``performance`` rounds them to 2; None if unknown).
     """
     n = {
         "volatility": "volatility",
@@ -69,11 +84,11 @@ def volatility_profile(
         "risk": "risk",
     }
     n.update(names or {})
-    x = F.col(change).cast("double")
+    x = known(F.col(change))
     rules, default = risk
     out = perf.groupBy(entity).agg(
         F.round(F.stddev_samp(x), digits).alias(n["volatility"]),
-        F.round(exact_mean(x), digits).cast("double").alias(n["avg_change"]),
+        F.round(mean_of(x, change_digits), digits).cast("double").alias(n["avg_change"]),
         F.round(F.max(x), digits).alias(n["max_gain"]),
         F.round(F.min(x), digits).alias(n["max_loss"]),
         F.count(F.lit(1)).alias(n["rows_tracked"]),
@@ -89,13 +104,14 @@ def filter_in(df: DataFrame, col: str, allowed: Sequence[str]) -> DataFrame:
     return df.where(F.col(col).isin(list(allowed)))
 
 
-def kpi_summary(df: DataFrame, change: str = "daily_change_pct") -> DataFrame:
-    """One row, one pass: row count, mean/max/min change and '%.2f%%' texts.
-    The mean is exact (decimal) and its text shows it rounded half-up."""
-    x = F.col(change)
+def kpi_summary(df: DataFrame, change: str = "daily_change_pct", change_digits: int | None = 2) -> DataFrame:
+    """One row, one pass: row count, mean/max/min change and '%.2f%%' texts
+    (``n/a`` for a figure that is NULL).  With ``change_digits`` known the mean
+    is exact (decimal) and its text shows it rounded half-up."""
+    x = known(F.col(change))
     row = df.agg(
         F.count(F.lit(1)).alias("entities"),
-        exact_mean(x).alias("_mean"),
+        mean_of(x, change_digits).alias("_mean"),
         F.max(x).alias("max_gain"),
         F.min(x).alias("max_loss"),
     )
@@ -104,9 +120,9 @@ def kpi_summary(df: DataFrame, change: str = "daily_change_pct") -> DataFrame:
         F.col("_mean").cast("double").alias("avg_change"),
         "max_gain",
         "max_loss",
-        format_pct(F.round("_mean", 2).cast("double")).alias("avg_change_text"),
-        format_pct("max_gain").alias("max_gain_text"),
-        format_pct("max_loss").alias("max_loss_text"),
+        figure(F.round("_mean", 2).cast("double")).alias("avg_change_text"),
+        figure("max_gain").alias("max_gain_text"),
+        figure("max_loss").alias("max_loss_text"),
     )
 
 
@@ -143,43 +159,44 @@ def rollup_tree(
     )
 
 
-def change_stats(perf: DataFrame, entity: str, change: str = "daily_change_pct") -> DataFrame:
-    """Unrounded mean (exact decimal, as double), sample std, max, min of the
-    change per entity."""
-    x = F.col(change).cast("double")
+def figure(col: F.Column | str) -> F.Column:
+    """Percentage text of a figure, ``n/a`` for NULL."""
+    return F.coalesce(format_pct(col), F.lit(NO_FIGURE))
+
+
+def change_stats(perf: DataFrame, entity: str, change: str = "daily_change_pct",
+                 change_digits: int | None = None) -> DataFrame:
+    """Unrounded mean (as double), sample std, max, min of the change per
+    entity.  ``change_digits``: see ``mean_of``."""
+    x = known(F.col(change))
     return perf.groupBy(entity).agg(
-        exact_mean(x).cast("double").alias("avg_change"),
+        mean_of(x, change_digits).cast("double").alias("avg_change"),
         F.stddev_samp(x).alias("volatility"),
         F.max(x).alias("max_gain"),
         F.min(x).alias("max_loss"),
     )
 
 
-# Fixed value: the per-entity statistics sentence of the original assistant
-# prompt, with its four '%.2f%%' figures (mean, std, max, min).
-STATS_SENTENCE = (
-    "Analise a moeda %s baseado nos dados dos últimos 30 dias:\n\n"
-    "- Variação média diária: %.2f%%\n"
-    "- Volatilidade: %.2f%%\n"
-    "- Maior alta: %.2f%%\n"
-    "- Maior queda: %.2f%%\n"
-)
+# The per-entity statistics sentence; the places are the entity and its four
+# figures (mean, deviation, largest, smallest).
+STATS_SENTENCE = "%s: mean daily change %s, volatility %s, best day %s, worst day %s."
 
 
 def stats_sentences(stats: DataFrame, entity: str, template: str = STATS_SENTENCE) -> DataFrame:
     """``change_stats`` output plus one formatted ``summary`` text per entity
     (a projection on the same aggregate, no second pass).  The mean is shown
     rounded half-up on its decimal value, so a mean on a tie (x.xx5) prints
-    the same whatever the floating-point path."""
+    the same whatever the floating-point path.  A figure that is NULL, as the
+    deviation of an entity with one row, shows as ``n/a``."""
     mean_2 = F.round(F.col("avg_change").cast(f"decimal(38,{MEAN_SCALE})"), 2).cast("double")
     return stats.withColumn(
         "summary",
         F.format_string(
             template,
-            F.col(entity).cast("string"),
-            mean_2,
-            "volatility",
-            "max_gain",
-            "max_loss",
+            F.coalesce(F.col(entity).cast("string"), F.lit(NO_FIGURE)),
+            figure(mean_2),
+            figure("volatility"),
+            figure("max_gain"),
+            figure("max_loss"),
         ),
     )
