@@ -77,19 +77,148 @@ def test_null_key_never_matches(spark):
     assert got == [1]
 
 
-def test_hash_separator_ambiguity(spark):
-    df = spark.createDataFrame([("ab", "c"), ("a", "bc")], "x string, y string")
-    plain = {r[0] for r in df.select(content_hash(["x", "y"], df)).collect()}
-    sep = {r[0] for r in df.select(content_hash(["x", "y"], df, sep="\u001f")).collect()}
-    assert len(plain) == 1 and len(sep) == 2
+def test_hash_is_unambiguous(spark):
+    rows = [("ab", "c"), ("a", "bc"), ("a\u001fb", "c"), (None, "x"), ("", "x"), ("n", "x"), ("1:n", "x"), ("x", None), ("x", "")]
+    df = spark.createDataFrame(rows, "x string, y string")
+    assert len({r[0] for r in df.select(content_hash(["x", "y"], df)).collect()}) == len(rows)
+    assert len({r[0] for r in df.select(content_hash(["x", "y"], df, sep="")).limit(2).collect()}) == 1
 
 
 def test_hash_is_sha256_of_text(spark):
     import hashlib
 
-    df = spark.createDataFrame([(1, None, "x")], "a int, b string, c string")
-    got = df.select(content_hash(["a", "b", "c"], df)).first()[0]
-    assert got == hashlib.sha256(b"1x").hexdigest()
+    df = spark.createDataFrame([(1, None, "xé")], "a int, b string, c string")
+    assert df.select(content_hash(["a", "b", "c"], df)).first()[0] == hashlib.sha256("1:1n2:xé".encode()).hexdigest()
+    assert df.select(content_hash(["a", "b", "c"], df, sep="")).first()[0] == hashlib.sha256("1xé".encode()).hexdigest()
+
+
+def test_codes_whose_digits_run_together_stay_apart(spark, tmp_dir):
+    import json
+
+    import sample_docs
+
+    doc = sample_docs.document(sample_docs.DAYS[0], {"1": 1234.0, "11": 234.0})
+    with open(f"{tmp_dir}/a.json", "w") as f:
+        json.dump(doc, f)
+    run_silver(spark, f"{tmp_dir}/a.json", f"{tmp_dir}/silver")
+    got = spark.read.parquet(f"{tmp_dir}/silver").select("code_exchange_rate").collect()
+    assert sorted(r[0] for r in got) == ["1", "11"]
+
+
+@pytest.mark.parametrize("cap", [0, 10_000])
+def test_key_in_another_partition_is_found(spark, cap):
+    old = spark.createDataFrame([("k1", "2025-01-01"), ("k2", "2025-01-02")], "k string, d string")
+    batch = spark.createDataFrame([("k1", "2025-01-02"), ("k3", "2025-01-02")], "k string, d string")
+    got = ingest.new_records(batch, old, ["k"], "d", max_values=cap)
+    assert [r["k"] for r in got.collect()] == ["k3"]
+
+
+def test_append_beside_a_stream_is_refused(spark, tmp_dir):
+    import os
+
+    os.makedirs(f"{tmp_dir}/sink/_spark_metadata")
+    with pytest.raises(ValueError, match="_spark_metadata"):
+        ingest.append_new(spark, spark.range(3).withColumnRenamed("id", "hash_diff"), f"{tmp_dir}/sink")
+
+
+def test_overwrite_replaces_all_partitions(spark, tmp_dir):
+    from tidemark.sources.tables import write_overwrite, write_partitions
+
+    path = f"{tmp_dir}/t"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_overwrite(spark.createDataFrame([(1, "a"), (2, "b")], "v int, d string"), path, partition_by=["d"])
+        write_overwrite(spark.createDataFrame([(3, "a")], "v int, d string"), path, partition_by=["d"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [tuple(r) for r in spark.read.parquet(path).collect()] == [(3, "a")]
+    write_partitions(spark.createDataFrame([(4, "b")], "v int, d string"), path, ["d"])
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(3, "a"), (4, "b")]
+
+
+# ------------------------------------------------------------- bad documents
+def bad_folder(tmp_dir):
+    import json
+
+    import sample_docs
+
+    one = sample_docs.document(sample_docs.DAYS[0], {"AAA": 1.5, "BBB": 2})
+    two = sample_docs.document(sample_docs.DAYS[1], {"AAA": 1.75, "BBB": "N/A", "CCC": None, "DDD": "3.5"})
+    for name, text in (("a", json.dumps(one)), ("b", json.dumps(two)), ("c", json.dumps(one)[:-40])):
+        with open(f"{tmp_dir}/{name}.json", "w") as f:
+            f.write(text)
+    return tmp_dir
+
+
+def test_bad_documents_end_the_job(spark, tmp_dir):
+    folder = bad_folder(tmp_dir)
+    for name in ("b", "c"):
+        with pytest.raises(Exception, match="rate is no number|[Mm]alformed"):
+            run_silver(spark, f"{folder}/{name}.json", f"{folder}/silver-{name}")
+    run_silver(spark, f"{folder}/a.json", f"{folder}/silver")
+    assert spark.read.parquet(f"{folder}/silver").count() == 2
+
+
+def check_quarantine(spark, folder):
+    good = spark.read.parquet(f"{folder}/silver").select("code_exchange_rate", "exchange_rate").collect()
+    assert sorted((r[0], float(r[1])) for r in good) == [("AAA", 1.5), ("AAA", 1.75), ("BBB", 2.0), ("DDD", 3.5)]
+    bad = spark.read.parquet(f"{folder}/bad").collect()
+    assert sorted((r["reason"], r["code"] or "") for r in bad) == [("document", ""), ("rate", "BBB")]
+    assert [r["text"] for r in bad if r["reason"] == "rate"] == ["N/A"]
+
+
+def test_bad_documents_in_quarantine(spark, tmp_dir):
+    folder = bad_folder(tmp_dir)
+    run_silver(spark, f"{folder}/*.json", f"{folder}/silver", quarantine_path=f"{folder}/bad")
+    check_quarantine(spark, folder)
+
+
+def test_bad_documents_in_a_stream(spark, tmp_dir):
+    import glob
+
+    from tidemark.streaming.ingest import stream_silver
+
+    folder = bad_folder(tmp_dir)
+    with pytest.raises(Exception, match="rate is no number|[Mm]alformed"):
+        stream_silver(spark, f"{folder}/*.json", f"{folder}/silver", f"{folder}/ck1", archive_dir=f"{folder}/archive")
+    assert len(glob.glob(f"{folder}/*.json")) == 3  # nothing was archived
+    stream_silver(spark, f"{folder}/*.json", f"{folder}/silver", f"{folder}/ck2", quarantine_path=f"{folder}/bad")
+    check_quarantine(spark, folder)
+
+
+def test_json_members_are_checked_one_by_one(spark):
+    from tidemark.operators.reshape import json_map_checked, json_map_rows
+
+    docs = ['{"a":1,"b":"x"}', '{"a":2,"b":null}', '{"a":3', "[1]", "", "{}", None, "text", '{"n":"4"}']
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "id int, j string")
+    got = {(r["id"], r["key"], r["value"], r["rejected"]) for r in json_map_checked(df, "j").collect()}
+    assert got == {(0, "a", 1.0, False), (0, "b", None, True), (1, "a", 2.0, False), (1, "b", None, False),
+                   (2, None, None, True), (3, None, None, True), (4, None, None, True), (7, None, None, True),
+                   (8, "n", 4.0, False)}
+    assert {(r[0], r[1], r[2]) for r in json_map_rows(df, "j").collect()} == {
+        (0, "a", 1.0), (1, "a", 2.0), (1, "b", None), (8, "n", 4.0)}
+
+
+def test_a_rate_without_code_ends_the_landing(spark):
+    from tidemark.plans.series_sources import snapshot_payloads
+
+    df = spark.createDataFrame([(None, "2025-01-01", 1.0)], "entity string, t string, value double") \
+        .select("entity", F.to_date("t").alias("ts"), "value")
+    with pytest.raises(Exception, match="entity is NULL"):
+        snapshot_payloads(df).collect()
+
+
+def test_scratch_is_dropped(spark):
+    import os
+
+    from tidemark.session import drop_scratch, scratch_path
+
+    path = scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    local = path.removeprefix("file://").removeprefix("file:")
+    assert os.path.isdir(local)
+    drop_scratch(spark)
+    assert not os.path.isdir(os.path.dirname(local))
 
 
 def test_anti_join_prunes_sink_partitions(spark, tmp_dir):
@@ -99,7 +228,7 @@ def test_anti_join_prunes_sink_partitions(spark, tmp_dir):
     old.write.partitionBy("d").parquet(sink)
     batch = spark.createDataFrame([("h2", "2025-01-02"), ("h3", "2025-01-02")], "h string, d string") \
         .withColumn("d", F.to_date("d"))
-    out = ingest.new_records(batch, spark.read.parquet(sink), ["h"], "d")
+    out = ingest.new_records(batch, spark.read.parquet(sink), ["h"], "d", key_fixes_partition=True)
     assert [r["h"] for r in out.collect()] == ["h3"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(d" in plan or "PartitionFilters: [d" in plan or "d IN" in plan
@@ -187,12 +316,12 @@ def test_append_new_against_many_days(spark, tmp_dir):
         F.col("id").cast("string").alias("h"),
         F.date_add(F.lit("2025-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("d"),
     )
-    ingest.append_new(spark, first, sink, ["h"], "d")
+    ingest.append_new(spark, first, sink, ["h"], "d", key_fixes_partition=True)
     again = first.where("id < 40").unionByName(
         spark.range(1000, 1005).select(F.col("id").cast("string").alias("h"),
                                        F.lit("2025-01-02").cast("date").alias("d"))
     )
-    ingest.append_new(spark, again, sink, ["h"], "d")
+    ingest.append_new(spark, again, sink, ["h"], "d", key_fixes_partition=True)
     assert spark.read.parquet(sink).count() == 305
 
 

@@ -1,10 +1,11 @@
 """Idempotent append: keep only rows whose key is not yet in the sink.
 
-At scale the sink is the big side.  It is partitioned by a date column, and
-only the partitions a batch can touch are read: the batch's distinct dates
-(a small list) name the partition folders to open, so neither the listing
-nor the scan grows with the sink's history (a path-based table opened at its
-root lists every file before any partition filter applies).  Dynamic
+At scale the sink is the big side.  It is partitioned by a date column.  Where
+the key determines the partition (a content hash over the date does, and the
+caller says so), only the partitions a batch can touch are read: the batch's
+distinct dates (a small list) name the folders to open (a path-based table
+opened at its root lists every file before any partition filter applies).
+Otherwise a key may stand under any date and the whole sink is read.  Dynamic
 partition pruning does not apply to anti joins, hence the explicit list.
 The key (a SHA-256 digest) is uniformly spread, so the anti join shuffles
 without skew.
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from tidemark.sources.tables import write_append
 
 # Above this many distinct dates in one batch the sink is read unpruned.
 MAX_PRUNE_VALUES = 10_000
-# Up to this many dates the partition folders are opened by name (one glob).
+# Up to this many dates the partition folders are opened by name.
 MAX_FOLDER_VALUES = 1_000
 # Folder name Spark writes for a NULL partition value.
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -91,33 +92,39 @@ def _folder_value(v) -> str | None:
 def read_sink_partitions(spark: SparkSession, path: str, partition_col: str,
                          values: list | None) -> DataFrame | None:
     """The sink's rows in the given partitions, or None when none of them
-    exists.  The folders are opened by name (``<col>={v1,v2,...}`` below
-    ``basePath``), so only they are listed.  Values that do not map to a
+    exists.  The folders that exist are opened by their paths (below
+    ``basePath``), so nothing else is listed.  Values that do not map to a
     plain folder name, too many values, or a sink written by a streaming
     file sink (its ``_spark_metadata`` log, which lists the committed files,
     is honoured only by the root read) fall back to the root read with a
-    partition filter."""
+    partition filter: the same rows, only read another way."""
     names = None if values is None else [_folder_value(v) for v in values]
     if (names is None or len(names) > MAX_FOLDER_VALUES or any(n is None for n in names)
-            or path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")):
+            or written_by_stream(spark, path)):
         existing = read_sink(spark, path)
         if existing is None or values is None:
             return existing
         return _where_in(existing, partition_col, values)
-    if not names:
-        return None
     root = path.rstrip("/")
-    pattern = f"{_glob_escape(root)}/{partition_col}={{{','.join(sorted(set(names)))}}}"
+    folders = [f"{root}/{partition_col}={n}" for n in sorted(set(names))]
+    folders = [f for f in folders if path_exists(spark, f)]
+    if not folders:
+        return None
     try:
-        return spark.read.option("basePath", root).parquet(pattern)
+        return spark.read.option("basePath", root).parquet(*[_glob_escape(f) for f in folders])
     except AnalysisException as e:
         if _missing(e):
             return None
         raise
 
 
+def written_by_stream(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink keeps a log of its files at ``path``."""
+    return path_exists(spark, f"{path.rstrip('/')}/_spark_metadata")
+
+
 def _glob_escape(path: str) -> str:
-    """Escape Hadoop glob metacharacters so the root is matched literally."""
+    """Escape Hadoop glob metacharacters so a path is matched literally."""
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
@@ -141,15 +148,22 @@ def new_records(
     existing: DataFrame | None,
     keys: Sequence[str] = ("hash_diff",),
     partition_col: str | None = None,
+    key_fixes_partition: bool = False,
+    max_values: int = MAX_PRUNE_VALUES,
 ) -> DataFrame:
     """Rows of ``batch`` whose ``keys`` are absent from ``existing`` (left anti
-    join; a NULL key never matches, so such rows are always kept)."""
+    join; a NULL key never matches, so such rows are always kept).
+
+    ``key_fixes_partition``: the caller knows that rows of one key always have
+    the same ``partition_col`` (a content hash over it does); only then is
+    ``existing`` pruned to the batch's partitions.  Up to ``max_values`` of
+    them it is; beyond, it is read in full, with the same result."""
     keys = list(keys)
     if existing is None:
         return batch
     old = existing
-    if partition_col is not None and partition_col in existing.columns:
-        old = prune_to_batch(existing, batch, partition_col)
+    if key_fixes_partition and partition_col is not None and partition_col in existing.columns:
+        old = prune_to_batch(existing, batch, partition_col, max_values)
     return batch.join(old.select(*keys), keys, "left_anti")
 
 
@@ -161,40 +175,42 @@ def append_new(
     partition_col: str | None = None,
     dedupe: bool = True,
     cluster_by: Sequence[str] = (),
+    key_fixes_partition: bool = False,
+    partition_values: Callable[[], list] | None = None,
 ) -> None:
     """dropDuplicates -> anti join against the sink -> append.
 
-    Replaying a batch is harmless: its keys are already in the sink.  Rows are
-    clustered by the partition column before writing so each task writes few
-    files; the ``rebalance`` hint lets AQE split a hot date over several
-    tasks instead of one.  ``cluster_by`` sorts each written file by these
-    columns after the partition column (the writer sorts by the partition
+    Replaying a batch is harmless: its keys are already in the sink.  The sink
+    is read in full unless ``key_fixes_partition`` (see ``new_records``) allows
+    to read the batch's partitions only; ``partition_values`` names them from
+    a cheaper source than the batch (called only if the sink exists), else a
+    job over the batch's partition column does.  Nothing is cached.
+
+    Rows are clustered by the partition column before writing so each task
+    writes few files; the ``rebalance`` hint lets AQE split a hot date over
+    several tasks instead of one.  ``cluster_by`` sorts each written file by
+    these columns after the partition column (the writer sorts by the partition
     column anyway), so equality filters on them skip row groups on read.
-    Single writer assumed (two concurrent writers could both append).
+    Single writer assumed (two concurrent writers could both append).  A sink
+    that a streaming file sink writes is refused: readers of it see only the
+    files in the stream's log, so appended rows would be invisible.
     """
     keys = list(keys)
+    if written_by_stream(spark, path):
+        raise ValueError(f"{path} is written by a streaming file sink (_spark_metadata): "
+                         "rows appended beside it would not be read; use another table")
     todo = dedupe_batch(batch, keys) if dedupe else batch
-    cached = partition_col is not None and path_exists(spark, path)
-    if cached:
-        # used twice (its days name the sink folders to read, then it is
-        # written): keep it rather than parse the raw input again; spills to
-        # disk if large
-        todo = todo.persist()
-    try:
-        if partition_col is None:
-            out = new_records(todo, read_sink(spark, path), keys)
-        elif not cached:
-            out = todo  # no sink yet: everything is new
-        else:
-            values = batch_partition_values(todo, partition_col)
+    old = None
+    if path_exists(spark, path):
+        if partition_col is not None and key_fixes_partition:
+            values = partition_values() if partition_values else batch_partition_values(batch, partition_col)
             old = read_sink_partitions(spark, path, partition_col, values)
-            out = todo if old is None else todo.join(old.select(*keys), keys, "left_anti")
-        if partition_col is not None:
-            out = out.hint("rebalance", partition_col)
-        order = ([partition_col] if partition_col else []) + list(cluster_by)
-        if cluster_by:
-            out = out.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
-        write_append(out, path, partition_by=[partition_col] if partition_col else ())
-    finally:
-        if cached:
-            todo.unpersist()
+        else:
+            old = read_sink(spark, path)
+    out = todo if old is None else todo.join(old.select(*keys), keys, "left_anti")
+    if partition_col is not None:
+        out = out.hint("rebalance", partition_col)
+    order = ([partition_col] if partition_col else []) + list(cluster_by)
+    if cluster_by:
+        out = out.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
+    write_append(out, path, partition_by=[partition_col] if partition_col else ())

@@ -63,10 +63,40 @@ def json_map_rows(
     value_name: str = "value",
     keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """JSON object text -> map -> one row per member."""
+    """JSON object text -> map -> one row per member that is a ``value_type``
+    (or null).  Members that aren't, and documents that can't be read, are left
+    out; ``json_map_checked`` reports them."""
+    checked = json_map_checked(df, json_col, value_type, key_name, value_name, keep)
+    return checked.where("not rejected").drop("text", "rejected")
+
+
+def json_map_checked(
+    df: DataFrame,
+    json_col: str,
+    value_type: str = "double",
+    key_name: str = "key",
+    value_name: str = "value",
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Like ``json_map_rows``, but nothing is lost silently: one row per member
+    with its text, and ``rejected`` true where the text is no ``value_type``
+    (value NULL), or where the whole document can't be read (key NULL, the
+    document as text).  A JSON null member is a valid NULL; a NULL document
+    and an empty object have no rows."""
     kept = list(keep) if keep is not None else [c for c in df.columns if c != json_col]
-    parsed = F.from_json(F.col(json_col), f"map<string,{value_type}>")
-    return df.select(*kept, F.explode(parsed).alias(key_name, value_name))
+    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    # a text that is no object parses to NULL: it is kept as one rejected entry
+    whole = F.create_map(F.lit("").cast("string"), F.col(json_col))
+    unread = F.col(json_col).isNotNull() & parsed.isNull()
+    rows = df.select(*kept, unread.alias("_unread"), F.explode(F.when(unread, whole).otherwise(parsed)).alias("_k", "_t"))
+    value = F.col("_t").try_cast(value_type)
+    return rows.select(
+        *kept,
+        F.when(~F.col("_unread"), F.col("_k")).alias(key_name),
+        F.when(~F.col("_unread"), value).alias(value_name),
+        F.col("_t").alias("text"),
+        (F.col("_unread") | (F.col("_t").isNotNull() & value.isNull())).alias("rejected"),
+    )
 
 
 def with_constants(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The snapshot document layout of the quotes API.
@@ -15,30 +16,45 @@ RAW_SCHEMA = T.StructType([
     T.StructField("time_next_update_unix", T.LongType()),
     T.StructField("time_next_update_utc", T.StringType()),
     T.StructField("base_code", T.StringType()),
-    # read as a map: new codes need no schema change, int and float rates unify
-    T.StructField("conversion_rates", T.MapType(T.StringType(), T.DoubleType())),
+    # read as a map: new codes need no schema change; rates stay text until
+    # they are cast one by one, so a bad one can't take its neighbours along
+    T.StructField("conversion_rates", T.MapType(T.StringType(), T.StringType())),
 ])
 
 INDEX_COLS = [f.name for f in RAW_SCHEMA.fields if f.name != "conversion_rates"]
 
+# Column that holds the text of a document that can't be read (kept only when
+# bad documents are to be quarantined).
+CORRUPT = "_corrupt_record"
+CHECKED_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
-def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+
+def _reader(reader, multiline: bool, quarantine: bool):
+    schema = CHECKED_SCHEMA if quarantine else RAW_SCHEMA
+    mode = "PERMISSIVE" if quarantine else "FAILFAST"
+    return (
+        reader.schema(schema).option("multiLine", multiline).option("mode", mode)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+    )
+
+
+def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True,
+                   quarantine: bool = False) -> DataFrame:
     """Scan snapshot documents with the fixed schema (no inference pass).
 
     ``multiline=True`` for pretty-printed API files (one document per file);
     ``False`` for JSON-lines folders written by ``land_snapshots``.
+
+    A document that can't be read ends the job.  With ``quarantine`` it comes
+    as a row that holds only its text, in the column ``_corrupt_record``
+    (``silver.rejected`` collects those).
     """
-    return (
-        spark.read.schema(RAW_SCHEMA)
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .json(path)
-    )
+    return _reader(spark.read, multiline, quarantine).json(path)
 
 
 def stream_snapshots(spark: SparkSession, path: str, multiline: bool = True,
                      max_files_per_trigger: int | None = None,
-                     archive_dir: str | None = None) -> DataFrame:
+                     archive_dir: str | None = None, quarantine: bool = False) -> DataFrame:
     """The same scan as a Structured Streaming file source.
 
     A file source lists its whole input folder on every trigger.  With
@@ -46,7 +62,7 @@ def stream_snapshots(spark: SparkSession, path: str, multiline: bool = True,
     there (``cleanSource=archive``), so the folder the stream lists holds only
     recent, unprocessed files and the listing does not grow with history.
     """
-    r = spark.readStream.schema(RAW_SCHEMA).option("multiLine", multiline)
+    r = _reader(spark.readStream, multiline, quarantine)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir:
@@ -54,6 +70,15 @@ def stream_snapshots(spark: SparkSession, path: str, multiline: bool = True,
     return r.json(path)
 
 
+def snapshot_days(raw: DataFrame) -> list:
+    """The distinct payload days of raw snapshots, from their headers only
+    (no rate is parsed or exploded); a small list reaches the driver."""
+    from tidemark.functions.timeparse import parse_rfc2822
+
+    day = F.to_date(parse_rfc2822("time_last_update_utc"))
+    return [r[0] for r in raw.select(day.alias("d")).distinct().collect()]
+
+
 def land_snapshots(payloads: DataFrame, path: str, date_col: str = "ingest_date") -> None:
     """Write payload rows as JSON under ``<path>/<date_col>=<day>/``.
 

@@ -34,14 +34,23 @@ def read_gold(spark: SparkSession, gold_root: str, names: Sequence[str] = GOLD_T
 
 def write_overwrite(df: DataFrame, path: str, compression: str = "snappy",
                     partition_by: Sequence[str] = ()) -> None:
-    """Replace the table at ``path``.  Never read ``path`` in the same plan:
-    a static overwrite deletes its input first."""
+    """Replace the whole table at ``path``, all its partitions included,
+    whatever the session's overwrite mode.  Never read ``path`` in the same
+    plan: a static overwrite deletes its input first."""
     w = df.write.mode("overwrite").option("compression", compression)
+    w = w.option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                     compression: str = "snappy") -> None:
+    """Replace only the partitions that ``df`` has rows for."""
+    w = df.write.mode("overwrite").option("compression", compression)
+    w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
 def write_append(df: DataFrame, path: str, compression: str = "snappy",
                  partition_by: Sequence[str] = ()) -> None:
     w = df.write.mode("append").option("compression", compression)

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeparse import epoch_micros_ntz
-from tidemark.operators import ingest
-from tidemark.plans.silver import CLUSTER_BY, PARTITION_COL, to_silver
+from tidemark.plans.silver import PARTITION_COL, to_silver, write_silver
 from tidemark.sources.snapshots import stream_snapshots
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def stream_silver(
     spark: SparkSession,
     raw_path: str,
@@ -20,24 +22,25 @@ def stream_silver(
     max_files_per_trigger: int | None = None,
     available_now: bool = True,
     archive_dir: str | None = None,
+    quarantine_path: str | None = None,
 ):
-    """File stream -> silver -> foreachBatch(dedupe, anti join, append).
+    """File stream -> foreachBatch(silver, dedupe, anti join, append).
 
     Replay safety: the checkpoint records processed files; a micro-batch that
     is replayed after a failure re-runs the same anti join and appends
     nothing twice.  No watermark, so nothing late is lost.
     ``archive_dir``: move processed raw files there (see ``stream_snapshots``).
+    A bad document or rate ends the query before its micro-batch is committed
+    (or archived), unless ``quarantine_path`` names a table for them.
     Returns the finished (available-now) or running query.
     """
-    rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger,
-                                      archive_dir))
+    raw = stream_snapshots(spark, raw_path, multiline, max_files_per_trigger, archive_dir,
+                           quarantine_path is not None)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        # append_new keeps the deduplicated batch cached while it is used twice
-        ingest.append_new(batch.sparkSession, batch, silver_path, ["hash_diff"], PARTITION_COL,
-                          cluster_by=CLUSTER_BY)
+        write_silver(batch, silver_path, quarantine_path=quarantine_path)
 
-    w = rows.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    w = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 hour")
     q = w.start()
     if available_now:
@@ -55,12 +58,14 @@ def stream_silver_dedupe(
     max_files_per_trigger: int | None = None,
     files_per_day: int | None = None,
 ):
-    """Stateful variant: the stream itself drops repeated hashes.
+    """Stateful variant: the stream itself drops repeated hashes, kept in
+    RocksDB state on the executors (not on the JVM heap).
 
-    Without ``watermark`` the dedupe state grows with the number of keys.
-    With it (``dropDuplicatesWithinWatermark``) state is bounded, but rows
-    arriving later than the delay are dropped - use only when the delay
-    exceeds any possible disorder.
+    With ``watermark`` (``dropDuplicatesWithinWatermark``) the state is
+    bounded, but rows arriving later than the delay are dropped: the delay has
+    to exceed any possible disorder.  Without it the state is UNBOUNDED: every
+    hash ever seen stays in it; for small sources only.  The sink keeps a log
+    of its files, so ``append_new`` refuses to write beside it.
 
     The file sink writes one file per task and day (AQE is off in streaming
     plans).  ``files_per_day`` clusters each micro-batch by (day, salt of the
@@ -85,14 +90,20 @@ def stream_silver_dedupe(
     if files_per_day:
         salt = F.pmod(F.xxhash64("hash_diff"), F.lit(files_per_day))
         rows = rows.repartition(F.col(PARTITION_COL), salt)
-    q = (
-        rows.writeStream.format("parquet")
-        .option("path", silver_path)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy(PARTITION_COL)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)  # a query keeps the settings it starts with
+    try:
+        q = (
+            rows.writeStream.format("parquet")
+            .option("path", silver_path)
+            .option("checkpointLocation", checkpoint)
+            .partitionBy(PARTITION_COL)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(provider, before)
     q.awaitTermination()
     return q
