@@ -1,19 +1,22 @@
 """Silver -> gold: performance frame, movers, heat map, top lists, volatility.
 
 The performance frame feeds five outputs, so it is written once as a gold
-table and read back (lineage cut, computed once) instead of being recomputed
-per output.  Table and column names follow the original gold layer.
+table, partitioned by snapshot day, and read back (lineage cut, computed once)
+instead of being recomputed per output.  An incremental run extends it from the
+last rows of each entity.  Table and column names follow the original gold
+layer.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.classify import RISK_RULES, TIER_RULES
 from tidemark.operators import movers, profile, series
-from tidemark.plans.silver import ENTITY, TIME, VALUE
-from tidemark.sources.tables import read_table, write_overwrite
+from tidemark.plans.silver import ENTITY, PARTITION_COL, TIME, VALUE
+from tidemark.session import materialize
+from tidemark.sources.tables import read_table, write_append, write_overwrite, write_partitions
 
 VOL_NAMES = {
     "volatility": "volatility_30d",
@@ -32,9 +35,10 @@ def performance_frame(silver: DataFrame, strategy: str = "auto",
 
 
 def gold_tables(perf: DataFrame, entity: str = ENTITY, time: str = TIME, value: str = VALUE,
-                tiers=TIER_RULES, risk=RISK_RULES, k: int = 10) -> dict[str, DataFrame]:
-    """The four gold outputs from a (materialised) performance frame."""
-    mv = movers.latest_snapshot(perf, time)
+                tiers=TIER_RULES, risk=RISK_RULES, k: int = 10, latest: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The four gold outputs from a (materialised) performance frame.
+    ``latest``: a part of it that holds the latest snapshot."""
+    mv = movers.latest_snapshot(perf if latest is None else latest, time)
     cols = [entity, value, "daily_change_pct"]
     return {
         "currency_heatmap": profile.heatmap(mv, entity, value, tier=tiers),
@@ -46,22 +50,104 @@ def gold_tables(perf: DataFrame, entity: str = ENTITY, time: str = TIME, value:
     }
 
 
-def run_gold(spark: SparkSession, silver_path: str, gold_path: str, strategy: str = "auto",
-             tiers=TIER_RULES, risk=RISK_RULES, k: int = 10) -> dict[str, DataFrame]:
-    """Full recompute from silver (a late snapshot changes later lags)."""
-    silver = spark.read.parquet(silver_path)
-    perf = performance_frame(silver, strategy)
-    # written once; the five consumers read the table, not the lineage.
-    # Each part file is sorted by time (a local sort, no shuffle), so its row
-    # groups cover narrow time ranges: the movers' ``time = max(time)``
-    # filter, pushed into the scan, then skips all but the latest row groups
-    # instead of reading the whole history three times.
-    write_overwrite(perf.sortWithinPartitions(F.col(TIME).asc_nulls_first()),
-                    f"{gold_path}/performance.parquet")
+def _write_gold(spark: SparkSession, gold_path: str, **kw) -> dict[str, DataFrame]:
+    """The four outputs from the performance table.  The movers read only the
+    partition of its latest day, found by one folder listing."""
     perf = read_table(spark, gold_path, "performance")
-    out = gold_tables(perf, tiers=tiers, risk=risk, k=k)
+    day = latest_partition(spark, f"{gold_path}/performance.parquet", PARTITION_COL)
+    latest = perf if day is None else perf.where(F.col(PARTITION_COL) == F.lit(day).cast("date"))
+    out = gold_tables(perf, latest=latest, **kw)
     for name, df in out.items():
         # sorted outputs: the final sort is a range exchange; the rows keep
         # their advisory order across the part files.
         write_overwrite(df, f"{gold_path}/{name}.parquet")
     return {name: read_table(spark, gold_path, name) for name in [*out, "performance"]}
+
+
+def latest_partition(spark: SparkSession, path: str, column: str) -> str | None:
+    """The greatest partition value of a table by its folder names (ISO days
+    sort as text); None where it has none."""
+    jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    listed = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(at)  # noqa: SLF001
+    names = [x.getPath().getName() for x in listed]
+    values = [n.partition("=")[2] for n in names if n.startswith(f"{column}=") and not n.endswith("PARTITION__")]
+    return max(values, default=None)
+
+
+# Rows of each entity that the tails table keeps: the largest lag, the row
+# that only gives the first kept row its previous value, and that row.
+TAIL_ROWS = max([series.DEFAULT_FIRST_LAG[1], *series.DEFAULT_LAGS.values()]) + 2
+
+
+def _write_performance(perf: DataFrame, path: str, write) -> None:
+    write(perf.hint("rebalance", PARTITION_COL), path, partition_by=[PARTITION_COL])
+
+
+def _write_tails(rows: DataFrame, gold_path: str) -> None:
+    """The last TAIL_ROWS silver rows of each entity: what a later, on-time
+    snapshot needs of the history."""
+    back = Window.partitionBy(ENTITY).orderBy(F.col(TIME).desc_nulls_last(), F.col("hash_diff").desc())
+    last = rows.withColumn("_n", F.row_number().over(back)).where(F.col("_n") <= TAIL_ROWS).drop("_n")
+    write_overwrite(last, f"{gold_path}/tails.parquet")
+
+
+def run_gold(spark: SparkSession, silver_path: str, gold_path: str, strategy: str = "auto",
+             tiers=TIER_RULES, risk=RISK_RULES, k: int = 10) -> dict[str, DataFrame]:
+    """Full recompute from silver.  Performance is written once, partitioned
+    by snapshot day; the outputs read the table, not the lineage."""
+    silver = spark.read.parquet(silver_path)
+    _write_performance(performance_frame(silver, strategy), f"{gold_path}/performance.parquet", write_overwrite)
+    _write_tails(silver, gold_path)
+    return _write_gold(spark, gold_path, tiers=tiers, risk=risk, k=k)
+
+
+def run_gold_incremental(spark: SparkSession, silver_path: str, gold_path: str, days: list,
+                         strategy: str = "auto", tiers=TIER_RULES, risk=RISK_RULES,
+                         k: int = 10) -> dict[str, DataFrame]:
+    """Bring gold up to date after silver got new rows in the given snapshot
+    ``days`` (see ``snapshot_days``).  The result is that of ``run_gold``.
+
+    * New rows: silver rows of those days that performance does not have.
+    * An entity whose new rows all come after its history is on time: its
+      last TAIL_ROWS rows and the new rows give its new performance rows,
+      which are appended; no older row is read.
+    * An entity that got a late row is computed again from its silver rows;
+      its performance rows from that time on are replaced, by rewriting the
+      days from the earliest late row on (other entities' rows are copied).
+
+    The tails table and the four outputs are rewritten.
+    """
+    days = [d for d in days if d is not None]
+    path = f"{gold_path}/performance.parquet"
+    silver = spark.read.parquet(silver_path)
+    perf = spark.read.parquet(path)
+    in_days = F.col(PARTITION_COL).isin(days) if days else F.lit(False)
+    # read by both branches and both writes: written once
+    new = materialize(silver.where(in_days).join(perf.where(in_days).select("hash_diff"), "hash_diff", "left_anti")
+                      .select(*silver.columns))
+    tails = materialize(read_table(spark, gold_path, "tails"))
+    since = new.groupBy(ENTITY).agg(F.min(TIME).alias("_since"))
+    ends = tails.groupBy(ENTITY).agg(F.max(TIME).alias("_end"))
+    state = materialize(since.join(ends, ENTITY, "left").withColumn(
+        "_late", F.coalesce(F.col("_since") <= F.col("_end"), F.lit(False))))
+    on_time, late = state.where(~F.col("_late")), state.where("_late")
+
+    def changed(rows: DataFrame, entities: DataFrame) -> DataFrame:
+        frame = performance_frame(rows.join(entities.select(ENTITY), ENTITY, "left_semi"), strategy)
+        return frame.join(entities.select(ENTITY, "_since"), ENTITY).where(F.col(TIME) >= F.col("_since")).drop("_since")
+
+    fresh = changed(tails.unionByName(new), on_time)
+    first = late.agg(F.to_date(F.min("_since"))).first()[0]
+    if first is None:
+        _write_performance(fresh.select(*perf.columns), path, write_append)
+    else:
+        again = changed(silver, late)
+        kept = perf.where(F.col(PARTITION_COL) >= F.lit(first)).join(late.select(ENTITY, "_since"), ENTITY, "left")
+        kept = kept.where(F.col("_since").isNull() | (F.col(TIME) < F.col("_since"))).drop("_since")
+        # days are read and replaced: the rows leave the table first
+        rows = materialize(kept.select(*perf.columns).unionByName(again.select(*perf.columns))
+                           .unionByName(fresh.select(*perf.columns)))
+        _write_performance(rows, path, write_partitions)
+    _write_tails(tails.unionByName(new), gold_path)
+    return _write_gold(spark, gold_path, tiers=tiers, risk=risk, k=k)

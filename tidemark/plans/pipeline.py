@@ -19,11 +19,14 @@ def run_pipeline(spark: SparkSession, raw_path: str, silver_path: str, gold_path
 def run_pipeline_streaming(spark: SparkSession, raw_path: str, silver_path: str, gold_path: str,
                            checkpoint: str, multiline: bool = True, strategy: str = "auto",
                            max_files_per_trigger: int | None = None,
+                           archive_dir: str | None = None,
                            **gold_kw) -> dict[str, DataFrame]:
     """The hourly run with the file stream as the silver step: only files not
     yet seen by the checkpoint are read (``availableNow``), then gold is
-    recomputed in batch (row lags have no streaming form)."""
+    recomputed in batch (row lags have no streaming form).  ``archive_dir``:
+    read files are moved there, so the next run's listing doesn't see them."""
     from tidemark.streaming.ingest import stream_silver
 
-    stream_silver(spark, raw_path, silver_path, checkpoint, multiline, max_files_per_trigger)
+    stream_silver(spark, raw_path, silver_path, checkpoint, multiline, max_files_per_trigger,
+                  archive_dir=archive_dir)
     return run_gold(spark, silver_path, gold_path, strategy, **gold_kw)

@@ -32,12 +32,14 @@ def event_type_day_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).agg(F.sum(F.col("value").cast(MONEY)).cast(MONEY).alias("value"))
 
 
-# Header fields of a quotes API snapshot document.
+# Header texts of the synthetic snapshot documents.
 SNAPSHOT_HEADER = {
     "result": "success",
-    "documentation": "https://www.exchangerate-api.com/docs",
-    "terms_of_use": "https://www.exchangerate-api.com/terms",
+    "documentation": "https://quotes.example.org/docs",
+    "terms_of_use": "https://quotes.example.org/terms",
 }
+# Documents that a snapshot's codes are split over when no number is given.
+DOCUMENTS = 16
 
 
 def snapshot_payloads(
@@ -46,30 +48,31 @@ def snapshot_payloads(
     time: str = "ts",
     value: str = "value",
     base_code: str = "SUP",
-    rates_per_doc: int = 500,
+    documents: int = DOCUMENTS,
 ) -> DataFrame:
     """Turn a keyed series into snapshot documents shaped like the API's.
 
-    One snapshot per time value; its rates are split over documents of about
-    ``rates_per_doc`` codes (hash buckets of the entity), so no document, and
-    no aggregation group, grows with the number of entities.  The silver
-    transform does not care how a snapshot's rates are split.
+    One snapshot per time value; its rates are split over ``documents``
+    documents (hash buckets of the entity), whose number the caller chooses so
+    that a document stays small (a few hundred codes).  The silver transform
+    does not care how a snapshot's rates are split.  A NULL entity has no
+    place in a JSON object: it ends the job with a message.
     """
     from tidemark.functions.timeparse import epoch_seconds_ntz, format_rfc2822
 
-    # the bucket count only needs an estimate: one HyperLogLog aggregate, no
-    # shuffle of the distinct keys
-    n_entities = series.agg(F.approx_count_distinct(entity, 0.05)).first()[0] or 0
-    buckets = max(1, -(-n_entities // rates_per_doc))
+    code = F.coalesce(
+        F.col(entity).cast("string"),
+        F.raise_error(F.lit(f"a snapshot can't hold a rate without a code: {entity} is NULL")).cast("string"),
+    )
     # naive UTC; no session-time-zone cast anywhere
     ts = F.col(time).cast("timestamp_ntz")
     nxt = F.add_months(F.col(time), 1).cast("timestamp_ntz")
     docs = series.groupBy(
         F.col(time).alias("_t"),
-        F.pmod(F.xxhash64(F.col(entity)), F.lit(buckets)).alias("_doc"),
+        F.pmod(F.xxhash64(F.col(entity)), F.lit(documents)).alias("_doc"),
     ).agg(
         F.map_from_entries(
-            F.collect_list(F.struct(F.col(entity).cast("string"), F.col(value).cast("double")))
+            F.collect_list(F.struct(code, F.col(value).cast("double")))
         ).alias("conversion_rates")
     ).withColumnRenamed("_t", time)
     return docs.select(
