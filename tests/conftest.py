@@ -6,23 +6,26 @@ from pathlib import Path
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-# folder of the 41 sample quote snapshot documents (read only); the golden
-# tests are skipped unless TIDEMARK_SAMPLE_SNAPSHOTS names it
-RAW_FX = os.environ.get("TIDEMARK_SAMPLE_SNAPSHOTS", "")
+# folder of 41 quote snapshot documents: generated, unless
+# TIDEMARK_SAMPLE_SNAPSHOTS names another one of the same layout
+import sample_docs  # noqa: E402
+
+RAW_FX = os.environ.get("TIDEMARK_SAMPLE_SNAPSHOTS") or sample_docs.write()
 SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
 def spark():
-    from tidemark.session import checkpoint_dir, get_session
+    from tidemark.session import checkpoint_dir, drop_scratch, get_session
 
     s = get_session("local[4]", app_name="tidemark-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s
+    drop_scratch(s)
     s.stop()
 
 

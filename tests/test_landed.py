@@ -135,25 +135,23 @@ def test_entity_filter_reaches_scan_below_windows(spark, tmp_dir, landed):
     assert hist.count() == months - 1 > 0
 
 
-def test_gold_performance_files_sorted_by_time_and_movers_filter_pushed(spark, tmp_dir, landed):
+def test_gold_performance_is_partitioned_and_movers_read_one_day(spark, tmp_dir, landed):
     import glob
 
-    import pyarrow.parquet as pq
-
-    from tidemark.operators import movers
+    from tidemark.plans.gold import latest_partition
     from tidemark.plans.pipeline import run_pipeline
 
     raw, _, _ = landed
     out = run_pipeline(spark, raw, f"{tmp_dir}/silver", f"{tmp_dir}/gold", multiline=False)
-    parts = glob.glob(f"{tmp_dir}/gold/performance.parquet/*.parquet")
-    assert parts
-    for part in parts:
-        ts = pq.read_table(part, columns=["time_last_update_utc"]).column(0).to_pylist()
-        assert ts == sorted(ts, key=lambda t: (t is not None, t))
-    latest = movers.latest_snapshot(out["performance"], "time_last_update_utc")
-    latest.collect()
+    path = f"{tmp_dir}/gold/performance.parquet"
+    days = sorted(p.rpartition("=")[2] for p in glob.glob(f"{path}/snapshot_date=*"))
+    assert len(days) > 30 and latest_partition(spark, path, "snapshot_date") == days[-1]
+    perf = out["performance"]
+    latest = perf.where(F.col("snapshot_date") == F.lit(days[-1]).cast("date"))
+    assert len(latest.inputFiles()) == len(perf.inputFiles())  # the pruning is the scan's
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(time_last_update_utc,ScalarSubquery" in plan
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan
+    assert out["currency_heatmap"].count() == latest.count()
 
 
 def test_silver_day_files_clustered_by_entity_and_time(spark, tmp_dir, landed):
@@ -229,7 +227,8 @@ def test_dated_path_and_multiline_read(spark, tmp_dir, landed):
     assert pretty.where("conversion_rates IS NULL").count() == 0
     # without multiLine a pretty-printed document is not one record
     lines = read_snapshots(spark, f"{tmp_dir}/pretty/*.json", multiline=False)
-    assert lines.where("conversion_rates IS NOT NULL").count() == 0
+    with pytest.raises(Exception, match="[Mm]alformed"):
+        lines.collect()
     assert to_silver(pretty).count() == sum(
         len(r["conversion_rates"]) for r in pretty.select("conversion_rates").collect()
     )

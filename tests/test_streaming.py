@@ -1,13 +1,7 @@
 """Streaming ingestion equals batch ingestion."""
 
-import os
-
-import pytest
-
 from conftest import RAW_FX
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(RAW_FX), reason="sample payloads absent")
-
 
 def test_stream_equals_batch(spark, tmp_dir):
     from tidemark.streaming.ingest import stream_silver

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.classify import risk_rules, tier_rules
 from tidemark.operators import context, movers, profile, series
 from tidemark.plans.series_sources import supplier_month_series
+from tidemark.session import scratch_path
+from tidemark.sources.tables import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +34,17 @@ def perf_a(spark: SparkSession, sf_dir: str, strategy: str = "window") -> DataFr
     ).select(*PERF_COLS)
 
 
+def written_perf_a(spark, sf_dir) -> DataFrame:
+    """The performance frame written once and read back, for queries that use
+    it several times (the latest time and its rows, the history): the windows
+    run once, as in the gold job."""
+    path = scratch_path(spark, "performance")
+    perf_a(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def movers_a(spark, sf_dir):
-    return movers.latest_snapshot(perf_a(spark, sf_dir), "ts")
+    return movers.latest_snapshot(written_perf_a(spark, sf_dir), "ts")
 
 
 # ---------------------------------------------------------------- Spark side
@@ -57,15 +68,37 @@ def q_pct_change_indexed(spark, sf_dir):
 
 
 def q_pct_change_auto(spark, sf_dir):
-    """The production path: ``auto`` probes series length and NULL values,
-    here with a threshold that marks every entity hot, so the single-gather
-    indexed path runs."""
+    """The production path: ``auto`` probes the series lengths, here with a
+    threshold that marks every entity hot, so the indexed strategy runs."""
     s = supplier_month_series(spark, sf_dir)
     return series.performance(
         s, "entity", "ts", "value", strategy="auto", hot_series_rows=0
     ).select(*PERF_COLS)
 
 
+def event_hours(spark, sf_dir) -> DataFrame:
+    """Events by type with their time cut to the hour: many tied times."""
+    return read_table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("entity"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("ts"), "value", "event_id"
+    )
+
+
+def _ties(spark, sf_dir, strategy):
+    return series.performance(event_hours(spark, sf_dir), "entity", "ts", "value", strategy=strategy).select(
+        "event_id", *PERF_COLS
+    )
+
+
+def q_pct_change_ties_window(spark, sf_dir):
+    """Tied times are ordered by the other columns ..."""
+    return _ties(spark, sf_dir, "window")
+
+
+def q_pct_change_ties_indexed(spark, sf_dir):
+    """... the same way by either strategy."""
+    return _ties(spark, sf_dir, "indexed")
+
+
 def q_latest_snapshot(spark, sf_dir):
     return movers_a(spark, sf_dir)
 
@@ -119,7 +152,7 @@ def q_treemap_rollup(spark, sf_dir):
 
 
 def q_entity_change_stats(spark, sf_dir):
-    stats = profile.stats_sentences(profile.change_stats(perf_a(spark, sf_dir), "entity"), "entity")
+    stats = profile.stats_sentences(profile.change_stats(perf_a(spark, sf_dir), "entity", change_digits=2), "entity")
     return stats.select(
         "entity",
         F.round("avg_change", 6).alias("avg_change"),
@@ -131,15 +164,36 @@ def q_entity_change_stats(spark, sf_dir):
 
 
 def q_top5_context(spark, sf_dir):
-    mv = movers_a(spark, sf_dir)
-    vol = profile.volatility_profile(perf_a(spark, sf_dir), "entity", risk=A_RISK, sort=False)
-    return context.top_lists(mv, vol, "entity")
+    return context.top_lists(*_heat_and_volatility(spark, sf_dir), "entity")
+
+
+def _heat_and_volatility(spark, sf_dir):
+    perf = written_perf_a(spark, sf_dir)
+    return (
+        movers.latest_snapshot(perf, "ts"),
+        profile.volatility_profile(perf, "entity", risk=A_RISK, sort=False),
+    )
 
 
 def q_context_json(spark, sf_dir):
-    mv = movers_a(spark, sf_dir)
-    vol = profile.volatility_profile(perf_a(spark, sf_dir), "entity", risk=A_RISK, sort=False)
-    return context.currency_context(mv, vol, "entity")
+    return context.currency_context(*_heat_and_volatility(spark, sf_dir), "entity")
+
+
+def q_order_discount_stats(spark, sf_dir):
+    """Statistics per order: many orders have one line, whose deviation is
+    NULL and shows as n/a."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_discount") * 100).alias("pct"))
+    stats = profile.stats_sentences(profile.change_stats(li, "l_orderkey", "pct", change_digits=2), "l_orderkey")
+    return stats.select("l_orderkey", F.round("volatility", 6).alias("volatility"), "max_gain", "max_loss", "summary")
+
+
+def q_small_value_stats(spark, sf_dir):
+    """Means of very small values (1e-12 and below) are not rounded away;
+    scaled up again only for the comparison."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_suppkey", (F.col("l_discount") * 1e-12).alias("x"))
+    stats = profile.change_stats(li, "l_suppkey", "x")
+    return stats.select("l_suppkey", *[F.round(F.col(c) * 1e12, 10).alias(c)
+                                       for c in ("avg_change", "volatility", "max_gain", "max_loss")])
 
 
 # ---------------------------------------------------------------- SQL side
@@ -219,6 +273,25 @@ UNION ALL SELECT * FROM (
          entity, volatility, risk
   FROM vol_a ORDER BY volatility DESC NULLS FIRST, entity LIMIT 5)"""
 
+def _figure(expr: str) -> str:
+    return f"coalesce(printf('%.2f%%', CAST({expr} AS DOUBLE)), 'n/a')"
+
+
+def _sentence(entity: str, mean: str) -> str:
+    return (f"CAST({entity} AS VARCHAR) || ': mean daily change ' || {_figure(f'ROUND(CAST({mean} AS DECIMAL(38,10)), 2)')}"
+            f" || ', volatility ' || {_figure('volatility')} || ', best day ' || {_figure('max_gain')}"
+            f" || ', worst day ' || {_figure('max_loss')} || '.'")
+
+
+_TIES = "PARTITION BY entity ORDER BY ts NULLS FIRST, value NULLS FIRST, event_id NULLS FIRST"
+TIES_SQL = f"""WITH e AS (SELECT event_type AS entity, date_trunc('hour', ts) AS ts, value, event_id FROM events),
+p1 AS (SELECT *, LAG(value, 1) OVER ({_TIES}) AS prev_value FROM e),
+p2 AS (SELECT *, {_pct('value', 'prev_value')} AS daily_change_pct FROM p1 WHERE prev_value IS NOT NULL),
+p3 AS (SELECT *, LAG(value, 7) OVER ({_TIES}) AS value_lag_7, LAG(value, 30) OVER ({_TIES}) AS value_lag_30 FROM p2)
+SELECT event_id, entity, CAST(ts AS TIMESTAMP) AS ts, value, prev_value, daily_change_pct, value_lag_7, value_lag_30,
+       {_pct('value', 'value_lag_7')} AS weekly_change_pct, {_pct('value', 'value_lag_30')} AS monthly_change_pct
+FROM p3"""
+
 ORACLE_SQL: dict[str, str] = {
     "pct_change_daily": _with(SERIES_A_SQL + f""",
 p1 AS (SELECT entity, ts, value, LAG(value, 1) OVER (PARTITION BY entity ORDER BY ts) AS prev_value
@@ -261,9 +334,18 @@ st AS (SELECT entity, CAST({_exact_mean('daily_change_pct')} AS DOUBLE) AS avg_c
               MAX(CAST(daily_change_pct AS DOUBLE)) AS max_gain,
               MIN(CAST(daily_change_pct AS DOUBLE)) AS max_loss
        FROM perf_a GROUP BY entity)""", """SELECT entity, ROUND(avg_change, 6) AS avg_change, ROUND(volatility, 6) AS volatility, max_gain, max_loss,
-       printf('Analise a moeda %s baseado nos dados dos últimos 30 dias:\n\n- Variação média diária: %.2f%%\n- Volatilidade: %.2f%%\n- Maior alta: %.2f%%\n- Maior queda: %.2f%%\n',
-              CAST(entity AS VARCHAR), ROUND(CAST(avg_change AS DECIMAL(38,10)), 2), volatility, max_gain, max_loss) AS summary
+       """ + _sentence("entity", "avg_change") + """ AS summary
 FROM st"""),
+    "order_discount_stats": f"""WITH st AS (
+  SELECT l_orderkey, {_exact_mean("x")} AS avg_change, STDDEV_SAMP(x) AS volatility, MAX(x) AS max_gain, MIN(x) AS max_loss
+  FROM (SELECT l_orderkey, l_discount * 100 AS x FROM lineitem) GROUP BY 1)
+SELECT l_orderkey, ROUND(volatility, 6) AS volatility, max_gain, max_loss,
+       {_sentence("l_orderkey", "avg_change")} AS summary FROM st""",
+    "small_value_stats": """SELECT l_suppkey, ROUND(AVG(l_discount), 10) AS avg_change, ROUND(STDDEV_SAMP(l_discount), 10) AS volatility,
+       MAX(l_discount) AS max_gain, MIN(l_discount) AS max_loss FROM lineitem GROUP BY 1""",
+    "pct_change_ties_window": TIES_SQL,
+    "pct_change_ties_indexed": TIES_SQL,
+
     "top5_context": _with(PERF_A_SQL + VOL_A_SQL, TOP5_SQL),
 }
 
@@ -274,8 +356,7 @@ def _json_list(label: str, fields: str) -> str:
 ORACLE_SQL["context_json"] = _with(
     PERF_A_SQL + VOL_A_SQL + ",\nlists AS (" + TOP5_SQL + ")",
     "SELECT g AS gain_json, l AS loss_json, v AS volatile_json,\n"
-    "       printf('TOP 5 MAIORES ALTAS:\n%s\n\nTOP 5 MAIORES QUEDAS:\n%s\n\n"
-    "TOP 5 MAIS VOLÁTEIS (30 dias):\n%s\n', g, l, v) AS context\n"
+    "       'Largest gains: ' || g || chr(10) || 'Largest losses: ' || l || chr(10) || 'Most volatile: ' || v || chr(10) AS context\n"
     "FROM (SELECT " + _json_list("gain", "'entity': entity, 'daily_change_pct': metric") + " AS g, "
     + _json_list("loss", "'entity': entity, 'daily_change_pct': metric") + " AS l, "
     + _json_list("volatile", "'entity': entity, 'volatility': metric, 'risk': risk") + " AS v)",
@@ -286,6 +367,10 @@ QUERIES: dict[str, QueryFn] = {
     "pct_change_multi_lag": q_pct_change_multi_lag,
     "pct_change_indexed": q_pct_change_indexed,
     "pct_change_auto": q_pct_change_auto,
+    "pct_change_ties_window": q_pct_change_ties_window,
+    "pct_change_ties_indexed": q_pct_change_ties_indexed,
+    "order_discount_stats": q_order_discount_stats,
+    "small_value_stats": q_small_value_stats,
     "latest_snapshot": q_latest_snapshot,
     "entity_history": q_entity_history,
     "top_gainers": q_top_gainers,

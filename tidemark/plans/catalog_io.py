@@ -10,8 +10,8 @@ from tidemark.functions.numeric import to_money
 from tidemark.functions.timeparse import format_rfc2822, parse_rfc2822
 from tidemark.operators import ingest, reshape
 from tidemark.plans.series_sources import snapshot_payloads, supplier_month_series
-from tidemark.session import scratch_path
-from tidemark.sources.snapshots import land_snapshots, read_snapshots
+from tidemark.session import materialize, scratch_path
+from tidemark.sources.snapshots import dated_snapshot_path, land_snapshots, read_snapshots, snapshot_days
 from tidemark.sources.tables import read_table, write_overwrite
 
 EVENT_HASH_COLS = ["event_id", "ts", "user_id", "event_type", "money", "props"]
@@ -38,6 +38,67 @@ def q_json_map_explode(spark, sf_dir):
     return reshape.json_map_rows(ev, "props", "double", "prop_key", "prop_value")
 
 
+def broken_props(spark, sf_dir) -> DataFrame:
+    """Events whose JSON is damaged for a fixed share of ids: a member that is
+    a text where a number belongs, and documents that are cut off."""
+    ev = _events(spark, sf_dir).select("event_id", "props")
+    text = F.regexp_replace("props", r"[0-9.]+\}", '"n/a", "ok": 5}')
+    cut = F.expr("substring(props, 1, char_length(props) - 2)")
+    return ev.withColumn(
+        "props", F.when(F.col("event_id") % 10 == 3, text).when(F.col("event_id") % 17 == 5, cut).otherwise(F.col("props"))
+    )
+
+
+def q_json_checked_members(spark, sf_dir):
+    """Every valid member stays, every bad member and document is reported."""
+    rows = reshape.json_map_checked(broken_props(spark, sf_dir), "props", "double", "prop_key", "prop_value")
+    return rows.select("event_id", "prop_key", "prop_value", "rejected")
+
+
+def q_json_rejected_count(spark, sf_dir):
+    rows = reshape.json_map_checked(broken_props(spark, sf_dir), "props", "double", "prop_key", "prop_value")
+    return rows.agg(
+        F.count_if(~F.col("rejected")).alias("valid"),
+        F.count_if(F.col("rejected") & F.col("prop_key").isNotNull()).alias("bad_members"),
+        F.count_if(F.col("rejected") & F.col("prop_key").isNull()).alias("bad_documents"),
+    )
+
+
+def q_lineitem_row_keys(spark, sf_dir):
+    """As many keys as different tuples: numbers whose digits run together
+    (12, 3 and 1, 23) give different keys."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity")
+    keyed = li.select("*", content_hash(["l_partkey", "l_suppkey", "l_quantity"], li).alias("row_key"))
+    return keyed.groupBy("row_key").agg(
+        F.countDistinct("l_partkey", "l_suppkey", "l_quantity").alias("tuples"), F.count(F.lit(1)).alias("rows_n")
+    )
+
+
+def q_load_time(spark, sf_dir):
+    """The load timestamp column: there for every row, one value."""
+    rows = reshape.with_load_time(_events(spark, sf_dir).select("event_id", "event_type"))
+    return rows.groupBy("event_type").agg(
+        F.count("load_date_src").alias("stamped"), F.count_distinct("load_date_src").alias("load_times")
+    )
+
+
+def q_first_row_guard(spark, sf_dir):
+    """Emptiness test and first row: a type of event is worth loading only if
+    it has rows; its first event tells the schema's values."""
+    ev = _events(spark, sf_dir)
+    none = ingest.has_rows(ev.where(F.col("event_id") < 0))
+    some = ingest.has_rows(ev)
+    first = ev.orderBy("event_id").limit(1).select("event_id", "event_type")
+    return first.select("*", F.lit(some).alias("has_rows"), F.lit(none).alias("empty_has_rows"))
+
+
+def q_compressed_roundtrip(spark, sf_dir):
+    """The snappy option of the overwrite sink, read back."""
+    path = scratch_path(spark, "snappy")
+    write_overwrite(read_table(spark, sf_dir, "orders"), path, compression="snappy")
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 def q_unpivot_measures(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem")
     ids = ["l_orderkey", "l_linenumber"]
@@ -95,19 +156,29 @@ def q_content_hash(spark, sf_dir):
     ev = _events(spark, sf_dir).withColumn("money", to_money("value"))
     return ev.select(
         "event_id",
-        content_hash(EVENT_HASH_COLS, ev).alias("hash_diff"),
-        content_hash(EVENT_HASH_COLS, ev, sep="|").alias("hash_key"),
+        content_hash(EVENT_HASH_COLS, ev, sep="").alias("hash_diff"),
+        content_hash(EVENT_HASH_COLS, ev).alias("hash_key"),
     )
 
 
 def q_anti_join_new(spark, sf_dir):
     batch = hashed_events(spark, sf_dir)
     loaded = batch.where(F.col("ts") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
-    return ingest.new_records(batch, loaded, ["hash_diff"], "event_date").select(
+    # the hash covers the time, so it determines the date
+    return ingest.new_records(batch, loaded, ["hash_diff"], "event_date", key_fixes_partition=True).select(
         "event_id", "event_date", "hash_diff"
     )
 
 
+def q_anti_join_cross_partition(spark, sf_dir):
+    """Events redelivered under the next date: the key alone decides, so the
+    partitions of the batch don't limit what it is compared with."""
+    batch = hashed_events(spark, sf_dir)
+    loaded = batch.where(F.col("ts") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
+    again = batch.withColumn("event_date", F.date_add("event_date", 1))
+    return ingest.new_records(again, loaded, ["event_id"], "event_date").select("event_id", "event_date")
+
+
 def q_intra_batch_dedupe(spark, sf_dir):
     ev = hashed_events(spark, sf_dir)
     twice = ev.unionByName(ev)
@@ -120,19 +191,37 @@ def q_append_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "append")
     ev = hashed_events(spark, sf_dir)
     first = ev.where(F.col("ts") < F.lit(LOADED_BEFORE).cast("timestamp_ntz"))
-    ingest.append_new(spark, first, path, ["hash_diff"], "event_date")
-    ingest.append_new(spark, ev, path, ["hash_diff"], "event_date")
+    for batch in (first, ev):
+        ingest.append_new(spark, batch, path, ["hash_diff"], "event_date", key_fixes_partition=True)
     return spark.read.parquet(path).select("event_id", "event_date", "hash_diff")
 
 
 def q_overwrite_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "overwrite")
     s = supplier_month_series(spark, sf_dir)
-    write_overwrite(s.where(F.col("entity") < 0), path)  # an earlier, different table
+    # an earlier table with other rows: all of them have to go
+    write_overwrite(s.withColumns({"entity": -F.col("entity"), "value": F.col("value") + 1}), path)
     write_overwrite(s, path)
     return spark.read.parquet(path)
 
 
+def q_overwrite_partitioned(spark, sf_dir):
+    """A replaced table has none of its old partitions left."""
+    path = scratch_path(spark, "overwrite")
+    ev = hashed_events(spark, sf_dir).select("event_id", "event_date")
+    write_overwrite(ev, path, partition_by=["event_date"])
+    late = ev.where(F.col("event_date") >= F.lit(LOADED_BEFORE).cast("date"))
+    write_overwrite(late, path, partition_by=["event_date"])
+    return spark.read.parquet(path).select("event_id", "event_date")
+
+
+def _payloads(spark, sf_dir) -> DataFrame:
+    """Snapshot documents of series A, about 500 suppliers each (the supplier
+    table's row count comes from its file metadata)."""
+    documents = max(1, -(-read_table(spark, sf_dir, "supplier").count() // 500))
+    return snapshot_payloads(supplier_month_series(spark, sf_dir), documents=documents)
+
+
 def _landed(spark, sf_dir, rerun: bool = True, redeliver: bool = False) -> str:
     """Land series-A snapshots as raw JSON by ingest date.
 
@@ -141,7 +230,9 @@ def _landed(spark, sf_dir, rerun: bool = True, redeliver: bool = False) -> str:
     time under the following day, landed with the first delivery in one
     write (the two branches share the series' shuffle)."""
     path = scratch_path(spark, "raw")
-    payloads = snapshot_payloads(supplier_month_series(spark, sf_dir))
+    payloads = _payloads(spark, sf_dir)
+    if rerun:  # landed twice: lineitem is read once
+        payloads = materialize(payloads)
     first = payloads
     if redeliver:
         first = payloads.unionByName(
@@ -155,13 +246,36 @@ def _landed(spark, sf_dir, rerun: bool = True, redeliver: bool = False) -> str:
 
 def q_raw_landing(spark, sf_dir):
     path = _landed(spark, sf_dir)
-    raw = read_snapshots(spark, path, multiline=False)
-    return reshape.explode_map(raw, "conversion_rates", "code", "rate",
-                               keep=["time_last_update_utc"]).select(
-        "code", parse_rfc2822("time_last_update_utc").alias("ts"), "rate"
+    return _rates(read_snapshots(spark, path, multiline=False))
+
+
+def q_multiline_landing(spark, sf_dir):
+    """Pretty-printed documents, one per file, read in multi-line mode."""
+    path = scratch_path(spark, "raw")
+    docs = snapshot_payloads(supplier_month_series(spark, sf_dir), documents=1)
+    text = F.to_json(F.struct(*[c for c in docs.columns if c != "ingest_date"]), {"pretty": "true"})
+    # one document a month, so one file a folder
+    docs.select(text.alias("value"), F.col("ingest_date").alias("month")).write.partitionBy("month").text(path)
+    return _rates(read_snapshots(spark, path, multiline=True))
+
+
+def _rates(raw: DataFrame) -> DataFrame:
+    return reshape.explode_map(raw, "conversion_rates", "code", "rate", keep=["time_last_update_utc"]).select(
+        "code", parse_rfc2822("time_last_update_utc").alias("ts"), F.col("rate").cast("double").alias("rate")
     )
 
 
+def q_dated_snapshot(spark, sf_dir):
+    """One day's documents under its dated path; a run for that day reads
+    only them."""
+    root = scratch_path(spark, "dated")
+    payloads = materialize(_payloads(spark, sf_dir))
+    for day in snapshot_days(payloads.where("time_last_update_utc like '%1995%'")):
+        one = payloads.where(F.col("ingest_date") == F.lit(day)).drop("ingest_date")
+        one.write.json(dated_snapshot_path(root, day))
+    return _rates(read_snapshots(spark, dated_snapshot_path(root, "1995-03-01"), multiline=False))
+
+
 SILVER_OUT = ["code_exchange_rate", "time_last_update_utc", "exchange_rate", "hash_diff", "snapshot_date"]
 
 
@@ -175,62 +289,93 @@ def q_stream_ingest(spark, sf_dir):
     return spark.read.parquet(silver).select(*SILVER_OUT)
 
 
-def q_stream_dedupe(spark, sf_dir):
+def _stream_dedupe(spark, sf_dir, **kw):
     from tidemark.streaming.ingest import stream_silver_dedupe
 
     raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
     silver = scratch_path(spark, "silver")
-    stream_silver_dedupe(spark, raw, silver, scratch_path(spark, "ckpt"), multiline=False)
+    stream_silver_dedupe(spark, raw, silver, scratch_path(spark, "ckpt"), multiline=False, **kw)
     return spark.read.parquet(silver).select(*SILVER_OUT)
 
 
-_GOLD_RUNS: dict[tuple[int, str], str] = {}
-
+def q_stream_dedupe(spark, sf_dir):
+    """UNBOUNDED state (every hash is kept); for small sources."""
+    return _stream_dedupe(spark, sf_dir)
 
-def _gold_run(spark, sf_dir) -> str:
-    """Raw landing -> silver -> gold once per (session, scale dir); the
-    end-to-end queries read the gold tables it wrote."""
-    from tidemark.plans.catalog import A_RISK, A_TIERS
-    from tidemark.plans.pipeline import run_pipeline
 
-    key = (id(spark), sf_dir)
-    if key not in _GOLD_RUNS:
-        raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
-        silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
-        run_pipeline(spark, raw, silver, gold, multiline=False, tiers=A_TIERS, risk=A_RISK)
-        _GOLD_RUNS[key] = gold
-    return _GOLD_RUNS[key]
+def q_stream_dedupe_watermark(spark, sf_dir):
+    """Bounded state: hashes are kept for 62 days after their snapshot.  All
+    files are one micro-batch here, so no delivery is later than that."""
+    return _stream_dedupe(spark, sf_dir, watermark="62 days")
 
 
-def _gold_table(spark, sf_dir, name):
-    from tidemark.sources.tables import read_gold
+def _gold(spark, sf_dir, name):
+    """Raw landing -> silver -> gold, then one of the tables."""
+    from tidemark.plans.catalog import A_RISK, A_TIERS
+    from tidemark.plans.pipeline import run_pipeline
 
-    return read_gold(spark, _gold_run(spark, sf_dir), [name], register=False)[name]
+    raw = _landed(spark, sf_dir, rerun=False, redeliver=True)
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    return run_pipeline(spark, raw, silver, gold, multiline=False, tiers=A_TIERS, risk=A_RISK)[name]
 
 
 def q_gold_heatmap(spark, sf_dir):
-    return _gold_table(spark, sf_dir, "currency_heatmap")
+    return _gold(spark, sf_dir, "currency_heatmap")
 
 
 def q_gold_top_gainers(spark, sf_dir):
-    return _gold_table(spark, sf_dir, "top_gainers")
+    return _gold(spark, sf_dir, "top_gainers")
 
 
 def q_gold_top_losers(spark, sf_dir):
-    return _gold_table(spark, sf_dir, "top_losers")
+    return _gold(spark, sf_dir, "top_losers")
 
 
 def q_gold_volatility(spark, sf_dir):
-    return _gold_table(spark, sf_dir, "volatility_exchange_rates")
+    return _gold(spark, sf_dir, "volatility_exchange_rates")
 
 
-_EV_HASH_TEXT = """coalesce(CAST(event_id AS VARCHAR), ''), coalesce(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), ''),
-       coalesce(CAST(user_id AS VARCHAR), ''), coalesce(event_type, ''),
-       coalesce(CAST(CAST(value AS DECIMAL(20,4)) AS VARCHAR), ''), coalesce(props, '')"""
+def q_gold_incremental(spark, sf_dir):
+    """Gold in three runs: the months before 1996 but one, then the later
+    months (on time), then the month left out (late); performance equals the
+    full recompute."""
+    from tidemark.plans.catalog import A_RISK, A_TIERS
+    from tidemark.plans.gold import run_gold, run_gold_incremental
+    from tidemark.plans.silver import write_silver
+
+    payloads = materialize(_payloads(spark, sf_dir).withColumn(
+        "conversion_rates", F.transform_values("conversion_rates", lambda _, v: v.cast("string"))))
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    month = F.col("ingest_date")
+    late = month == F.lit("1995-03-01").cast("date")
+    parts = [(month < F.lit("1996-01-01").cast("date")) & ~late, month >= F.lit("1996-01-01").cast("date"), late]
+    for i, part in enumerate(parts):
+        batch = payloads.where(part)
+        write_silver(batch, silver)
+        if i == 0:
+            run_gold(spark, silver, gold, tiers=A_TIERS, risk=A_RISK)
+        else:
+            run_gold_incremental(spark, silver, gold, snapshot_days(batch), tiers=A_TIERS, risk=A_RISK)
+    perf = read_table(spark, gold, "performance")
+    return perf.select(
+        "code_exchange_rate", "snapshot_date", "exchange_rate", "prev_value", "daily_change_pct",
+        "value_lag_7", "value_lag_30", "weekly_change_pct", "monthly_change_pct",
+    )
+
+
+_EV_TEXTS = ["CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)", "event_type",
+             "CAST(CAST(value AS DECIMAL(20,4)) AS VARCHAR)", "props"]
+
+
+def _key_sql(texts: list[str]) -> str:
+    """The unambiguous row key: every text behind its length, NULL as n."""
+    return "sha256(" + " || ".join(f"coalesce(length({t})::VARCHAR || ':' || {t}, 'n')" for t in texts) + ")"
+
+
+_EV_HASH_TEXT = ", ".join(f"coalesce({t}, '')" for t in _EV_TEXTS)
 
 HASHED_EVENTS_SQL = f"""hashed AS (
-  SELECT event_id, CAST(ts AS DATE) AS event_date, ts,
-         sha256(concat_ws('', {_EV_HASH_TEXT})) AS hash_diff
+  SELECT event_id, CAST(ts AS DATE) AS event_date, ts, {_key_sql(_EV_TEXTS)} AS hash_diff
   FROM events)"""
 
 # silver rows the landing -> silver path must produce from series A
@@ -240,17 +385,29 @@ SILVER_A_SQL = """WITH s AS (
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(20,4))) AS DECIMAL(20,4)) AS exchange_rate
   FROM lineitem GROUP BY 1, 2)
 SELECT code_exchange_rate, time_last_update_utc, exchange_rate,
-       sha256(concat_ws('', 'success', 'https://www.exchangerate-api.com/docs',
-              'https://www.exchangerate-api.com/terms',
-              CAST(epoch(time_last_update_utc) AS BIGINT)::VARCHAR,
-              strftime(time_last_update_utc, '%Y-%m-%d %H:%M:%S.%f'),
-              CAST(epoch(time_last_update_utc + INTERVAL 1 MONTH) AS BIGINT)::VARCHAR,
-              strftime(time_last_update_utc + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S.%f'),
-              'SUP', code_exchange_rate, CAST(exchange_rate AS VARCHAR), 'api', 'exchangerate-api'))
-         AS hash_diff,
+       """ + _key_sql([
+    "'success'", "'https://quotes.example.org/docs'", "'https://quotes.example.org/terms'",
+    "CAST(epoch(time_last_update_utc) AS BIGINT)::VARCHAR", "strftime(time_last_update_utc, '%Y-%m-%d %H:%M:%S.%f')",
+    "CAST(epoch(time_last_update_utc + INTERVAL 1 MONTH) AS BIGINT)::VARCHAR",
+    "strftime(time_last_update_utc + INTERVAL 1 MONTH, '%Y-%m-%d %H:%M:%S.%f')",
+    "'SUP'", "code_exchange_rate", "CAST(exchange_rate AS VARCHAR)", "'api'", "'exchangerate-api'",
+]) + """ AS hash_diff,
        CAST(time_last_update_utc AS DATE) AS snapshot_date
 FROM s"""
 
+RATES_SQL = """SELECT CAST(l_suppkey AS VARCHAR) AS code,
+       CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS ts,
+       CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(20,4))) AS DECIMAL(20,4)) AS DOUBLE) AS rate
+FROM lineitem GROUP BY 1, 2"""
+
+CHECKED_SQL = r"""WITH e AS (SELECT event_id, CASE WHEN event_id % 10 = 3 THEN regexp_replace(props, '[0-9.]+\}', '"n/a", "ok": 5}', 'g')
+    WHEN event_id % 17 = 5 THEN left(props, length(props) - 2) ELSE props END AS props FROM events),
+m AS (SELECT event_id, k, json_extract_string(props, '$."' || k || '"') AS t
+    FROM (SELECT event_id, props, unnest(json_keys(props)) AS k FROM e WHERE json_valid(props))),
+rows AS (SELECT event_id, k AS prop_key, TRY_CAST(t AS DOUBLE) AS prop_value, t IS NOT NULL AND TRY_CAST(t AS DOUBLE) IS NULL AS rejected FROM m
+    UNION ALL SELECT event_id, NULL, NULL, true FROM e WHERE NOT json_valid(props))
+"""
+
 
 def _oracle() -> dict[str, str]:
     from tidemark.plans.catalog import A_TIER_CASE, PERF_A_SQL, SERIES_A_SQL, VOL_A_SQL
@@ -277,7 +434,7 @@ FROM events""",
        ROUND(value / 3.0, 2) AS third
 FROM events""",
         "content_hash": f"""SELECT event_id, sha256(concat_ws('', {_EV_HASH_TEXT})) AS hash_diff,
-       sha256(concat_ws('|', {_EV_HASH_TEXT})) AS hash_key
+       {_key_sql(_EV_TEXTS)} AS hash_key
 FROM events""",
         "anti_join_new": f"""WITH {HASHED_EVENTS_SQL}
 SELECT event_id, event_date, hash_diff FROM hashed
@@ -287,10 +444,27 @@ SELECT DISTINCT event_id, event_date, hash_diff FROM (SELECT * FROM hashed UNION
         "append_roundtrip": f"""WITH {HASHED_EVENTS_SQL}
 SELECT event_id, event_date, hash_diff FROM hashed""",
         "overwrite_roundtrip": f"WITH {SERIES_A_SQL}\nSELECT * FROM series_a",
-        "raw_landing": """SELECT CAST(l_suppkey AS VARCHAR) AS code,
-       CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS ts,
-       CAST(CAST(SUM(CAST(l_extendedprice AS DECIMAL(20,4))) AS DECIMAL(20,4)) AS DOUBLE) AS rate
-FROM lineitem GROUP BY 1, 2""",
+        "raw_landing": RATES_SQL,
+        "multiline_landing": RATES_SQL,
+        "dated_snapshot": f"SELECT * FROM ({RATES_SQL}) WHERE ts = TIMESTAMP '1995-03-01'",
+        "json_checked_members": CHECKED_SQL + "SELECT * FROM rows",
+        "json_rejected_count": CHECKED_SQL + """SELECT count(*) FILTER (NOT rejected) AS valid,
+       count(*) FILTER (rejected AND prop_key IS NOT NULL) AS bad_members,
+       count(*) FILTER (rejected AND prop_key IS NULL) AS bad_documents FROM rows""",
+        "lineitem_row_keys": f"""SELECT {_key_sql([f"CAST({c} AS VARCHAR)" for c in ("l_partkey", "l_suppkey", "l_quantity")])} AS row_key,
+       CAST(1 AS BIGINT) AS tuples, count(*) AS rows_n FROM lineitem GROUP BY l_partkey, l_suppkey, l_quantity""",
+        "load_time": "SELECT event_type, count(*) AS stamped, CAST(1 AS BIGINT) AS load_times FROM events GROUP BY 1",
+        "first_row_guard": """SELECT event_id, event_type, true AS has_rows, false AS empty_has_rows
+FROM events ORDER BY event_id LIMIT 1""",
+        "compressed_roundtrip": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "anti_join_cross_partition": f"""SELECT event_id, CAST(ts AS DATE) + 1 AS event_date FROM events
+WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '{LOADED_BEFORE}')""",
+        "overwrite_partitioned": f"""SELECT event_id, CAST(ts AS DATE) AS event_date FROM events
+WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{LOADED_BEFORE}' AS DATE)""",
+        "stream_dedupe_watermark": SILVER_A_SQL,
+        "gold_incremental": f"""WITH {PERF_A_SQL}
+SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, ts AS snapshot_date, value AS exchange_rate, prev_value, daily_change_pct,
+       value_lag_7, value_lag_30, weekly_change_pct, monthly_change_pct FROM perf_a""",
         "stream_ingest": SILVER_A_SQL,
         "stream_dedupe": SILVER_A_SQL,
         "gold_heatmap": f"""WITH {PERF_A_SQL}
@@ -316,6 +490,18 @@ FROM vol_a""",
 
 QUERIES = {
     "json_map_explode": q_json_map_explode,
+    "json_checked_members": q_json_checked_members,
+    "json_rejected_count": q_json_rejected_count,
+    "lineitem_row_keys": q_lineitem_row_keys,
+    "load_time": q_load_time,
+    "first_row_guard": q_first_row_guard,
+    "compressed_roundtrip": q_compressed_roundtrip,
+    "anti_join_cross_partition": q_anti_join_cross_partition,
+    "overwrite_partitioned": q_overwrite_partitioned,
+    "multiline_landing": q_multiline_landing,
+    "dated_snapshot": q_dated_snapshot,
+    "stream_dedupe_watermark": q_stream_dedupe_watermark,
+    "gold_incremental": q_gold_incremental,
     "unpivot_measures": q_unpivot_measures,
     "not_null_filter": q_not_null_filter,
     "projection_alias": q_projection_alias,

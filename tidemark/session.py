@@ -5,6 +5,7 @@ Everything here is configuration only: the engine is Spark itself.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -18,7 +19,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
@@ -73,11 +73,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, below the shared
+    checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for write/read-back
-    round trips.  Never a machine-local temp folder on a cluster."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tidemark-scratch/{name}-{uuid.uuid4().hex}"
+    round trips.  Never a machine-local temp folder on a cluster.  It is
+    deleted by ``drop_scratch``, at the latest when the driver's Python ends."""
+    root = scratch_root(spark)
+    if root not in _SCRATCH:
+        _SCRATCH.add(root)
+        atexit.register(drop_scratch, spark)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+_SCRATCH: set[str] = set()
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables.  Frames that still read
+    them can't be used afterwards; other applications' folders stay."""
+    for root in [r for r in _SCRATCH if r.endswith(f"/{spark.sparkContext.applicationId}")]:
+        try:
+            jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
+            path = jvm.org.apache.hadoop.fs.Path(root)
+            path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+        except Exception:  # noqa: BLE001 - the JVM may be gone when Python ends
+            return
+        _SCRATCH.discard(root)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -94,6 +120,8 @@ __all__ = [
     "BASE_CONF",
     "get_session",
     "checkpoint_dir",
+    "scratch_root",
     "scratch_path",
+    "drop_scratch",
     "materialize",
 ]
