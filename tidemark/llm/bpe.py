@@ -26,9 +26,9 @@ from pyspark.sql import types as T
 from tidemark.llm.common import map_columns, read
 
 #: Pieces whose ids one task remembers; the memory is emptied when it is full.
-PIECE_MEMORY = 400_000
+PIECE_MEMORY = 300_000
 #: Neighbour answers that one task remembers.
-PAIR_MEMORY = 1_000_000
+PAIR_MEMORY = 500_000
 #: Rows whose ids are held at once when ids are returned.
 ROWS = 256
 

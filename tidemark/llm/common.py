@@ -75,6 +75,20 @@ def map_columns(
     return df.mapInArrow(run, schema)
 
 
+def slices(texts: list[str | None], most: int = 1 << 21) -> Iterator[slice]:
+    """Consecutive parts of a batch with about ``most`` code points each (one
+    text at least), so that what is made of them stays small."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        size = len(t) if t else 0
+        if held and held + size > most:
+            yield slice(first, i)
+            first, held = i, 0
+        held += size
+    if first < len(texts):
+        yield slice(first, len(texts))
+
+
 def _batch(columns: list, schema: pa.Schema) -> pa.RecordBatch:
     arrays = [
         c if isinstance(c, pa.Array) else pa.array(c, type=f.type)

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import read
+from tidemark.llm.common import read, slices
 
 #: Word edits allowed per word of an item.
 MAX_EDIT = 0.3
@@ -55,7 +55,7 @@ WALKS, TABLES, PLACES, STEPS = 3, 4, 3, 1.5
 ITEM_BLOCK = 20_000
 #: Words searched at a time (their arrays stay in a core's cache), and words a
 #: task remembers.
-STRETCH, WORD_MEMORY = 1 << 16, 1_000_000
+STRETCH, WORD_MEMORY = 1 << 16, 300_000
 #: What the keys that agree on a place have to weigh before it is verified.  A
 #: copy shares most of its keys; unrelated text shares keys of common words
 #: (those in more than COMMON of the items) by chance, but hardly ever several
@@ -321,7 +321,8 @@ def match_column(items: list[tuple], item_type: T.DataType, max_edit: float = MA
     @F.pandas_udf(kind)
     def found(texts: pd.Series) -> pd.Series:
         names = ("item_id", "distance", "start", "end", "stretches")
-        got = tables.matches(texts.tolist(), known)
+        rows = texts.tolist()
+        got = [m for part in slices(rows) for m in tables.matches(rows[part], known)]
         return pd.Series([[dict(zip(names, x, strict=True)) for x in m] for m in got], index=texts.index, dtype=object)
 
     return found

@@ -59,7 +59,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import map_columns, read, split_by_keys, written
+from tidemark.llm.common import map_columns, read, slices, split_by_keys, written
 from tidemark.llm.components import components
 
 #: Words of a shingle, and the similarity of a link in hundredths.
@@ -73,7 +73,7 @@ SIZE_BIT, PLACE_BIT = 36, 4
 #: Bits of the fixed-size filter over the keys of nodes in pairs.
 FILTER = 1 << 20
 #: Words and nodes that a task remembers.
-WORD_MEMORY, NODE_MEMORY = 1_000_000, 1_000_000
+WORD_MEMORY, NODE_MEMORY = 300_000, 1_000_000
 
 
 class _Words(dict):
@@ -146,10 +146,11 @@ def _first_pass(docs: DataFrame, words: int) -> DataFrame:
                 no = [None] * BLOCKS
                 yield [no, no, no, [part] * BLOCKS, [*range(BLOCKS)], told]
                 return
-            sets = [shingles(t, known, words) for t in columns[1]]
-            counts += np.bincount(_bucket(np.concatenate(sets)), minlength=COUNTERS).astype(np.uint32)
-            no = [None] * len(sets)
-            yield [columns[0], [len(s) for s in sets], [node_of(s) for s in sets], no, no, no]
+            for part in slices(columns[1]):
+                sets = [shingles(t, known, words) for t in columns[1][part]]
+                counts += np.bincount(_bucket(np.concatenate(sets)), minlength=COUNTERS).astype(np.uint32)
+                no = [None] * len(sets)
+                yield [columns[0][part], [len(s) for s in sets], [node_of(s) for s in sets], no, no, no]
 
         return step
 
@@ -214,26 +215,27 @@ def _prefixes(docs: DataFrame, sketch: np.ndarray, words: int, percent: int) ->
         def step(columns):
             if columns is None:
                 return
-            tokens, nodes, ms, lengths = [], [], [], []
-            for text in columns[0]:
-                s = shingles(text, known, words)
-                node = node_of(s)
-                if node is None or node in seen:
-                    continue
-                if len(seen) >= NODE_MEMORY:
-                    seen.clear()
-                seen.add(node)
-                p, multi = prefix(s, frequency, expected, percent)
-                tokens.append(p)
-                nodes.append(node)
-                ms.append((len(s) << SIZE_BIT) + (np.arange(len(p)) << PLACE_BIT) + multi)
-                lengths.append(len(p))
-            if tokens:
-                yield [
-                    np.concatenate(tokens).view(np.int64),
-                    np.repeat(np.array(nodes, np.int64), lengths),
-                    np.concatenate(ms),
-                ]
+            for part in slices(columns[0]):
+                tokens, nodes, ms, lengths = [], [], [], []
+                for text in columns[0][part]:
+                    s = shingles(text, known, words)
+                    node = node_of(s)
+                    if node is None or node in seen:
+                        continue
+                    if len(seen) >= NODE_MEMORY:
+                        seen.clear()
+                    seen.add(node)
+                    p, multi = prefix(s, frequency, expected, percent)
+                    tokens.append(p)
+                    nodes.append(node)
+                    ms.append((len(s) << SIZE_BIT) + (np.arange(len(p)) << PLACE_BIT) + multi)
+                    lengths.append(len(p))
+                if tokens:
+                    yield [
+                        np.concatenate(tokens).view(np.int64),
+                        np.repeat(np.array(nodes, np.int64), lengths),
+                        np.concatenate(ms),
+                    ]
 
         return step
 
@@ -257,19 +259,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
         def step(columns):
             if columns is None:
                 return
-            nodes, sets = [], []
-            for at, text in zip(*columns, strict=True):
-                if shared.value[at]:
-                    s = shingles(text, known, words)
-                    node = node_of(s)
-                    if node is not None and node not in seen:
-                        if len(seen) >= NODE_MEMORY:
-                            seen.clear()
-                        seen.add(node)
-                        nodes.append(node)
-                        sets.append(s.view(np.int64))
-            if nodes:
-                yield [nodes, sets]
+            for part in slices(columns[1]):
+                nodes, sets = [], []
+                for at, text in zip(columns[0][part], columns[1][part], strict=True):
+                    if shared.value[at]:
+                        s = shingles(text, known, words)
+                        node = node_of(s)
+                        if node is not None and node not in seen:
+                            if len(seen) >= NODE_MEMORY:
+                                seen.clear()
+                            seen.add(node)
+                            nodes.append(node)
+                            sets.append(s.view(np.int64))
+                if nodes:
+                    yield [nodes, sets]
 
         return step
 

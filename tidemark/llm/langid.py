@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fold, map_columns, read
+from tidemark.llm.common import fold, map_columns, read, slices
 
 #: Length of a profile.
 TOP = 300
@@ -98,14 +98,15 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", top: int = TO
                 for name in list(held):
                     yield passed_on(name)
                 return
-            by: dict[str, list[str]] = {}
-            for name, s in zip(*columns, strict=True):
-                by.setdefault(name, []).append(s)
-            for name, texts in by.items():
-                codes = np.concatenate([gram_codes(s) for s in texts])
-                held.setdefault(name, []).append(_counted(codes))
-                if sum(len(c) for c, _ in held[name]) > HELD:
-                    yield passed_on(name)
+            for part in slices(columns[1]):
+                by: dict[str, list[str]] = {}
+                for name, s in zip(columns[0][part], columns[1][part], strict=True):
+                    by.setdefault(name, []).append(s)
+                for name, texts in by.items():
+                    codes = np.concatenate([gram_codes(s) for s in texts])
+                    held.setdefault(name, []).append(_counted(codes))
+                    if sum(len(c) for c, _ in held[name]) > HELD:
+                        yield passed_on(name)
 
         return step
 

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fold, map_columns, read
+from tidemark.llm.common import fold, map_columns, read, slices
 
 #: Word slots, length of a vector, non-zero entries of an index vector, and
 #: how many places away a word still counts as context.
@@ -49,7 +49,7 @@ COMMON = 1e-2
 #: Score from which a document is predicted to be of quality.
 THRESHOLD = 0.7
 #: Words pooled at a time, and words whose slots a task remembers.
-BLOCK, WORD_MEMORY = 1 << 16, 1_000_000
+BLOCK, WORD_MEMORY = 1 << 16, 300_000
 
 WORD = re.compile(r"\w+|[^\w\s]+")
 
@@ -97,15 +97,16 @@ def context_counts(docs: DataFrame, text: str = "text") -> DataFrame:
                         c.tolist() for c in sums[at : at + 4096].T
                     ]
                 return
-            words, begins = _words(columns[0], slots)
-            seen += np.bincount(words, minlength=SLOTS)
-            doc = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
-            for off in range(1, REACH + 1):
-                same = doc[off:] == doc[:-off]
-                a, b = words[:-off][same], words[off:][same]
-                for x, y in ((a, b), (b, a)):
-                    for k in range(NONZERO):
-                        total += np.bincount(x * DIM + place[y, k], sign[y, k], SLOTS * DIM)
+            for part in slices(columns[0]):
+                words, begins = _words(columns[0][part], slots)
+                seen += np.bincount(words, minlength=SLOTS)
+                doc = np.repeat(np.arange(len(begins) - 1), np.diff(begins))
+                for off in range(1, REACH + 1):
+                    same = doc[off:] == doc[:-off]
+                    a, b = words[:-off][same], words[off:][same]
+                    for x, y in ((a, b), (b, a)):
+                        for k in range(NONZERO):
+                            total += np.bincount(x * DIM + place[y, k], sign[y, k], SLOTS * DIM)
 
         return step
 
@@ -134,6 +135,11 @@ FEATURES = 3 * DIM + 2
 
 def pool(texts: list[str | None], vectors: np.ndarray, slots: _Slots) -> np.ndarray:
     """One row of FEATURES numbers for each text."""
+    parts = [_pool(texts[part], vectors, slots) for part in slices(texts)]
+    return np.vstack([np.zeros((0, FEATURES)), *parts])
+
+
+def _pool(texts: list[str | None], vectors: np.ndarray, slots: _Slots) -> np.ndarray:
     words, begins = _words(texts, slots)
     n = np.diff(begins)
     sums, ones = np.zeros((len(texts), 3 * DIM)), np.ones(BLOCK, np.float32)
