@@ -44,6 +44,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from xxhash import xxh3_64_intdigest
 
 from tidemark.llm.common import read, slices
 
@@ -78,22 +79,30 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
 
 
 class _Words(dict):
-    """A 64-bit number for each word, the same everywhere; 0 where nothing of
-    a word counts."""
+    """The place of each word in ``numbers``, which holds a 64-bit number for
+    it, the same everywhere; 0 where nothing of a word counts."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= WORD_MEMORY:
-            self.clear()
-        from xxhash import xxh3_64_intdigest
+    def __init__(self) -> None:
+        self.numbers = np.zeros(1 << 12, np.uint64)
 
+    def __missing__(self, word: str) -> int:
         plain = word.lower() if word.isalnum() else "".join(filter(str.isalnum, word.lower()))
-        got = self[word] = xxh3_64_intdigest(plain.encode()) or 1 if plain else 0
-        return got
+        at = self[word] = len(self)
+        if at == len(self.numbers):
+            self.numbers = np.concatenate([self.numbers, np.zeros_like(self.numbers)])
+        self.numbers[at] = xxh3_64_intdigest(plain.encode()) or 1 if plain else 0
+        return at
+
+    def counts(self, word: str) -> bool:
+        return bool(self.numbers[self[word]])
 
 
 def words_of(text: str | None, known: _Words) -> np.ndarray:
     """The numbers of a text's words, without those of which nothing counts."""
-    words = np.array([*map(known.__getitem__, text.split())] if text else [], np.uint64)
+    if len(known) >= WORD_MEMORY:
+        known.clear()
+    places = np.array([*map(known.__getitem__, text.split())] if text else [], np.int64)
+    words = known.numbers[places]
     return words[words != 0]
 
 
@@ -246,7 +255,7 @@ class Items:
                 out[d].append((i, *got))
         for d, hits in enumerate(out):
             if hits:
-                spans = [m.span() for m in WORD.finditer(texts[d]) if known[m.group()]]
+                spans = [m.span() for m in WORD.finditer(texts[d]) if known.counts(m.group())]
                 out[d] = [(self.items[i][0], dist, spans[a][0], spans[b - 1][1], n) for i, dist, a, b, n in hits if b > a]
         return out
 
