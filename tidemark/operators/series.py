@@ -189,11 +189,11 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
     rows, counts = _ranged(keyed, key, _order(df, entity, time, order_extra), ranges, value)
     # one small job over the checkpointed rows tells which route is open
     nulls = counts.agg(F.sum("_ncnt")).first()[0] or 0
-    main = _with_groups(rows, key, counts)
+    groups = _group_table(counts, key)
     if nulls == 0:
-        out = _indexed_no_nulls(main, key, value, k1, lags)
+        out = _indexed_no_nulls(rows, groups, key, value, k1, lags)
     else:
-        out = _indexed_general(main, key, value, k1, lags)
+        out = _indexed_general(rows, groups, key, value, k1, lags)
     out = out.withColumn(f"{label}_change_pct", pct_change(value, "prev_value", digits))
     for name, k in lags.items():
         out = out.withColumn(f"{name}_change_pct", pct_change(value, lag_value_col(k), digits))
@@ -202,11 +202,11 @@ def _performance_indexed(df, entity, time, value, first_lag, lags, order_extra,
     return out.select(*dict.fromkeys(cols))
 
 
-def _indexed_no_nulls(main, key, value, k1, lags):
+def _indexed_no_nulls(rows, groups, key, value, k1, lags):
     """No NULL values: exactly the first k1 rows of each entity are dropped,
     so the row k positions back in the filtered frame is the row k positions
     back in the full series, if that one was kept (position > k1)."""
-    main = _group_lags(main, key, value, sorted({k1, *lags.values()}))
+    main = _group_lags(rows, groups, key, value, sorted({k1, *lags.values()}))
     out = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     for k in lags.values():
         kept_before = (F.col("_pos") - F.lit(k)) > F.lit(k1)
@@ -214,11 +214,11 @@ def _indexed_no_nulls(main, key, value, k1, lags):
     return out
 
 
-def _indexed_general(main, key, value, k1, lags):
+def _indexed_general(rows, groups, key, value, k1, lags):
     """NULL values allowed: lag k1 over the full series, drop rows without a
     previous value, then the other lags over the kept rows, which are numbered
     anew inside their groups."""
-    main = _group_lags(main, key, value, [k1])
+    main = _group_lags(rows, groups, key, value, [k1])
     kept = main.withColumn("prev_value", F.col(f"_lag_{k1}")).where(F.col("prev_value").isNotNull())
     if not lags:
         return kept
@@ -229,29 +229,27 @@ def _indexed_general(main, key, value, k1, lags):
         kept.withColumn("_ix", F.row_number().over(grp).cast("long") - 1).drop("_gc", "_off", "_pos", "_li")
     )
     counts = kept.groupBy(key, "_rg").agg(F.min("_ix").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    out = _group_lags(_with_groups(kept, key, counts), key, value, list(lags.values()))
+    out = _group_lags(kept, _group_table(counts, key), key, value, list(lags.values()))
     for k in lags.values():
         out = out.withColumn(lag_value_col(k), F.col(f"_lag_{k}"))
     return out
 
 
-def _with_groups(rows: DataFrame, key: str, counts: DataFrame) -> DataFrame:
-    """Rows with ``_gc`` (rows of their (entity, range) group), ``_off`` (rows of
-    the entity in earlier ranges), ``_li`` (index inside the group, from 1) and
-    ``_pos`` (position inside the entity, from 1).  The table that is joined
-    has at most one row per entity plus one per range; the join is keyed by
-    (entity, range), so even a hot entity's rows spread over all partitions."""
+def _group_table(counts: DataFrame, key: str) -> DataFrame:
+    """Per (entity, range): ``_first`` index, ``_gc`` rows and ``_off``, the rows of
+    the entity in earlier ranges.  At most one row per entity plus one per
+    range; written once, for the rows, the edges and the starts all use it."""
     before = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
-    groups = counts.select(
+    return materialize(counts.select(
         key, "_rg", "_first", F.col("_cnt").alias("_gc"), F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")
-    )
-    out = rows.join(groups, [key, "_rg"]).withColumn("_li", F.col("_ix") - F.col("_first") + F.lit(1))
-    return out.withColumn("_pos", F.col("_off") + F.col("_li")).drop("_first")
+    ))
 
 
-def _group_lags(df: DataFrame, key: str, value: str, ks) -> DataFrame:
+def _group_lags(rows: DataFrame, groups: DataFrame, key: str, value: str, ks) -> DataFrame:
     """``_lag_<k>`` = value k rows back inside the entity, for rows that carry
-    ``_rg``, ``_ix``, ``_li``, ``_gc``, ``_off`` and ``_pos``.
+    ``_rg`` and ``_ix``; adds ``_pos``, the position inside the entity, too.  The
+    join with the group table is keyed by (entity, range), so even a hot
+    entity's rows spread over all partitions.
 
     A window over (entity, range) is exact whenever the source lies in the
     row's own group; the frame is already partitioned that way (by the join
@@ -267,27 +265,31 @@ def _group_lags(df: DataFrame, key: str, value: str, ks) -> DataFrame:
     """
     ks = sorted(set(ks))
     kmax = ks[-1]
-    block = lambda c: F.floor((F.col(c) - F.lit(1)) / F.lit(kmax))
-    begins = df.where((F.col("_li") == 1) & (F.col("_off") > 0)).select(
-        F.col(key).alias("_tk"), F.col("_rg").alias("_trg"), F.col("_off").alias("_toff")
-    )
+    df = rows.join(groups, [key, "_rg"]).withColumn("_li", F.col("_ix") - F.col("_first") + F.lit(1))
+    df = df.withColumn("_pos", F.col("_off") + F.col("_li")).drop("_first")
     # the K positions before a group touch two blocks at most
-    begins = begins.withColumn(
-        "_tb", F.explode(F.array_distinct(F.array(
-            F.floor((F.col("_toff") - 1) / kmax), F.floor(F.greatest(F.col("_toff") - kmax, F.lit(0)) / kmax)
-        )))
+    begins = groups.where("_off > 0").select(
+        F.col(key).alias("_tk"), F.col("_rg").alias("_trg"), F.col("_off").alias("_toff"),
+        F.explode(F.array_distinct(F.array(
+            F.floor((F.col("_off") - 1) / kmax), F.floor(F.greatest(F.col("_off") - kmax, F.lit(0)) / kmax)
+        ))).alias("_tb"),
     )
-    tails = df.where(F.col("_gc") - F.col("_li") < kmax).select(key, value, "_pos", block("_pos").alias("_b"))
-    near = (F.col("_pos") <= F.col("_toff")) & (F.col("_pos") > F.col("_toff") - kmax)
-    copies = tails.join(begins, (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_tb")) & near).select(
-        F.col("_tk").alias(key), F.col("_trg").alias("_rg"), "_pos", value
+    is_head = (F.col("_off") > 0) & (F.col("_li") <= kmax)
+    is_tail = F.col("_gc") - F.col("_li") < kmax
+    roles = F.filter(F.array(F.when(is_head, F.lit("head")), F.when(is_tail, F.lit("tail"))), lambda x: x.isNotNull())
+    edges = df.where(is_head | is_tail).select(
+        key, "_rg", "_pos", value, F.floor((F.col("_pos") - 1) / kmax).alias("_b"), F.explode(roles).alias("_role")
     )
-    heads = df.where((F.col("_off") > 0) & (F.col("_li") <= kmax)).select(
-        key, "_rg", "_pos", value, F.lit(True).alias("_own")
+    reached = (
+        (F.col("_role") == "tail") & (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_tb"))
+        & (F.col("_pos") <= F.col("_toff")) & (F.col("_pos") > F.col("_toff") - kmax)
     )
+    own = F.col("_role") == "head"
     w = Window.partitionBy(key, "_rg").orderBy("_pos")
     heads = (
-        heads.unionByName(copies.withColumn("_own", F.lit(False)))
+        edges.join(begins, reached, "left")
+        .where(own | F.col("_trg").isNotNull())
+        .select(key, F.when(own, F.col("_rg")).otherwise(F.col("_trg")).alias("_rg"), "_pos", value, own.alias("_own"))
         .withColumns({f"_hl_{k}": F.lag(value, k).over(w) for k in ks})
         .where("_own")
         .select(key, "_rg", "_pos", F.lit(True).alias("_head"), *[f"_hl_{k}" for k in ks])
