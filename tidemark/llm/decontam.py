@@ -56,7 +56,7 @@ WALKS, TABLES, PLACES, STEPS = 3, 4, 3, 1.5
 ITEM_BLOCK = 20_000
 #: Words searched at a time (their arrays stay in a core's cache), and words a
 #: task remembers.
-STRETCH, WORD_MEMORY = 1 << 16, 300_000
+STRETCH, WORD_MEMORY = 1 << 16, 500_000
 #: What the keys that agree on a place have to weigh before it is verified.  A
 #: copy shares most of its keys; unrelated text shares keys of common words
 #: (those in more than COMMON of the items) by chance, but hardly ever several
@@ -66,7 +66,9 @@ ENOUGH, WEIGHTS, COMMON = 6, (1, 2, 4), 0.02
 MERGE_AT = (2, 6, 12, 24, 48, 96, 192, 384, 768)
 
 WORD = re.compile(r"\S+")
-BITMAP = 18
+#: Bits of the key filters and of the table of (item, word) pairs, and words of
+#: stretches looked at at a time.
+BITMAP, PAIR_BITS, LOOKED_AT = 18, 22, 1 << 20
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -78,6 +80,13 @@ def _mix(x: np.ndarray, seed: int) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def _pair(items: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Places of (item, word) pairs in the table of those that occur."""
+    with np.errstate(over="ignore"):
+        mixed = (words ^ items.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
+
 class _Words(dict):
     """The place of each word in ``numbers``, which holds a 64-bit number for
     it, the same everywhere; 0 where nothing of a word counts."""
@@ -212,6 +221,12 @@ class Items:
         first = np.array([x[1] for x in windows], np.int64)
         size = np.array([x[2] for x in windows], np.int64)
         starts = np.array(begin, np.int64)[owner] + first if len(windows) else first
+        self.distinct = np.array([len(v) for v in self.vocabulary], np.int64)
+        self.allowed = np.array([int(max_edit * len(w)) for _, w in self.items], np.int64)
+        #: which (item, word) pairs occur, by a hash: true for all that do
+        self.present = np.zeros(1 << PAIR_BITS, bool)
+        for i, words in enumerate(self.vocabulary):
+            self.present[_pair(np.full(len(words), i), np.array([*words], np.uint64))] = True
         shares: dict[int, int] = {}
         for words in self.vocabulary:
             for x in words:
@@ -246,8 +261,9 @@ class Items:
                     hits.append(self._hits(block))
                     block, held = [], 0
         hits.append(self._hits(block))
-        for d, i, begin, end in self._clusters(np.hstack(hits)):
-            got = self._verified(i, rows[d][max(0, begin) : end].tolist(), max(0, begin))
+        places = self._clusters(np.hstack(hits), np.array([len(w) for w in rows], np.int64))
+        for d, i, begin, end in self._plausible(rows, *places):
+            got = self._verified(i, rows[d][begin:end].tolist(), begin)
             if got and out[d] and out[d][-1][0] == i:
                 i, *best, n = out[d].pop()
                 got = (*min((*best,), got[:3], key=lambda x: x[0]), n + 1)
@@ -282,27 +298,46 @@ class Items:
             out.append(np.stack([text[b], owner[x], where - first[x], weight[x]])[:, own])
         return np.hstack(out)
 
-    def _clusters(self, hits: np.ndarray):
-        """Yields (text, item, first word, end) of the stretches to verify:
-        around places that keys of weight ENOUGH agree on, up to shifts that
-        the allowed edits can cause."""
+    def _clusters(self, hits: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(text, item, first word, end) of the stretches to look at: around
+        places that keys of weight ENOUGH agree on, up to shifts that the
+        allowed edits can cause."""
         if not hits.shape[1]:
-            return
+            return (np.zeros(0, np.int64),) * 4
         d, i, b, weight = hits[:, np.lexsort(hits[2::-1])]
         size = np.array([len(w) for _, w in self.items])
-        slack = (self.max_edit * size).astype(np.int64)
-        new = np.r_[True, (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] - b[:-1] > slack[i[1:]])]
+        new = np.r_[True, (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] - b[:-1] > self.allowed[i[1:]])]
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(d)] - 1
         enough = np.add.reduceat(weight, first) >= ENOUGH
-        for x, y in zip(first[enough].tolist(), last[enough].tolist(), strict=True):
-            k = i[x]
-            yield int(d[x]), int(k), int(b[x] - slack[k] - 1), int(b[y] + size[k] + slack[k] + 1)
+        first, last = first[enough], last[enough]
+        d, i, begin = d[first], i[first], b[first]
+        slack = self.allowed[i] + 1
+        return d, i, np.maximum(begin - slack, 0), np.minimum(b[last] + size[i] + slack, lengths[d])
+
+    def _plausible(self, rows: list[np.ndarray], d, i, begin, end):
+        """Yields the stretches that hold enough words of their item: every
+        different word that is missing costs an edit, and counting repeated
+        words each time only lets more through."""
+        n = np.maximum(end - begin, 0)
+        offset = np.cumsum([0, *map(len, rows)])
+        flat = np.concatenate([*rows, np.zeros(0, np.uint64)])
+        ends = np.cumsum(n)
+        at = 0
+        while at < len(d):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LOOKED_AT, "right")))
+            k, m = i[at:to], n[at:to]
+            start = np.cumsum(m) - m
+            where = np.repeat(offset[d[at:to]] + begin[at:to] - start, m) + np.arange(m.sum())
+            there = np.concatenate([[0], np.cumsum(self.present[_pair(np.repeat(k, m), flat[where])])])
+            enough = there[start + m] - there[start] >= self.distinct[k] - self.allowed[k]
+            for x in np.flatnonzero(enough).tolist():
+                yield int(d[at + x]), int(k[x]), int(begin[at + x]), int(end[at + x])
+            at = to
 
     def _verified(self, i: int, text: list[int], offset: int) -> tuple | None:
         """(distance, first word, end, 1) of the closest stretch, if close enough."""
-        item, most = self.items[i][1], int(self.max_edit * len(self.items[i][1]))
-        # every different word of the item that isn't there costs an edit
+        item, most = self.items[i][1], int(self.allowed[i])
         if len(self.vocabulary[i].difference(text)) > most:
             return None
         dist, end = edit_search(item, text)
