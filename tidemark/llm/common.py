@@ -32,6 +32,8 @@ def fold(key: Column, of: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(of)
 
 
+#: Rows of a batch that are Python objects at a time.
+ROWS = 512
 #: Places of the fixed-size filter over keys.
 PLACES = 1 << 18
 
@@ -67,8 +69,10 @@ def map_columns(
         to = to_arrow_schema(schema)
         step = make()
         for batch in batches:
-            for out in step([c.to_pylist() for c in batch.columns]):
-                yield _batch(out, to)
+            # few rows at a time become Python objects; the batch itself is compact
+            for at in range(0, batch.num_rows, ROWS):
+                for out in step([c.slice(at, ROWS).to_pylist() for c in batch.columns]):
+                    yield _batch(out, to)
         for out in step(None):
             yield _batch(out, to)
 
