@@ -14,9 +14,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Large-star and small-star steps in turn (each points nodes at the smallest
     node near them) until nothing changes; the number of rounds grows with the
-    logarithm of the longest chain.  Every round is written to the shared
-    folder.  Hub nodes only meet aggregates with partial sums and joins of a
-    row per node, which Spark can split.
+    logarithm of the longest chain.  Every step is written to the shared
+    folder.  Hub nodes only meet aggregates with partial sums, and joins with a
+    written table of one row per node, whose other side Spark splits at a hub.
     """
     now = written(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges"
@@ -26,9 +26,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # large star: the greater neighbours of u are pointed at the least one
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = written(low, "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: u and its smaller neighbours are pointed at the least one
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large, "large")
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         before, state = state, _state(now)
