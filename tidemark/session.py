@@ -85,25 +85,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     deleted by ``drop_scratch``, at the latest when the driver's Python ends."""
     root = scratch_root(spark)
     if root not in _SCRATCH:
-        _SCRATCH.add(root)
-        atexit.register(drop_scratch, spark)
+        _SCRATCH[root] = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
+        atexit.register(_delete, root)
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
-_SCRATCH: set[str] = set()
+# folders of intermediate tables that this process made, and the JVM to ask
+_SCRATCH: dict = {}
+
+
+def _delete(root: str) -> None:
+    jvm = _SCRATCH.pop(root, None)
+    if jvm is None:
+        return
+    try:
+        path = jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
+    except Exception:  # noqa: BLE001 - the JVM may be gone when Python ends
+        pass
 
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediate tables.  Frames that still read
     them can't be used afterwards; other applications' folders stay."""
-    for root in [r for r in _SCRATCH if r.endswith(f"/{spark.sparkContext.applicationId}")]:
-        try:
-            jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem API
-            path = jvm.org.apache.hadoop.fs.Path(root)
-            path.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(path, True)
-        except Exception:  # noqa: BLE001 - the JVM may be gone when Python ends
-            return
-        _SCRATCH.discard(root)
+    _delete(scratch_root(spark))
 
 
 def materialize(df: DataFrame) -> DataFrame:
