@@ -112,13 +112,16 @@ def drop_scratch(spark: SparkSession) -> None:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage through a reliable checkpoint in the shared folder.
+    """Cut lineage through a table in the shared folder, written once and read
+    back.
 
-    Survives executor loss (unlike ``localCheckpoint``) and makes a result
-    that feeds several outputs run once.
+    Survives executor loss (unlike ``localCheckpoint``), makes a result that
+    feeds several outputs run once, and keeps it columnar, so that each use
+    reads only its columns.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 __all__ = [
