@@ -16,7 +16,7 @@ likeness of two trees is 1 for equal roots, else the Dice coefficient of
 their distinct leaf hashes.
 
 Everything is DataFrame functions.  The next document of each document is
-found by one window over ranges of ids: ids are dealt to ranges of about equal
+found by one window over ranges of ids (integers): ids are dealt to ranges of about equal
 size by a histogram of fixed size, and the first document of each range is
 also handed to the range before, so no range has to know its neighbour.
 
