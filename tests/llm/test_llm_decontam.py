@@ -69,6 +69,48 @@ def test_recall_of_edited_passages(items, rate, least):
     assert np.mean([k in {m[0] for m in g} for k, g in zip(want, got, strict=True)]) >= least
 
 
+def edited(rng, words, vocabulary, edits):
+    w = [*words]
+    for p in sorted(rng.sample(range(len(w)), edits), reverse=True):
+        w[p : p + 1] = rng.choice([[], [rng.choice(vocabulary)], [w[p], rng.choice(vocabulary)]])
+    return w
+
+
+@pytest.mark.parametrize("length", [2, 4, 8, 31, 32, 33, 100, 128, 512])
+def test_no_length_is_missed(length):
+    """Every copy within the allowed edits is found, common words in it or not."""
+    rng = random.Random(length)
+    often, seldom = [f"often{i}" for i in range(40)], [f"seldom{i}" for i in range(30_000)]
+    draw = lambda n: [rng.choice(seldom if rng.random() < 0.7 else often) for _ in range(n)]
+    items = [(i, draw(length)) for i in range(12 if length > 100 else 60)]
+    tables, known = D.Items([(i, " ".join(w)) for i, w in items]), D._Words()
+    for rate in (0.1, 0.2, 0.3):
+        copies = [edited(rng, w, often, int(rate * length)) for _, w in items]
+        got = tables.matches([" ".join(draw(40) + w + draw(40)) for w in copies], known)
+        assert [i for i, _ in items if i not in {m[0] for m in got[i]}] == []
+        assert all(m[1] <= int(rate * length) and m[4] == 1 for (i, _), g in zip(items, got, strict=True) for m in g if m[0] == i)
+
+
+def test_pieces_are_one_more_than_edits_and_apart():
+    rng = random.Random(2)
+    rows = [[rng.randrange(1, 40) for _ in range(n)] for n in [*range(1, 140), 512, 3000]]
+    allowed = [int(D.MAX_EDIT * len(w)) for w in rows]
+    for row, most, got in zip(rows, allowed, D.pieces(rows, allowed), strict=True):
+        taken = [at for first, n in got for at in range(first, first + n)]
+        assert len(got) == most + 1 and len(taken) == len({*taken}) and {*taken} <= {*range(len(row))}
+
+
+def test_matches_equal_those_of_every_stretch():
+    """Short random texts over few words: exactly the items close to a stretch."""
+    rng = random.Random(5)
+    items = [(i, [rng.choice("abcdefg") for _ in range(rng.randint(1, 14))]) for i in range(60)]
+    texts = [[rng.choice("abcdefgh") for _ in range(rng.randrange(40))] for _ in range(200)]
+    got = D.Items([(i, " ".join(w)) for i, w in items]).matches([" ".join(t) for t in texts], D._Words())
+    for text, found in zip(texts, got, strict=True):
+        want = [(i, d) for i, w in items if (d := table(w, text, False)[0]) <= int(D.MAX_EDIT * len(w))]
+        assert sorted(m[:2] for m in found) == want
+
+
 def test_matches_are_exact_and_spans_cover_the_item(items):
     known, tables = D._Words(), D.Items(items)
     key, text = items[3]

@@ -4,20 +4,13 @@ A document is contaminated by a benchmark item when some stretch of it is
 within ``MAX_EDIT`` word edits per word of the item (words stand between white
 space; only their letters and digits count, in lower case).
 
-Candidates come from the CGK embedding.  It walks over a word sequence, writes
-out the word it stands on at each step, and then moves on or stays, as a
-random bit of (step, word) says; two sequences at a small edit distance are
-written out, with constant probability, at a small Hamming distance, for the
-walks of both fall into step again after an edit.  A few written places
-sampled at random make the key of one hash table; ``WALKS`` independent walks
-with ``TABLES`` keys each reach the target recall (measured in the tests:
-0.98 or more for items with one word in ten edited).
-
-Windows are as long as the item's size class (the classes are powers of four
-times two) and cover an item by halves; a document's windows start at every
-word.  All starts walk together: walks that meet never part, so after a few
-steps only a fraction of them is left to move, and a window costs about as
-much as a handful of array reads.
+Candidates come from pieces.  An item with at most ``k`` edits allowed is cut
+into ``k + 1`` pieces of one to ``LONGEST`` words that do not overlap; an edit
+spoils one piece at most, so every stretch within ``k`` edits holds one piece
+word by word.  No contaminating stretch is missed, whatever the item's length.
+The pieces of an item are those with the least chance hits, by the shares of
+their words in the items; words that fit into no piece are left out.  A
+document's word sequences of these lengths are looked up by their hashes.
 
 Every candidate is verified exactly: the least edit distance of the whole item
 to any stretch near it, by the bit-parallel recurrence over words.
@@ -50,25 +43,23 @@ from tidemark.llm.common import read, slices
 
 #: Word edits allowed per word of an item.
 MAX_EDIT = 0.3
-#: Walks, keys of each walk, written places in a key, steps per word of a window.
+#: Words of a piece at most, and words of an item that are cut at a time.
+LONGEST, PART = 4, 64
+#: Of ``keys_of``: walks, keys of each walk, written places in a key, steps per
+#: word of a window.
 WALKS, TABLES, PLACES, STEPS = 3, 4, 3, 1.5
 #: Items that are sent out at a time.
 ITEM_BLOCK = 20_000
 #: Words searched at a time (their arrays stay in a core's cache), and words a
 #: task remembers.
 STRETCH, WORD_MEMORY = 1 << 16, 500_000
-#: What the keys that agree on a place have to weigh before it is verified.  A
-#: copy shares most of its keys; unrelated text shares keys of common words
-#: (those in more than COMMON of the items) by chance, but hardly ever several
-#: at one place.  Weights are by the number of less common words in a key.
-ENOUGH, WEIGHTS, COMMON = 6, (1, 2, 4), 0.02
 #: Steps after which walks that have met are merged.
 MERGE_AT = (2, 6, 12, 24, 48, 96, 192, 384, 768)
 
 WORD = re.compile(r"\S+")
-#: Bits of the key filters and of the table of (item, word) pairs, and words of
-#: stretches looked at at a time.
-BITMAP, PAIR_BITS, LOOKED_AT = 18, 22, 1 << 20
+#: Bits of the key filter (at least, and beyond those that count the pieces) and
+#: of the table of (item, word) pairs, and words of stretches looked at at a time.
+BITMAP, BEYOND, PAIR_BITS, LOOKED_AT = 18, 5, 22, 1 << 20
 
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -115,10 +106,59 @@ def words_of(text: str | None, known: _Words) -> np.ndarray:
     return words[words != 0]
 
 
-def size_class(n: int) -> int:
-    """The longest window length that an item of ``n`` words can fill: 1, or a
-    power of four times two."""
-    return 1 if n < 2 else max(c for c in (2 * 4**i for i in range(32)) if c <= n)
+def pieces(rows: list[list[int]], allowed: list[int]) -> list[list[tuple[int, int]]]:
+    """For each item of at least one word: (first word, words) of its pieces,
+    one more than the edits that are allowed (or all its words)."""
+    total = sum(map(len, rows))
+    counts: dict[int, int] = {}
+    for row in rows:
+        for w in row:
+            counts[w] = counts.get(w, 0) + 1
+    parts: dict[tuple[int, int], list[tuple[int, int]]] = {}  # by words and pieces: (item, first word)
+    for i, row in enumerate(rows):
+        n, wanted = len(row), min(allowed[i] + 1, len(row))
+        ends = np.linspace(0, n, -(-n // PART) + 1).astype(int).tolist()
+        for a, b in zip(ends, ends[1:], strict=False):
+            parts.setdefault((b - a, wanted * b // n - wanted * a // n), []).append((i, a))
+    out: list[list[tuple[int, int]]] = [[] for _ in rows]
+    for (m, wanted), group in parts.items():
+        for at in range(0, len(group), 1000):
+            some = group[at : at + 1000]
+            share = np.array([[(counts[w] + 1) / (total + 1) for w in rows[i][a : a + m]] for i, a in some])
+            # least sum of the pieces' chances in the first p words, by number of pieces
+            best = np.full((m + 1, len(some), wanted + 1), np.inf)
+            best[:, :, 0] = 0
+            taken = np.zeros(best.shape, np.int8)
+            for p in range(1, m + 1):
+                best[p, :, 1:] = best[p - 1, :, 1:]
+                chance = np.ones((len(some), 1))
+                for n in range(1, min(LONGEST, p) + 1):
+                    chance = chance * share[:, p - n, None]
+                    least = best[p - n, :, :-1] + chance
+                    less = least < best[p, :, 1:]
+                    best[p, :, 1:][less] = least[less]
+                    taken[p, :, 1:][less] = n
+            for g, (i, a) in enumerate(some):
+                p, left = m, wanted
+                while left:
+                    if n := int(taken[p, g, left]):
+                        out[i].append((a + p - n, n))
+                        p, left = p - n, left - 1
+                    else:
+                        p -= 1
+    return out
+
+
+def piece_keys(words: np.ndarray):
+    """Yields for each number of words: the key of the sequence that starts at
+    each word (beyond the last word stand zeros)."""
+    written = _mix(words, 99)
+    keys = np.zeros(len(words), np.uint64)
+    for n in range(LONGEST):
+        with np.errstate(over="ignore"):
+            keys = keys + written * np.uint64(2 * (7919 * n) + 1)
+        yield n + 1, _mix(keys, n)
+        written = np.append(written[1:], _mix(np.zeros(1, np.uint64), 99))
 
 
 def _places(c: int) -> list[list[tuple[int, ...]]]:
@@ -134,7 +174,9 @@ def _places(c: int) -> list[list[tuple[int, ...]]]:
 def keys_of(words: np.ndarray, classes: list[int], marks: np.ndarray | None = None):
     """Yields (class, walk, table, keys, marked): the key of the window that
     starts at each word, and how many marked words it is made of.  ``words``
-    has 0 where texts end; walks stop there."""
+    has 0 where texts end; walks stop there.  The CGK embedding (a walk writes
+    out the word it stands on, and moves on by a random bit of (step, word)),
+    which finds near copies with some probability; ``Items`` does not use it."""
     sampled = {c: _places(c) for c in classes}
     last = max((max(p) for c in classes for w in sampled[c] for p in w), default=-1)
     written = _mix(words, 99)
@@ -198,7 +240,7 @@ def edit_search(item: list[int], text: list[int], anchored: bool = False) -> tup
 
 
 class Items:
-    """The hash tables over the windows of a block of items."""
+    """The hash table over the pieces of a block of items."""
 
     def __init__(self, rows: list[tuple], max_edit: float = MAX_EDIT) -> None:
         self.max_edit = max_edit
@@ -206,42 +248,27 @@ class Items:
         pairs = [(key, words_of(text, known)) for key, text in rows]
         self.items = [(key, w.tolist()) for key, w in pairs if len(w)]
         self.vocabulary = [set(w) for _, w in self.items]
-        windows = []  # (item, first word of the window, class)
-        for i, (_, w) in enumerate(self.items):
-            c = size_class(len(w))
-            firsts = {*range(0, len(w) - c + 1, max(1, c // 2)), len(w) - c}
-            windows += [(i, f, c) for f in sorted(firsts)]
-        self.classes = sorted({c for _, _, c in windows})
-        self.reach = max((len(w) for _, w in self.items), default=0)
-        flat, begin = [0], []
-        for _, w in self.items:
-            begin.append(len(flat))
-            flat += [*w, 0]
-        owner = np.array([x[0] for x in windows], np.int64)
-        first = np.array([x[1] for x in windows], np.int64)
-        size = np.array([x[2] for x in windows], np.int64)
-        starts = np.array(begin, np.int64)[owner] + first if len(windows) else first
         self.distinct = np.array([len(v) for v in self.vocabulary], np.int64)
         self.allowed = np.array([int(max_edit * len(w)) for _, w in self.items], np.int64)
         #: which (item, word) pairs occur, by a hash: true for all that do
         self.present = np.zeros(1 << PAIR_BITS, bool)
         for i, words in enumerate(self.vocabulary):
             self.present[_pair(np.full(len(words), i), np.array([*words], np.uint64))] = True
-        shares: dict[int, int] = {}
-        for words in self.vocabulary:
-            for x in words:
-                shares[x] = shares.get(x, 0) + 1
-        often = max(1, COMMON * len(self.items))
-        rare = np.array([x != 0 and shares[x] <= often for x in flat], np.int64)
-        self.tables = {}
-        for c, walk, t, keys, told in keys_of(np.array(flat, np.uint64), self.classes, rare):
-            mine = np.flatnonzero(size == c)
-            k = keys[starts[mine]]
-            weight = np.array(WEIGHTS)[np.minimum(told[starts[mine]], len(WEIGHTS) - 1)]
-            order = np.argsort(k, kind="stable")
-            bitmap = np.zeros(1 << BITMAP, bool)
-            bitmap[(k >> np.uint64(64 - BITMAP)).astype(np.int64)] = True
-            self.tables[c, walk, t] = (bitmap, k[order], owner[mine][order], first[mine][order], weight[order])
+        cut = pieces([w for _, w in self.items], self.allowed.tolist())
+        flat, begin = [], []
+        for _, w in self.items:
+            begin.append(len(flat))
+            flat += w
+        owner, first, size = np.array([(i, a, n) for i, p in enumerate(cut) for a, n in p], np.int64).reshape(-1, 3).T
+        starts = np.array(begin, np.int64)[owner] + first
+        keys = np.zeros(len(owner), np.uint64)
+        for n, of in piece_keys(np.array(flat, np.uint64)):
+            keys[size == n] = of[starts[size == n]]
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner, self.first = keys[order], owner[order], first[order]
+        self.shift = np.uint64(64 - max(BITMAP, min(24, len(keys).bit_length() + BEYOND)))
+        self.bitmap = np.zeros(1 << 64 - int(self.shift), bool)
+        self.bitmap[(keys >> self.shift).astype(np.int64)] = True
 
     def matches(self, texts: list[str | None], known: _Words) -> list[list[tuple]]:
         """For each text: (item key, distance, first, end, stretches) by item;
@@ -250,25 +277,30 @@ class Items:
         if not self.items:
             return out
         rows = [words_of(t, known) for t in texts]
-        overlap = int(self.reach * (1 + 2 * self.max_edit)) + 2
         block: list[tuple[int, int, np.ndarray]] = []
         held, hits = 0, []
         for d, w in enumerate(rows):
             for at in range(0, len(w), STRETCH):
-                block.append((d, at, w[at : at + STRETCH + overlap]))
+                block.append((d, at, w[at : at + STRETCH + LONGEST]))
                 held += len(block[-1][2])
                 if held >= STRETCH:
                     hits.append(self._hits(block))
                     block, held = [], 0
         hits.append(self._hits(block))
         places = self._clusters(np.hstack(hits), np.array([len(w) for w in rows], np.int64))
+        until = 0  # where the last stretch found ends
         for d, i, begin, end in self._plausible(rows, *places):
             got = self._verified(i, rows[d][begin:end].tolist(), begin)
-            if got and out[d] and out[d][-1][0] == i:
+            if not got:
+                continue
+            first, last = got[1:3]
+            if out[d] and out[d][-1][0] == i:
                 i, *best, n = out[d].pop()
-                got = (*min((*best,), got[:3], key=lambda x: x[0]), n + 1)
-            if got:
-                out[d].append((i, *got))
+                # the same stretch may be found from two places
+                got = (*min((*best,), got[:3], key=lambda x: x[0]), n + (first >= until))
+                last = max(last, until)
+            out[d].append((i, *got))
+            until = last
         for d, hits in enumerate(out):
             if hits:
                 spans = [m.span() for m in WORD.finditer(texts[d]) if known.counts(m.group())]
@@ -276,41 +308,37 @@ class Items:
         return out
 
     def _hits(self, block: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
-        """Rows (text, item, place where the item would begin, weight): one
-        column for each key that a window of the block shares with one of an item."""
+        """Rows (text, item, place where the item would begin): one column for
+        each place of the block where a piece of an item stands."""
         zero = np.zeros(1, np.uint64)
         flat = np.concatenate([x for _, _, w in block for x in (zero, w)] + [zero])
         begin = np.cumsum([1, *(len(w) + 1 for _, _, w in block)])
         text, at = (np.array([x[k] for x in block], np.int64) for k in (0, 1))
-        out = [np.zeros((4, 0), np.int64)]
-        for c, walk, t, keys, _ in keys_of(flat, self.classes):
-            bitmap, table, owner, first, weight = self.tables[c, walk, t]
-            p = np.flatnonzero(bitmap[(keys >> np.uint64(64 - BITMAP)).astype(np.int64)])
-            lo, hi = (np.searchsorted(table, keys[p], side) for side in ("left", "right"))
+        out = [np.zeros((3, 0), np.int64)]
+        for _, keys in piece_keys(flat):
+            p = np.flatnonzero(self.bitmap[(keys >> self.shift).astype(np.int64)])
+            lo, hi = (np.searchsorted(self.keys, keys[p], side) for side in ("left", "right"))
             n = hi - lo
             p, lo, n = p[n > 0], lo[n > 0], n[n > 0]
             x = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             p = np.repeat(p, n)
             b = np.searchsorted(begin, p, "right") - 1
-            where = p - begin[b] + at[b]
             # a start in the overlap belongs to the stretch after
             own = (flat[p] != 0) & (p - begin[b] < STRETCH)
-            out.append(np.stack([text[b], owner[x], where - first[x], weight[x]])[:, own])
+            out.append(np.stack([text[b], self.owner[x], p - begin[b] + at[b] - self.first[x]])[:, own])
         return np.hstack(out)
 
     def _clusters(self, hits: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """(text, item, first word, end) of the stretches to look at: around
-        places that keys of weight ENOUGH agree on, up to shifts that the
-        allowed edits can cause."""
+        places where pieces stand, those together that differ by shifts that
+        the allowed edits can cause."""
         if not hits.shape[1]:
             return (np.zeros(0, np.int64),) * 4
-        d, i, b, weight = hits[:, np.lexsort(hits[2::-1])]
+        d, i, b = hits[:, np.lexsort(hits[::-1])]
         size = np.array([len(w) for _, w in self.items])
         new = np.r_[True, (d[1:] != d[:-1]) | (i[1:] != i[:-1]) | (b[1:] - b[:-1] > self.allowed[i[1:]])]
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(d)] - 1
-        enough = np.add.reduceat(weight, first) >= ENOUGH
-        first, last = first[enough], last[enough]
         d, i, begin = d[first], i[first], b[first]
         slack = self.allowed[i] + 1
         return d, i, np.maximum(begin - slack, 0), np.minimum(b[last] + size[i] + slack, lengths[d])
