@@ -29,6 +29,43 @@ def test_main_text_of_a_page():
     assert X.Scored(PAGE % 7).text(None) == TEXT
 
 
+LONG = "The words of the article go on and on for a good while. " * 3
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        # negated or longer names are none
+        (f"<header><h1>Title</h1></header><div class='entry-content no-sidebar'><p>{LONG}</div>", LONG.strip()),
+        (f"<article><p>{LONG}<section id='related-work'><p>Others did this.</section></article>", LONG + "\n\nOthers did this."),
+        (f"<article><p>{LONG}<div class='overflow-hidden lg:hidden'>A table.</div></article>", LONG + "\n\nA table."),
+        # headings and paragraphs
+        (f"<article><p>{LONG}<h2 id='search-results'>Results</h2><p class='notice'>Mind this.</article>",
+         LONG + "\n\nResults\n\nMind this."),
+        (f"<article><p>{LONG}<h2 id='search' class='header'>Search</h2><p id='share'>Ask.</article>", LONG + "\n\nSearch\n\nAsk."),
+        # ids made of headings
+        (f"<main><p>{LONG}<section id='discussion'><h2>4.2. Discussion</h2><p>It holds.</section></main>",
+         LONG + "\n\n4.2. Discussion\n\nIt holds."),
+        (f"<main><p>{LONG}<div id='comments'><h2>Comments</h2><div class='comment'>Nice.</div></div></main>", LONG.strip()),
+        (f"<main><p>{LONG}<div id='comments'><h2>Comments</h2><form>Name</form></div></main>", LONG.strip()),
+        # most of a page's text
+        (f"<body><h1>Title</h1><div class='search'><p>{LONG}</div><p>Short.</p></body>", LONG.strip()),
+        (f"<div class='hidden'><p>{LONG}</div><p>Short.", LONG.strip()),
+        (f"<main><div class='notice'><p>{LONG}</div><p>Short.</p></main>", LONG + "\n\nShort."),
+        # unless the main text is marked elsewhere
+        (f"<div class='cookie-consent'><p>{LONG}</div><article><p>The short article.</article>", "The short article."),
+        (f"<article><p>The short article.<section id='comments'><p>{LONG}</section></article>", "The short article."),
+        # names are still names
+        *((f"<article><p>{LONG}<div class='{c}'>Left out.</div></article>", LONG.strip()) for c in (
+            "ad", "ad-slot", "ad_300x250", "sidebar-left", "site-header", "related-posts", "relatedPosts", "sidebar2",
+            "share-buttons x", "newsletter-signup", "search-form")),
+    ],
+)
+def test_names_drop_nothing_else(source, text):
+    squeezed = "\n\n".join(x.strip() for x in text.split("\n\n"))
+    assert X.Scored(source).text(None) == squeezed
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "page_id long, url string, html string")
 

@@ -11,9 +11,12 @@
 
 Left out of the text: menus, headers (but headings in them), footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, told
-by element, role and class or id names.  A form, or an element with such a
-name, that holds most of a page's text together with its heading or article is
-the frame of the page and no boilerplate.
+by element, role and class or id names.  A name counts as a whole (``sidebar``,
+``sidebar-left``, ``cookie-notice``, but not ``no-sidebar`` or ``related-work``),
+not on headings and paragraphs, and not as the id that a section has from its
+heading.  No name removes an element that holds most of a page's text that is
+not linked, unless main text is marked apart from it (article, main); a form or
+an element with such a role stays if its heading or article is in it as well.
 
 Character references are decoded, white space in a block is one space, blocks
 are joined in page order by an empty line.
@@ -41,7 +44,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import map_columns, read, written
 from tidemark.llm.markup import HEADINGS, UNSEEN, Page
 
-#: Elements, roles and names (parts of class and id) of boilerplate.
+#: Elements, roles and names (whole words of class and id) of boilerplate.
 BOILERPLATE_TAGS = frozenset("nav header footer aside form dialog menu search fieldset".split())
 BOILERPLATE_ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar".split()
@@ -54,6 +57,13 @@ BOILERPLATE_NAMES = frozenset(
     "breadcrumb breadcrumbs pagination pager comment comments commentlist discussion disqus respond replies reply "
     "search searchform toolbar skip hidden".split()
 )
+#: Names of reader comments, and what may stand before and after a name.
+COMMENTS = frozenset("comment comments commentlist discussion disqus respond replies reply".split())
+BEFORE = frozenset("site page main global primary secondary top bottom left right sticky fixed floating mobile desktop".split())
+AFTER = frozenset(
+    "box area wrap wrapper container list bar block blocks inner outer left right top bottom primary secondary link links "
+    "button buttons btn icon icons item items panel posts articles stories form section slot unit zone thread".split()
+)
 #: Names that mark the main text.
 ARTICLE_NAMES = frozenset("article articlebody content main post entry story text body prose".split())
 CONTAINERS = frozenset("article main section div td body center blockquote #page".split())
@@ -76,6 +86,27 @@ def _names(attributes: dict[str, str]) -> set[str]:
     return set(_PART.findall(told)) | {w.replace("-", "").replace("_", "") for w in told.split()}
 
 
+def _noisy(told: str) -> set[str]:
+    """The names of boilerplate that the words of a class or an id are."""
+    out = set()
+    for word in re.sub(r"([a-z])([A-Z])", r"\1-\2", told).lower().split():
+        parts = [x for x in (re.sub(r"\d+$", "", p) for p in re.split(r"[^a-z0-9]+", word)) if x and not x[0].isdigit()]
+        while len(parts) > 1 and parts[0] in BEFORE:
+            del parts[0]
+        if "".join(parts) in BOILERPLATE_NAMES:
+            out.add("".join(parts))
+            continue
+        while len(parts) > 1 and parts[-1] in AFTER:
+            del parts[-1]
+        if parts and BOILERPLATE_NAMES.issuperset(parts):
+            out |= {*parts}
+    return out
+
+
+def _slug(text: str) -> str:
+    return re.sub(r"[^a-z0-9]+", "-", re.sub(r"^\s*(?:\d+\.)+\d*\s", "", text).lower()).strip("-")
+
+
 def _is_hidden(a: dict[str, str]) -> bool:
     return "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "")
 
@@ -89,17 +120,19 @@ class Scored:
         unseen = page.under([t in UNSEEN or _is_hidden(a) for t, a in zip(page.tag, page.attributes, strict=True)])
         self.blocks = [(i, text, linked) for i, text, linked in page.blocks if not unseen[i]]
         names = [_names(a) if a else set() for a in page.attributes]
-        noise = [
-            t in BOILERPLATE_TAGS or a.get("role") in BOILERPLATE_ROLES or not BOILERPLATE_NAMES.isdisjoint(w)
-            for t, a, w in zip(page.tag, page.attributes, names, strict=True)
-        ]
         whole = self._held(n, [len(text) - linked for _, text, linked in self.blocks])
         core = [t in ("h1", "article", "main") for t in page.tag]
         for i in range(n - 1, 0, -1):
             core[page.parent[i]] |= core[i]
-        # the frame around a page's text is not boilerplate, whatever its name
-        frame = [t not in BOILERPLATE_TAGS or t in ("form", "fieldset") for t in page.tag]
-        self.noise = [x and not (f and c and 2 * w > whole[0]) for x, f, c, w in zip(noise, frame, core, whole, strict=True)]
+        by_rule = [
+            t in BOILERPLATE_TAGS or a.get("role") in BOILERPLATE_ROLES for t, a in zip(page.tag, page.attributes, strict=True)
+        ]
+        # the frame around a page's text is not boilerplate, whatever its role
+        for i, t in enumerate(page.tag):
+            if by_rule[i] and (t not in BOILERPLATE_TAGS or t in ("form", "fieldset")) and core[i] and 2 * whole[i] > whole[0]:
+                by_rule[i] = False
+        named = self._named(by_rule, whole, core)
+        self.noise = [x or y for x, y in zip(by_rule, named, strict=True)]
         inside = page.under(self.noise)
         held = self._held(n, [0 if inside[i] else len(text) - linked for i, text, linked in self.blocks])
         self.held = held
@@ -112,6 +145,42 @@ class Scored:
                     raised *= 1.1
                 self.score[i] = held[i] * raised * (0.9 if tag in ("body", "#page") else 1.0)
 
+    def _named(self, by_rule: list[bool], whole: list[int], core: list[bool]) -> list[bool]:
+        """Which elements are boilerplate by their names."""
+        page, n = self.page, len(self.page.tag)
+        classes, ids = ([_noisy(a[k]) if a.get(k) else set() for a in page.attributes] for k in ("class", "id"))
+        # an id that is made of the heading that begins its element, where nothing else tells of boilerplate
+        begins: list[tuple[int, str] | None] = [None] * n
+        for i, text, _ in self.blocks:
+            k = i
+            while k >= 0 and begins[k] is None:
+                begins[k], k = (i, text), page.parent[k]
+        told = [bool(c) or t == "form" for c, t in zip(classes, page.tag, strict=True)]
+        for i in range(n - 1, 0, -1):
+            told[page.parent[i]] |= told[i]
+        for i, first in enumerate(begins):
+            if ids[i] and first and page.tag[first[0]] in HEADINGS and not told[i]:
+                if _slug(first[1]) == _slug(page.attributes[i]["id"]):
+                    ids[i] = set()
+        names = [
+            set() if t in HEADINGS or t == "p" else c | d for t, c, d in zip(page.tag, classes, ids, strict=True)
+        ]
+        most = [i for i in range(n) if names[i] and 2 * whole[i] > whole[0]]
+        if most:
+            marked = page.under(
+                [t in ("article", "main") or a.get("role") == "main" or a.get("itemprop") == "articleBody"
+                 for t, a in zip(page.tag, page.attributes, strict=True)]
+            )
+            left_out = page.under([x or bool(w) for x, w in zip(by_rule, names, strict=True)])
+            main = self._held(
+                n, [len(text) - linked if marked[i] and not left_out[i] else 0 for i, text, linked in self.blocks]
+            )
+            for i in most:
+                apart = main[0] > main[i] and (not marked[i] or names[i] <= COMMENTS)
+                if core[i] or not apart:
+                    names[i] = set()
+        return [bool(w) for w in names]
+
     def _held(self, n: int, sizes: list[int]) -> list[int]:
         held = [0] * n
         for (i, _, _), size in zip(self.blocks, sizes, strict=True):
