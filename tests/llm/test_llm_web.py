@@ -87,6 +87,21 @@ def test_hosts_agree_on_a_container(spark):
     assert all(got[i] == (f"The story number {i} goes on for a good while. " * 4).strip() for i in range(9))
 
 
+def test_texts_in_several_elements_stay_whole(spark):
+    part = "Part {} of text {} goes on for a good while. "
+    a, b = ((part.format(k, "{i}") * 4).strip() for k in "AB")
+    halves = f"<html><body><div class='page'><div class='text'>{a}</div><p>Between.</p><div class='text'>{b}</div></div></body></html>"
+    rows = [(i, f"http://halves.example/{i}", halves.format(i=i)) for i in range(5)]
+    # a host of single texts, one page of which has two
+    one = f"<html><body><div class='list'><div class='text'>{a}</div></div></body></html>"
+    two = f"<html><body><div class='list'><div class='text'>{a}</div><div class='text'>{b}</div></div></body></html>"
+    rows += [(10 + i, f"http://single.example/{i}", (two if i == 4 else one).format(i=10 + i)) for i in range(5)]
+    got = {r.page_id: r.text for r in run(frame(spark, rows)).collect()}
+    for i in range(5):
+        assert got[i] == f"{a}\n\nBetween.\n\n{b}".format(i=i)
+        assert got[10 + i] == (f"{a}\n\n{b}" if i == 4 else a).format(i=10 + i)
+
+
 ODD = [
     (1, "http://h.example/1", PAGE % 1),
     (1, "http://h.example/1", PAGE % 1),

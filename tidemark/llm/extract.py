@@ -5,9 +5,11 @@
 2. Pages of a host are made by one template, so containers vote: by host,
    Spark adds up the scores of each generalised path (tags and class names
    from the top, digits generalised, classes that look generated left out).
-3. Each page is extracted again from the container on its host's winning path;
-   where a page has no such element, or next to no text there, from its own
-   best container.
+   On a page a path votes once, with its best container, so that halves of a
+   text don't outvote the element around them.
+3. Each page is extracted again from all containers on its host's winning path,
+   in page order; where a page has none, or next to no text in them, from its
+   own best container.
 
 Left out of the text: menus, headers (but headings in them), footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, told
@@ -69,7 +71,7 @@ ARTICLE_NAMES = frozenset("article articlebody content main post entry story tex
 CONTAINERS = frozenset("article main section div td body center blockquote #page".split())
 #: Winners up to this number of hosts are broadcast.
 FEW_HOSTS = 50_000
-#: A path votes with every container of at least this share of the best score.
+#: A path votes with its best container, if that has this share of the best score.
 VOTES = 0.5
 #: Least share of its own best container's text that a page has to have on the
 #: winning path.
@@ -209,31 +211,29 @@ class Scored:
         # of nested elements around the same text only the innermost votes
         outer = {self.page.parent[i] for i in range(1, len(self.held)) if self.held[i] == self.held[self.page.parent[i]]}
         own = self.best()
-        return [
-            (self.path(i), s / top) for i, s in enumerate(self.score)
-            if top and s >= VOTES * top and (i not in outer or i == own)
-        ]
+        best: dict[str, float] = {}
+        for i, s in enumerate(self.score):
+            if top and s >= VOTES * top and (i not in outer or i == own):
+                path = self.path(i)
+                best[path] = max(best.get(path, 0.0), s / top)
+        return [*best.items()]
 
     def text(self, winner: str | None) -> str:
         own = self.best()
         if own is None:
             return ""
-        chosen = own
-        if winner is not None and self.path(own) != winner:
+        chosen = [own]
+        if winner is not None:
             last = winner.rpartition(">")[2].partition(".")[0]
-            on_path = [
-                i
-                for i, tag in enumerate(self.page.tag)
-                if tag == last and self.held[i] >= PRESENT * self.held[own] and self.path(i) == winner
-            ]
-            if on_path:
-                chosen = max(on_path, key=lambda i: (self.held[i], -i))
+            on_path = [i for i, tag in enumerate(self.page.tag) if tag == last and self.held[i] and self.path(i) == winner]
+            if sum(self.held[i] for i in on_path) >= PRESENT * self.held[own]:
+                chosen = on_path
         return "\n\n".join(text for i, text in self._inside(chosen))
 
-    def _inside(self, chosen: int):
-        """Blocks of a container without its boilerplate."""
+    def _inside(self, chosen: list[int]):
+        """Blocks of containers without their boilerplate."""
         parent, tag = self.page.parent, self.page.tag
-        state: dict[int, bool | None] = {chosen: True}  # None: in a header, headings only
+        state: dict[int, bool | None] = dict.fromkeys(chosen, True)  # None: in a header, headings only
 
         def of(i: int) -> bool | None:
             chain = []
