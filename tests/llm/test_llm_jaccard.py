@@ -118,6 +118,19 @@ def test_one_of_each(spark):
     assert got == sorted(want, key=repr)
 
 
+def test_rows_without_words_all_stay(spark, monkeypatch):
+    from tidemark.llm import common
+
+    rows = [(None, None), (None, None), (None, ""), (5, None), (5, ""), (5, " "), (5, " "), (None, "the same words in one row"),
+            (None, "the same words in one row")]
+    want = sorted(rows[:8], key=repr)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, J.one_of_each(df).collect()), key=repr) == want
+    # the same if the filter lets all rows through
+    monkeypatch.setattr(common, "PLACES", 1)
+    assert sorted(map(tuple, J.one_of_each(df).collect()), key=repr) == want
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     random.Random(3).shuffle(edges)

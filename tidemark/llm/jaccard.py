@@ -384,8 +384,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int =
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, all columns as they are: the
     one with the smallest key (of rows that share it, the smallest digest of
-    the text; of equal rows, any one).  Only rows that may have to go are
-    shuffled."""
+    the text; of equal rows, any one).  Rows with the empty set are each their
+    own component and all stay, whatever their keys.  Only rows that may have
+    to go are shuffled."""
     row = ["_key", "_sum"]
     rows = docs.select(
         F.struct(*docs.columns).alias("_all"),
@@ -395,7 +396,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     )
     told = join(rows.select(F.struct(*row).alias("_row"), "_text"), "_row", "_text", words, percent)
     verdict = written(
-        told.groupBy("_row").agg((F.first("_row") != F.first("component_id")).alias("_goes"), F.count("*").alias("_n")),
+        told.where("n_shingles > 0").groupBy("_row").agg((F.first("_row") != F.first("component_id")).alias("_goes"), F.count("*").alias("_n")),
         "verdict",
     )
     doubtful = verdict.where("_goes or _n > 1").select("_row.*", "_goes")
@@ -403,7 +404,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     match = F.col("_key").eqNullSafe(F.col("k")) & (F.col("_sum") == F.col("s"))
     out = doubtful.select(F.col("_key").alias("k"), F.col("_sum").alias("s"), "_goes")
     some = some.join(out, match, "left").where("not coalesce(_goes, false)")
-    return clear.select("_all.*").unionByName(some.dropDuplicates(row).select("_all.*"))
+    # rows that the filter let through by chance are no copies of each other
+    some = some.withColumn("_own", F.when(F.col("_goes").isNull(), F.monotonically_increasing_id()))
+    return clear.select("_all.*").unionByName(some.dropDuplicates([*row, "_own"]).select("_all.*"))
 
 
 def q_op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
