@@ -46,3 +46,34 @@ def test_any_arrival_order(spark, tmp_dir, seed):
         assert same(got["performance"].select(COLUMNS), want["performance"].select(COLUMNS)), i
         for name in ("currency_heatmap", "top_gainers", "top_losers", "volatility_exchange_rates"):
             assert same(got[name], want[name]), (i, name)
+
+
+@pytest.mark.parametrize("first", [[0, 1, 2], [0, 1, 2, "none"]])
+def test_rows_without_a_time(spark, tmp_dir, first):
+    """A snapshot whose time can't be parsed changes lags as in the full run,
+    and rows that come after it do."""
+    from tidemark.plans.gold import run_gold, run_gold_incremental
+    from tidemark.plans.silver import write_silver
+    from tidemark.sources.snapshots import read_snapshots, snapshot_days
+
+    rates = list(sample_docs.rates().items())
+
+    def document(i):
+        if not isinstance(i, str):
+            return sample_docs.document(rates[i][0], {c: rates[i][1][c] for c in CODES[:4]})
+        # the second comes with a code that has no history, too
+        some = {c: 1.5 + len(i) for c in ([CODES[1], CODES[5]] if i == "none" else [CODES[2]])}
+        return sample_docs.document(rates[0][0], some) | {"time_last_update_utc": f"no time: {i}"}
+
+    silver, gold, full = f"{tmp_dir}/silver", f"{tmp_dir}/gold", f"{tmp_dir}/full"
+    for n, batch in enumerate([first, [3, 4, "none"], [5, "again", "none"], [6]]):
+        path = f"{tmp_dir}/raw{n}.json"
+        with open(path, "w") as f:
+            f.writelines(json.dumps(document(i)) + "\n" for i in batch)
+        raw = read_snapshots(spark, path, multiline=False)
+        write_silver(raw, silver)
+        got = run_gold_incremental(spark, silver, gold, snapshot_days(raw)) if n else run_gold(spark, silver, gold)
+        want = run_gold(spark, silver, full)
+        assert same(got["performance"].select(COLUMNS), want["performance"].select(COLUMNS)), n
+        for name in ("currency_heatmap", "top_gainers", "top_losers", "volatility_exchange_rates"):
+            assert same(got[name], want[name]), (n, name)

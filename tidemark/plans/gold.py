@@ -112,42 +112,54 @@ def run_gold_incremental(spark: SparkSession, silver_path: str, gold_path: str,
     * An entity whose new rows all come after its history is on time: its
       last TAIL_ROWS rows and the new rows give its new performance rows,
       which are appended; no older row is read.
+    * A row without a time (day None) comes before all others, as in the
+      full run, so it is a late row; it is known again by its hash_diff among
+      the rows without a day.
     * An entity that got a late row is computed again from its silver rows;
       its performance rows from that time on are replaced, by rewriting the
       days from the earliest late row on (other entities' rows are copied).
 
     The tails table and the four outputs are rewritten.
     """
-    days = [d for d in days if d is not None]
+    timed = [d for d in days if d is not None]
     path = f"{gold_path}/performance.parquet"
     silver = spark.read.parquet(silver_path)
     perf = spark.read.parquet(path)
-    in_days = F.col(PARTITION_COL).isin(days) if days else F.lit(False)
+    in_days = F.col(PARTITION_COL).isin(timed) if timed else F.lit(False)
+    if len(timed) < len(days):
+        in_days = F.coalesce(in_days, F.lit(False)) | F.col(PARTITION_COL).isNull()
     # read by both branches and both writes: written once
     new = materialize(silver.where(in_days).join(perf.where(in_days).select("hash_diff"), "hash_diff", "left_anti")
                       .select(*silver.columns))
     tails = materialize(read_table(spark, gold_path, "tails"))
-    since = new.groupBy(ENTITY).agg(F.min(TIME).alias("_since"))
+    # _since is null where the earliest new row has no time
+    since = new.groupBy(ENTITY).agg(
+        F.when(F.count(TIME) == F.count("*"), F.min(TIME)).alias("_since"))
     ends = tails.groupBy(ENTITY).agg(F.max(TIME).alias("_end"))
     state = materialize(since.join(ends, ENTITY, "left").withColumn(
-        "_late", F.coalesce(F.col("_since") <= F.col("_end"), F.lit(False))))
+        "_late", F.col("_since").isNull() | F.coalesce(F.col("_since") <= F.col("_end"), F.lit(False))))
     on_time, late = state.where(~F.col("_late")), state.where("_late")
 
     def changed(rows: DataFrame, entities: DataFrame) -> DataFrame:
         frame = performance_frame(rows.join(entities.select(ENTITY), ENTITY, "left_semi"), strategy)
-        return frame.join(entities.select(ENTITY, "_since"), ENTITY).where(F.col(TIME) >= F.col("_since")).drop("_since")
+        frame = frame.join(entities.select(ENTITY, "_since"), ENTITY)
+        return frame.where(F.col("_since").isNull() | (F.col(TIME) >= F.col("_since"))).drop("_since")
 
     fresh = changed(tails.unionByName(new), on_time)
-    first = late.agg(F.to_date(F.min("_since"))).first()[0]
-    if first is None:
+    first, n, dated = late.agg(F.to_date(F.min("_since")), F.count("*"), F.count("_since")).first()
+    if not n:
         _write_performance(fresh.select(*perf.columns), path, write_append)
     else:
         again = changed(silver, late)
-        kept = perf.where(F.col(PARTITION_COL) >= F.lit(first)).join(late.select(ENTITY, "_since"), ENTITY, "left")
-        kept = kept.where(F.col("_since").isNull() | (F.col(TIME) < F.col("_since"))).drop("_since")
+        # an entity with a new row without a time changes on every day
+        touched = F.col(PARTITION_COL) >= F.lit(first) if dated == n else F.lit(True)
+        kept = perf.where(touched).join(late.select(ENTITY, "_since", "_late"), ENTITY, "left")
+        before = F.col("_since").isNotNull() & (F.col(TIME).isNull() | (F.col(TIME) < F.col("_since")))
+        kept = kept.where(F.col("_late").isNull() | before).drop("_since", "_late")
         # days are read and replaced: the rows leave the table first
         rows = materialize(kept.select(*perf.columns).unionByName(again.select(*perf.columns))
                            .unionByName(fresh.select(*perf.columns)))
         _write_performance(rows, path, write_partitions)
-    _write_tails(tails.unionByName(new), gold_path)
+    # an entity's first row is not in performance, so it may be new again
+    _write_tails(tails.unionByName(new).dropDuplicates(["hash_diff"]), gold_path)
     return _write_gold(spark, gold_path, tiers=tiers, risk=risk, k=k)
