@@ -94,3 +94,15 @@ def test_many_matches_in_one_text(spark):
     text = " ".join(f"token={i:08d}" for i in range(20_000))
     row = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.n_assign == 20_000 and row.base_sha256 == hashlib.sha256(",".join(brute(text)).encode()).hexdigest()
+
+
+def test_redaction_of_many_spans(spark):
+    text = " é ".join(f"token={i:08d}" for i in range(20_000))
+    row = secrets.redact(documents(spark, [(1, text, None, None, 0)])).first()
+    assert row.text == " é ".join(["[secret]"] * 20_000)
+
+
+def test_redaction_of_overlapping_spans(spark):
+    text = f"🙂 secret={KEY}{HEX} x token=password=abcdefgh {KEY}{HEX} 🙂"
+    row = secrets.redact(documents(spark, [(1, text, None, None, 0)])).first()
+    assert row.text == "🙂 [secret] x [secret] [secret] 🙂"

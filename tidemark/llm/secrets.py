@@ -70,16 +70,20 @@ SCOPE_END = r"\x0A[\x20\x09\x0D]*\x0A"
 def _matches(text: Column, pattern: str) -> Column:
     """Array of (gap, len, word): for each match the code points since the end
     of the match before, those of the match, and the match itself."""
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    gaps = F.split(text, pattern, -1)
+    # zipped, so that the pieces are made once and not again for each match; the
+    # piece after the last match has no match beside it
+    both = F.arrays_zip(
+        F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("word"),
+        F.split(text, pattern, -1).alias("gap"),
+    )
     return F.when(
         text.rlike(pattern),
         F.transform(
-            found,
-            lambda m, i: F.struct(
-                F.char_length(F.element_at(gaps, i + 1)).cast("long").alias("gap"),
-                F.char_length(m).cast("long").alias("len"),
-                m.alias("word"),
+            F.filter(both, lambda m: m["word"].isNotNull()),
+            lambda m: F.struct(
+                F.char_length(m["gap"]).cast("long").alias("gap"),
+                F.char_length(m["word"]).cast("long").alias("len"),
+                m["word"].alias("word"),
             ),
         ),
     )
@@ -245,29 +249,31 @@ def redact(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
         F.coalesce(F.col(key).cast("string"), F.lit("null")).alias("_id"),
         F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_sum"),
     )
+    doc = ["_id", "_sum"]
+    before = W.partitionBy(*doc).orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
+    # what is kept of a text: a piece before each span that no span before it
+    # overlaps, and what follows the last one
+    cuts = spans(docs, key, text, window).withColumn("at", F.coalesce(F.max("end").over(before), F.lit(0)))
     found = written(
-        spans(docs, key, text, window)
-        .groupBy("_id", "_sum")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("_spans")),
+        cuts.groupBy(*doc).agg(
+            F.sort_array(F.collect_list(F.when(F.col("start") >= F.col("at"), F.struct("start", "at")))).alias("_pieces"),
+            F.max("end").alias("_tail"),
+        ),
         "spans",
     )
-    clean, some = split_by_keys(rows, found, ["_id", "_sum"])
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    clean, some = split_by_keys(rows, found, doc)
     t = F.col("_all")[text]
 
-    def cut(done, span):
-        new = span["start"] >= done["at"]
-        kept = F.substring(t, (done["at"] + 1).cast("int"), (span["start"] - done["at"]).cast("int"))
-        return F.struct(
-            F.greatest(done["at"], span["end"]).alias("at"),
-            F.when(new, F.concat(done["out"], kept, F.lit(mask))).otherwise(done["out"]).alias("out"),
-        )
+    def told_with_mask(whole):
+        # four bytes a code point, so that a piece is found by its place
+        piece = lambda at, size: F.decode(F.substring(whole, at.cast("int"), size.cast("int")), "UTF-32")
+        kept = F.transform("_pieces", lambda p: piece(4 * p["at"] + 1, 4 * (p["start"] - p["at"])))
+        return F.array_join(F.concat(kept, F.array(piece(4 * F.col("_tail") + 1, F.length(whole)))), mask)
 
-    masked = F.aggregate(
-        "_spans", start, cut, lambda done: F.concat(done["out"], F.substring(t, (done["at"] + 1).cast("int"), F.char_length(t)))
-    )
+    # the encoded text is bound once as the element of an array
+    masked = F.transform(F.array(F.encode(t, "UTF-32")), told_with_mask)[0]
     some = some.join(found, ["_id", "_sum"], "left")
-    told = F.when(F.col("_spans").isNull(), t).otherwise(masked).alias(text)
+    told = F.when(F.col("_pieces").isNull(), t).otherwise(masked).alias(text)
     some = some.select(*[told if c == text else F.col("_all")[c].alias(c) for c in docs.columns])
     return clean.select("_all.*").unionByName(some)
 
