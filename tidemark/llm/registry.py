@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tidemark.llm import bpe, decontam, extract, jaccard, langid, lattice, merkle, quality, secrets, warc
+from tidemark.llm import bpe, decontam, extract, fim, jaccard, langid, lattice, merkle, quality, secrets, warc
 
-MODULES = (quality, langid, decontam, jaccard, extract, secrets, warc, bpe, merkle, lattice)
+MODULES = (quality, langid, decontam, jaccard, extract, secrets, warc, bpe, merkle, lattice, fim)
 
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 ORACLE_SQL = {name: q for m in MODULES for name, q in getattr(m, "ORACLE_SQL", {}).items()}
