@@ -387,9 +387,9 @@ QUERIES: dict[str, QueryFn] = {
 
 
 def _merge() -> None:
-    from tidemark.plans import catalog_io, catalog_model
+    from tidemark.plans import catalog_io, catalog_model, catalog_trend
 
-    for part in (catalog_io, catalog_model):
+    for part in (catalog_io, catalog_model, catalog_trend):
         QUERIES.update(part.QUERIES)
         ORACLE_SQL.update(part._oracle())
 
