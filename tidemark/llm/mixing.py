@@ -138,24 +138,20 @@ def _augmenting(patterns, supply, open_quota, givers) -> list | None:
     return None
 
 
-def select(lots: DataFrame, amounts: dict[str, int], sizes: dict[str, int], whole: bool = False) -> DataFrame:
-    """(key, size, pattern, copies, taken): ``amounts`` words of each pattern,
-    dealt to its documents; ``sizes``: the words that each pattern has."""
-    spark = lots.sparkSession
-    plan = spark.createDataFrame(
-        [(p, *divmod(amounts.get(p, 0), n)) if n else (p, 0, 0) for p, n in sizes.items()],
-        "pattern string, base long, rest long",
-    )
+def select(lots: DataFrame, plan: DataFrame, whole: bool = False) -> DataFrame:
+    """(key, size, pattern, copies, taken) and the further columns of ``plan``:
+    (pattern, base copies, rest words of one more copy, ...)."""
     order = ["pattern", "mark", "key", "size"]
     ranged = written(lots.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranged")
     sums = ranged.groupBy("pattern", "range").agg(F.sum("size").alias("n"))
     earlier = W.partitionBy("pattern").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
-    starts = written(sums.select("pattern", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start")), "starts")
+    starts = sums.select("pattern", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    # what holds for a pattern reaches its rows by (pattern, range) too, so the
+    # rows of a large pattern never meet at its name
+    starts = written(starts.join(plan, "pattern"), "starts")
     within = W.partitionBy("pattern", "range").orderBy(*order[1:]).rowsBetween(W.unboundedPreceding, 0)
-    rows = (
-        ranged.join(starts, ["pattern", "range"])
-        .withColumn("before", F.col("start") + F.sum("size").over(within) - F.col("size"))
-        .join(plan, "pattern")
+    rows = ranged.join(starts, ["pattern", "range"]).withColumn(
+        "before", F.col("start") + F.sum("size").over(within) - F.col("size")
     )
     more = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), F.col("rest") - F.col("before")))
     if whole:
@@ -166,6 +162,7 @@ def select(lots: DataFrame, amounts: dict[str, int], sizes: dict[str, int], whol
         "pattern",
         (F.col("base") + ((more > 0) & (more == F.col("size"))).cast("long")).alias("copies"),
         (F.col("base") * F.col("size") + more).alias("taken"),
+        *plan.drop("pattern", "base", "rest").columns,
     )
 
 
@@ -183,6 +180,20 @@ def source_sizes(sizes: dict[str, int]) -> dict[str | None, int]:
     return out
 
 
+def planned(
+    sizes: dict[str, int], quotas: dict[str | None, float] | None = None, repeats: int = REPEATS
+) -> tuple[dict[str | None, float], dict[str, dict[str | None, int]]]:
+    """The quotas (``targets`` of the sources where none are given) and the
+    words that each pattern gives to each of its sources."""
+    quotas = targets(source_sizes(sizes), repeats=repeats) if quotas is None else quotas
+    flows = route([(tuple(json.loads(p)), n) for p, n in sizes.items()], {s: int(q + 0.5) for s, q in quotas.items()}, repeats)
+    return quotas, dict(zip(sizes, flows, strict=True))
+
+
+def _copies(routes: dict[str, dict], sizes: dict[str, int]) -> list[tuple[str, int, int]]:
+    return [(p, *(divmod(sum(f.values()), sizes[p]) if sizes[p] else (0, 0))) for p, f in routes.items()]
+
+
 def mix(
     docs: DataFrame,
     members: Column,
@@ -192,28 +203,25 @@ def mix(
     repeats: int = REPEATS,
     seed: str = SEED,
     whole: bool = False,
-) -> tuple[DataFrame, dict[str | None, int], dict[str | None, float], dict[str, dict[str | None, int]]]:
+) -> tuple[DataFrame, dict[str, dict[str | None, int]]]:
     """The mix of ``docs``: (key, size, pattern, copies, taken) of every row,
-    the words by source, the quotas (``targets`` of the sources where none are
-    given) and the words that each pattern gives to each source."""
+    and the words that each pattern gives to each source."""
     lots = written(measured(docs, members, key, text, seed), "sizes")
     sizes = pattern_sizes(lots)
-    by_source = source_sizes(sizes)
-    quotas = targets(by_source, repeats=repeats) if quotas is None else quotas
-    flows = route([(tuple(json.loads(p)), n) for p, n in sizes.items()], {s: int(q + 0.5) for s, q in quotas.items()}, repeats)
-    routes = dict(zip(sizes, flows, strict=True))
-    rows = select(lots, {p: sum(f.values()) for p, f in routes.items()}, sizes, whole)
-    return rows.withColumnRenamed("key", key), by_source, quotas, routes
+    _, routes = planned(sizes, quotas, repeats)
+    plan = docs.sparkSession.createDataFrame(_copies(routes, sizes), "pattern string, base long, rest long")
+    return select(lots, plan, whole).withColumnRenamed("key", key), routes
 
 
 def q_op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the targets of their sources."""
-    docs = read(spark, sf_dir, "documents")
-    rows, sizes, wanted, routes = mix(docs, F.array("source"))
-    # each pattern is one source here, and the same few rows tell its figures
-    told = [(p, sizes[s], wanted[s]) for p in routes for s in json.loads(p)]
-    told = spark.createDataFrame(told, "pattern string, source_size long, target double")
-    return rows.join(told, "pattern").select("doc_id", "size", "source_size", "target", "taken")
+    lots = written(measured(read(spark, sf_dir, "documents"), F.array("source")), "sizes")
+    sizes = pattern_sizes(lots)
+    wanted, routes = planned(sizes)
+    # each pattern is one source here
+    told = [(*row, sizes[row[0]], wanted[s]) for row in _copies(routes, sizes) for s in json.loads(row[0])]
+    plan = spark.createDataFrame(told, "pattern string, base long, rest long, source_size long, target double")
+    return select(lots, plan).select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 SQL = rf"""
