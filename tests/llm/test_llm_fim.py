@@ -71,17 +71,3 @@ def test_restore_keeps_columns_and_refuses_what_no_form_makes(spark):
     for output, form in (("<P>a<M>b<S>c", "psm"), ("<P>a<S>c", "psm"), ("x<P>a<S>c<M>b", "psm"), ("abc", "other")):
         with pytest.raises(Exception, match="marks|form"):
             fim.restore(spark.createDataFrame([(output, form)], "output string, form string")).collect()
-
-
-def test_query_matches_sql(spark):
-    import duckdb
-
-    from conftest import SF_SMALL
-    from tools.oracle_check import rows_of
-
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
-    df = fim.q_op13_fill_in_middle(spark, SF_SMALL)
-    cur = con.execute(fim.SQL)
-    cols = [d[0] for d in cur.description]
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, cur.fetchall())

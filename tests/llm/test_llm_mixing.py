@@ -100,17 +100,3 @@ def test_hot_source_is_spread_and_reruns_agree(spark):
         sizes[json.loads(pattern)[0]] = sizes.get(json.loads(pattern)[0], 0) + size
     for s, target in mixing.targets(sizes).items():
         assert abs(total[json.dumps([s])] - target) <= 0.5
-
-
-def test_query_matches_sql(spark):
-    import duckdb
-
-    from conftest import SF_SMALL
-    from tools.oracle_check import rows_of
-
-    con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
-    df = mixing.q_op11_source_mix(spark, SF_SMALL)
-    cur = con.execute(mixing.SQL)
-    cols = [d[0] for d in cur.description]
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, cur.fetchall())

@@ -107,18 +107,3 @@ def test_odd_rows(spark):
     clash = with_extra(items).withColumnsRenamed({"x": "rank", "y": "doc_id"})
     assert sorted((tuple(r) for r in search.search(index, clash).collect()), key=repr) == got
     assert search.search(index, items.limit(0)).collect() == []
-
-
-def test_query_matches_sql(spark):
-    import duckdb
-
-    from conftest import SF_SMALL
-    from tools.oracle_check import rows_of
-
-    con = duckdb.connect()
-    for t in ("documents", "benchmark"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    df = search.q_op12_ranked_search(spark, SF_SMALL)
-    cur = con.execute(search.SQL)
-    cols = [d[0] for d in cur.description]
-    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(cols, cur.fetchall())
