@@ -32,8 +32,9 @@ def fold(key: Column, of: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % F.lit(of)
 
 
-#: Rows of a batch that are Python objects at a time.
-ROWS = 512
+#: Rows of a batch that are Python objects at a time, and rows of a batch: whole
+#: texts are large, and each of an executor's tasks holds a batch on either side.
+ROWS, BATCH_ROWS = 512, 2048
 #: Places of the fixed-size filter over keys.
 PLACES = 1 << 18
 
@@ -52,6 +53,14 @@ def split_by_keys(docs: DataFrame, keys: DataFrame, on: list[str]) -> tuple[Data
     return rows.join(places, "_place", "left_anti").drop("_place"), rows.join(places, "_place", "left_semi").drop("_place")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the rows of the session's Arrow batches by BATCH_ROWS (a smaller
+    setting stays)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def map_columns(
     df: DataFrame,
     schema: StructType,
@@ -65,6 +74,8 @@ def map_columns(
     task holds back until its end.
     """
 
+    small_batches(df.sparkSession)
+
     def run(batches):
         to = to_arrow_schema(schema)
         step = make()
@@ -75,6 +86,8 @@ def map_columns(
                     yield _batch(out, to)
         for out in step(None):
             yield _batch(out, to)
+        # a worker is kept for the next task: what this one has freed goes back
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

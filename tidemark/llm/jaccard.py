@@ -53,6 +53,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -74,7 +75,7 @@ SIZE_BIT, PLACE_BIT = 36, 4
 #: Bits of the fixed-size filter over the keys of nodes in pairs.
 FILTER = 1 << 20
 #: Words and nodes that a task remembers.
-WORD_MEMORY, NODE_MEMORY = 300_000, 1_000_000
+WORD_MEMORY, NODE_MEMORY = 100_000, 200_000
 
 
 class _Words(dict):
@@ -168,13 +169,13 @@ def _sketch(parts: DataFrame) -> np.ndarray:
     """The summed sketch: task shares are added up FAN_IN at a time, so no
     group is larger than that in the first steps; 4 to 8 MB reach the driver."""
 
-    def add(group):
-        total = sum(_unpacked(c) for c in group["counts"])
-        return group[["part", "block"]].iloc[:1].assign(counts=[_packed(total)])
+    def add(group: pa.Table) -> pa.Table:
+        total = _packed(sum(_unpacked(c) for c in group["counts"].to_pylist()))
+        return pa.table([group["part"][:1], group["block"][:1], pa.array([total])], group.column_names)
 
     for _ in range(3):
         parts = parts.withColumn("part", F.floor(F.col("part") / FAN_IN).cast("int"))
-        parts = parts.groupBy("block", "part").applyInPandas(add, parts.schema)
+        parts = parts.groupBy("block", "part").applyInArrow(add, parts.schema)
     out = np.zeros((BLOCKS, COUNTERS // BLOCKS), np.uint64)
     for block, counts in parts.groupBy("block").agg(F.collect_list("counts")).collect():
         out[block] = sum(map(_unpacked, counts))

@@ -32,12 +32,12 @@ import re
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import fold, map_columns, read, slices
+from tidemark.llm.common import ROWS, fold, map_columns, read, slices, small_batches
 
 #: Word slots, length of a vector, non-zero entries of an index vector, and
 #: how many places away a word still counts as context.
@@ -49,7 +49,7 @@ COMMON = 1e-2
 #: Score from which a document is predicted to be of quality.
 THRESHOLD = 0.7
 #: Words pooled at a time, and words whose slots a task remembers.
-BLOCK, WORD_MEMORY = 1 << 16, 300_000
+BLOCK, WORD_MEMORY = 1 << 16, 100_000
 
 WORD = re.compile(r"\w+|[^\w\s]+")
 
@@ -280,13 +280,20 @@ def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD, text:
     """The rows of ``docs`` that are predicted to be of quality, all columns
     as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+    small_batches(docs.sparkSession)
 
-    @F.pandas_udf(T.DoubleType())
-    def probability(texts: pd.Series) -> pd.Series:
-        x = pool(texts.tolist(), shared.value.vectors, _Slots())
-        return pd.Series(shared.value.network.probability(x), index=texts.index)
-
-    return docs.where(probability(F.col(text)) >= threshold)
+    def run(batches):
+        slots = _Slots()
+        for batch in batches:
+            good = []
+            for first in range(0, batch.num_rows, ROWS):
+                x = pool(batch.column(at).slice(first, ROWS).to_pylist(), shared.value.vectors, slots)
+                good.append(shared.value.network.probability(x) >= threshold)
+            yield batch.filter(pa.array(np.concatenate([np.zeros(0, bool), *good])))
+        pa.default_memory_pool().release_unused()
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def held_out(key: Column) -> Column:
