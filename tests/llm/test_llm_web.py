@@ -102,6 +102,52 @@ def test_texts_in_several_elements_stay_whole(spark):
         assert got[10 + i] == (f"{a}\n\n{b}" if i == 4 else a).format(i=10 + i)
 
 
+def test_a_page_that_differs_from_its_template_loses_nothing(spark):
+    """Text beside the winning container stays, however the parts compare."""
+    usual = "<html><body><div class='wrap'><div class='text'><p>{a}</p></div></div><div class='foot'>{c}</div></body></html>"
+    differs = "<html><body><div class='wrap'><div class='text'><p>{a}</p></div><div class='more'><p>{b}</p></div></div><div class='foot'>{c}</div></body></html>"
+    line, rows, want = "Words of part {} of page {} go on for a while. ", [], {}
+    for i in range(12):
+        a, b = ((line.format(k, i) * n).strip() for k, n in (("A", 1 + i), ("B", 12 - i)))
+        rows.append((i, f"http://w.example/{i}", (differs if i % 3 == 0 else usual).format(a=a, b=b, c="Short foot.")))
+        want[i] = f"{a}\n\n{b}" if i % 3 == 0 else a
+    # the foot outweighs the text of a page: still no part of it
+    rows.append((20, "http://w.example/20", usual.format(a="A short text of the page.", b="", c="A long foot of the page. " * 9)))
+    want[20] = "A short text of the page."
+    assert {r.page_id: r.text for r in run(frame(spark, rows)).collect()} == want
+
+
+def plain_version(source, known):
+    """Own version: blocks whose path has more pages inside than outside the
+    best container, without votes on containers."""
+    own = X.Scored(source)
+    best = own.best()
+    if best is None:
+        return ""
+    inside = {i for i, _ in own._inside([best])}
+    return "\n\n".join(t for i, t, _ in own.blocks if i in inside and known.get(own.path(i), 1) >= 0)
+
+
+def test_given_pages_as_without_votes_on_containers(spark):
+    """On the given pages each page's own container, without what its host has
+    outside more often, is the whole text."""
+    from collections import Counter
+
+    from conftest import SF_MID
+
+    pages = spark.read.parquet(f"{SF_MID}/pages.parquet")
+    rows = pages.select("page_id", "html", X.host_of(pages.url).alias("host")).collect()
+    known: dict = {}
+    for r in rows:
+        own = X.Scored(r.html or "")
+        if own.best() is not None:
+            inside = {own.path(i) for i, _ in own._inside([own.best()])}
+            all_ = {own.path(i) for i, _ in own._inside([0])}
+            known.setdefault(r.host, Counter()).update({p: 1 if p in inside else -1 for p in all_})
+    got = {r.page_id: r.text for r in run(pages).collect()}
+    assert got == {r.page_id: plain_version(r.html or "", known.get(r.host, {})) for r in rows}
+
+
 ODD = [
     (1, "http://h.example/1", PAGE % 1),
     (1, "http://h.example/1", PAGE % 1),

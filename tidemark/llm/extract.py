@@ -7,9 +7,13 @@
    from the top, digits generalised, classes that look generated left out).
    On a page a path votes once, with its best container, so that halves of a
    text don't outvote the element around them.
+   A page also votes on every path that holds a block of its text: does it stand
+   inside the page's own best container, or outside?
 3. Each page is extracted again from all containers on its host's winning path,
-   in page order; where a page has none, or next to no text in them, from its
-   own best container.
+   in page order, and from its own best container, whatever that holds besides:
+   a page that differs from its host's template loses nothing.  Only blocks on
+   paths that more pages of the host have outside than inside are left out there,
+   as parts of the template that outweigh the article on some page.
 
 Left out of the text: menus, headers (but headings in them), footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments, told
@@ -24,8 +28,8 @@ Character references are decoded, white space in a block is one space, blocks
 are joined in page order by an empty line.
 
 Votes are added with partial sums, so a host with a third of all pages is no
-hot spot.  The winners are a row per host; they are broadcast where a count
-proves them few (``FEW_HOSTS``), else joined by host (Spark splits hot hosts).
+hot spot.  The winners are a row per host; they are broadcast where their added
+lengths prove them small (``SMALL``), else joined by host (Spark splits hot hosts).
 
 Defined cases: null or empty html has no text; a page without any text has
 the empty text; pages without a host in their url are extracted from their own
@@ -69,13 +73,10 @@ AFTER = frozenset(
 #: Names that mark the main text.
 ARTICLE_NAMES = frozenset("article articlebody content main post entry story text body prose".split())
 CONTAINERS = frozenset("article main section div td body center blockquote #page".split())
-#: Winners up to this number of hosts are broadcast.
-FEW_HOSTS = 50_000
+#: Winners up to so many bytes, or nearly, are broadcast.
+SMALL = 1 << 24
 #: A path votes with its best container, if that has this share of the best score.
 VOTES = 0.5
-#: Least share of its own best container's text that a page has to have on the
-#: winning path.
-PRESENT = 0.3
 
 _PART = re.compile(r"[a-z]+")
 
@@ -121,6 +122,7 @@ class Scored:
         n = len(page.tag)
         unseen = page.under([t in UNSEEN or _is_hidden(a) for t, a in zip(page.tag, page.attributes, strict=True)])
         self.blocks = [(i, text, linked) for i, text, linked in page.blocks if not unseen[i]]
+        self.paths: dict[int, str] = {}
         names = [_names(a) if a else set() for a in page.attributes]
         whole = self._held(n, [len(text) - linked for _, text, linked in self.blocks])
         core = [t in ("h1", "article", "main") for t in page.tag]
@@ -193,42 +195,54 @@ class Scored:
 
     def path(self, i: int) -> str:
         """Tags and generalised class names from the top to an element."""
-        parts = []
-        while i > 0:
+        if i <= 0:
+            return ""
+        if i not in self.paths:
             classes = sorted({re.sub(r"\d+", "#", c.lower()) for c in self.page.attributes[i].get("class", "").split()})
             kept = [c for c in classes if not re.search(r"#.*[a-z].*#|[a-z]#[a-z]", c)]
-            parts.append(".".join([self.page.tag[i], *kept]))
-            i = self.page.parent[i]
-        return ">".join(reversed(parts))
+            above = self.path(self.page.parent[i])
+            self.paths[i] = f"{above}>{'.'.join([self.page.tag[i], *kept])}".lstrip(">")
+        return self.paths[i]
 
     def best(self) -> int | None:
         """The container with the best score; the deepest of equals."""
         top = max(self.score)
         return max((i for i, s in enumerate(self.score) if s == top), default=None) if top else None
 
-    def votes(self) -> list[tuple[str, float]]:
+    def votes(self) -> list[tuple[str, float, int, int]]:
+        """(path, score, inside, outside): a path's vote for its container, and
+        whether blocks on it stand inside or outside the own best one."""
         top = max(self.score)
-        # of nested elements around the same text only the innermost votes
+        # of nested elements around the same text only the innermost votes, and
+        # nothing around the own best one, which is worth less as a whole
         outer = {self.page.parent[i] for i in range(1, len(self.held)) if self.held[i] == self.held[self.page.parent[i]]}
         own = self.best()
+        if own is None:
+            return []
+        i = self.page.parent[own]
+        while i >= 0:
+            outer.add(i)
+            i = self.page.parent[i]
         best: dict[str, float] = {}
         for i, s in enumerate(self.score):
-            if top and s >= VOTES * top and (i not in outer or i == own):
+            if s >= VOTES * top and (i not in outer or i == own):
                 path = self.path(i)
                 best[path] = max(best.get(path, 0.0), s / top)
-        return [*best.items()]
+        inside = {self.path(i) for i, _ in self._inside([own])}
+        outside = {self.path(i) for i, _ in self._inside([0])} - inside
+        return [(p, best.get(p, 0.0), int(p in inside), int(p in outside)) for p in {*best, *inside, *outside}]
 
-    def text(self, winner: str | None) -> str:
+    def text(self, winner: str | None, template: list[str] | None = None) -> str:
+        """``template``: paths of the host that hold no text of an article."""
         own = self.best()
         if own is None:
             return ""
-        chosen = [own]
+        shown = {i for i, _ in self._inside([own]) if not template or self.path(i) not in template}
         if winner is not None:
             last = winner.rpartition(">")[2].partition(".")[0]
             on_path = [i for i, tag in enumerate(self.page.tag) if tag == last and self.held[i] and self.path(i) == winner]
-            if sum(self.held[i] for i in on_path) >= PRESENT * self.held[own]:
-                chosen = on_path
-        return "\n\n".join(text for i, text in self._inside(chosen))
+            shown |= {i for i, _ in self._inside(on_path)}
+        return "\n\n".join(text for i, text, _ in self.blocks if i in shown)
 
     def _inside(self, chosen: list[int]):
         """Blocks of containers without their boilerplate."""
@@ -261,36 +275,43 @@ def host_of(url) -> F.Column:
 
 
 def votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(host, path, score): the votes of all pages, added up."""
-    schema = T.StructType([T.StructField("host", T.StringType()), T.StructField("path", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    """(host, path, score, inside, outside): the votes of all pages, added up."""
+    schema = T.StructType(
+        [T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("score", T.DoubleType()),
+         T.StructField("inside", T.LongType()), T.StructField("outside", T.LongType())]
+    )
 
     def make():
         def step(columns):
             if columns is not None:
-                told = [(h, p, s) for h, source in zip(*columns, strict=True) for p, s in Scored(source).votes()]
-                yield [[x[k] for x in told] for k in range(3)]
+                told = [(h, *v) for h, source in zip(*columns, strict=True) for v in Scored(source).votes()]
+                yield [[x[k] for x in told] for k in range(5)]
 
         return step
 
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
     rows = rows.where("host is not null and html is not null")
-    return map_columns(rows, schema, make).groupBy("host", "path").agg(F.sum("score").alias("score"))
+    return map_columns(rows, schema, make).groupBy("host", "path").agg(*[F.sum(c).alias(c) for c in schema.names[2:]])
 
 
 def winners(votes: DataFrame) -> DataFrame:
-    """(host, winner): the path with most votes of each host; scores are
-    rounded so that the order in which they were added can't decide."""
-    best = F.max(F.struct(F.round("score", 3).alias("score"), F.length("path").alias("l"), "path"))
-    return votes.groupBy("host").agg(best.alias("b")).select("host", F.col("b.path").alias("winner"))
+    """(host, winner, template): the path with most votes of each host, and the
+    paths that some page has inside its own container and more have outside;
+    scores are rounded so that the order in which they were added can't decide."""
+    best = F.max(F.when(F.col("score") > 0, F.struct(F.round("score", 3).alias("score"), F.length("path").alias("l"), "path")))
+    contested = F.when((F.col("inside") > 0) & (F.col("outside") > F.col("inside")), F.col("path"))
+    return votes.groupBy("host").agg(best.alias("b"), F.collect_list(contested).alias("template")).select(
+        "host", F.col("b.path").alias("winner"), "template"
+    )
 
 
 def extract(pages: DataFrame, winners: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(key, url, text, n_chars) of every page."""
     winners = written(winners, "winners")
-    few = winners.count() <= FEW_HOSTS
+    size = F.length("host") + F.length("winner") + F.length(F.array_join("template", "")) + 64
+    small = (winners.agg(F.sum(size)).first()[0] or 0) <= SMALL
     rows = pages.select(F.col(key), F.col(url), F.col(html).alias("_html"), host_of(F.col(url)).alias("host"))
-    rows = rows.join(F.broadcast(winners) if few else winners, "host", "left").select(key, url, "_html", "winner")
+    rows = rows.join(F.broadcast(winners) if small else winners, "host", "left").select(key, url, "_html", "winner", "template")
     schema = T.StructType(
         [*rows.schema.fields[:2], T.StructField("text", T.StringType(), False), T.StructField("n_chars", T.LongType(), False)]
     )
@@ -298,8 +319,8 @@ def extract(pages: DataFrame, winners: DataFrame, key: str = "page_id", url: str
     def make():
         def step(columns):
             if columns is not None:
-                keys, urls, sources, paths = columns
-                texts = [Scored(s).text(p) if s else "" for s, p in zip(sources, paths, strict=True)]
+                keys, urls, sources, paths, templates = columns
+                texts = [Scored(s).text(p, t) if s else "" for s, p, t in zip(sources, paths, templates, strict=True)]
                 yield [keys, urls, texts, [*map(len, texts)]]
 
         return step
