@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeparse import epoch_micros_ntz
 from tidemark.plans.silver import PARTITION_COL, to_silver, write_silver
-from tidemark.sources.snapshots import stream_snapshots
+from tidemark.sources.snapshots import snapshot_days, stream_snapshots
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,6 +25,7 @@ def stream_silver(
     available_now: bool = True,
     archive_dir: str | None = None,
     quarantine_path: str | None = None,
+    before_append: Callable[[list], None] | None = None,
 ):
     """File stream -> foreachBatch(silver, dedupe, anti join, append).
 
@@ -32,12 +35,16 @@ def stream_silver(
     ``archive_dir``: move processed raw files there (see ``stream_snapshots``).
     A bad document or rate ends the query before its micro-batch is committed
     (or archived), unless ``quarantine_path`` names a table for them.
+    ``before_append`` is called with the snapshot days of each micro-batch
+    before its rows are appended.
     Returns the finished (available-now) or running query.
     """
     raw = stream_snapshots(spark, raw_path, multiline, max_files_per_trigger, archive_dir,
                            quarantine_path is not None)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        if before_append is not None:
+            before_append(snapshot_days(batch))
         write_silver(batch, silver_path, quarantine_path=quarantine_path)
 
     w = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
