@@ -335,12 +335,13 @@ def q_gold_volatility(spark, sf_dir):
     return _gold(spark, sf_dir, "volatility_exchange_rates")
 
 
-def q_gold_incremental(spark, sf_dir):
-    """Gold in three runs: the months before 1996 but one, then the later
-    months (on time), then the month left out (late); performance equals the
-    full recompute."""
+def _gold_in_parts(spark, sf_dir, second_ends: bool = False) -> DataFrame:
+    """Performance after three runs: the months before 1996 but one, then the
+    later months (on time), then the month left out (late).  ``second_ends``:
+    the second run ends when it has worked out what changes and published none
+    of it; the third finishes that."""
+    from tidemark.plans import gold as G
     from tidemark.plans.catalog import A_RISK, A_TIERS
-    from tidemark.plans.gold import run_gold, run_gold_incremental
     from tidemark.plans.silver import write_silver
 
     payloads = materialize(_payloads(spark, sf_dir).withColumn(
@@ -351,18 +352,46 @@ def q_gold_incremental(spark, sf_dir):
     parts = [(month < F.lit("1996-01-01").cast("date")) & ~late, month >= F.lit("1996-01-01").cast("date"), late]
     for i, part in enumerate(parts):
         batch = payloads.where(part)
+        days = snapshot_days(batch)
         write_silver(batch, silver)
         if i == 0:
-            run_gold(spark, silver, gold, tiers=A_TIERS, risk=A_RISK)
+            G.run_gold(spark, silver, gold, tiers=A_TIERS, risk=A_RISK)
+        elif i == 1 and second_ends:
+            G.note_due(spark, gold, days)
+            G.stage(spark, silver, gold, days)
         else:
-            run_gold_incremental(spark, silver, gold, snapshot_days(batch), tiers=A_TIERS, risk=A_RISK)
-    perf = read_table(spark, gold, "performance")
-    return perf.select(
+            G.run_gold_incremental(spark, silver, gold, days, tiers=A_TIERS, risk=A_RISK)
+    return read_table(spark, gold, "performance").select(
         "code_exchange_rate", "snapshot_date", "exchange_rate", "prev_value", "daily_change_pct",
         "value_lag_7", "value_lag_30", "weekly_change_pct", "monthly_change_pct",
     )
 
 
+def q_gold_incremental(spark, sf_dir):
+    """Performance equals the full recompute."""
+    return _gold_in_parts(spark, sf_dir)
+
+
+def q_gold_resumed(spark, sf_dir):
+    """The same after a run that ended halfway."""
+    return _gold_in_parts(spark, sf_dir, second_ends=True)
+
+
+def q_volatility_incremental(spark, sf_dir):
+    """The volatility profile from a moments table that got the performance
+    rows in three batches of months; equals that of all rows."""
+    from tidemark.operators import state
+    from tidemark.plans.catalog import A_RISK, written_perf_a
+
+    perf = written_perf_a(spark, sf_dir)
+    year = F.year("ts")
+    table = None
+    for part in (year < 1994, (year >= 1994) & (year < 1997), year >= 1997):
+        batch = state.moments(perf.where(part), "entity")
+        table = materialize(batch if table is None else state.merge(table, batch, "entity"))
+    return state.volatility_from_moments(table, "entity", risk=A_RISK)
+
+
 _EV_TEXTS = ["CAST(event_id AS VARCHAR)", "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')", "CAST(user_id AS VARCHAR)", "event_type",
              "CAST(CAST(value AS DECIMAL(20,4)) AS VARCHAR)", "props"]
 
@@ -412,6 +441,9 @@ rows AS (SELECT event_id, k AS prop_key, TRY_CAST(t AS DOUBLE) AS prop_value, t
 def _oracle() -> dict[str, str]:
     from tidemark.plans.catalog import A_TIER_CASE, PERF_A_SQL, SERIES_A_SQL, VOL_A_SQL
 
+    incremental = f"""WITH {PERF_A_SQL}
+SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, ts AS snapshot_date, value AS exchange_rate, prev_value, daily_change_pct,
+       value_lag_7, value_lag_30, weekly_change_pct, monthly_change_pct FROM perf_a"""
     return {
         "json_map_explode": """SELECT event_id, k AS prop_key,
        CAST(json_extract(props, '$."' || k || '"') AS DOUBLE) AS prop_value
@@ -462,9 +494,9 @@ WHERE event_id NOT IN (SELECT event_id FROM events WHERE ts < TIMESTAMP '{LOADED
         "overwrite_partitioned": f"""SELECT event_id, CAST(ts AS DATE) AS event_date FROM events
 WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{LOADED_BEFORE}' AS DATE)""",
         "stream_dedupe_watermark": SILVER_A_SQL,
-        "gold_incremental": f"""WITH {PERF_A_SQL}
-SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, ts AS snapshot_date, value AS exchange_rate, prev_value, daily_change_pct,
-       value_lag_7, value_lag_30, weekly_change_pct, monthly_change_pct FROM perf_a""",
+        "gold_incremental": incremental,
+        "gold_resumed": incremental,
+        "volatility_incremental": f"WITH {PERF_A_SQL}{VOL_A_SQL}\nSELECT * FROM vol_a",
         "stream_ingest": SILVER_A_SQL,
         "stream_dedupe": SILVER_A_SQL,
         "gold_heatmap": f"""WITH {PERF_A_SQL}
@@ -502,6 +534,8 @@ QUERIES = {
     "dated_snapshot": q_dated_snapshot,
     "stream_dedupe_watermark": q_stream_dedupe_watermark,
     "gold_incremental": q_gold_incremental,
+    "gold_resumed": q_gold_resumed,
+    "volatility_incremental": q_volatility_incremental,
     "unpivot_measures": q_unpivot_measures,
     "not_null_filter": q_not_null_filter,
     "projection_alias": q_projection_alias,
