@@ -27,24 +27,44 @@ def test_edit_search_matches_the_table():
             assert D.edit_search(item, text, anchored) == table(item, text, anchored)
 
 
-def test_walks_that_met_give_the_same_keys():
-    """Keys of merged walks equal those of walking each window by itself."""
+def test_keys_are_those_of_walks_step_by_step():
+    """Every key from its definition, one walk at a time; no step leads past
+    the window."""
     rng = np.random.RandomState(3)
     words = D._mix(rng.randint(1, 30, 400).astype(np.uint64), 5)
     words[[0, 57, 200, 399]] = 0
     written = D._mix(words, 99)
-    for c, walk, t, keys, told in D.keys_of(words, [2, 8], np.ones(400, np.int64)):
-        places = D._places(c)[walk][t]
-        assert set(told) == {len(places)}
+    expected = [(c, t, places, walk) for walk in range(D.WALKS) for c in D.PLACES for t, places in enumerate(D.PLACES[c]) if c > 1 or not walk]
+    share = -np.arange(400.0)
+    got = {}
+    for c, keys, reach, chance in D.keys_of(words, [*D.PLACES], share):
+        got.setdefault(c, []).append((keys, reach, chance))
+    for c in D.PLACES:
+        mine = [x for x in expected if x[0] == c]
+        assert len(mine) == len(got[c])
         for start in range(0, 400, 7):
-            at, key = start, 0
-            for j in range(places[-1] + 1):
-                if j in places:
-                    k = places.index(j)
-                    key = (key + int(written[at]) * (2 * (7919 * k + 104729 * t) + 1)) % (1 << 64)
-                if words[at]:
-                    at += int(D._mix(words[at : at + 1], 1000 + 64 * walk + j // 64)[0]) >> (j % 64) & 1
-            assert int(keys[start]) == key
+            all_keys = []
+            for _, t, places, walk in mine:
+                at, key, read = start, 0, []
+                for step in range(places[-1] + 1):
+                    if step in places:
+                        key = (key + int(written[at]) * (2 * (7919 * step + 104729 * t + 1299709 * walk + 15485863 * c) + 1)) % (1 << 64)
+                        read.append(at)
+                    if step < places[-1] and words[at]:
+                        at += int(D._mix(words[at : at + 1], 1000 + walk)[0]) >> step & 1
+                assert at - start < c
+                all_keys.append((int(D._mix(np.array([key], np.uint64), c)[0]), at - start, float(sum(share[x] for x in {*read}))))
+            assert sorted(all_keys) == sorted((int(k[start]), int(r[start]), float(x[start])) for k, r, x in got[c])
+
+
+def test_survivals_of_edits():
+    """Runs of whole words against edits made on a list, one at a time."""
+    for n, edits in ((1, 0), (4, 1), (12, 3), (40, 12)):
+        run = D.survivals(n, edits)
+        assert run.shape == (D.PATTERNS, n) and (run <= n - np.arange(n)).all()
+        # an edit ends a run, and no more runs end than there are edits
+        ends = [{i + r[i] for i in range(n) if r[i]} - {n} for r in run]
+        assert all(len(e) <= edits for e in ends) and (edits > 0) == any(ends)
 
 
 @pytest.fixture(scope="module")
@@ -78,28 +98,20 @@ def edited(rng, words, vocabulary, edits):
 
 @pytest.mark.parametrize("length", [2, 4, 8, 31, 32, 33, 100, 128, 512])
 def test_no_length_is_missed(length):
-    """Every copy within the allowed edits is found, common words in it or not."""
+    """Copies within the allowed edits are found through the walks' keys,
+    common words in them or not: 0.98 of them at least, at any length and rate."""
     rng = random.Random(length)
     often, seldom = [f"often{i}" for i in range(40)], [f"seldom{i}" for i in range(30_000)]
     draw = lambda n: [rng.choice(seldom if rng.random() < 0.7 else often) for _ in range(n)]
-    items = [(i, draw(length)) for i in range(12 if length > 100 else 60)]
+    items = [(i, draw(length)) for i in range(40 if length > 100 else 150)]
     tables, known = D.Items([(i, " ".join(w)) for i, w in items]), D._Words()
     for rate in (0.1, 0.2, 0.3):
         copies = [edited(rng, w, often, int(rate * length)) for _, w in items]
         got = tables.matches([" ".join(draw(40) + w + draw(40)) for w in copies], known)
-        assert [i for i, _ in items if i not in {m[0] for m in got[i]}] == []
+        assert np.mean([i in {m[0] for m in got[i]} for i, _ in items]) >= 0.98
         assert all(m[1] <= int(rate * length) and m[4] == 1 for (i, _), g in zip(items, got, strict=True) for m in g if m[0] == i)
 
 
-def test_pieces_are_one_more_than_edits_and_apart():
-    rng = random.Random(2)
-    rows = [[rng.randrange(1, 40) for _ in range(n)] for n in [*range(1, 140), 512, 3000]]
-    allowed = [int(D.MAX_EDIT * len(w)) for w in rows]
-    for row, most, got in zip(rows, allowed, D.pieces(rows, allowed), strict=True):
-        taken = [at for first, n in got for at in range(first, first + n)]
-        assert len(got) == most + 1 and len(taken) == len({*taken}) and {*taken} <= {*range(len(row))}
-
-
 def test_matches_equal_those_of_every_stretch():
     """Short random texts over few words: exactly the items close to a stretch."""
     rng = random.Random(5)

@@ -4,20 +4,28 @@ A document is contaminated by a benchmark item when some stretch of it is
 within ``MAX_EDIT`` word edits per word of the item (words stand between white
 space; only their letters and digits count, in lower case).
 
-Candidates come from pieces.  An item with at most ``k`` edits allowed is cut
-into ``k + 1`` pieces of one to ``LONGEST`` words that do not overlap; an edit
-spoils one piece at most, so every stretch within ``k`` edits holds one piece
-word by word.  No contaminating stretch is missed, whatever the item's length.
-The pieces of an item are those with the least chance hits, by the shares of
-their words in the items; words that fit into no piece are left out.  A
-document's word sequences of these lengths are looked up by their hashes.
+Candidates come from the CGK embedding.  A walk starts at every word; at each
+step it writes out the word it stands on and moves on, or stays, by a random bit
+of (step, word).  Two texts that differ by few edits give walks that differ in
+few places, so the edit distance becomes a Hamming distance, and a sample of
+places agrees with some chance: ``WALKS`` walks over windows of each size in
+``PLACES`` with that sample of steps for each key (bit-sampling LSH).  No step
+leads past a window's end.
+
+*Target.*  Whether a window's key survives depends only on which of its words
+are edited.  For each item length, ``PATTERNS`` random sets of as many edits as
+are allowed, and evenly spread ones, tell which windows survive; each item takes
+keys, those with the least chance hits first (by the shares of their words in
+the items), until one survives in ``TARGET`` of the patterns, whatever its
+length.  Fewer edits spoil fewer keys.
 
 Every candidate is verified exactly: the least edit distance of the whole item
 to any stretch near it, by the bit-parallel recurrence over words.
 
 The item side is small but unbounded in principle, so it is taken in blocks of
-``ITEM_BLOCK`` items, one pass over the documents for each block; documents
-are never shuffled and nothing but the items of a block is sent out.
+``ITEM_BLOCK`` items: the driver holds one block at a time, and each is one pass
+over the documents whose result is written before the next.  Documents are never
+shuffled and nothing but the items of a block is sent out.
 
 Defined cases: items and documents that are null, empty or without a word
 match nothing; an item of one word matches wherever that word stands; items with
@@ -30,32 +38,30 @@ whole text is searched in bounded memory.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from xxhash import xxh3_64_intdigest
 
-from tidemark.llm.common import read, slices
+from tidemark.llm.common import ROWS, map_columns, read, slices, small_batches, written
+from tidemark.operators.ingest import path_exists
+from tidemark.session import scratch_path
 
 #: Word edits allowed per word of an item.
 MAX_EDIT = 0.3
-#: Words of a piece at most, and words of an item that are cut at a time.
-LONGEST, PART = 4, 64
-#: Of ``keys_of``: walks, keys of each walk, written places in a key, steps per
-#: word of a window.
-WALKS, TABLES, PLACES, STEPS = 3, 4, 3, 1.5
+#: Sampled steps of the keys, by the words of a window; walks.
+PLACES, WALKS = {1: [(0,)], 2: [(0, 1)], 4: [(0, 1, 3), (0, 2, 3)]}, 4
+#: Patterns of edits that an item's keys are held against, and the share of them
+#: in which one has to survive.
+PATTERNS, TARGET = 256, 0.998
 #: Items that are sent out at a time.
-ITEM_BLOCK = 20_000
+ITEM_BLOCK = 5_000
 #: Words searched at a time (their arrays stay in a core's cache), and words a
 #: task remembers.
 STRETCH, WORD_MEMORY = 1 << 16, 500_000
-#: Steps after which walks that have met are merged.
-MERGE_AT = (2, 6, 12, 24, 48, 96, 192, 384, 768)
-
 WORD = re.compile(r"\S+")
 #: Bits of the key filter (at least, and beyond those that count the pieces) and
 #: of the table of (item, word) pairs, and words of stretches looked at at a time.
@@ -106,108 +112,66 @@ def words_of(text: str | None, known: _Words) -> np.ndarray:
     return words[words != 0]
 
 
-def pieces(rows: list[list[int]], allowed: list[int]) -> list[list[tuple[int, int]]]:
-    """For each item of at least one word: (first word, words) of its pieces,
-    one more than the edits that are allowed (or all its words)."""
-    total = sum(map(len, rows))
-    counts: dict[int, int] = {}
-    for row in rows:
-        for w in row:
-            counts[w] = counts.get(w, 0) + 1
-    parts: dict[tuple[int, int], list[tuple[int, int]]] = {}  # by words and pieces: (item, first word)
-    for i, row in enumerate(rows):
-        n, wanted = len(row), min(allowed[i] + 1, len(row))
-        ends = np.linspace(0, n, -(-n // PART) + 1).astype(int).tolist()
-        for a, b in zip(ends, ends[1:], strict=False):
-            parts.setdefault((b - a, wanted * b // n - wanted * a // n), []).append((i, a))
-    out: list[list[tuple[int, int]]] = [[] for _ in rows]
-    for (m, wanted), group in parts.items():
-        for at in range(0, len(group), 1000):
-            some = group[at : at + 1000]
-            share = np.array([[(counts[w] + 1) / (total + 1) for w in rows[i][a : a + m]] for i, a in some])
-            # least sum of the pieces' chances in the first p words, by number of pieces
-            best = np.full((m + 1, len(some), wanted + 1), np.inf)
-            best[:, :, 0] = 0
-            taken = np.zeros(best.shape, np.int8)
-            for p in range(1, m + 1):
-                best[p, :, 1:] = best[p - 1, :, 1:]
-                chance = np.ones((len(some), 1))
-                for n in range(1, min(LONGEST, p) + 1):
-                    chance = chance * share[:, p - n, None]
-                    least = best[p - n, :, :-1] + chance
-                    less = least < best[p, :, 1:]
-                    best[p, :, 1:][less] = least[less]
-                    taken[p, :, 1:][less] = n
-            for g, (i, a) in enumerate(some):
-                p, left = m, wanted
-                while left:
-                    if n := int(taken[p, g, left]):
-                        out[i].append((a + p - n, n))
-                        p, left = p - n, left - 1
-                    else:
-                        p -= 1
-    return out
-
-
-def piece_keys(words: np.ndarray):
-    """Yields for each number of words: the key of the sequence that starts at
-    each word (beyond the last word stand zeros)."""
-    written = _mix(words, 99)
-    keys = np.zeros(len(words), np.uint64)
-    for n in range(LONGEST):
-        with np.errstate(over="ignore"):
-            keys = keys + written * np.uint64(2 * (7919 * n) + 1)
-        yield n + 1, _mix(keys, n)
-        written = np.append(written[1:], _mix(np.zeros(1, np.uint64), 99))
-
-
-def _places(c: int) -> list[list[tuple[int, ...]]]:
-    """For each walk and key: the steps at which places are sampled."""
-    rng = np.random.RandomState(c)
-    span = max(1, int(STEPS * c))
-    return [
-        [tuple(sorted(rng.choice(span, min(PLACES, span), replace=False).tolist())) for _ in range(TABLES)]
-        for _ in range(WALKS)
-    ]
-
-
-def keys_of(words: np.ndarray, classes: list[int], marks: np.ndarray | None = None):
-    """Yields (class, walk, table, keys, marked): the key of the window that
-    starts at each word, and how many marked words it is made of.  ``words``
-    has 0 where texts end; walks stop there.  The CGK embedding (a walk writes
-    out the word it stands on, and moves on by a random bit of (step, word)),
-    which finds near copies with some probability; ``Items`` does not use it."""
-    sampled = {c: _places(c) for c in classes}
-    last = max((max(p) for c in classes for w in sampled[c] for p in w), default=-1)
+def keys_of(words: np.ndarray, sizes: list[int], share: np.ndarray | None = None):
+    """Yields (window size, keys, reach, chance): the key of the window that
+    starts at each word, how many words on its walk gets, and the logarithm of
+    the chance that the words it reads meet, from the logarithms ``share``.
+    ``words`` has 0 where texts end; walks stop there."""
     written = _mix(words, 99)
     for walk in range(WALKS):
-        at, of = np.arange(len(words)), None  # where walks stand; which walk a start has joined
-        sums = {(c, t): np.zeros(len(words), np.uint64) for c in classes for t in range(TABLES)}
-        told = {k: np.zeros(len(words), np.int64) for k in sums if marks is not None}
-        wanted: dict[int, list] = {}
-        for c in classes:
-            for t, places in enumerate(sampled[c][walk]):
-                for k, j in enumerate(places):
-                    wanted.setdefault(j, []).append((c, t, k))
-        for j in range(last + 1):
-            if j % 64 == 0:
-                bits = _mix(words, 1000 + 64 * walk + j // 64).view(np.int64)
-                bits[words == 0] = 0
-            if j in wanted:
-                here = written[at]
-                for c, t, k in wanted[j]:
+        bits = _mix(words, 1000 + walk)
+        bits[words == 0] = 0
+        start = at = np.arange(len(words))
+        wanted = [(c, t, places) for c in sizes for t, places in enumerate(PLACES[c]) if c > 1 or walk == 0]
+        sums = {(c, t): np.zeros(len(words), np.uint64) for c, t, _ in wanted}
+        seen = {k: (np.full(len(words), -1), np.zeros(len(words))) for k in sums if share is not None}
+        for step in range(max((c for c, *_ in wanted), default=0)):
+            for c, t, places in wanted:
+                if step in places:
                     with np.errstate(over="ignore"):
-                        part = here * np.uint64(2 * (7919 * k + 104729 * t) + 1)
-                        sums[c, t] += part if of is None else part[of]
-                    if marks is not None:
-                        told[c, t] += marks[at if of is None else at[of]]
-                    if k == len(sampled[c][walk][t]) - 1:
-                        yield c, walk, t, sums.pop((c, t)), told.pop((c, t), None)
-            at = at + (bits[at] >> (j % 64) & 1)
-            if j in MERGE_AT and len(at):
-                new = np.r_[True, at[1:] != at[:-1]]
-                group = np.cumsum(new) - 1
-                at, of = at[new], group if of is None else group[of]
+                        sums[c, t] += written[at] * np.uint64(2 * (7919 * step + 104729 * t + 1299709 * walk + 15485863 * c) + 1)
+                    if share is not None:
+                        last, chance = seen[c, t]
+                        seen[c, t] = at, chance + np.where(at != last, share[at], 0)
+                if step == places[-1]:
+                    reach, chance = seen.get((c, t), (start, None))
+                    yield c, _mix(sums.pop((c, t)), c), reach - start, chance
+            at = at + (bits[at] >> np.uint64(step) & np.uint64(1)).astype(np.int64)
+
+
+def survivals(n: int, edits: int) -> np.ndarray:
+    """For patterns of edits in n words (rows) and each word: how many words
+    from it on stand as in the item, without anything between them.  An edit
+    replaces a word, leaves it out or puts one behind it."""
+    rng = np.random.RandomState(n)
+    whole, joined = np.ones((PATTERNS, n), bool), np.ones((PATTERNS, n), bool)
+    if edits:
+        order = rng.rand(PATTERNS, n).argsort(axis=1)[:, :edits]
+        even = (np.arange(edits) + rng.rand(PATTERNS // 4, 1)) * n / edits
+        order[: len(even)] = even.astype(int)
+        behind = rng.rand(PATTERNS, edits) < 1 / 3
+        rows = np.arange(PATTERNS)[:, None]
+        whole[rows, order] = behind
+        joined[rows, order] = False
+    run = np.zeros((PATTERNS, n + 1), np.int64)
+    for i in range(n - 1, -1, -1):
+        run[:, i] = np.where(whole[:, i], 1 + np.where(joined[:, i], run[:, i + 1], 0), 0)
+    return run[:, :n]
+
+
+def choose(run: np.ndarray, first: np.ndarray, reach: np.ndarray, chance: np.ndarray) -> list[int]:
+    """Which keys an item takes: the rarest that add to the patterns in which
+    one survives, until those are TARGET of all."""
+    open_rows = np.ones(len(run), bool)
+    out = []
+    for x in np.argsort(chance, kind="stable").tolist():
+        got = open_rows & (run[:, first[x]] > reach[x])
+        if got.any():
+            out.append(x)
+            open_rows &= ~got
+            if open_rows.sum() <= (1 - TARGET) * len(run):
+                break
+    return out
 
 
 def edit_search(item: list[int], text: list[int], anchored: bool = False) -> tuple[int, int]:
@@ -240,7 +204,7 @@ def edit_search(item: list[int], text: list[int], anchored: bool = False) -> tup
 
 
 class Items:
-    """The hash table over the pieces of a block of items."""
+    """The hash table over the chosen keys of a block of items."""
 
     def __init__(self, rows: list[tuple], max_edit: float = MAX_EDIT) -> None:
         self.max_edit = max_edit
@@ -254,16 +218,33 @@ class Items:
         self.present = np.zeros(1 << PAIR_BITS, bool)
         for i, words in enumerate(self.vocabulary):
             self.present[_pair(np.full(len(words), i), np.array([*words], np.uint64))] = True
-        cut = pieces([w for _, w in self.items], self.allowed.tolist())
-        flat, begin = [], []
-        for _, w in self.items:
-            begin.append(len(flat))
-            flat += w
-        owner, first, size = np.array([(i, a, n) for i, p in enumerate(cut) for a, n in p], np.int64).reshape(-1, 3).T
-        starts = np.array(begin, np.int64)[owner] + first
-        keys = np.zeros(len(owner), np.uint64)
-        for n, of in piece_keys(np.array(flat, np.uint64)):
-            keys[size == n] = of[starts[size == n]]
+        zero = [0]
+        flat = np.array([x for _, w in self.items for x in (*w, 0)] + zero, np.uint64)
+        ends = np.cumsum([0, *(len(w) + 1 for _, w in self.items)])
+        uses, of = np.unique(flat, return_inverse=True)
+        share = np.log((np.bincount(of) + 1) / (len(flat) + 1))[of.reshape(-1)]
+        longest = max((len(w) for _, w in self.items), default=0)
+        self.sizes = [c for c in PLACES if c <= longest]
+        # all windows: (size, place, key, reach, chance), those of an item together
+        told = [np.stack([np.full(len(flat), c), np.arange(len(flat)), *x]) for c, _, *x in keys_of(flat, self.sizes, share)]
+        named = [k for _, k, *_ in keys_of(flat, self.sizes)]
+        runs: dict[int, np.ndarray] = {}
+        keys, owner, first = [], [], []
+        for i, (_, w) in enumerate(self.items):
+            n = len(w)
+            if n not in runs:
+                runs[n] = survivals(n, int(self.allowed[i]))
+            at = ends[i]
+            mine = [(t, k) for t, k in zip(told, named, strict=True) if t[0, 0] <= n and (t[0, 0] > 1 or n == 1)]
+            fit = [slice(at, at + n - int(t[0, 0]) + 1) for t, _ in mine]
+            place, reach, chance = np.hstack([t[1:, x] for (t, _), x in zip(mine, fit, strict=True)])
+            key = np.concatenate([k[x] for (_, k), x in zip(mine, fit, strict=True)])
+            place = place.astype(np.int64) - at
+            for x in choose(runs[n], place, reach, chance):
+                keys.append(key[x])
+                owner.append(i)
+                first.append(place[x])
+        keys, owner, first = np.array(keys, np.uint64), np.array(owner, np.int64), np.array(first, np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.owner, self.first = keys[order], owner[order], first[order]
         self.shift = np.uint64(64 - max(BITMAP, min(24, len(keys).bit_length() + BEYOND)))
@@ -281,7 +262,7 @@ class Items:
         held, hits = 0, []
         for d, w in enumerate(rows):
             for at in range(0, len(w), STRETCH):
-                block.append((d, at, w[at : at + STRETCH + LONGEST]))
+                block.append((d, at, w[at : at + STRETCH + max(PLACES)]))
                 held += len(block[-1][2])
                 if held >= STRETCH:
                     hits.append(self._hits(block))
@@ -309,13 +290,13 @@ class Items:
 
     def _hits(self, block: list[tuple[int, int, np.ndarray]]) -> np.ndarray:
         """Rows (text, item, place where the item would begin): one column for
-        each place of the block where a piece of an item stands."""
+        each place of the block where a window has a key of an item."""
         zero = np.zeros(1, np.uint64)
         flat = np.concatenate([x for _, _, w in block for x in (zero, w)] + [zero])
         begin = np.cumsum([1, *(len(w) + 1 for _, _, w in block)])
         text, at = (np.array([x[k] for x in block], np.int64) for k in (0, 1))
         out = [np.zeros((3, 0), np.int64)]
-        for _, keys in piece_keys(flat):
+        for _, keys, *_ in keys_of(flat, self.sizes):
             p = np.flatnonzero(self.bitmap[(keys >> self.shift).astype(np.int64)])
             lo, hi = (np.searchsorted(self.keys, keys[p], side) for side in ("left", "right"))
             n = hi - lo
@@ -330,7 +311,7 @@ class Items:
 
     def _clusters(self, hits: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
         """(text, item, first word, end) of the stretches to look at: around
-        places where pieces stand, those together that differ by shifts that
+        places where keys agree, those together that differ by shifts that
         the allowed edits can cause."""
         if not hits.shape[1]:
             return (np.zeros(0, np.int64),) * 4
@@ -375,59 +356,69 @@ class Items:
         return dist, offset + end - back, offset + end, 1
 
 
-def match_column(items: list[tuple], item_type: T.DataType, max_edit: float = MAX_EDIT):
-    """A function of a text column: its matches with a block of items."""
-    kind = T.ArrayType(
-        T.StructType(
-            [
-                T.StructField("item_id", item_type),
-                T.StructField("distance", T.IntegerType()),
-                T.StructField("start", T.IntegerType()),
-                T.StructField("end", T.IntegerType()),
-                T.StructField("stretches", T.IntegerType()),
-            ]
-        )
-    )
-    tables, known = Items(items, max_edit), _Words()
-
-    @F.pandas_udf(kind)
-    def found(texts: pd.Series) -> pd.Series:
-        names = ("item_id", "distance", "start", "end", "stretches")
-        rows = texts.tolist()
-        got = [m for part in slices(rows) for m in tables.matches(rows[part], known)]
-        return pd.Series([[dict(zip(names, x, strict=True)) for x in m] for m in got], index=texts.index, dtype=object)
-
-    return found
-
-
 def _blocks(items: DataFrame, key: str, text: str, size: int):
-    """Columns' functions, one for each block of items."""
+    """The hash table of each block of items, one after the other."""
     n = items.count()
     blocks = max(1, -(-n // size))
     of = F.pmod(F.xxhash64(key, text), F.lit(blocks))
     for b in range(blocks):
         rows = items.where(of == b).select(key, text).collect()
-        yield match_column(sorted(map(tuple, rows), key=repr), items.schema[key].dataType)
+        yield b + 1 == blocks, Items(sorted(map(tuple, rows), key=repr))
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
          item_text: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
     """(key, item_id, distance, start, end, stretches): one row for each
     document and item that contaminates it."""
-    parts = [
-        docs.select(F.col(key), F.explode(found(F.col(text))).alias("_m")).select(key, "_m.*")
-        for found in _blocks(items, item_key, item_text, block)
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    spark = docs.sparkSession
+    rows = docs.select(F.col(key), F.col(text))
+    ints = [T.StructField(c, T.IntegerType()) for c in ("distance", "start", "end", "stretches")]
+    schema = T.StructType([rows.schema[0], T.StructField("item_id", items.schema[item_key].dataType), *ints])
+    path = scratch_path(spark, "matches")
+    for last, tables in _blocks(items, item_key, item_text, block):
+        shared = spark.sparkContext.broadcast(tables)
+
+        def make(shared=shared):
+            known = _Words()
+
+            def step(columns):
+                if columns is not None:
+                    for part in slices(columns[1]):
+                        found = shared.value.matches(columns[1][part], known)
+                        told = [(k, *m) for k, ms in zip(columns[0][part], found, strict=True) for m in ms]
+                        yield [[t[c] for t in told] for c in range(6)]
+
+            return step
+
+        got = map_columns(rows, schema, make)
+        if last and not path_exists(spark, path):
+            return got  # one block: nothing to put together
+        got.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
                   item_text: str = "text", block: int = ITEM_BLOCK) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, all columns as they are."""
-    clean: Column = F.lit(True)
-    for found in _blocks(items, item_key, item_text, block):
-        clean = clean & (F.size(found(F.col(text))) == 0)
-    return docs.where(clean)
+    at = docs.columns.index(text)
+    small_batches(docs.sparkSession)
+    for last, tables in _blocks(items, item_key, item_text, block):
+        shared = docs.sparkSession.sparkContext.broadcast(tables)
+
+        def run(batches, shared=shared):
+            known = _Words()
+            for batch in batches:
+                clean = []
+                for first in range(0, batch.num_rows, ROWS):
+                    texts = batch.column(at).slice(first, ROWS).to_pylist()
+                    clean += [not m for part in slices(texts) for m in shared.value.matches(texts[part], known)]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+            pa.default_memory_pool().release_unused()
+
+        docs = docs.mapInArrow(run, docs.schema)
+        if not last:
+            docs = written(docs, "clean")
+    return docs
 
 
 def q_op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
