@@ -309,6 +309,24 @@ def q_stream_dedupe_watermark(spark, sf_dir):
     return _stream_dedupe(spark, sf_dir, watermark="62 days")
 
 
+def q_stream_performance(spark, sf_dir):
+    """Lags from state: the months before 1996 arrive in one run of the stream,
+    the others in the next; equals the batch frame."""
+    from tidemark.streaming.lags import stream_performance
+
+    payloads = materialize(_payloads(spark, sf_dir))
+    raw, perf, late, ckpt = (scratch_path(spark, n) for n in ("raw", "performance", "late", "ckpt"))
+    early = F.col("ingest_date") < F.lit("1996-01-01").cast("date")
+    for part in (early, ~early):
+        land_snapshots(payloads.where(part), raw)
+        stream_performance(spark, raw, perf, late, ckpt, multiline=False)
+    rows = spark.read.parquet(perf)
+    return rows.select(
+        "code_exchange_rate", F.to_date("time_last_update_utc").alias("snapshot_date"), "exchange_rate", "prev_value",
+        "daily_change_pct", "value_lag_7", "value_lag_30", "weekly_change_pct", "monthly_change_pct",
+    )
+
+
 def _gold(spark, sf_dir, name):
     """Raw landing -> silver -> gold, then one of the tables."""
     from tidemark.plans.catalog import A_RISK, A_TIERS
@@ -496,6 +514,7 @@ WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{LOADED_BEFORE}' AS DATE)""",
         "stream_dedupe_watermark": SILVER_A_SQL,
         "gold_incremental": incremental,
         "gold_resumed": incremental,
+        "stream_performance": incremental,
         "volatility_incremental": f"WITH {PERF_A_SQL}{VOL_A_SQL}\nSELECT * FROM vol_a",
         "stream_ingest": SILVER_A_SQL,
         "stream_dedupe": SILVER_A_SQL,
@@ -535,6 +554,7 @@ QUERIES = {
     "stream_dedupe_watermark": q_stream_dedupe_watermark,
     "gold_incremental": q_gold_incremental,
     "gold_resumed": q_gold_resumed,
+    "stream_performance": q_stream_performance,
     "volatility_incremental": q_volatility_incremental,
     "unpivot_measures": q_unpivot_measures,
     "not_null_filter": q_not_null_filter,
