@@ -309,6 +309,24 @@ def q_stream_dedupe_watermark(spark, sf_dir):
     return _stream_dedupe(spark, sf_dir, watermark="62 days")
 
 
+def q_stream_dedupe_bounded(spark, sf_dir):
+    """Several micro-batches; everything is delivered again after the state has
+    let go of it, and every row is there once."""
+    import time
+
+    from tidemark.streaming.ingest import stream_silver_bounded
+
+    payloads = materialize(_payloads(spark, sf_dir))
+    raw, silver, ckpt = (scratch_path(spark, n) for n in ("raw", "silver", "ckpt"))
+    early = F.col("ingest_date") < F.lit("1995-01-01").cast("date")
+    again = payloads.withColumn("ingest_date", F.date_add("ingest_date", 1))
+    for part in (payloads.where(early), payloads.where(~early), again):
+        land_snapshots(part, raw)
+        stream_silver_bounded(spark, raw, silver, ckpt, delay="1 second", multiline=False, max_files_per_trigger=60)
+        time.sleep(1.1)  # longer than the delay
+    return spark.read.parquet(silver).select(*SILVER_OUT)
+
+
 def q_stream_performance(spark, sf_dir):
     """Lags from state: the months before 1996 arrive in one run of the stream,
     the others in the next; equals the batch frame."""
@@ -517,6 +535,7 @@ WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{LOADED_BEFORE}' AS DATE)""",
         "stream_performance": incremental,
         "volatility_incremental": f"WITH {PERF_A_SQL}{VOL_A_SQL}\nSELECT * FROM vol_a",
         "stream_ingest": SILVER_A_SQL,
+        "stream_dedupe_bounded": SILVER_A_SQL,
         "stream_dedupe": SILVER_A_SQL,
         "gold_heatmap": f"""WITH {PERF_A_SQL}
 SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, value AS exchange_rate,
@@ -555,6 +574,7 @@ QUERIES = {
     "gold_incremental": q_gold_incremental,
     "gold_resumed": q_gold_resumed,
     "stream_performance": q_stream_performance,
+    "stream_dedupe_bounded": q_stream_dedupe_bounded,
     "volatility_incremental": q_volatility_incremental,
     "unpivot_measures": q_unpivot_measures,
     "not_null_filter": q_not_null_filter,

@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeparse import epoch_micros_ntz
-from tidemark.plans.silver import PARTITION_COL, to_silver, write_silver
+from tidemark.operators import ingest
+from tidemark.plans.silver import CLUSTER_BY, PARTITION_COL, to_silver, write_silver
+from tidemark.session import materialize
+from tidemark.sources import ledger
 from tidemark.sources.snapshots import snapshot_days, stream_snapshots
+from tidemark.sources.tables import write_append
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -114,3 +118,65 @@ def stream_silver_dedupe(
         spark.conf.set(provider, before)
     q.awaitTermination()
     return q
+
+
+def stream_silver_bounded(
+    spark: SparkSession,
+    raw_path: str,
+    silver_path: str,
+    checkpoint: str,
+    delay: str = "2 days",
+    multiline: bool = True,
+    max_files_per_trigger: int | None = None,
+):
+    """Dedupe with bounded state that loses nothing, however late a row is.
+
+    The watermark runs on the time of *arrival*, which never goes back, so no row
+    is ever late for it: the state drops what is delivered again within ``delay``
+    and keeps no hash for longer.  A row that passes may have been delivered
+    before that only if its snapshot is older than ``delay`` by then (nothing
+    arrives before its own time).  So rows of recent snapshots, the usual ones,
+    are appended without a look at the sink, and only those of older snapshots
+    are compared with it, in the partitions of their days.
+
+    A micro-batch notes that it begins; one that is run again finds the note and
+    compares all its rows with the sink, so a batch that ended halfway leaves no
+    row twice.  Rows without a time count as old.
+    """
+    rows = to_silver(stream_snapshots(spark, raw_path, multiline, max_files_per_trigger))
+    rows = (
+        rows.withColumn("_seen", F.current_timestamp())
+        .withWatermark("_seen", delay)
+        .dropDuplicatesWithinWatermark(["hash_diff"])
+    )
+    begun = f"{checkpoint.rstrip('/')}/begun-batches"
+
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        again = not ledger.claim(spark, begun, str(epoch))
+        # the stateful step runs once for both appends
+        batch = materialize(batch)
+        at = F.timestamp_micros(epoch_micros_ntz("time_last_update_utc"))
+        recent = F.lit(False) if again else F.coalesce(at > F.col("_seen") - F.expr(f"interval {delay}"), F.lit(False))
+        order = [PARTITION_COL, *CLUSTER_BY]
+        usual = batch.where(recent).drop("_seen").hint("rebalance", PARTITION_COL)
+        write_append(usual.sortWithinPartitions(*order), silver_path, partition_by=[PARTITION_COL])
+        ingest.append_new(spark, batch.where(~recent).drop("_seen"), silver_path, ["hash_diff"], PARTITION_COL,
+                          cluster_by=CLUSTER_BY, key_fixes_partition=True)
+        for name in ledger.notes(spark, begun):
+            if int(name) < epoch:
+                ledger.remove(spark, begun, name)
+
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)  # a query keeps the settings it starts with
+    try:
+        q = (
+            rows.writeStream.foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set(provider, before)
+    q.awaitTermination()
+    return q
