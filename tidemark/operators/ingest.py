@@ -15,12 +15,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
+import uuid
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+from tidemark.sources import ledger
 from tidemark.sources.tables import write_append
 
 # Above this many distinct dates in one batch the sink is read unpruned.
@@ -214,3 +219,75 @@ def append_new(
     if cluster_by:
         out = out.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order])
     write_append(out, path, partition_by=[partition_col] if partition_col else ())
+
+
+#: Seconds that a writer waits for another, and after which a writer that has not
+#: come to its end counts as dead.
+WAIT, LEASE = 3600.0, 900.0
+
+
+@contextmanager
+def one_writer(spark: SparkSession, path: str, wait: float = WAIT, lease: float = LEASE):
+    """Only one job at a time is inside this block for a sink.  The right to write
+    is a note beside the sink's files, made only where there is none; the file
+    system lets one job make it.  A note older than ``lease`` seconds is its
+    writer's who died, and is removed: appends in the block have to be shorter.
+    Yields a function that ends the job if the right was lost meanwhile."""
+    folder, owner = f"{path.rstrip('/')}/_writer", uuid.uuid4().hex
+    until = time.time() + wait
+    while not ledger.claim(spark, folder, "now", f"{owner} {time.time()}"):
+        held = ledger.notes(spark, folder).get("now", "").split()
+        if len(held) == 2 and float(held[1]) < time.time() - lease:
+            ledger.remove(spark, folder, "now")
+        elif time.time() > until:
+            raise TimeoutError(f"another job writes to {path}")
+        else:
+            time.sleep(0.05)
+
+    def still_mine() -> None:
+        if not ledger.notes(spark, folder).get("now", "").startswith(owner):
+            raise RuntimeError(f"the right to write to {path} was lost: nothing is appended")
+
+    try:
+        yield still_mine
+    finally:
+        if ledger.notes(spark, folder).get("now", "").startswith(owner):
+            ledger.remove(spark, folder, "now")
+
+
+def append_new_shared(
+    spark: SparkSession,
+    batch: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("hash_diff",),
+    partition_col: str | None = None,
+    key_fixes_partition: bool = False,
+    wait: float = WAIT,
+    lease: float = LEASE,
+    **kw,
+) -> None:
+    """``append_new`` for a sink that several jobs append to.
+
+    The batch is compared with the sink first, without holding anyone up, and
+    what is new is written aside.  Then, as the only writer, that is compared
+    again with what others have appended meanwhile (only the batch's partitions
+    where the key fixes them) and appended.  Of rows that several jobs bring, one
+    is kept, whoever comes first.
+    """
+    keys = list(keys)
+    old = read_sink(spark, path) if path_exists(spark, path) else None
+    new = new_records(dedupe_batch(batch, keys), old, keys, partition_col, key_fixes_partition)
+    new = materialize(new.select(*batch.columns))
+    with one_writer(spark, path, wait, lease) as still_mine:
+        still_mine()
+        append_new(spark, new, path, keys, partition_col, dedupe=False, key_fixes_partition=key_fixes_partition, **kw)
+
+
+def new_records_bucketed(batch: DataFrame, table: str, keys: Sequence[str] = ("hash_diff",)) -> DataFrame:
+    """Rows of ``batch`` whose keys are absent from a bucketed sink
+    (``sources.tables.write_bucketed``): the batch is dealt to the sink's buckets
+    and each bucket is joined where it lies, so nothing of the sink is shuffled,
+    however large it is.  The batch is never broadcast against it."""
+    keys = list(keys)
+    sink = batch.sparkSession.table(table).select(*keys)
+    return batch.join(sink.hint("merge"), keys, "left_anti")

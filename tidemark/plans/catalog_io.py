@@ -11,8 +11,12 @@ from tidemark.functions.timeparse import format_rfc2822, parse_rfc2822
 from tidemark.operators import ingest, reshape
 from tidemark.plans.series_sources import snapshot_payloads, supplier_month_series
 from tidemark.session import materialize, scratch_path
-from tidemark.sources.snapshots import dated_snapshot_path, land_snapshots, read_snapshots, snapshot_days
-from tidemark.sources.tables import read_table, write_overwrite
+from tidemark.sources.snapshots import (
+    RAW_SCHEMA, dated_snapshot_path, from_variants, land_snapshots, read_snapshots, read_variants, snapshot_days,
+)
+from tidemark.sources.tables import (
+    bucketed_name, max_from_statistics, read_gold, read_table, write_bucketed, write_overwrite,
+)
 
 EVENT_HASH_COLS = ["event_id", "ts", "user_id", "event_type", "money", "props"]
 # The sink of the anti-join query holds the events loaded before this time.
@@ -179,6 +183,39 @@ def q_anti_join_cross_partition(spark, sf_dir):
     return ingest.new_records(again, loaded, ["event_id"], "event_date").select("event_id", "event_date")
 
 
+def q_anti_join_bucketed(spark, sf_dir):
+    """The comparison with a sink that is bucketed by the key: no exchange of it."""
+    batch = hashed_events(spark, sf_dir)
+    loaded = batch.where(F.col("ts") < F.lit(LOADED_BEFORE).cast("timestamp_ntz")).select("hash_diff")
+    table = bucketed_name()
+    write_bucketed(loaded, table, ["hash_diff"], 8, scratch_path(spark, "bucketed"))
+    return ingest.new_records_bucketed(batch, table).select("event_id", "event_date", "hash_diff")
+
+
+def q_append_two_writers(spark, sf_dir):
+    """Two jobs append overlapping batches at the same time: every event once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = scratch_path(spark, "append")
+    ev = materialize(hashed_events(spark, sf_dir))
+    halves = [ev.where(F.col("event_id") % 3 != r) for r in (0, 1)] + [ev]
+
+    def append(batch):
+        ingest.append_new_shared(spark, batch, path, ["hash_diff"], "event_date", key_fixes_partition=True)
+
+    with ThreadPoolExecutor(len(halves)) as pool:
+        list(pool.map(append, halves))
+    return spark.read.parquet(path).select("event_id", "event_date", "hash_diff")
+
+
+def q_latest_from_statistics(spark, sf_dir):
+    """The latest snapshot, whose day comes from the files' statistics."""
+    path = scratch_path(spark, "series")
+    supplier_month_series(spark, sf_dir).write.parquet(path)
+    latest = max_from_statistics(spark, path, "ts")
+    return spark.read.parquet(path).where(F.col("ts") == F.lit(latest))
+
+
 def q_intra_batch_dedupe(spark, sf_dir):
     ev = hashed_events(spark, sf_dir)
     twice = ev.unionByName(ev)
@@ -265,6 +302,43 @@ def _rates(raw: DataFrame) -> DataFrame:
     )
 
 
+def q_variant_landing(spark, sf_dir):
+    """Documents with a field that the fixed schema does not know, landed as
+    VARIANT: the field comes back beside the known ones."""
+    path, table = scratch_path(spark, "raw"), scratch_path(spark, "variants")
+    month = F.month("ingest_date")
+    drifted = _payloads(spark, sf_dir).withColumn(
+        "meta", F.when(month > 6, F.struct(F.lit("second").alias("half"), month.alias("month"))))
+    land_snapshots(drifted, path)
+    read_variants(spark, path, multiline=False).write.parquet(table)
+    raw = from_variants(spark.read.parquet(table), {"meta.half": "string", "meta.month": "int"})
+    rates = reshape.explode_map(raw, "conversion_rates", "code", "rate", keep=["time_last_update_utc", "meta_half", "meta_month"])
+    return rates.select(
+        "code", parse_rfc2822("time_last_update_utc").alias("ts"), F.col("rate").cast("double").alias("rate"),
+        F.col("meta_half").alias("half"), F.col("meta_month").alias("month"),
+    )
+
+
+def q_struct_unnest(spark, sf_dir):
+    """Documents whose rates are a struct, one field for each of the 25 nations
+    (order totals by month): unnested and turned into rows on the way to silver."""
+    from pyspark.sql import types as T
+
+    from tidemark.plans.silver import to_silver
+
+    orders, customer, nation = (read_table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    joined = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    series = joined.groupBy(F.col("n_name").alias("entity"), F.trunc(F.to_date("o_orderdate"), "month").alias("ts")).agg(
+        to_money(F.sum(to_money("o_totalprice"))).alias("value"))
+    path = scratch_path(spark, "raw")
+    land_snapshots(snapshot_payloads(series, documents=1), path)
+    names = [r[0] for r in nation.select("n_name").orderBy("n_name").collect()]  # 25 rows at every scale
+    rates = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = T.StructType([T.StructField(f.name, rates) if f.name == "conversion_rates" else f for f in RAW_SCHEMA.fields])
+    raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return to_silver(raw).select("code_exchange_rate", "snapshot_date", "exchange_rate")
+
+
 def q_dated_snapshot(spark, sf_dir):
     """One day's documents under its dated path; a run for that day reads
     only them."""
@@ -371,6 +445,19 @@ def q_gold_volatility(spark, sf_dir):
     return _gold(spark, sf_dir, "volatility_exchange_rates")
 
 
+def q_gold_named_readers(spark, sf_dir):
+    """The gold tables by their names, as views: tier and risk side by side."""
+    from tidemark.plans.catalog import A_RISK, A_TIERS
+    from tidemark.plans.pipeline import run_pipeline
+
+    silver, gold = scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    run_pipeline(spark, _landed(spark, sf_dir, rerun=False), silver, gold, multiline=False, tiers=A_TIERS, risk=A_RISK)
+    read_gold(spark, gold)
+    return spark.sql("""SELECT code_exchange_rate, performance_tier, risk_score, g.rank AS gain_rank, l.rank AS loss_rank
+        FROM currency_heatmap JOIN volatility_exchange_rates USING (code_exchange_rate)
+        LEFT JOIN top_gainers g USING (code_exchange_rate) LEFT JOIN top_losers l USING (code_exchange_rate)""")
+
+
 def _gold_in_parts(spark, sf_dir, second_ends: bool = False) -> DataFrame:
     """Performance after three runs: the months before 1996 but one, then the
     later months (on time), then the month left out (late).  ``second_ends``:
@@ -536,6 +623,23 @@ WHERE CAST(ts AS DATE) >= CAST(TIMESTAMP '{LOADED_BEFORE}' AS DATE)""",
         "volatility_incremental": f"WITH {PERF_A_SQL}{VOL_A_SQL}\nSELECT * FROM vol_a",
         "stream_ingest": SILVER_A_SQL,
         "stream_dedupe_bounded": SILVER_A_SQL,
+        "anti_join_bucketed": f"""WITH {HASHED_EVENTS_SQL}
+SELECT event_id, event_date, hash_diff FROM hashed
+WHERE hash_diff NOT IN (SELECT hash_diff FROM hashed WHERE ts < TIMESTAMP '{LOADED_BEFORE}')""",
+        "append_two_writers": f"""WITH {HASHED_EVENTS_SQL}
+SELECT event_id, event_date, hash_diff FROM hashed""",
+        "latest_from_statistics": f"WITH {SERIES_A_SQL}\nSELECT * FROM series_a WHERE ts = (SELECT max(ts) FROM series_a)",
+        "variant_landing": f"""SELECT code, ts, rate, CASE WHEN month(ts) > 6 THEN 'second' END AS half,
+       CASE WHEN month(ts) > 6 THEN month(ts)::INTEGER END AS month FROM ({RATES_SQL})""",
+        "struct_unnest": """SELECT n_name AS code_exchange_rate, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date,
+       CAST(SUM(CAST(o_totalprice AS DECIMAL(20,4))) AS DECIMAL(20,4)) AS exchange_rate
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
+        "gold_named_readers": f"""WITH {PERF_A_SQL}{VOL_A_SQL},
+ranked AS (SELECT CAST(entity AS VARCHAR) AS code, row_number() OVER (ORDER BY daily_change_pct DESC NULLS FIRST, CAST(entity AS VARCHAR)) AS up,
+    row_number() OVER (ORDER BY daily_change_pct ASC NULLS FIRST, CAST(entity AS VARCHAR)) AS down, {A_TIER_CASE} AS tier FROM movers_a)
+SELECT code AS code_exchange_rate, tier AS performance_tier, risk AS risk_score,
+       CASE WHEN up <= 10 THEN up::INTEGER END AS gain_rank, CASE WHEN down <= 10 THEN down::INTEGER END AS loss_rank
+FROM ranked JOIN vol_a ON code = CAST(entity AS VARCHAR)""",
         "stream_dedupe": SILVER_A_SQL,
         "gold_heatmap": f"""WITH {PERF_A_SQL}
 SELECT CAST(entity AS VARCHAR) AS code_exchange_rate, value AS exchange_rate,
@@ -574,6 +678,12 @@ QUERIES = {
     "gold_incremental": q_gold_incremental,
     "gold_resumed": q_gold_resumed,
     "stream_performance": q_stream_performance,
+    "anti_join_bucketed": q_anti_join_bucketed,
+    "append_two_writers": q_append_two_writers,
+    "latest_from_statistics": q_latest_from_statistics,
+    "variant_landing": q_variant_landing,
+    "struct_unnest": q_struct_unnest,
+    "gold_named_readers": q_gold_named_readers,
     "stream_dedupe_bounded": q_stream_dedupe_bounded,
     "volatility_incremental": q_volatility_incremental,
     "unpivot_measures": q_unpivot_measures,

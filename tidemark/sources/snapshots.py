@@ -104,3 +104,33 @@ def dated_snapshot_path(root: str, run_date=None, prefix: str = "exchange_rates"
 
     day = run_date or _dt.date.today()
     return f"{root.rstrip('/')}/{prefix}_{day}.json"
+
+
+#: Column that holds a document whose fields no schema fixes.
+DOCUMENT = "document"
+
+
+def read_variants(spark: SparkSession, path: str | list[str], multiline: bool = True) -> DataFrame:
+    """Snapshot documents as one VARIANT each (column ``document``): nothing that
+    a document holds is lost, whatever fields it has, and no schema is inferred.
+    A document that can't be read ends the job."""
+    reader = spark.read.option("singleVariantColumn", DOCUMENT).option("multiLine", multiline)
+    return reader.option("mode", "FAILFAST").json(path)
+
+
+def from_variants(variants: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """The raw snapshots (columns of ``RAW_SCHEMA``) in documents landed as
+    VARIANT, and further ``fields`` (name -> type) that only some documents have;
+    a field that is absent, or no such type, is NULL.  A name with dots leads
+    into objects (``meta.source``)."""
+    get = lambda name, kind: F.try_variant_get(DOCUMENT, f"$.{name}", kind)
+    wanted = {f.name: f.dataType.simpleString() for f in RAW_SCHEMA.fields} | (fields or {})
+    return variants.select(*[get(name, kind).alias(name.replace(".", "_")) for name, kind in wanted.items()])
+
+
+def fields_of(variants: DataFrame) -> DataFrame:
+    """(field, documents, of_type): the top-level fields that documents hold, how
+    many hold them and of which types: what drifted, before anything is lost."""
+    entries = variants.lateralJoin(variants.sparkSession.tvf.variant_explode(F.col(DOCUMENT).outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), r"^\w+", 0)
+    return entries.groupBy(F.col("key").alias("field"), kind.alias("of_type")).agg(F.count(F.lit(1)).alias("documents"))
