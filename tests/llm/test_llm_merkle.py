@@ -36,6 +36,18 @@ def test_edits_over_many_ranges(spark, monkeypatch):
     assert plain(merkle.edits(df).select("doc_id", "n_chars", "edited")) == edited_of(rows)
 
 
+def test_ranges_hold_equally_many_rows_however_ids_lie(spark):
+    """Dense ids, a far one, a crowd at one place, negative and extreme ids."""
+    dense = list(range(50_000, 54_000))
+    for ids in (dense, [*dense, 10**18], [*dense, -(2**63), 2**63 - 1], [i**3 for i in range(-2000, 2000)], [5]):
+        df = spark.createDataFrame([(i,) for i in ids], "_id long").repartition(3)
+        got = merkle._ranged(df, 100, 64).groupBy("_range").agg(F.count("*").alias("n"), F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+        rows = got.orderBy("_range").collect()
+        assert sum(r.n for r in rows) == len(ids) and max(r.n for r in rows) <= 150
+        assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+    assert merkle._ranged(df.limit(0), 100, 64).columns == ["_id", "_range"]
+
+
 def test_one_document_follows_itself(spark):
     df = spark.createDataFrame([(5, "abcdefgh")], "doc_id long, text string")
     row = merkle.edits(df).first()

@@ -16,9 +16,10 @@ likeness of two trees is 1 for equal roots, else the Dice coefficient of
 their distinct leaf hashes.
 
 Everything is DataFrame functions.  The next document of each document is
-found by one window over ranges of ids (integers): ids are dealt to ranges of about equal
-size by a histogram of fixed size, and the first document of each range is
-also handed to the range before, so no range has to know its neighbour.
+found by one window over ranges of ids (integers): ranges are cut at quantiles of
+the ids, so they hold about equally many rows however the ids lie, and the first
+document of each range is also handed to the range before, so no range has to
+know its neighbour.
 
 Defined cases: a null text counts as empty; the empty text has a tree of one
 empty section; rows that share an id each get the same successor, the document
@@ -40,9 +41,9 @@ from tidemark.llm.common import read
 LEAF = 64
 #: Sentence runs: text up to its closing marks, cut at LEAF code points.
 LEAF_PATTERN = r"[^.!?]{1,%d}[.!?]*|[.!?]+" % LEAF
-#: Rows that a range of ids aims at, cells of the id histogram, and how many
-#: ranges there may be besides one for each cell (beyond it ranges get more
-#: rows; the first ids of all ranges are broadcast, so their number is bounded).
+#: Rows that a range of ids aims at, cells by which rows find their range, and how
+#: many ranges there may be (beyond it ranges get more rows; ranges and their first
+#: ids are broadcast, so their number is bounded).
 RANGE_ROWS = 2000
 CELLS = 4096
 MAX_RANGES = 16384
@@ -151,36 +152,37 @@ def differing(a: Column, b: Column) -> Column:
     )
 
 
-def _ranges(docs: DataFrame, rows: int, cells: int):
-    """A column that deals ids to consecutive ranges of about ``rows`` rows.
-
-    Two small jobs read the ids only; what reaches the driver is bounded by
-    ``cells``, whatever the number of rows."""
-    # unbounded ids can't overflow these: the span is taken in decimals
-    span = docs.agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).first()
-    if span["lo"] is None:
-        return None
-    lo, width = int(span["lo"]), (int(span["hi"]) - int(span["lo"])) // cells + 1
-    offset = F.col("_id").cast("decimal(20,0)") - F.lit(lo).cast("decimal(20,0)")
-    cell = F.floor(offset / F.lit(width).cast("decimal(20,0)")).cast("int")
-    filled = {r["c"]: r["n"] for r in docs.groupBy(cell.alias("c")).count().select("c", F.col("count").alias("n")).collect()}
-    rows = max(rows, -(-sum(filled.values()) // MAX_RANGES))
-    first, parts, at, held = [], [], 0, 0
-    for c in range(cells):
-        n = filled.get(c, 0)
-        if held and held + n > rows:  # the range before is full
-            at, held = at + 1, 0
-        split = min(width, max(1, -(-n // rows)))  # a heavy cell is split evenly
-        first.append(at)
-        parts.append(split)
-        if split > 1:
-            at, held = at + split, 0
-        else:
-            held += n
-    inside = offset - cell.cast("decimal(20,0)") * F.lit(width).cast("decimal(20,0)")
-    k = F.element_at(F.array(*map(F.lit, parts)), cell + 1)
-    sub = F.floor(inside * k / F.lit(width).cast("decimal(20,0)")).cast("int")
-    return F.element_at(F.array(*map(F.lit, first)), cell + 1) + sub
+def _ranged(rows: DataFrame, size: int, cells: int) -> DataFrame:
+    """``rows`` with the range of their ``_id``: consecutive ranges of about
+    ``size`` rows each, cut at quantiles of the ids.  A small table tells each
+    range in every one of ``cells`` cells of equal width that it touches; rows
+    meet it by their cell, and each id lies in one range.
+
+    Two small jobs read the ids only.  What reaches the driver, and the table,
+    are bounded by ``cells`` and MAX_RANGES."""
+    ids = rows.select("_id")
+    n, lo, hi = ids.agg(F.count("*"), F.min("_id"), F.max("_id")).first()
+    if not n:
+        return rows.withColumn("_range", F.lit(0))
+    ranges = min(MAX_RANGES, -(-n // size))
+    cuts: list[int] = []
+    if ranges > 1:
+        shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+        cuts = sorted({*ids.agg(F.percentile_approx("_id", shares, max(10_000, 20 * ranges))).first()[0]})
+    cuts = [int(c) for c in cuts if c < hi]
+    lo, hi = int(lo), int(hi)
+    width = (hi - lo) // cells + 1
+    told = [
+        (cell, start, end, r)
+        for r, (start, end) in enumerate(zip([lo, *[c + 1 for c in cuts]], [*cuts, hi], strict=True))
+        for cell in range((start - lo) // width, (end - lo) // width + 1)
+    ]
+    table = F.broadcast(rows.sparkSession.createDataFrame(told, "_cell int, _from long, _to long, _range int"))
+    # whole-number division; the differences of unbounded ids are taken in decimals
+    wide = lambda x: f"cast({x} as decimal(20,0))"
+    cell = F.expr(f"({wide('_id')} - {wide(lo)}) div {wide(width)}")
+    inside = (F.col("_id") >= F.col("_from")) & (F.col("_id") <= F.col("_to"))
+    return rows.join(table, (cell == F.col("_cell")) & inside).drop("_cell", "_from", "_to")
 
 
 def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -189,10 +191,8 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     beginning of its successor."""
     base = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     own = base.where(F.col("_id").isNotNull())
-    bucket = _ranges(own, RANGE_ROWS, CELLS)
-    if bucket is None:
-        bucket = F.lit(0)
-    ids = own.select("_id", bucket.alias("_range"))
+    own = _ranged(own, RANGE_ROWS, CELLS)
+    ids = own.select("_id", "_range")
     # the first id of each range, and the range before it (the last one's for
     # the very first): at most one row per range
     firsts = ids.groupBy("_range").agg(F.min("_id").alias("_id"))
@@ -203,8 +203,8 @@ def edits(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
         F.coalesce(F.lag("_range").over(over), F.max("_range").over(ring)).alias("_range"),
         F.lag("_range").over(over).isNull().alias("_wraps"),
     )
-    known = own.select("_id", "_text", fingerprint(F.col("_text")).alias("_tree"), bucket.alias("_range"))
-    visiting = own.join(F.broadcast(guests), "_id").select(
+    known = own.select("_id", "_text", fingerprint(F.col("_text")).alias("_tree"), "_range")
+    visiting = own.drop("_range").join(F.broadcast(guests), "_id").select(
         "_id",
         "_text",
         fingerprint(F.col("_text")).alias("_tree"),
