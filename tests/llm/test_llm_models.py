@@ -164,16 +164,39 @@ def test_lattice_model_against_brute_force(spark):
             tokens = (t or "").encode().lower().split() + [None]
             base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (distinct + 1))) for w in tokens)
             spelled = [model.logp[0] if w is None else pieces.solve_one("▁" + w.decode()) for w in tokens]
-            share = total / (total + distinct)
-            score = sum(
-                math.log10(share * count[w] / total + (1 - share) * math.exp(s)) if s > -600 else s / math.log(10) + math.log10(1 - share)
-                for w, s in zip(tokens, spelled, strict=True)
-            )
+            score = sum(spelled) / math.log(10)
             r = got[i]
             assert (r.n_tokens, r.n_known) == (len(tokens), sum(count[w] > 0 for w in tokens))
             assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 
+def test_score_is_the_lattice_alone(spark):
+    """Words seen in training or not: exp(score) is the sum over all spellings,
+    held against every segmentation listed one by one."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["a cat sat", "a cat", "cats zq", "a"])], "doc_id long, text string")
+    words = lattice.count_words(df, F.lit(True))
+    model = lattice.fit(words, 4, PIECES)
+    at, p = {x: i for i, x in enumerate(model.pieces)}, np.exp(model.logp)
+    pieces = lattice.Pieces(model.pieces, model.logp)
+
+    def every(w):
+        if not w:
+            yield 1.0
+        for n in range(1, len(w) + 1):
+            if w[:n] in pieces.plain:
+                chance = p[at[w[:n]]]
+            elif n == 1:
+                chance = np.prod(p[pieces.spelled(w[0])])
+            else:
+                continue
+            yield from (chance * x for x in every(w[n:]))
+
+    got = {r.doc_id: r.score for r in lattice.score(df, lattice.solved(words, model), model).collect()}
+    for r in df.collect():
+        want = math.log10(p[0]) + sum(math.log10(sum(every("▁" + w))) for w in r.text.split())
+        assert got[r.doc_id] == pytest.approx(want)
+
+
 def test_lattice_odd_rows(spark):
     def run(df):
         words = lattice.count_words(df, F.col("doc_id").isNotNull())

@@ -14,11 +14,9 @@ training words once (forward-backward, weighted by the words' counts); the
 expected piece counts plus ``PRIOR`` counts spread like p0 give the
 probabilities that texts are scored with.
 
-*Whole words.*  A word that training saw n times of N has one more path: the
-word as one piece, with probability share * n / N, against 1 - share for all
-spelled paths together; share = N / (N + V) for V distinct tokens (the rule of
-Witten and Bell).  The end is a token like a word.  As spelled words sum to one
-over all words (a word is over when a piece begins the next), so does this.
+A word has no other paths than its segmentations, and the end is a piece of its
+own.  As a piece that begins with a blank mark begins the next word, the
+probabilities of all sequences of words sum to one.
 
 *Base.*  The add-half unigram model over whole words is reported beside it.
 
@@ -301,14 +299,6 @@ class Model:
     def __init__(self, pieces: list[str], logp: np.ndarray, tokens: int, distinct: int, ends: int) -> None:
         self.pieces, self.logp = pieces, logp
         self.tokens, self.distinct, self.ends = tokens, distinct, ends
-        self.share = tokens / (tokens + distinct) if tokens else 0.0
-
-    def log10(self, n: list[int], spelled: np.ndarray) -> np.ndarray:
-        """log10 probability of tokens seen ``n`` times whose spelled paths
-        have the log probabilities ``spelled``."""
-        with np.errstate(divide="ignore"):
-            whole = np.log(np.array(n, np.float64) * self.share / max(self.tokens, 1))
-        return np.logaddexp(whole, math.log(1 - self.share) + spelled) / math.log(10)
 
 
 def fit(words: DataFrame, ends: int, vocabulary_path: str) -> Model:
@@ -341,7 +331,7 @@ def solved(words: DataFrame, model: Model) -> DataFrame:
                 for mine, new in zip(held, columns, strict=True):
                     mine.extend(new)
             if held[0] and (columns is None or len(held[0]) >= SOLVED):
-                logp = shared.value.log10(held[1], pieces.solve([_marked(w) for w in held[0]]))
+                logp = pieces.solve([_marked(w) for w in held[0]]) / math.log(10)
                 yield [[_key(w) for w in held[0]], list(held[1]), list(held[2]), logp.tolist()]
                 for mine in held:
                     mine.clear()
@@ -446,7 +436,7 @@ def score(docs: DataFrame, words: DataFrame, model: Model, key: str = "doc_id",
         F.col("n").alias("n_tokens"),
         (F.col("known") + F.lit(int(model.ends > 0))).cast("long").alias("n_known"),
         (F.col("base") + F.lit(end) + F.col("n") * F.lit(math.log10(0.5 / room))).alias("base_score"),
-        (F.col("lattice") + F.lit(float(model.log10([model.ends], model.logp[:1])[0]))).alias("score"),
+        (F.col("lattice") + F.lit(float(model.logp[0] / math.log(10)))).alias("score"),
     )
 
 
