@@ -5,8 +5,11 @@ import glob
 import gzip
 import hashlib
 import time
+import zlib
 
 import pytest
+import zstandard
+from pyspark.sql import functions as F
 
 from tidemark.llm import extract as X
 from tidemark.llm import markup, warc
@@ -243,6 +246,55 @@ def test_odd_responses(content, text):
     assert [r[-1] for r in records[1:]] == ([] if text is None else [text])
 
 
+def chunked(body, sizes=(3, 5, 100)):
+    out = b""
+    for n in (*sizes, len(body)):
+        part, body = body[:n], body[n:]
+        out += f"{len(part):x};x=y\r\n".encode() + part + b"\r\n" if part else b""
+    return out + b"0\r\nTrailer: x\r\n\r\n"
+
+
+HI = b"<p>Hi there, " + b"all of you " * 9
+SAID = HI[3:].decode().strip()
+
+
+@pytest.mark.parametrize(
+    ("body", "more", "text"),
+    [
+        (gzip.compress(HI), "Content-Encoding: gzip", SAID),
+        (gzip.compress(HI[:20]) + gzip.compress(HI[20:]), "Content-Encoding: x-gzip", SAID),
+        (zlib.compress(HI), "Content-Encoding: deflate", SAID),
+        (zlib.compress(HI)[2:-4], "Content-Encoding: deflate", SAID),
+        (zstandard.compress(HI), "Content-Encoding: zstd", SAID),
+        (chunked(HI), "Transfer-Encoding: chunked", SAID),
+        (chunked(gzip.compress(HI)), "Content-Encoding: gzip\r\nTransfer-Encoding: chunked", SAID),
+        (gzip.compress(zlib.compress(HI)), "Content-Encoding: deflate, gzip", SAID),
+        (HI, "Content-Encoding: gzip", SAID),  # stored plain
+        (HI, "Transfer-Encoding: chunked", SAID),
+        (HI, "Content-Encoding: identity", SAID),
+        (gzip.compress(HI)[:-9], "Content-Encoding: gzip", None),  # cut off: what it holds
+        (HI, "Content-Encoding: br", ""),
+        (b"\x1f\x8bno gzip", "Content-Encoding: gzip", ""),
+    ],
+)
+def test_encoded_bodies(body, more, text):
+    records = warc.derivatives("<urn:uuid:1>", "http://a/", None, response(body, more=more + "\r\nX-Empty:\r\n"))
+    fields = dict(line.split(": ", 1) for line in records[0][-1].split("\r\n") if line)
+    assert fields["source-header-x-empty"] == "" and fields["source-payload-digest"] == warc.digest(body)
+    if text is None:
+        assert SAID.startswith(records[1][-1]) and records[1][-1].startswith("Hi there")
+    else:
+        assert [r[-1] for r in records[1:]] == [text][: bool(text)]
+
+
+def test_clashing_names_of_responses(spark):
+    df = warc.responses(frame(spark, ODD))
+    clash = df.withColumnsRenamed({"date": "captured"}).withColumns(
+        {c: F.lit("extra") for c in ("record_type", "header", "block", "refers_to", "content_type")}).withColumnRenamed("captured", "date")
+    plain = lambda x: sorted(map(repr, x.collect()))
+    assert plain(warc.derive(clash, "page_id")) == plain(warc.derive(df, "page_id"))
+
+
 def test_records_of_odd_pages_and_files(spark, tmp_dir):
     df = frame(spark, ODD)
     records = warc.derive(warc.responses(df), "page_id")
@@ -261,6 +313,8 @@ def test_records_of_odd_pages_and_files(spark, tmp_dir):
             fields = dict(x.split(": ", 1) for x in lines[1:])
             size = int(fields["Content-Length"])
             assert rest[size : size + 4] == b"\r\n\r\n" and warc.digest(rest[:size]) == fields["WARC-Block-Digest"]
-            seen.append((fields["WARC-Type"], fields["WARC-Record-ID"], fields["WARC-Refers-To"]))
+            seen.append((fields["WARC-Type"], fields["WARC-Record-ID"], fields.get("WARC-Refers-To")))
             data = rest[size + 4 :]
-    assert sorted(seen) == sorted((r.record_type, r.record_id, r.refers_to) for r in rows)
+    info = [x for x in seen if x[0] == "warcinfo"]
+    assert len(info) == len({x[1] for x in info}) == len(glob.glob(f"{tmp_dir}/out/part-*.gz"))
+    assert sorted(x for x in seen if x[0] != "warcinfo") == sorted((r.record_type, r.record_id, r.refers_to) for r in rows)

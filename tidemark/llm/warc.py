@@ -9,7 +9,9 @@ From every ``response`` record the builder makes
   responses of status 2xx whose content is HTML or text.
 
 Both carry ``WARC-Refers-To`` (the response's record id), its target URI and
-date, and ``WARC-Block-Digest``; ids are derived from the response's id, so a
+date, and ``WARC-Block-Digest``.  Texts are made from the body as its author wrote
+it: chunks are put together and gzip, deflate and zstd are undone; digests and
+lengths are those of the bytes as they came.  Ids are derived from the response's id, so a
 run that is repeated gives the same records.  ``write`` stores records as WARC
 files through Spark's text writer.
 
@@ -18,7 +20,9 @@ copies matter.
 
 Defined cases: a null or empty response is taken as status 200 with an empty
 body of unknown type and gets a metadata record only; a response without an
-empty line after its header is all header; an unknown or wrong character set
+empty line after its header is all header; a header field without a value is
+kept with the empty one; a body that is cut off gives what it holds, one in an
+unknown coding, or that doesn't follow its coding, no text; an unknown or wrong character set
 falls back to UTF-8, bytes that don't decode become U+FFFD; null keys, URIs
 and dates are carried (left out of headers); repeated rows give repeated
 records with equal ids; an empty table gives an empty table; other columns are
@@ -32,7 +36,11 @@ import codecs
 import hashlib
 import re
 import uuid
+import zlib
 
+import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,6 +79,61 @@ def parse_response(content: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return lines[0].strip(), fields, body
 
 
+def _chunks(body: bytes) -> bytes:
+    """A chunked body put together; what doesn't follow the form ends it."""
+    out, at = [], 0
+    while (end := body.find(b"\n", at)) >= 0:
+        size = re.match(rb"\s*([0-9A-Fa-f]+)\s*(?:;|\r?$)", body[at:end])
+        if not size or not (n := int(size[1], 16)):
+            break
+        out.append(body[end + 1 : end + 1 + n])
+        at = end + 1 + n
+        at += 2 if body[at : at + 2] == b"\r\n" else body[at : at + 1] == b"\n"
+    return b"".join(out) if out or re.match(rb"\s*0+\s*(?:;|\r?\n)", body) else body
+
+
+def _inflated(body: bytes, coding: str) -> bytes:
+    """A body without its content coding; a cut-off body gives what it holds."""
+    if coding == "zstd":
+        return zstandard.ZstdDecompressor().decompressobj().decompress(body)
+    if coding == "deflate":  # with or without the frame that belongs to it
+        try:
+            return zlib.decompressobj().decompress(body)
+        except zlib.error:
+            return zlib.decompressobj(-zlib.MAX_WBITS).decompress(body)
+    out = []
+    while body:  # members of gzip one after the other
+        member = zlib.decompressobj(16 + zlib.MAX_WBITS)
+        try:
+            out.append(member.decompress(body))
+        except zlib.error:
+            if not out:
+                raise
+            break
+        body = member.unused_data
+    return b"".join(out)
+
+
+def decoded(fields: list[tuple[str, str]], body: bytes) -> bytes | None:
+    """The body as its author wrote it: without transfer and content codings, the
+    last one first.  None where a coding isn't known or the bytes don't follow it."""
+    told = lambda name: [c.strip().lower() for k, v in fields if k.lower() == name for c in v.split(",")]
+    for coding in [*told("content-encoding"), *told("transfer-encoding")][::-1]:
+        if coding == "chunked":
+            body = _chunks(body)
+        elif coding in ("gzip", "x-gzip", "deflate", "zstd"):
+            # a crawler may have kept the header and stored the plain body
+            if coding.endswith("gzip") and body[:2] != b"\x1f\x8b":
+                continue
+            try:
+                body = _inflated(body, coding)
+            except (zlib.error, zstandard.ZstdError):
+                return None
+        elif coding not in ("", "identity"):
+            return None
+    return body
+
+
 def to_text(fields: list[tuple[str, str]], body: bytes) -> tuple[str, str]:
     """The character set used and the plain text of a body."""
     kind = next((v for k, v in fields if k.lower() == "content-type"), "text/html")
@@ -110,14 +173,16 @@ def derivatives(ident: str | None, uri: str | None, date: str | None, content: b
     out, conversion = [], None
     charset = None
     if body and (not code or code[1][0] == "2") and re.match(r"\s*(text/|application/(xhtml\+)?xml|$)", kind, re.I):
-        charset, text = to_text(fields, body)
-        conversion = record_id("conversion", ident)
-        out.append(_record("conversion", conversion, ident, uri, date, "text/plain; charset=utf-8", text))
+        plain = decoded(fields, body)
+        if plain:
+            charset, text = to_text(fields, plain)
+            conversion = record_id("conversion", ident)
+            out.append(_record("conversion", conversion, ident, uri, date, "text/plain; charset=utf-8", text))
     told = [("source-record-id", ident), ("source-block-digest", digest(content)), ("source-payload-digest", digest(body)),
             ("source-content-length", str(len(content))), ("source-payload-length", str(len(body))),
-            ("source-status", status), *((f"source-header-{k.lower()}", v) for k, v in fields),
+            ("source-status", status or None), *((f"source-header-{k.lower()}", v) for k, v in fields),
             ("charset", charset), ("conversion-record-id", conversion)]
-    block = "".join(f"{k}: {v}\r\n" for k, v in told if v)
+    block = "".join(f"{k}: {v}\r\n" for k, v in told if v is not None)
     out.insert(0, _record("metadata", record_id("metadata", ident), ident, uri, date, "application/warc-fields", block))
     return out
 
@@ -146,10 +211,25 @@ def derive(responses: DataFrame, key: str, record: str = "record_id", uri: str =
     return map_columns(responses.select(key, record, uri, date, F.col(content).cast("binary")), schema, make)
 
 
-def write(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Records as WARC files, one for each partition; two line ends close a
-    record, which is what the writer puts after each row."""
+def write(records: DataFrame, path: str, compression: str = "gzip", software: str = "tidemark") -> None:
+    """Records as WARC files, one for each partition, each begun by a ``warcinfo``
+    record; two line ends close a record, which is what the writer puts after
+    each row.  With gzip a file is one member, to be read from its beginning;
+    with ``compression="none"`` records can be read at their places."""
     told = records.select(F.concat("header", F.lit("\r\n"), "block").alias("value"))
+    block = f"software: {software}\r\nformat: WARC File Format 1.1\r\n"
+
+    def begun(batches):
+        first = True
+        for batch in batches:
+            if first and batch.num_rows:
+                part = record_id("warcinfo", path, str(TaskContext.get().partitionId()))
+                header = _record("warcinfo", part, None, None, None, "application/warc-fields", block)[-2]
+                yield pa.RecordBatch.from_arrays([pa.array([f"{header}\r\n{block}"])], ["value"])
+                first = False
+            yield batch
+
+    told = told.mapInArrow(begun, "value string")
     told.write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
 
 
