@@ -84,11 +84,13 @@ def json_map_checked(
     document as text).  A JSON null member is a valid NULL; a NULL document
     and an empty object have no rows."""
     kept = list(keep) if keep is not None else [c for c in df.columns if c != json_col]
-    parsed = F.from_json(F.col(json_col), "map<string,string>")
+    # parsed in a step of its own: it is used twice, and an explode of the
+    # expression would parse again
+    parsed = df.select(*kept, F.col(json_col).alias("_text"), F.from_json(F.col(json_col), "map<string,string>").alias("_map"))
     # a text that is no object parses to NULL: it is kept as one rejected entry
-    whole = F.create_map(F.lit("").cast("string"), F.col(json_col))
-    unread = F.col(json_col).isNotNull() & parsed.isNull()
-    rows = df.select(*kept, unread.alias("_unread"), F.explode(F.when(unread, whole).otherwise(parsed)).alias("_k", "_t"))
+    whole = F.create_map(F.lit("").cast("string"), F.col("_text"))
+    unread = F.col("_text").isNotNull() & F.col("_map").isNull()
+    rows = parsed.select(*kept, unread.alias("_unread"), F.explode(F.when(unread, whole).otherwise(F.col("_map"))).alias("_k", "_t"))
     value = F.col("_t").try_cast(value_type)
     return rows.select(
         *kept,
