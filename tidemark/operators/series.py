@@ -252,16 +252,12 @@ def _group_lags(rows: DataFrame, groups: DataFrame, key: str, value: str, ks) ->
     entity's rows spread over all partitions.
 
     A window over (entity, range) is exact whenever the source lies in the
-    row's own group; the frame is already partitioned that way (by the join
-    with the group table), so it costs a local sort.  Only the first K
-    (= largest k) rows of a group with earlier rows look further back, and
-    their sources are among the last K rows before the group.  Those heads and
-    copies of those rows meet in a second, small window per group: a row at
-    position p is copied to every later group that begins within K rows after
-    p, found by an equi-join on (entity, block of K positions).  A group gets
-    at most K copies, so no task ever sees an entity's edge rows together.
-    The head lags are joined back; Spark broadcasts them only where their
-    measured size is small.
+    row's own group, or among the K (= largest k) rows before it.  Copies of
+    those rows join the group: a row at position p is copied to every later
+    group that begins within K rows after p, found by an equi-join on (entity,
+    block of K positions).  A group gets at most K copies, so no task ever sees
+    an entity's edge rows together; one window over both gives all lags, and
+    the copies go again.
     """
     ks = sorted(set(ks))
     kmax = ks[-1]
@@ -274,28 +270,14 @@ def _group_lags(rows: DataFrame, groups: DataFrame, key: str, value: str, ks) ->
             F.floor((F.col("_off") - 1) / kmax), F.floor(F.greatest(F.col("_off") - kmax, F.lit(0)) / kmax)
         ))).alias("_tb"),
     )
-    is_head = (F.col("_off") > 0) & (F.col("_li") <= kmax)
-    is_tail = F.col("_gc") - F.col("_li") < kmax
-    roles = F.filter(F.array(F.when(is_head, F.lit("head")), F.when(is_tail, F.lit("tail"))), lambda x: x.isNotNull())
-    edges = df.where(is_head | is_tail).select(
-        key, "_rg", "_pos", value, F.floor((F.col("_pos") - 1) / kmax).alias("_b"), F.explode(roles).alias("_role")
+    tails = df.where(F.col("_gc") - F.col("_li") < kmax).select(
+        key, "_pos", value, F.floor((F.col("_pos") - 1) / kmax).alias("_b")
     )
     reached = (
-        (F.col("_role") == "tail") & (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_tb"))
+        (F.col(key) == F.col("_tk")) & (F.col("_b") == F.col("_tb"))
         & (F.col("_pos") <= F.col("_toff")) & (F.col("_pos") > F.col("_toff") - kmax)
     )
-    own = F.col("_role") == "head"
+    copies = tails.join(begins, reached).select(key, F.col("_trg").alias("_rg"), "_pos", value)
+    both = df.withColumn("_own", F.lit(True)).unionByName(copies.withColumn("_own", F.lit(False)), allowMissingColumns=True)
     w = Window.partitionBy(key, "_rg").orderBy("_pos")
-    heads = (
-        edges.join(begins, reached, "left")
-        .where(own | F.col("_trg").isNotNull())
-        .select(key, F.when(own, F.col("_rg")).otherwise(F.col("_trg")).alias("_rg"), "_pos", value, own.alias("_own"))
-        .withColumns({f"_hl_{k}": F.lag(value, k).over(w) for k in ks})
-        .where("_own")
-        .select(key, "_rg", "_pos", F.lit(True).alias("_head"), *[f"_hl_{k}" for k in ks])
-    )
-    inside = Window.partitionBy(key, "_rg").orderBy("_ix")
-    out = df.withColumns({f"_wl_{k}": F.lag(value, k).over(inside) for k in ks})
-    out = out.join(heads, [key, "_rg", "_pos"], "left")
-    lags = {f"_lag_{k}": F.when(F.col("_head"), F.col(f"_hl_{k}")).otherwise(F.col(f"_wl_{k}")) for k in ks}
-    return out.withColumns(lags).drop("_head", *[f"_hl_{k}" for k in ks], *[f"_wl_{k}" for k in ks])
+    return both.withColumns({f"_lag_{k}": F.lag(value, k).over(w) for k in ks}).where("_own").drop("_own")
