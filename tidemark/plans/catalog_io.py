@@ -252,10 +252,14 @@ def q_overwrite_partitioned(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "event_date")
 
 
-def _payloads(spark, sf_dir) -> DataFrame:
-    """Snapshot documents of series A, about 500 suppliers each (the supplier
-    table's row count comes from its file metadata)."""
-    documents = max(1, -(-read_table(spark, sf_dir, "supplier").count() // 500))
+# Codes in a document that has a file of its own: under 1 MB.
+FILE_CODES = 20_000
+
+
+def _payloads(spark, sf_dir, codes: int = 500) -> DataFrame:
+    """Snapshot documents of series A, about ``codes`` suppliers each (the
+    supplier table's row count comes from its file metadata)."""
+    documents = max(1, -(-read_table(spark, sf_dir, "supplier").count() // codes))
     return snapshot_payloads(supplier_month_series(spark, sf_dir), documents=documents)
 
 
@@ -289,10 +293,10 @@ def q_raw_landing(spark, sf_dir):
 def q_multiline_landing(spark, sf_dir):
     """Pretty-printed documents, one per file, read in multi-line mode."""
     path = scratch_path(spark, "raw")
-    docs = snapshot_payloads(supplier_month_series(spark, sf_dir), documents=1)
+    docs = _payloads(spark, sf_dir, FILE_CODES)
     text = F.to_json(F.struct(*[c for c in docs.columns if c != "ingest_date"]), {"pretty": "true"})
-    # one document a month, so one file a folder
-    docs.select(text.alias("value"), F.col("ingest_date").alias("month")).write.partitionBy("month").text(path)
+    files = docs.select(text.alias("value"), F.col("ingest_date").alias("month")).write.option("maxRecordsPerFile", 1)
+    files.partitionBy("month").text(path)
     return _rates(read_snapshots(spark, path, multiline=True))
 
 

@@ -28,22 +28,28 @@ INDEX_COLS = [f.name for f in RAW_SCHEMA.fields if f.name != "conversion_rates"]
 CORRUPT = "_corrupt_record"
 CHECKED_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
 
+# Separator that makes a file one record.  No JSON text in UTF-8 holds a NUL, so
+# nothing is cut; a text in UTF-16 or UTF-32 does have it and is malformed.
+# Spark's multiLine mode opens the file again for every number that it reads as
+# text (about 5 kB from a local disk, a request to a store): a record that is in
+# memory gives the number's digits from there.
+WHOLE_FILE = "{\0"
+
 
 def _reader(reader, multiline: bool, quarantine: bool):
     schema = CHECKED_SCHEMA if quarantine else RAW_SCHEMA
     mode = "PERMISSIVE" if quarantine else "FAILFAST"
-    return (
-        reader.schema(schema).option("multiLine", multiline).option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
+    if multiline:
+        reader = reader.option("lineSep", WHOLE_FILE)
+    return reader.schema(schema).option("mode", mode).option("columnNameOfCorruptRecord", CORRUPT)
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], multiline: bool = True,
                    quarantine: bool = False) -> DataFrame:
     """Scan snapshot documents with the fixed schema (no inference pass).
 
-    ``multiline=True`` for pretty-printed API files (one document per file);
-    ``False`` for JSON-lines folders written by ``land_snapshots``.
+    ``multiline=True`` for pretty-printed API files (one document per file, in
+    UTF-8); ``False`` for JSON-lines folders written by ``land_snapshots``.
 
     A document that can't be read ends the job.  With ``quarantine`` it comes
     as a row that holds only its text, in the column ``_corrupt_record``
