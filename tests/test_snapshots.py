@@ -107,3 +107,28 @@ def test_multiline_landing_has_documents_of_bounded_size(spark, tmp_dir, monkeyp
     files = [f"{d}/{f}" for d, _, fs in os.walk(f"{tmp_dir}/raw") for f in fs if f.endswith(".txt")]
     documents = [json.load(open(f))["conversion_rates"] for f in files]  # one document a file
     assert len(documents) > 3 * 3 and max(map(len, documents)) < 30
+
+
+def test_a_claim_whose_rival_is_gone_at_once_is_not_an_error(spark, tmp_dir, monkeypatch):
+    from tidemark.sources import ledger
+
+    at = ledger._at
+
+    class Rival:  # removes its note right after it was in the way
+        def __init__(self, fs):
+            self.fs = fs
+
+        def create(self, path, overwrite):
+            try:
+                return self.fs.create(path, overwrite)
+            except Exception:
+                self.fs.delete(path, True)
+                raise
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    ledger.put(spark, tmp_dir, "now", "other 0")
+    monkeypatch.setattr(ledger, "_at", lambda *a: (at(*a)[0], Rival(at(*a)[1])))
+    assert ledger.claim(spark, tmp_dir, "now", "mine") is False
+    assert ledger.claim(spark, tmp_dir, "now", "mine") is True

@@ -26,8 +26,9 @@ def claim(spark: SparkSession, folder: str, name: str, text: str = "") -> bool:
     path, fs = _at(spark, f"{folder.rstrip('/')}/{name}")
     try:
         out = fs.create(path, False)
-    except (CapturedException, Py4JJavaError):
-        if fs.exists(path):
+    except (CapturedException, Py4JJavaError) as x:
+        # the note that was in the way may have been removed since
+        if "FileAlreadyExistsException" in str(x) or fs.exists(path):
             return False
         raise
     out.write(bytearray(text.encode()))
