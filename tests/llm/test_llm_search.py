@@ -2,12 +2,15 @@ import math
 import random
 import re
 from collections import Counter
+from glob import glob
 
+import pyarrow.parquet as pq
 import pytest
 from odd import ROWS, check_odd, documents
 
 from tidemark.llm import search
 from tidemark.llm.common import written
+from tidemark.session import scratch_root
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -78,6 +81,31 @@ def test_block_by_terms(spark, monkeypatch):
     assert found(spark, docs, items) == brute(docs, items)
 
 
+def test_tasks_hold_a_segment_at_a_time(spark, monkeypatch, tmp_dir):
+    monkeypatch.setattr(search, "SEGMENT", 3000)
+    docs, items = corpus(5)
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    stored = f"{scratch_root(spark)}/segments-*"
+    there = set(glob(stored))
+    got = search.q_op12_ranked_search(spark, tmp_dir).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == brute(docs, items)
+    (path,) = set(glob(stored)) - there
+    footers = [pq.read_metadata(f) for f in glob(f"{path}/part-*")]
+    assert {m.row_group(i).num_rows for m in footers for i in range(m.num_row_groups)} == {1}
+    assert max(m.num_rows for m in footers) > 5
+
+    def rows(batch):
+        (only,) = range(batch.num_rows)
+        yield [c[only].values for c in batch.columns]
+
+    monkeypatch.setattr(search, "_rows", rows)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    again = search.search(spark.read.schema(search.INDEX).parquet(path), spark.read.parquet(f"{tmp_dir}/benchmark.parquet"))
+    assert sorted(again.collect()) == sorted(got) and spark.conf.get(name) == before != "1"
+
+
 def test_range_maxima():
     import numpy as np
 

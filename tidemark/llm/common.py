@@ -13,9 +13,9 @@ from pyspark.sql.types import StructType
 from tidemark.session import scratch_path
 
 
-def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def read(spark: SparkSession, sf_dir: str, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """A given table, by a path only Spark needs to understand."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.options(**options or {}).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

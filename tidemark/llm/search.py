@@ -6,6 +6,13 @@ for each term its posting list (place of the document, occurrences).  A segment
 holds about ``SEGMENT`` bytes of text; its documents stand in the order of their
 length, so that neighbours weigh alike.  No posting is shuffled.
 
+*Memory.*  A segment is a row of several MB, so one segment at a time is what a
+task holds, however many its part of the input makes: while documents are read
+their words are numbers, ``stored`` writes a row group a segment (Parquet would
+gather 100 rows before it looks at their size, and they would be read back
+together), and a task's Python worker gets a segment a batch.  Row groups are
+read without Hadoop's vectored reads.
+
 *Scores.*  With N documents that have a term, L terms in all of them, n terms in
 one and df documents with a term, a term weighs
 ``floor(1000 * ln((2 N + 2) / (2 df + 1)))`` and a document's
@@ -44,6 +51,7 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -54,7 +62,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import map_columns, read, written
+from tidemark.llm.common import map_columns, read
 from tidemark.session import scratch_path
 
 #: Documents that an item gets.
@@ -69,6 +77,9 @@ BLOCK_ITEMS, BLOCK_TERMS = 1000, 200_000
 FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
+#: How documents and segments are read: with Hadoop's vectored reads an executor's
+#: JVM took 200 MB more (row groups of 245 MB, two tasks).
+PLAIN = {"parquet.hadoop.vectored.io.enabled": "false"}
 #: What stands for a null id while documents are ranked.
 LAST = np.iinfo(np.int64).max
 
@@ -98,13 +109,14 @@ def terms_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(FOLD).split() if text else []
 
 
-def _segment(ids: list, words: list[list[bytes]]) -> list[list]:
-    """One index row, as columns of one value."""
+def _segment(ids: list, words: list[np.ndarray], number: _Numbers) -> list[list]:
+    """One index row, as columns of one value; ``words``: each document's terms
+    by their ``number``."""
     lengths = np.array([len(w) for w in words], np.int64)
     order = np.lexsort(([LAST if i is None else i for i in ids], lengths))
-    number = _Numbers()
-    flat = [np.fromiter(map(number.__getitem__, words[i]), np.int64, lengths[i]) for i in order]
-    posting = np.concatenate(flat) * len(ids) + np.repeat(np.arange(len(ids)), lengths[order])
+    posting = np.concatenate([words[i] for i in order], dtype=np.int64)
+    posting *= len(ids)
+    posting += np.repeat(np.arange(len(ids)), lengths[order])
     posting, tfs = np.unique(posting, return_counts=True)
     term, places = np.divmod(posting, len(ids))
     counts = np.bincount(term, minlength=len(number))
@@ -123,30 +135,63 @@ def _segment(ids: list, words: list[list[bytes]]) -> list[list]:
 
 
 def build(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The index of ``docs``, one row a segment; to be written before use."""
+    """The index of ``docs``, one row a segment; to be ``stored`` before use."""
 
     def make():
-        ids, words, held = [], [], 0
+        ids, words, number, held = [], [], _Numbers(), 0
 
         def step(columns):
-            nonlocal ids, words, held
+            nonlocal ids, words, number, held
             if columns is None:
                 if ids:
-                    yield _segment(ids, words)
+                    yield _segment(ids, words, number)
                 return
             for doc, text in zip(*columns, strict=True):
                 ids.append(doc)
-                words.append(terms_of(text))
+                terms = terms_of(text)
+                words.append(np.fromiter(map(number.__getitem__, terms), np.int32, len(terms)))
                 held += len(text) if text else 0
                 if held >= SEGMENT or len(ids) >= SEGMENT_DOCS:
-                    yield _segment(ids, words)
-                    ids, words, held = [], [], 0
+                    yield _segment(ids, words, number)
+                    ids, words, number, held = [], [], _Numbers(), 0
 
         return step
 
     return map_columns(docs.select(F.col(key).cast("long"), F.col(text)), INDEX, make)
 
 
+def stored(index: DataFrame) -> DataFrame:
+    """``index`` written to the shared scratch folder, a row group a segment,
+    and read back."""
+    spark = index.sparkSession
+    path = scratch_path(spark, "segments")
+    index.write.option("parquet.block.row.count.limit", 1).parquet(path)
+    return spark.read.options(**PLAIN).schema(index.schema).parquet(path)
+
+
+@contextmanager
+def _single_rows(spark: SparkSession) -> Iterator[None]:
+    """The session's Arrow batches have one row each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[list]:
+    """The columns of each row, as Arrow arrays."""
+    for i in range(batch.num_rows):
+        yield [c[i].values for c in batch.columns]
+
+
+def _found(terms: pa.Array, asked: pa.Array) -> np.ndarray:
+    """The place of each term in ``asked``, -1 for none."""
+    return pc.fill_null(pc.index_in(terms, asked), -1).to_numpy(zero_copy_only=False)
+
+
 class Lists:
     """A segment's posting lists of a block's terms, with their sparse tables."""
 
@@ -249,10 +294,23 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple]]:
 
 def _weights(index: DataFrame, terms: list[str], n_docs: int) -> dict[str, int]:
     """The weights of a block's terms, those that weigh something."""
-    spark = index.sparkSession
-    asked = F.broadcast(spark.createDataFrame([(t,) for t in terms], "term string"))  # at most BLOCK_TERMS
-    each = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t")).select("t.terms", "t.counts")
-    df = each.join(asked, F.col("terms") == F.col("term"), "left_semi").groupBy("terms").agg(F.sum("counts")).collect()
+    schema = T.StructType([T.StructField("number", T.IntegerType(), False), T.StructField("df", T.LongType(), False)])
+    shared = index.sparkSession.sparkContext.broadcast(terms)  # at most BLOCK_TERMS
+
+    def run(batches):
+        asked = pa.array(shared.value, pa.string())
+        df = np.zeros(len(asked), np.int64)
+        for batch in batches:
+            for names, counts in _rows(batch):
+                found = _found(names, asked)
+                np.add.at(df, found[found >= 0], counts.to_numpy()[found >= 0])
+        some = np.flatnonzero(df)
+        to = to_arrow_schema(schema)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(df[some])], schema=to)
+
+    each = index.select("terms", "counts").mapInArrow(run, schema)
+    with _single_rows(index.sparkSession):
+        df = [(terms[i], n) for i, n in each.groupBy("number").agg(F.sum("df")).collect()]
     weight = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * n + 1))) for t, n in df}
     return {t: w for t, w in weight.items() if w > 0}
 
@@ -278,10 +336,9 @@ def _best(index: DataFrame, block: list[tuple], weights: dict[str, int], n_docs:
         terms, asked = shared.value
         terms, tops = pa.array(terms, pa.string()), [[] for _ in asked]
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = [batch.column(c)[i].values for c in range(6)]
+            for row in _rows(batch):
                 ids = pc.fill_null(row[0], LAST).to_numpy(zero_copy_only=False)
-                found = pc.fill_null(pc.index_in(row[2], terms), -1).to_numpy(zero_copy_only=False)
+                found = _found(row[2], terms)
                 if (found < 0).all():
                     continue
                 lists = Lists(ids, row[1].to_numpy(), found, *(x.to_numpy() for x in row[3:]), n_docs, n_terms)
@@ -290,6 +347,8 @@ def _best(index: DataFrame, block: list[tuple], weights: dict[str, int], n_docs:
         rows = [(i, None if -doc == LAST else -doc, score) for i, top in enumerate(tops) for score, doc in top]
         to = to_arrow_schema(schema)
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], f.type) for c, f in enumerate(to)], schema=to)
+        # a worker is kept for the next task: what this one has freed goes back
+        pa.default_memory_pool().release_unused()
 
     return index.select("ids", "lengths", "terms", "counts", "places", "tfs").mapInArrow(run, schema)
 
@@ -316,13 +375,14 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
         best = _best(index, block, weights, n_docs, n_terms, k)
         ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         names = F.broadcast(spark.createDataFrame([(i, b[0]) for i, b in enumerate(block)], T.StructType([T.StructField("item", T.IntegerType()), schema[0]])))
-        ranked.join(names, "item").select(*schema.names).write.mode("append").parquet(path)
+        with _single_rows(spark):
+            ranked.join(names, "item").select(*schema.names).write.mode("append").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
 def q_op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` ranked for each ``benchmark`` item."""
-    index = written(build(read(spark, sf_dir, "documents")), "segments")
+    index = stored(build(read(spark, sf_dir, "documents", PLAIN)))
     return search(index, read(spark, sf_dir, "benchmark"))
 
 
